@@ -416,3 +416,41 @@ SELECT item_id, label AS actual_churn, prediction AS predicted_churn, score AS c
        label = prediction AS correct_prediction FROM scored"""),
     "e13_predicted_rate": with_blocks([SCORES], "SELECT count(*) AS n, round(avg(prediction), 6) AS predicted_rate FROM scored"),
 }
+
+
+def _u(col: str, key: str = "c_custkey") -> str:
+    return (f"(CAST(('0x' || substr(md5('42:{col}:' || CAST({key} AS VARCHAR)), 1, 8)) AS BIGINT)"
+            f" / CAST(4294967296 AS DOUBLE))")
+
+
+GEN = f"""gen AS (
+  SELECT c_custkey AS customer_id,
+         round(10.0 + {_u('monthly_spend')} * 490.0, 2) AS monthly_spend,
+         CAST(floor({_u('sessions_per_month')} * 60) + 1 AS INTEGER) AS sessions_per_month,
+         CAST(floor({_u('support_tickets_last_month')} * 6) AS INTEGER) AS support_tickets_last_month,
+         CAST({_u('churned')} < 0.12 AS INTEGER) AS churned,
+         CAST(floor({_u('age')} * 63) + 18 AS INTEGER) AS age,
+         (['North', 'South', 'East', 'West', 'Central'])[CAST(least(floor({_u('region')} * 5), 4) AS INTEGER) + 1]
+           AS region,
+         strftime(DATE '2020-01-01' + CAST(floor({_u('account_created_date')}
+                  * (DATE '2024-01-01' - DATE '2020-01-01')) AS INTEGER), '%Y-%m-%d') AS account_created_date
+  FROM customer)"""
+
+S13_FINAL = """SELECT c.c_mktsegment AS segment, count(*) AS n_orders, round(avg(o.o_totalprice), 6) AS avg_price
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+WHERE o.o_totalprice > 100000.0 GROUP BY c.c_mktsegment"""
+
+SQL.update({
+    "g1_generate_customers": with_blocks([GEN], "SELECT * FROM gen"),
+    "g2_split_vertical": with_blocks([GEN], "SELECT customer_id, age, region, account_created_date FROM gen"),
+    "g3_random_choice": with_blocks([GEN], "SELECT customer_id, region FROM gen"),
+    "g4_random_date": with_blocks([GEN], "SELECT customer_id, account_created_date FROM gen"),
+    "g5_positive_rate": with_blocks([GEN], """
+SELECT count(*) AS n, CAST(sum(churned) AS BIGINT) AS n_positive, round(avg(churned), 6) AS positive_rate FROM gen"""),
+    "s1_s2_csv_roundtrip": with_blocks([TRANS], "SELECT * FROM trans"),
+    "s3_s4_view_roundtrip": with_blocks([DEMO], "SELECT * FROM demo"),
+    "s12_predictions_sink": SQL["e12_predictions"],
+    "s13_run_sql": S13_FINAL,
+    "m1_assemble": with_blocks(ENG_BLOCKS, "SELECT customer_id, [" + ", ".join(
+        f"round(CAST({c} AS DOUBLE), 6)" for c in FEATURE_COLS) + "] AS features FROM eng"),
+})

@@ -330,8 +330,215 @@ def flagship(spark, sf):
     return pipeline.region_churn_profile(_pre(spark, sf))
 
 
-QUERIES = {name: fn for name, fn in globals().items()
-           if callable(fn) and not name.startswith("_") and name[:1] in "ajcfpotme" and "_" in name
-           and name not in ("load",)}
-QUERIES["flagship_region_churn"] = flagship
-QUERIES.pop("flagship", None)
+
+
+# --- model training and model-based evaluation (no SQL oracle) -----------------
+from cairn.functions.columns import r6 as _r6  # noqa: E402
+from cairn.operators import model as mdl  # noqa: E402
+from cairn.session import shared_dir  # noqa: E402
+from cairn.sources import generate as gen, models as mstore, registry as reg, sql as sqlsrc  # noqa: E402
+from cairn.sources.tables import read_table, write_table  # noqa: E402
+
+_TRAINED: dict = {}
+
+
+def _trained(spark, sf):
+    """Train once per (session, sf) with the reference test settings (50 trees,
+    depth 4, 3 folds); every model query reuses it."""
+    k = (id(spark), sf)
+    if k not in _TRAINED:
+        tr, te = sp.train_test(_split(spark, sf))
+        tr, te = tr.persist(), te.persist()
+        model, feats, rec, cv = mdl.train(tr, TARGET, mdl.TEST_PARAMS, mdl.TEST_FOLDS, KEY)
+        _TRAINED[k] = dict(model=model, features=feats, record=rec, cv=cv, train=tr, test=te)
+    return _TRAINED[k]
+
+
+def m1_assemble(spark, sf):
+    e = _eng(spark, sf)
+    feats = mdl.model_features(e)
+    v = mdl.assemble(e, feats)
+    return v.select(KEY, F.transform(mdl.vector_to_array("features"), lambda x: F.round(x, 6)).alias("features"))
+
+
+def m2_gbt_fit(spark, sf):
+    t = _trained(spark, sf)
+    return mdl.score(t["model"], t["train"], [KEY, TARGET])
+
+
+def m4_cross_validate(spark, sf):
+    return _trained(spark, sf)["cv"]
+
+
+def m4_cv_summary(spark, sf):
+    return mdl.cv_summary(_trained(spark, sf)["cv"])
+
+
+def m5_score(spark, sf):
+    t = _trained(spark, sf)
+    return mdl.score(t["model"], t["test"], [KEY, TARGET])
+
+
+def m6_training_metrics(spark, sf):
+    t = _trained(spark, sf)
+    return mdl.training_metrics(mdl.score(t["model"], t["train"], [KEY, TARGET]), TARGET)
+
+
+def m7_importance(spark, sf):
+    t = _trained(spark, sf)
+    return mdl.importance(t["model"], t["features"], 10)
+
+
+def m8_training_record(spark, sf):
+    return _trained(spark, sf)["record"]
+
+
+def e11_permutation_attribution(spark, sf):
+    t = _trained(spark, sf)
+    return mdl.permutation_attribution(t["model"], t["test"], t["features"], KEY, 100, 42)
+
+
+def e14_evaluation_record(spark, sf):
+    t = _trained(spark, sf)
+    return mdl.evaluate(t["model"], t["test"], t["features"], TARGET, KEY)[1]
+
+
+# --- sources and sinks ----------------------------------------------------------
+TRANS_SCHEMA = ("customer_id bigint, monthly_spend double, sessions_per_month double, "
+                "support_tickets_last_month bigint, churned int")
+
+
+def s1_s2_csv_roundtrip(spark, sf):
+    path = shared_dir(spark, "cairn-csv")
+    write_table(_trans(spark, sf), path, "csv")
+    return read_table(spark, path, "csv", schema=TRANS_SCHEMA)
+
+
+def _registered(spark, sf):
+    root = shared_dir(spark, "cairn-registry")
+    d = _demo(spark, sf)
+    reg.register_view(d, root, "customer_demographics", [KEY], "v1", desc="demographics stand-in")
+    reg.register_view(d.withColumn("age", F.col("age") + 1), root, "customer_demographics", [KEY], "v2")
+    reg.register_view(_trans(spark, sf), root, "customer_transactions", [KEY], "v9")
+    reg.register_view(_trans(spark, sf), root, "customer_transactions", [KEY], "v10", desc="latest transactions")
+    return root
+
+
+def s3_s4_view_roundtrip(spark, sf):
+    root = _registered(spark, sf)
+    return reg.read_view(spark, root, "customer_demographics", "v1")
+
+
+def s5_resolve_version(spark, sf):
+    root = _registered(spark, sf)
+    r = reg.registry(spark, root)
+    asks = [("customer_transactions", None), ("customer_transactions", "current"),
+            ("customer_transactions", "latest"), ("customer_demographics", "latest"), ("customer_demographics", "v1")]
+    rows = [(n, str(v), reg.resolve_version(r, n, v, defaults={"customer_transactions": "v9"})) for n, v in asks]
+    return spark.createDataFrame(rows, "name string, requested string, resolved string")
+
+
+def s6_latest_versions(spark, sf):
+    return reg.latest_versions(reg.registry(spark, _registered(spark, sf)), "view")
+
+
+def s7_find_view(spark, sf):
+    r = reg.registry(spark, _registered(spark, sf))
+    name = reg.find_view(r, ["customer_features", "customer_transactions", "customer_demographics"])
+    return spark.createDataFrame([(name,)], "found string")
+
+
+def s8_list_views(spark, sf):
+    return reg.list_views(reg.registry(spark, _registered(spark, sf)), "view")
+
+
+def s9_run_record(spark, sf):
+    stats = profile.summary(_pre(spark, sf), TARGET)
+    rec = reg.run_record(spark, "preprocess", {"as_of": views.AS_OF, "cap_columns": list(pipeline.CAP_COLUMNS)}, stats)
+    reg.write_run_record(rec, shared_dir(spark, "cairn-runs"))
+    return rec
+
+
+def s10_model_roundtrip(spark, sf):
+    t = _trained(spark, sf)
+    root = shared_dir(spark, "cairn-models")
+    mstore.save_model(t["model"], root, "gbt_churn_model", "v1")
+    loaded = mstore.load_model(spark, root, "gbt_churn_model", "latest")
+    return mdl.score(loaded, t["test"], [KEY, TARGET])
+
+
+def s11_log_metrics(spark, sf):
+    root = shared_dir(spark, "cairn-metrics")
+    mdl_metrics = ev.basic_metrics(_scored(spark, sf))
+    reg.log_metrics(mdl_metrics, root, "score_model", "v1")
+    return reg.read_metrics(spark, root, "score_model").select("model", "version", "metric", "value")
+
+
+def s12_predictions_sink(spark, sf):
+    path = shared_dir(spark, "cairn-predictions")
+    mstore.write_predictions(e12_predictions(spark, sf), path)
+    return read_table(spark, path)
+
+
+def s13_run_sql(spark, sf):
+    return sqlsrc.run_sql(spark, S13_SQL, {"min_price": 100000.0},
+                          {"orders": load(spark, sf, "orders"), "customer": load(spark, sf, "customer")})
+
+
+S13_SQL = """SELECT c.c_mktsegment AS segment, count(*) AS n_orders, round(avg(o.o_totalprice), 6) AS avg_price
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+WHERE o.o_totalprice > :min_price GROUP BY c.c_mktsegment"""
+
+
+# --- data generation --------------------------------------------------------------
+def _generated(spark, sf):
+    return gen.generate_customers(spark, positive_rate=0.12, seed=42,
+                                  keys=load(spark, sf, "customer").select("c_custkey"))
+
+
+def g1_generate_customers(spark, sf):
+    return _generated(spark, sf)
+
+
+def g2_split_vertical(spark, sf):
+    return gen.split_vertical(_generated(spark, sf))["demographics"]
+
+
+def g3_random_choice(spark, sf):
+    return _generated(spark, sf).select(KEY, "region")
+
+
+def g4_random_date(spark, sf):
+    return _generated(spark, sf).select(KEY, "account_created_date")
+
+
+def g5_positive_rate(spark, sf):
+    return gen.positive_rate(_generated(spark, sf))
+
+
+QUERIES = {
+    "flagship_region_churn": flagship,
+    **{n: globals()[n] for n in [
+        "j1_customer_join", "j2_join_coverage", "j3_key_overlap",
+        "a1_null_summary", "a2_type_report", "a3_value_counts", "a4_mean_rate", "a5_quantiles", "a6_modes",
+        "a7_extremes", "a8_inf_counts", "a9_min_class_check", "a10_summary",
+        "c1_impute_median", "c2_impute_mode", "c3_iqr_cap", "c3_iqr_report", "c4_clamp_age", "c5_floor_balance",
+        "c6_finite_or",
+        "f1_high_value", "f2_high_support", "f3_low_engagement", "f4_one_hot_region", "f5_parse_date",
+        "f6_account_age_days", "f7_account_age_years", "f8_account_age_bucket", "f9_spend_per_session",
+        "f10_support_risk_score", "f11_customer_value_tier", "f12_label_encode", "f13_date_parse_failures",
+        "p1_feature_columns", "p2_columns_of_kind", "p3_drop_non_numeric", "p4_count_outside", "p5_set_where",
+        "p6_require_columns",
+        "o1_sort_desc", "o2_top_k", "o3_common_keys", "o4_concat_columns",
+        "t1_stratified_split", "t2_random_split", "t4_balance_report", "t5_drift_report", "t5_drift_summary",
+        "t6_leakage_check", "t7_split_summary", "m3_assign_folds",
+        "e1_confusion", "e2_e4_basic_metrics", "e5_roc_auc", "e6_class_report", "e7_roc_curve", "e8_pr_curve",
+        "e9_score_histogram", "e10_sample_rows", "e12_predictions", "e13_predicted_rate",
+        "g1_generate_customers", "g2_split_vertical", "g3_random_choice", "g4_random_date", "g5_positive_rate",
+        "s1_s2_csv_roundtrip", "s3_s4_view_roundtrip", "s5_resolve_version", "s6_latest_versions",
+        "s7_find_view", "s8_list_views", "s9_run_record", "s11_log_metrics", "s12_predictions_sink", "s13_run_sql",
+        "m1_assemble", "m2_gbt_fit", "m4_cross_validate", "m4_cv_summary", "m5_score", "m6_training_metrics",
+        "m7_importance", "m8_training_record", "s10_model_roundtrip", "e11_permutation_attribution",
+        "e14_evaluation_record",
+    ]},
+}

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The pipeline being rebuilt has no stream source, window, watermark, state
+or late-data handling; its only recurrence is a scheduled daily batch run,
+which is orchestration and is left to the scheduler that launches the
+Spark job.  The batch steps in ``cairn.plans.pipeline`` are plain
+DataFrame functions, so a caller that does receive a stream can apply them
+per micro-batch with ``writeStream.foreachBatch`` without changes here.
+"""
