@@ -20,12 +20,18 @@ def _with_missing(df: DataFrame, cols: list[str]) -> list[str]:
     return [c for i, c in enumerate(cols) if row[f"__m{i}"] > 0]
 
 
-def impute_median(df: DataFrame, cols: list[str] | None = None, exclude=(KEY,)) -> DataFrame:
+def columns_with_missing(df: DataFrame, cols: list[str] | None = None) -> list[str]:
+    """Columns (default: all) holding at least one NULL - one aggregate pass."""
+    return _with_missing(df, df.columns if cols is None else list(cols))
+
+
+def impute_median(df: DataFrame, cols: list[str] | None = None, exclude=(KEY,),
+                  missing: list[str] | None = None) -> DataFrame:
     """NULLs in numeric columns (default: all but the id; the target too)
     become the column median.  Only columns with NULLs change; they become
     double, as a median may fall between two integers."""
     cols = numeric_columns(df, exclude) if cols is None else list(cols)
-    todo = _with_missing(df, cols)
+    todo = _with_missing(df, cols) if missing is None else [c for c in cols if c in set(missing)]
     med = quantile_values(df, todo, [0.5])
     fill = {c: med[(c, 0.5)] for c in todo if med[(c, 0.5)] is not None}
     return df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(fill[c])).alias(c) if c in fill else F.col(c)
@@ -33,11 +39,11 @@ def impute_median(df: DataFrame, cols: list[str] | None = None, exclude=(KEY,))
 
 
 def impute_mode(df: DataFrame, cols: list[str] | None = None, exclude=(KEY,),
-                default: str = "Unknown") -> DataFrame:
+                default: str = "Unknown", missing: list[str] | None = None) -> DataFrame:
     """NULLs in string columns become the mode (ties -> smallest value;
     a column with no values gets ``default``)."""
     cols = string_columns(df, exclude) if cols is None else list(cols)
-    todo = _with_missing(df, cols)
+    todo = _with_missing(df, cols) if missing is None else [c for c in cols if c in set(missing)]
     fill = mode_values(df, todo, default)
     return df.fillna(fill) if fill else df
 

@@ -103,21 +103,30 @@ def safe_ratio(df: DataFrame, num: str, den: str, out: str = "spend_per_session"
     return df.withColumn(out, safe_div(num, den))
 
 
-def scale_by_max(df: DataFrame, col: str, out: str = "support_risk_score") -> DataFrame:
+def extremes_of(df: DataFrame, cols: list[str]) -> dict:
+    """{column: (min, max)} for several columns in one aggregate pass."""
+    if not cols:
+        return {}
+    row = df.agg(*[F.min(F.col(c).cast("double")).alias(f"mn{i}") for i, c in enumerate(cols)],
+                 *[F.max(F.col(c).cast("double")).alias(f"mx{i}") for i, c in enumerate(cols)]).first()
+    return {c: (row[f"mn{i}"], row[f"mx{i}"]) for i, c in enumerate(cols)}
+
+
+def scale_by_max(df: DataFrame, col: str, out: str = "support_risk_score", maximum: float | None = None) -> DataFrame:
     """col / max(col); a max <= 0 gives 0 everywhere."""
-    m = df.agg(F.max(F.col(col).cast("double"))).first()[0]
+    m = extremes_of(df, [col])[col][1] if maximum is None else maximum
     if m is None or m <= 0:
         return df.withColumn(out, F.lit(0.0))
     return df.withColumn(out, F.col(col) / F.lit(m))
 
 
-def minmax_mean(df: DataFrame, cols: list[str], out: str = "customer_value_tier") -> DataFrame:
+def minmax_mean(df: DataFrame, cols: list[str], out: str = "customer_value_tier",
+                extremes: dict | None = None) -> DataFrame:
     """mean of the min-max scaled columns; a constant column contributes 0."""
-    row = df.agg(*[F.min(F.col(c).cast("double")).alias(f"mn{i}") for i, c in enumerate(cols)],
-                 *[F.max(F.col(c).cast("double")).alias(f"mx{i}") for i, c in enumerate(cols)]).first()
+    ext = extremes_of(df, cols) if extremes is None else extremes
     parts = []
-    for i, c in enumerate(cols):
-        mn, mx = row[f"mn{i}"], row[f"mx{i}"]
+    for c in cols:
+        mn, mx = ext[c]
         parts.append((F.col(c) - F.lit(mn)) / F.lit(mx - mn) if mn is not None and mx > mn else F.lit(0.0))
     return df.withColumn(out, sum(parts[1:], parts[0]) / F.lit(float(len(cols))))
 

@@ -8,6 +8,7 @@ evaluation operators, grouped by fold so k folds cost one metrics pass.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -29,6 +30,18 @@ DEFAULT_PARAMS = dict(PIPELINE_PARAMS, maxIter=200)
 TEST_PARAMS = dict(PIPELINE_PARAMS, maxIter=50, maxDepth=4)
 PIPELINE_FOLDS, TEST_FOLDS = 5, 3
 METRICS = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
+# Rows per training partition: tree induction is one histogram pass per level,
+# so partitions are sized to the data (tiny frames -> few tasks, 100 TB -> many).
+ROWS_PER_PARTITION = 200_000
+
+
+def training_partitions(n_rows: int) -> int:
+    return max(1, -(-int(n_rows) // ROWS_PER_PARTITION))
+
+
+def sized(df: DataFrame, n_rows: int) -> DataFrame:
+    """Repartition a training frame to ``training_partitions(n_rows)`` (round robin, even sizes)."""
+    return df.repartition(training_partitions(n_rows))
 
 
 def model_features(df: DataFrame, target: str = "churned", exclude=NON_FEATURES + ("split", "fold")) -> list[str]:
@@ -99,21 +112,43 @@ def training_metrics(scored: DataFrame, label: str = "churned") -> DataFrame:
     return metrics_by_group(scored, label)
 
 
+def _fold_frames(df: DataFrame, features: list[str], target: str, k: int, key: str, seed: int,
+                 n_rows: int | None) -> DataFrame:
+    folded = assign_folds(df.select(key, target, *features), key, target, k, seed)
+    n = folded.count() if n_rows is None else n_rows
+    return sized(folded, n).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _fit_fold(folded: DataFrame, i: int, features, target, params, key) -> DataFrame:
+    m = fit_gbt(folded.where(F.col("fold") != i), features, target, params)
+    return score(m, folded.where(F.col("fold") == i), [key, target, "fold"])
+
+
+def _fold_metrics(parts: list[DataFrame], target: str) -> DataFrame:
+    held_out = parts[0]
+    for p in parts[1:]:
+        held_out = held_out.unionByName(p)
+    held_out = held_out.persist(StorageLevel.MEMORY_AND_DISK)
+    out = metrics_by_group(held_out, target, group=["fold"]).persist()
+    out.count()
+    held_out.unpersist()
+    return out
+
+
 def cross_validate(df: DataFrame, features: list[str], target: str = "churned", params: dict | None = None,
-                   k: int = PIPELINE_FOLDS, key: str = "customer_id", seed: int = 42) -> DataFrame:
+                   k: int = PIPELINE_FOLDS, key: str = "customer_id", seed: int = 42,
+                   n_rows: int | None = None, parallelism: int | None = None) -> DataFrame:
     """M4: stratified k-fold CV - k fits (one per fold, all metrics from it),
     then one grouped metrics pass over the union of held-out predictions.
+    Fold fits run as concurrent Spark jobs (``parallelism``, default k), as
+    ``CrossValidator(parallelism=...)`` does.
     Returns (fold, accuracy, precision, recall, f1_score, roc_auc)."""
-    folded = assign_folds(df.select(key, target, *features), key, target, k, seed) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    parts = []
-    for i in range(k):
-        m = fit_gbt(folded.where(F.col("fold") != i), features, target, params)
-        parts.append(score(m, folded.where(F.col("fold") == i), [key, target, "fold"]))
-    held_out = parts[0]
-    for p in parts[1:]:
-        held_out = held_out.unionByName(p)
-    return metrics_by_group(held_out, target, group=["fold"])
+    folded = _fold_frames(df, features, target, k, key, seed, n_rows)
+    with ThreadPoolExecutor(max_workers=parallelism or k) as pool:
+        parts = list(pool.map(lambda i: _fit_fold(folded, i, features, target, params, key), range(k)))
+    out = _fold_metrics(parts, target)
+    folded.unpersist()
+    return out
 
 
 def cv_summary(folds: DataFrame) -> DataFrame:
@@ -192,17 +227,30 @@ def training_record(spark, name: str, version: str, n_train: int, features: list
 
 
 def train(df: DataFrame, target: str = "churned", params: dict | None = None, folds: int = PIPELINE_FOLDS,
-          key: str = "customer_id", name: str = "gbt_churn_model", version: str = "v1", seed: int = 42):
+          key: str = "customer_id", name: str = "gbt_churn_model", version: str = "v1", seed: int = 42,
+          parallelism: int | None = None):
     """Train step: CV, final fit, training metrics, importance, record.
     Returns (model, features, record DataFrame, cv fold table)."""
     features = model_features(df, target)
-    train_df = df.select(key, target, *features).persist(StorageLevel.MEMORY_AND_DISK)
-    n = train_df.count()
-    cv = cross_validate(train_df, features, target, params, folds, key, seed) if folds and folds > 1 else None
-    cv = cv.persist() if cv is not None else None
-    t0 = time.time()
-    model = fit_gbt(train_df, features, target, params)
-    secs = time.time() - t0
+    n = df.count()
+    train_df = sized(df.select(key, target, *features), n).persist(StorageLevel.MEMORY_AND_DISK)
+    k = folds if folds and folds > 1 else 0
+    folded = _fold_frames(train_df, features, target, k, key, seed, n) if k else None
+
+    def final_fit():
+        t0 = time.time()
+        m = fit_gbt(train_df, features, target, params)
+        return m, time.time() - t0
+
+    # the final fit and the k fold fits are independent: run them as concurrent jobs
+    with ThreadPoolExecutor(max_workers=(parallelism or k + 1)) as pool:
+        final = pool.submit(final_fit)
+        fold_parts = [pool.submit(_fit_fold, folded, i, features, target, params, key) for i in range(k)]
+        model, secs = final.result()
+        parts = [f.result() for f in fold_parts]
+    cv = _fold_metrics(parts, target) if k else None
+    if folded is not None:
+        folded.unpersist()
     metrics = training_metrics(score(model, train_df, [key, target]), target)
     rec = training_record(df.sparkSession, name, version, n, features, target, secs,
                           dict(PIPELINE_PARAMS if params is None else params), folds or 0,

@@ -80,8 +80,9 @@ def preprocess(trans: DataFrame, demo: DataFrame, as_of: str = views.AS_OF,
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     if report is not None:
         report.coverage = joins.join_coverage(trans, df, KEY)
-    df = clean.impute_median(df)
-    df = clean.impute_mode(df)
+    missing = clean.columns_with_missing(df)     # one pass serves C1 and C2
+    df = clean.impute_median(df, missing=missing)
+    df = clean.impute_mode(df, missing=missing)
     df = cap_and_flag(df, report)
     if "region" in df.columns:
         df = feat.one_hot(df, "region", "region")
@@ -94,10 +95,13 @@ def engineer(df: DataFrame) -> DataFrame:
     """F9-F11, then C6 and P3: numeric features only, key and target kept."""
     if {"monthly_spend", "sessions_per_month"} <= set(df.columns):
         df = feat.safe_ratio(df, "monthly_spend", "sessions_per_month", "spend_per_session")
+    mm_cols = [c for c in ("monthly_spend", "sessions_per_month") if c in df.columns]
+    ext = feat.extremes_of(df, mm_cols + [c for c in ["support_tickets_last_month"] if c in df.columns])
     if "support_tickets_last_month" in df.columns:
-        df = feat.scale_by_max(df, "support_tickets_last_month", "support_risk_score")
-    if {"monthly_spend", "sessions_per_month"} <= set(df.columns):
-        df = feat.minmax_mean(df, ["monthly_spend", "sessions_per_month"], "customer_value_tier")
+        df = feat.scale_by_max(df, "support_tickets_last_month", "support_risk_score",
+                               maximum=ext["support_tickets_last_month"][1])
+    if len(mm_cols) == 2:
+        df = feat.minmax_mean(df, mm_cols, "customer_value_tier", extremes=ext)
     df = drop_non_numeric(df)
     return clean.finite_or(df, exclude=(KEY,))
 
