@@ -101,8 +101,8 @@ def score_histogram(scored: DataFrame, label: str = "label", score: str = "score
     rng = scored.groupBy(label).agg(F.min(s).alias("mn"), F.max(s).alias("mx"))
     lo = F.when(F.col("mx") > F.col("mn"), F.col("mn")).otherwise(F.col("mn") - 0.5)
     hi = F.when(F.col("mx") > F.col("mn"), F.col("mx")).otherwise(F.col("mx") + 0.5)
-    rng = rng.select(label, lo.alias("lo"), hi.alias("hi"))   # one row per class
-    j = scored.select(label, s.alias("s")).join(F.broadcast(rng), label)
+    rng = rng.select(label, lo.alias("lo"), hi.alias("hi"))   # one row per class; AQE broadcasts it when small
+    j = scored.select(label, s.alias("s")).join(rng, label)
     b = F.least(F.floor((F.col("s") - F.col("lo")) * (F.lit(float(bins)) / (F.col("hi") - F.col("lo")))),
                 F.lit(bins - 1)).cast("int")
     counts = j.groupBy(label, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))

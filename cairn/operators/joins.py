@@ -38,9 +38,9 @@ def join_coverage(left: DataFrame, joined: DataFrame, key: str = "customer_id",
 
     Both distinct counts are exact; partial aggregation on the key runs
     map-side before the shuffle."""
-    lk = left.agg(F.count_distinct(key).alias("left_keys"))
-    jk = joined.agg(F.count_distinct(key).alias("joined_keys"))
-    cov = lk.crossJoin(jk)  # two one-row aggregates
+    lk = left.agg(F.count_distinct(key).alias("left_keys"), F.lit(None).cast("long").alias("joined_keys"))
+    jk = joined.agg(F.lit(None).cast("long").alias("left_keys"), F.count_distinct(key).alias("joined_keys"))
+    cov = lk.unionByName(jk).agg(F.max("left_keys").alias("left_keys"), F.max("joined_keys").alias("joined_keys"))
     rate = F.when(F.col("left_keys") > 0, F.col("joined_keys") / F.col("left_keys")).otherwise(F.lit(0.0))
     return cov.select("left_keys", "joined_keys", r6(rate).alias("coverage"),
                       (rate < warn_below).alias("warn"))

@@ -103,7 +103,10 @@ def metrics_by_group(scored: DataFrame, label: str = "churned", pred: str = "pre
     m = c.select(*group, ratio(tp + tn, tp + tn + fp + fn).alias("accuracy"), ratio(tp, tp + fp).alias("precision"),
                  ratio(tp, tp + fn).alias("recall"), ratio(2 * tp, 2 * tp + fp + fn).alias("f1_score"))
     auc = _auc_by_group(scored, label, prob, group)
-    out = m.join(auc, group, "left") if group else m.crossJoin(auc)
+    if not group:   # both sides are single-row aggregates: join them on a constant key
+        m, auc, group = m.withColumn("__one", F.lit(1)), auc.withColumn("__one", F.lit(1)), ["__one"]
+        return m.join(auc, group, "left").select(*[r6(k).alias(k) for k in METRICS])
+    out = m.join(auc, group, "left")
     return out.select(*group, *[r6(k).alias(k) for k in METRICS])
 
 

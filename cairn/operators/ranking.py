@@ -14,28 +14,36 @@ The result is exact and independent of how the input was partitioned.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from itertools import groupby
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Fixed bound on the collected/broadcast offset table (partitions x groups).
-MAX_OFFSET_ROWS = 2_000_000
+# Size check for the offset table (partitions x groups): up to this many rows
+# it is collected and broadcast; beyond it the offsets are computed with a
+# window per group over the totals and joined back without broadcast.
+BROADCAST_OFFSET_ROWS = 100_000
 
 
-@dataclass
 class RunningSum:
-    df: DataFrame                      # input rows plus the running-sum columns
-    totals: dict                       # group tuple -> tuple of per-group weight totals
+    """``df``: input rows plus the running-sum columns; ``totals``: group tuple ->
+    tuple of per-group weight totals (computed on first use in the wide case)."""
 
+    def __init__(self, df: DataFrame, totals: dict | None = None, totals_df: DataFrame | None = None,
+                 group_by=(), names=()):
+        self.df, self._totals, self._totals_df = df, totals, totals_df
+        self._group_by, self._names = list(group_by), list(names)
 
-def _sort_key(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    @property
+    def totals(self) -> dict:
+        if self._totals is None:
+            rows = self._totals_df.collect()
+            self._totals = {tuple(r[g] for g in self._group_by): tuple(r[n] for n in self._names) for r in rows}
+        return self._totals
 
 
-def _plain_name(c) -> str | None:
-    return c if isinstance(c, str) else None
+def _sort_key(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
 def running_sum(df: DataFrame, order_by: list, weights: dict[str, object] | None = None,
@@ -59,16 +67,34 @@ def running_sum(df: DataFrame, order_by: list, weights: dict[str, object] | None
     ranged = (keyed.repartitionByRange(n, *keys)
                    .withColumn("__pid", F.spark_partition_id())
                    .persist(storage))
-    # per (partition, group) totals: bounded by partitions x groups
-    tot_rows = (ranged.groupBy("__pid", *group_by)
-                      .agg(*[F.sum(tmp[k]).alias(tmp[k]) for k in wcols])
-                      .collect())
-    if len(tot_rows) > MAX_OFFSET_ROWS:
-        ranged.unpersist()
-        raise ValueError(f"running_sum: {len(tot_rows)} (partition, group) cells exceed "
-                         f"{MAX_OFFSET_ROWS}; use fewer groups")
+    # per (partition, group) totals: at most partitions x groups rows
+    tot = ranged.groupBy("__pid", *group_by).agg(*[F.sum(tmp[k]).alias(tmp[k]) for k in wcols])
+    w = (Window.partitionBy("__pid", *group_by).orderBy(*[_sort_key(c) for c in order_by])
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = ranged.select("*", *[F.sum(tmp[k]).over(w).alias(f"__l_{k}") for k in wcols])
+    tot_rows = tot.limit(BROADCAST_OFFSET_ROWS + 1).collect()
+    if len(tot_rows) <= BROADCAST_OFFSET_ROWS:
+        off_df, totals = _driver_offsets(spark, tot_rows, group_by, wcols, tmp, df, keyed)
+        off_df = F.broadcast(off_df)
+        totals_df = None
+    else:
+        # wide case: exclusive prefix over partitions, per group (<= partitions rows per window group)
+        wo = Window.partitionBy(*group_by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+        off_df = tot.select("__pid", *group_by, *[F.coalesce(F.sum(tmp[k]).over(wo), F.lit(0)).alias(f"__o_{i}")
+                                                  for i, k in enumerate(wcols)])
+        totals, totals_df = None, tot.groupBy(*group_by).agg(*[F.sum(tmp[k]).alias(k) for k in wcols])
+    # null-safe join on group keys (a NULL group is still a group)
+    cond = [local["__pid"] == off_df["__pid"]] + [local[g].eqNullSafe(off_df[g]) for g in group_by]
+    joined = local.join(off_df, cond, "inner")
+    out = joined.select(*[local[c] for c in df.columns],
+                        *[(local[f"__l_{k}"] + off_df[f"__o_{i}"]).alias(k)
+                          for i, k in enumerate(wcols)])
+    return RunningSum(out, totals, totals_df, group_by, list(wcols))
+
+
+def _driver_offsets(spark, tot_rows, group_by, wcols, tmp, df, keyed):
     gkey = lambda r: tuple(r[g] for g in group_by)
-    tot_rows.sort(key=lambda r: (tuple((v is None, v) for v in gkey(r)), r["__pid"]))
+    tot_rows = sorted(tot_rows, key=lambda r: (tuple((v is None, v) for v in gkey(r)), r["__pid"]))
     offsets, totals = [], {}
     for g, rows in groupby(tot_rows, key=gkey):
         acc = [0] * len(wcols)
@@ -78,17 +104,7 @@ def running_sum(df: DataFrame, order_by: list, weights: dict[str, object] | None
         totals[g] = tuple(acc)
     off_schema = ", ".join(["__pid int"] + [f"`{g}` {dict(df.dtypes)[g]}" for g in group_by]
                            + [f"`__o_{i}` {dict(keyed.dtypes)[tmp[k]]}" for i, k in enumerate(wcols)])
-    off_df = spark.createDataFrame(offsets, off_schema)
-    w = (Window.partitionBy("__pid", *group_by).orderBy(*[_sort_key(c) for c in order_by])
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.select("*", *[F.sum(tmp[k]).over(w).alias(f"__l_{k}") for k in wcols])
-    # null-safe join on group keys (a NULL group is still a group)
-    cond = [local["__pid"] == off_df["__pid"]] + [local[g].eqNullSafe(off_df[g]) for g in group_by]
-    joined = local.join(F.broadcast(off_df), cond, "inner")
-    out = joined.select(*[local[c] for c in df.columns],
-                        *[(local[f"__l_{k}"] + off_df[f"__o_{i}"]).alias(k)
-                          for i, k in enumerate(wcols)])
-    return RunningSum(out, totals)
+    return spark.createDataFrame(offsets, off_schema), totals
 
 
 def global_rank(df: DataFrame, order_by: list, group_by: list[str] | None = None,

@@ -12,7 +12,7 @@ from __future__ import annotations
 import logging
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cairn.functions.columns import hash_order, numeric_columns, r6
 from cairn.operators.joins import key_overlap_report
@@ -155,5 +155,5 @@ def leakage_check(df: DataFrame, key: str = "customer_id", split_col: str = "spl
 def split_summary(df: DataFrame, split_col: str = "split") -> DataFrame:
     """(split, n, share)."""
     counts = df.groupBy(split_col).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("__t"))
-    return counts.crossJoin(total).select(split_col, "n", r6(F.col("n") / F.col("__t")).alias("share"))
+    total = F.sum("n").over(Window.partitionBy())      # over the per-split counts: one row per split value
+    return counts.select(split_col, "n", r6(F.col("n") / total).alias("share"))

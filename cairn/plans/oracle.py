@@ -454,3 +454,16 @@ SELECT count(*) AS n, CAST(sum(churned) AS BIGINT) AS n_positive, round(avg(chur
     "m1_assemble": with_blocks(ENG_BLOCKS, "SELECT customer_id, [" + ", ".join(
         f"round(CAST({c} AS DOUBLE), 6)" for c in FEATURE_COLS) + "] AS features FROM eng"),
 })
+
+
+_BASIC = SQL["e2_e4_basic_metrics"]
+SQL.update({
+    "e2_accuracy": f"SELECT accuracy FROM ({_BASIC})",
+    "e3_precision_recall_f1": f"SELECT precision, recall, f1_score FROM ({_BASIC})",
+    "e4_specificity_fpr_fnr": f"SELECT specificity, false_positive_rate, false_negative_rate FROM ({_BASIC})",
+    "t3_split_fallback": """
+SELECT c_custkey AS customer_id,
+       CASE WHEN row_number() OVER (ORDER BY md5('42:' || CAST(c_custkey AS VARCHAR)), c_custkey)
+                 <= (SELECT ceil(CAST(count(*) AS DOUBLE) * CAST(0.2 AS DOUBLE)) FROM customer)
+            THEN 'test' ELSE 'train' END AS split FROM customer""",
+})

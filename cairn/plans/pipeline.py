@@ -120,3 +120,39 @@ def region_churn_profile(pre: DataFrame) -> DataFrame:
                     F.round(F.avg("is_low_engagement"), 6).alias("low_engagement_rate"),
                     F.round(F.avg("monthly_spend"), 6).alias("avg_monthly_spend"),
                     F.round(F.avg("age"), 6).alias("avg_age")))
+
+
+def run(spark, sf_dir: str, root: str, params: dict | None = None, folds: int = 3, version: str = "v1",
+        as_of: str = views.AS_OF, test_size: float = 0.2, seed: int = 42) -> dict:
+    """The whole pipeline over the registry at ``root``: register inputs ->
+    preprocess -> engineer -> split -> train -> evaluate, each output a
+    versioned view / saved model / logged metrics.  Returns the records."""
+    from cairn.operators import model as mdl, split as sp
+    from cairn.sources import models as mstore, registry as reg
+
+    reg.register_view(views.transactions(spark, sf_dir), root, "customer_transactions", [KEY], version)
+    reg.register_view(views.demographics(spark, sf_dir), root, "customer_demographics", [KEY], version)
+    rep = PreprocessReport()
+    pre = preprocess(reg.read_view(spark, root, "customer_transactions", version),
+                     reg.read_view(spark, root, "customer_demographics", version), as_of, rep)
+    reg.register_view(pre, root, "preprocessed_customer_features", [KEY], version)
+    eng = engineer(reg.read_view(spark, root, "preprocessed_customer_features", version))
+    reg.register_view(eng, root, "engineered_customer_features", [KEY], version)
+    split = sp.stratified_split(reg.read_view(spark, root, "engineered_customer_features", version),
+                                KEY, TARGET, test_size, seed)
+    tr, te = sp.train_test(split)
+    reg.register_view(tr, root, "train_customer_features", [KEY], version)
+    reg.register_view(te, root, "test_customer_features", [KEY], version)
+    train_df = reg.read_view(spark, root, "train_customer_features", version)
+    model, feats, train_rec, _ = mdl.train(train_df, TARGET, params or mdl.TEST_PARAMS, folds, KEY, seed=seed)
+    mstore.save_model(model, root, "gbt_churn_model", version)
+    test_df = reg.read_view(spark, root, "test_customer_features", version)
+    scored, eval_rec = mdl.evaluate(mstore.load_model(spark, root, "gbt_churn_model", version), test_df, feats,
+                                    TARGET, KEY, version=version, seed=seed)
+    metrics = reg.log_metrics(eval_rec.select(F.explode("performance_metrics").alias("metric", "value")),
+                              root, "gbt_churn_model", version)
+    from cairn.operators.evaluate import predictions
+    from cairn.sources.models import write_predictions
+    write_predictions(predictions(scored, KEY, TARGET, "prediction", "probability_1"),
+                      f"{root.rstrip('/')}/predictions/gbt_churn_model/{version}")
+    return {"training": train_rec, "evaluation": eval_rec, "metrics": metrics, "coverage": rep.coverage}

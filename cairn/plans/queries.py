@@ -261,6 +261,15 @@ def t2_random_split(spark, sf):
     return sp.random_split(_eng(spark, sf), KEY, 0.2, 42).select(KEY, "split")
 
 
+def t3_split_fallback(spark, sf):
+    """Stratifying on a class with a single member (the top account balance)
+    is impossible, so the split falls back to the seeded random split."""
+    c = load(spark, sf, "customer").select(F.col("c_custkey").alias(KEY), "c_acctbal")
+    top = c.agg(F.max("c_acctbal")).first()[0]
+    c = c.select(KEY, (F.col("c_acctbal") == F.lit(top)).cast("int").alias("is_top_balance"))
+    return sp.stratified_split(c, KEY, "is_top_balance", 0.2, 42).select(KEY, "split")
+
+
 def t4_balance_report(spark, sf):
     return sp.balance_report(_split(spark, sf), TARGET)
 
@@ -294,6 +303,18 @@ def e2_e4_basic_metrics(spark, sf):
     return ev.basic_metrics(_scored(spark, sf))
 
 
+def e2_accuracy(spark, sf):
+    return ev.basic_metrics(_scored(spark, sf)).select("accuracy")
+
+
+def e3_precision_recall_f1(spark, sf):
+    return ev.basic_metrics(_scored(spark, sf)).select("precision", "recall", "f1_score")
+
+
+def e4_specificity_fpr_fnr(spark, sf):
+    return ev.basic_metrics(_scored(spark, sf)).select("specificity", "false_positive_rate", "false_negative_rate")
+
+
 def e5_roc_auc(spark, sf):
     return ev.roc_auc(_scored(spark, sf))
 
@@ -496,6 +517,12 @@ def _generated(spark, sf):
                                   keys=load(spark, sf, "customer").select("c_custkey"))
 
 
+def pipeline_end_to_end(spark, sf):
+    """All six steps through the versioned registry; returns the logged test metrics."""
+    out = pipeline.run(spark, sf, shared_dir(spark, "cairn-pipeline"), mdl.TEST_PARAMS, mdl.TEST_FOLDS)
+    return out["metrics"].select("model", "version", "metric", "value")
+
+
 def g1_generate_customers(spark, sf):
     return _generated(spark, sf)
 
@@ -530,15 +557,15 @@ QUERIES = {
         "p1_feature_columns", "p2_columns_of_kind", "p3_drop_non_numeric", "p4_count_outside", "p5_set_where",
         "p6_require_columns",
         "o1_sort_desc", "o2_top_k", "o3_common_keys", "o4_concat_columns",
-        "t1_stratified_split", "t2_random_split", "t4_balance_report", "t5_drift_report", "t5_drift_summary",
+        "t1_stratified_split", "t2_random_split", "t3_split_fallback", "t4_balance_report", "t5_drift_report", "t5_drift_summary",
         "t6_leakage_check", "t7_split_summary", "m3_assign_folds",
-        "e1_confusion", "e2_e4_basic_metrics", "e5_roc_auc", "e6_class_report", "e7_roc_curve", "e8_pr_curve",
+        "e1_confusion", "e2_e4_basic_metrics", "e2_accuracy", "e3_precision_recall_f1", "e4_specificity_fpr_fnr", "e5_roc_auc", "e6_class_report", "e7_roc_curve", "e8_pr_curve",
         "e9_score_histogram", "e10_sample_rows", "e12_predictions", "e13_predicted_rate",
         "g1_generate_customers", "g2_split_vertical", "g3_random_choice", "g4_random_date", "g5_positive_rate",
         "s1_s2_csv_roundtrip", "s3_s4_view_roundtrip", "s5_resolve_version", "s6_latest_versions",
         "s7_find_view", "s8_list_views", "s9_run_record", "s11_log_metrics", "s12_predictions_sink", "s13_run_sql",
         "m1_assemble", "m2_gbt_fit", "m4_cross_validate", "m4_cv_summary", "m5_score", "m6_training_metrics",
         "m7_importance", "m8_training_record", "s10_model_roundtrip", "e11_permutation_attribution",
-        "e14_evaluation_record",
+        "e14_evaluation_record", "pipeline_end_to_end",
     ]},
 }

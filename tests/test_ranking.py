@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from cairn.operators import ranking
 from cairn.operators.ranking import dense_rank_values, global_rank, kth_rows, running_sum
 
 
@@ -43,3 +44,13 @@ def test_dense_rank_string_order(spark):
     df = spark.createDataFrame([("10",), ("2",), ("1",), ("2",), (None,), ("100",)], "s string")
     got = {r["s"]: r["rank"] for r in dense_rank_values(df, "s").collect()}
     assert got == {"1": 0, "10": 1, "100": 2, "2": 3}
+
+
+def test_running_sum_wide_offset_path(spark, monkeypatch):
+    """Beyond the broadcast size check the offsets are computed distributed; same result."""
+    df, rows = _data(spark, 800)
+    narrow = {r["id"]: r["cum"] for r in running_sum(df, ["v", "id"], {"cum": "w"}, ["g"], 8).df.collect()}
+    monkeypatch.setattr(ranking, "BROADCAST_OFFSET_ROWS", 2)
+    rs = running_sum(df, ["v", "id"], {"cum": "w"}, ["g"], 8)
+    assert {r["id"]: r["cum"] for r in rs.df.collect()} == narrow
+    assert sum(t[0] for t in rs.totals.values()) == sum(r[3] for r in rows)
