@@ -96,7 +96,6 @@ def order_stats(df: DataFrame, cols: list[str], probs: list[float]) -> dict:
                        & (F.col("t.pos") < F.col("r.cum")))
                  .select("t.column", "t.pos", "r.value").collect())
         found = {(h["column"], h["pos"]): h["value"] for h in hits}
-    rs.df.unpersist()
     return {k: None if spec is None else (found[(k[0], spec[0])], found[(k[0], spec[1])], spec[2])
             for k, spec in plan.items()}
 

@@ -19,6 +19,8 @@ from itertools import groupby
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cairn.session import shared_dir
+
 # Size check for the offset table (partitions x groups): up to this many rows
 # it is collected and broadcast; beyond it the offsets are computed with a
 # window per group over the totals and joined back without broadcast.
@@ -48,12 +50,17 @@ def _sort_key(c) -> Column:
 
 def running_sum(df: DataFrame, order_by: list, weights: dict[str, object] | None = None,
                 group_by: list[str] | None = None, num_partitions: int | None = None,
-                storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> RunningSum:
+                storage: StorageLevel | None = None) -> RunningSum:
     """Inclusive running sums of ``weights`` ({out_name: column or None for 1})
     in ``order_by`` order within ``group_by`` groups.
 
     ``order_by`` must make the order total (add a unique key as the last
     item) so results do not depend on scheduling.
+
+    The range-partitioned input is read twice (totals, then sums), so it is
+    checkpointed to the shared ``spark.checkpoint.dir`` (lineage cut, no
+    executor memory held, survives executor loss); pass a ``storage`` level
+    to persist instead.
     """
     group_by = list(group_by or [])
     weights = weights or {"_rank": None}
@@ -64,9 +71,14 @@ def running_sum(df: DataFrame, order_by: list, weights: dict[str, object] | None
     tmp = {k: f"__w_{i}" for i, k in enumerate(wcols)}
     keyed = df.select("*", *[c.alias(tmp[k]) for k, c in wcols.items()])
     keys = [F.col(g) for g in group_by] + [_sort_key(c) for c in order_by]
-    ranged = (keyed.repartitionByRange(n, *keys)
-                   .withColumn("__pid", F.spark_partition_id())
-                   .persist(storage))
+    ranged = keyed.repartitionByRange(n, *keys).withColumn("__pid", F.spark_partition_id())
+    if storage is None:
+        shared_dir(spark)
+        held = ranged.persist(StorageLevel.MEMORY_AND_DISK)   # computed once, then written
+        ranged = held.checkpoint(eager=True)
+        held.unpersist()
+    else:
+        ranged = ranged.persist(storage)
     # per (partition, group) totals: at most partitions x groups rows
     tot = ranged.groupBy("__pid", *group_by).agg(*[F.sum(tmp[k]).alias(tmp[k]) for k in wcols])
     w = (Window.partitionBy("__pid", *group_by).orderBy(*[_sort_key(c) for c in order_by])
