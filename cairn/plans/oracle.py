@@ -467,3 +467,14 @@ SELECT c_custkey AS customer_id,
                  <= (SELECT ceil(CAST(count(*) AS DOUBLE) * CAST(0.2 AS DOUBLE)) FROM customer)
             THEN 'test' ELSE 'train' END AS split FROM customer""",
 })
+
+SQL.update({
+    "t5_drift_summary": f"""
+SELECT round(avg(relative_diff), 6) AS avg_relative_diff, count(relative_diff) AS n_checked,
+       round(avg(relative_diff), 6) < 0.05 AS consistent
+FROM ({SQL["t5_drift_report"]})""",
+    "s11_log_metrics": f"""
+SELECT 'score_model' AS model, 'v1' AS version, metric, value FROM (
+  UNPIVOT ({_BASIC}) ON accuracy, precision, recall, f1_score, specificity, false_positive_rate, false_negative_rate
+  INTO NAME metric VALUE value)""",
+})

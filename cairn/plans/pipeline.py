@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cairn.operators import clean, features as feat, joins, profile
 from cairn.operators.select import drop_non_numeric
+from cairn.session import shared_dir
 from cairn.sources import views
 
 KEY, TARGET = "customer_id", "churned"
@@ -76,8 +77,11 @@ def preprocess(trans: DataFrame, demo: DataFrame, as_of: str = views.AS_OF,
     """J1 -> C1/C2 -> C3-C5 -> F1-F3 -> F4 -> F5-F8 (the order matters:
     thresholds see capped data)."""
     df = joins.join_inner(trans, demo, KEY)
-    if cache:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if cache:   # read by several stat passes: compute once, cut lineage, hold no executor memory
+        shared_dir(df.sparkSession)
+        held = df.persist(StorageLevel.MEMORY_AND_DISK)
+        df = held.checkpoint(eager=True)
+        held.unpersist()
     if report is not None:
         report.coverage = joins.join_coverage(trans, df, KEY)
     missing = clean.columns_with_missing(df)     # one pass serves C1 and C2
