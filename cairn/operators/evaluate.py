@@ -31,7 +31,11 @@ def confusion(scored: DataFrame, label: str = "label", pred: str = "prediction")
 
 def basic_metrics(scored: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
     """Accuracy, precision, recall, F1, specificity, FPR, FNR (zero denominators -> 0)."""
-    c = confusion(scored, label, pred)
+    return metrics_from_confusion(confusion(scored, label, pred))
+
+
+def metrics_from_confusion(c: DataFrame) -> DataFrame:
+    """E2-E4 from a one-row (tn, fp, fn, tp) frame."""
     tn, fp, fn, tp = (F.col(x).cast("double") for x in ("tn", "fp", "fn", "tp"))
     prec, rec = _ratio(tp, tp + fp), _ratio(tp, tp + fn)
     return c.select(
@@ -116,7 +120,11 @@ def score_histogram(scored: DataFrame, label: str = "label", score: str = "score
 
 def class_report(scored: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
     """Per class precision/recall/F1/support, then accuracy, macro and weighted averages."""
-    c = confusion(scored, label, pred)
+    return class_report_from_confusion(confusion(scored, label, pred))
+
+
+def class_report_from_confusion(c: DataFrame) -> DataFrame:
+    """E6 from a one-row (tn, fp, fn, tp) frame."""
     tn, fp, fn, tp = (F.col(x).cast("double") for x in ("tn", "fp", "fn", "tp"))
     n = tn + fp + fn + tp
     p1, r1 = _ratio(tp, tp + fp), _ratio(tp, tp + fn)

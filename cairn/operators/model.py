@@ -288,15 +288,25 @@ def evaluate(model: PipelineModel, test: DataFrame, features: list[str], target:
     n = scored.count()
     secs = time.time() - t0
     s = scored.select(F.col(target).alias("label"), "prediction", F.col("probability_1").alias("score"))
-    basic = ev.basic_metrics(s).first().asDict()
-    basic["roc_auc"] = ev.roc_auc(s).first()["roc_auc"]
+    spark = test.sparkSession
+    # E1 once; E2-E4 and E6 derive from its four counts without another pass
     conf = ev.confusion(s).first().asDict()
-    rep = [tuple(r) for r in ev.class_report(s).collect()]
-    att, err = [], None
-    try:
-        att = [tuple(r) for r in permutation_attribution(model, test, features, key, attribution_rows, seed).collect()]
-    except Exception as e:  # attribution failure becomes part of the record
-        err = str(e)[:2000]
+    c = spark.createDataFrame([conf], "tn long, fp long, fn long, tp long")
+    basic = ev.metrics_from_confusion(c).first().asDict()
+    rep = [tuple(r) for r in ev.class_report_from_confusion(c).collect()]
+
+    def attribution():
+        try:
+            return [tuple(r) for r in permutation_attribution(model, test, features, key,
+                                                              attribution_rows, seed).collect()], None
+        except Exception as e:  # attribution failure becomes part of the record
+            return [], str(e)[:2000]
+
+    with ThreadPoolExecutor(max_workers=2) as pool:   # independent jobs: AUC and attribution
+        auc = pool.submit(lambda: ev.roc_auc(s).first()["roc_auc"])
+        att_f = pool.submit(attribution)
+        basic["roc_auc"] = auc.result()
+        att, err = att_f.result()
     row = (name, version, int(n), len(features), {k: (None if v is None else float(v)) for k, v in basic.items()},
            {k: int(v) for k, v in conf.items()}, rep, att, err, float(secs), list(features))
     return scored, test.sparkSession.createDataFrame([row], EVAL_SCHEMA)
