@@ -53,8 +53,12 @@ def main() -> None:
 
     def evaluation_curves():
         sc = views.labelled_scores(spark, sf_dir)
-        for r in (ev.basic_metrics(sc), ev.roc_auc(sc), ev.roc_curve(sc), ev.pr_curve(sc),
-                  ev.score_histogram(sc), ev.class_report(sc), ev.sample_rows(sc, "item_id")):
+        c = ev.confusion(sc).first().asDict()
+        conf = spark.createDataFrame([c], "tn long, fp long, fn long, tp long")
+        curve = ev.score_curve(sc)          # one running sum serves AUC, ROC and PR
+        for r in (ev.metrics_from_confusion(conf), ev.class_report_from_confusion(conf),
+                  ev.roc_auc(sc, curve=curve), ev.roc_curve(sc, curve=curve), ev.pr_curve(sc, curve=curve),
+                  ev.score_histogram(sc), ev.sample_rows(sc, "item_id")):
             sink(r)
 
     def train_evaluate():

@@ -53,17 +53,9 @@ def score_histogram_counts(scored: DataFrame, label: str = "label", score: str =
     return scored.groupBy(score).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
 
 
-def roc_auc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """E5: exact ROC AUC; tied scores count one half (rank-sum over the score histogram)."""
-    h = score_histogram_counts(scored, label, score)
-    rs = running_sum(h, [F.col(score).asc()], {"cneg": "neg"})
-    agg = rs.df.agg(F.sum(F.col("pos").cast("double") * (F.col("cneg") - 0.5 * F.col("neg"))).alias("s"),
-                    F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return agg.select(r6(F.when((F.col("P") > 0) & (F.col("N") > 0),
-                                F.col("s") / (F.col("P").cast("double") * F.col("N")))).alias("roc_auc"))
-
-
-def _desc_counts(scored: DataFrame, label: str, score: str):
+def score_curve(scored: DataFrame, label: str = "label", score: str = "score"):
+    """(score, pos, neg, tps, fps) per distinct score in descending order, with
+    P and N: the one distributed running sum behind E5, E7 and E8."""
     h = score_histogram_counts(scored, label, score)
     rs = running_sum(h, [F.col(score).desc()], {"tps": "pos", "fps": "neg"})
     P = sum(t[0] for t in rs.totals.values())
@@ -71,9 +63,19 @@ def _desc_counts(scored: DataFrame, label: str, score: str):
     return rs.df, P, N
 
 
-def roc_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def roc_auc(scored: DataFrame, label: str = "label", score: str = "score", curve=None) -> DataFrame:
+    """E5: exact ROC AUC; tied scores count one half.  Each negative at score s
+    beats the positives above it and ties half of those at s:
+    sum_s neg_s * (tps_s - pos_s / 2) / (P * N)."""
+    pts, P, N = score_curve(scored, label, score) if curve is None else curve
+    agg = pts.agg(F.sum(F.col("neg").cast("double") * (F.col("tps") - 0.5 * F.col("pos"))).alias("s"))
+    auc = F.col("s") / F.lit(float(P) * float(N)) if P and N else F.lit(None).cast("double")
+    return agg.select(r6(auc).alias("roc_auc"))
+
+
+def roc_curve(scored: DataFrame, label: str = "label", score: str = "score", curve=None) -> DataFrame:
     """(threshold, fpr, tpr): one point per distinct score, plus the origin at +inf."""
-    pts, P, N = _desc_counts(scored, label, score)
+    pts, P, N = score_curve(scored, label, score) if curve is None else curve
     spark = scored.sparkSession
     origin = spark.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")
     body = pts.select(F.col(score).cast("double").alias("threshold"),
@@ -82,10 +84,10 @@ def roc_curve(scored: DataFrame, label: str = "label", score: str = "score") ->
     return origin.unionByName(body).select("threshold", r6("fpr").alias("fpr"), r6("tpr").alias("tpr"))
 
 
-def pr_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def pr_curve(scored: DataFrame, label: str = "label", score: str = "score", curve=None) -> DataFrame:
     """(threshold, precision, recall) per distinct score, the final
     (precision 1, recall 0) point without threshold, and the positive-rate baseline."""
-    pts, P, N = _desc_counts(scored, label, score)
+    pts, P, N = score_curve(scored, label, score) if curve is None else curve
     spark = scored.sparkSession
     base = float(P) / (P + N) if (P + N) else None
     recall = F.col("tps") / F.lit(float(P)) if P else F.lit(1.0)

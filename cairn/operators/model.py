@@ -303,7 +303,7 @@ def evaluate(model: PipelineModel, test: DataFrame, features: list[str], target:
             return [], str(e)[:2000]
 
     with ThreadPoolExecutor(max_workers=2) as pool:   # independent jobs: AUC and attribution
-        auc = pool.submit(lambda: ev.roc_auc(s).first()["roc_auc"])
+        auc = pool.submit(lambda: ev.roc_auc(s).first()["roc_auc"])  # noqa: B023
         att_f = pool.submit(attribution)
         basic["roc_auc"] = auc.result()
         att, err = att_f.result()
