@@ -49,6 +49,9 @@ def _class_counts(df: DataFrame, target: str) -> dict:
     return {r[target]: r["n"] for r in rows}
 
 
+LITERAL_CUTS = 64   # up to this many classes the cuts are literals; beyond, a broadcast join
+
+
 def _split_by_quota(df: DataFrame, key: str, quotas: dict, seed: int, target: str | None, out: str) -> DataFrame:
     h = hash_order(seed, key)
     keyed = df.select(F.col(key), *([F.col(target)] if target else []), h.alias("__h"))
@@ -56,6 +59,15 @@ def _split_by_quota(df: DataFrame, key: str, quotas: dict, seed: int, target: st
     cut = kth_rows(keyed, [F.col("__h"), F.col(key)], quotas, group)
     kt = dict(df.dtypes)[key]
     row_key = F.struct(h.alias("h"), F.col(key).alias("k"))
+    if len(cut) > LITERAL_CUTS:
+        # one row per class, bounded by MAX_CLASSES (checked when counting classes)
+        tt = dict(df.dtypes)[target]
+        cuts = df.sparkSession.createDataFrame([(g[0], r["__h"], r[key]) for g, r in cut.items()],
+                                               f"`{target}` {tt}, __ch string, __ck {kt}")
+        j = df.join(F.broadcast(cuts), df[target].eqNullSafe(cuts[target]), "left")
+        le = row_key <= F.struct(F.col("__ch").alias("h"), F.col("__ck").alias("k"))
+        return j.select(*[df[c] for c in df.columns],
+                        F.when(F.coalesce(le, F.lit(False)), F.lit(TEST)).otherwise(F.lit(TRAIN)).alias(out))
     cond = F.lit(False)
     for g, r in cut.items():
         le = row_key <= F.struct(F.lit(r["__h"]).alias("h"), F.lit(r[key]).cast(kt).alias("k"))

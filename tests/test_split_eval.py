@@ -113,3 +113,12 @@ def test_sample_rows_bounded_and_deterministic(spark):
     a = [r["item_id"] for r in ev.sample_rows(df.repartition(7), "item_id", 50, 1).collect()]
     b = [r["item_id"] for r in ev.sample_rows(df.repartition(2), "item_id", 50, 1).collect()]
     assert len(a) == 50 and sorted(a) == sorted(b)
+
+
+def test_many_class_split_uses_join_path(spark, monkeypatch):
+    rows = [(i, i % 9) for i in range(900)]
+    df = spark.createDataFrame(rows, "customer_id long, churned int")
+    lit_path = {r["customer_id"]: r["split"] for r in sp.stratified_split(df, test_size=0.3).collect()}
+    monkeypatch.setattr(sp, "LITERAL_CUTS", 2)
+    join_path = {r["customer_id"]: r["split"] for r in sp.stratified_split(df, test_size=0.3).collect()}
+    assert lit_path == join_path and sum(v == "test" for v in join_path.values()) == 270
