@@ -122,3 +122,17 @@ def test_many_class_split_uses_join_path(spark, monkeypatch):
     monkeypatch.setattr(sp, "LITERAL_CUTS", 2)
     join_path = {r["customer_id"]: r["split"] for r in sp.stratified_split(df, test_size=0.3).collect()}
     assert lit_path == join_path and sum(v == "test" for v in join_path.values()) == 270
+
+
+def test_empty_table_edges(spark):
+    from cairn.operators import clean, profile
+    df = spark.createDataFrame([], "customer_id long, churned int, x double, s string")
+    assert profile.quantile_values(df, ["x"], [0.5]) == {("x", 0.5): None}
+    assert profile.mode_values(df, ["s"]) == {"s": "Unknown"}
+    assert clean.cap_iqr(df, ["x"]).count() == 0
+    assert sp.stratified_split(df).count() == 0
+    assert sp.assign_folds(df).count() == 0
+    sc = spark.createDataFrame([], "item_id long, label int, score double, prediction int")
+    assert ev.roc_auc(sc).first()["roc_auc"] is None
+    assert ev.roc_curve(sc).count() == 1 and ev.pr_curve(sc).count() == 1
+    assert ev.confusion(sc).first()["tp"] == 0
