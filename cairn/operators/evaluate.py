@@ -57,7 +57,7 @@ def score_curve(scored: DataFrame, label: str = "label", score: str = "score"):
     """(score, pos, neg, tps, fps) per distinct score in descending order, with
     P and N: the one distributed running sum behind E5, E7 and E8."""
     h = score_histogram_counts(scored, label, score)
-    rs = running_sum(h, [F.col(score).desc()], {"tps": "pos", "fps": "neg"})
+    rs = running_sum(h, [F.col(score).desc()], {"tps": "pos", "fps": "neg", "idx": None})
     P = sum(t[0] for t in rs.totals.values())
     N = sum(t[1] for t in rs.totals.values())
     return rs.df, P, N
@@ -73,9 +73,25 @@ def roc_auc(scored: DataFrame, label: str = "label", score: str = "score", curve
     return agg.select(r6(auc).alias("roc_auc"))
 
 
-def roc_curve(scored: DataFrame, label: str = "label", score: str = "score", curve=None) -> DataFrame:
-    """(threshold, fpr, tpr): one point per distinct score, plus the origin at +inf."""
+def _drop_collinear(pts: DataFrame) -> DataFrame:
+    """Keep the first and last points and every point where the curve bends
+    (second difference of fps or tps non-zero), using equi-joins on idx +/- 1."""
+    m = pts.agg(F.max("idx")).first()[0] or 0
+    prev = pts.select((F.col("idx") + 1).alias("idx"), F.col("tps").alias("tps_p"), F.col("fps").alias("fps_p"))
+    nxt = pts.select((F.col("idx") - 1).alias("idx"), F.col("tps").alias("tps_n"), F.col("fps").alias("fps_n"))
+    j = pts.join(prev, "idx", "left").join(nxt, "idx", "left")
+    bend = ((F.col("fps_n") - 2 * F.col("fps") + F.col("fps_p")) != 0) | \
+           ((F.col("tps_n") - 2 * F.col("tps") + F.col("tps_p")) != 0)
+    return j.where((F.col("idx") == 1) | (F.col("idx") == m) | F.coalesce(bend, F.lit(False))).select(*pts.columns)
+
+
+def roc_curve(scored: DataFrame, label: str = "label", score: str = "score", curve=None,
+              drop_intermediate: bool = True) -> DataFrame:
+    """(threshold, fpr, tpr): one point per distinct score (collinear
+    intermediate points dropped by default), plus the origin at +inf."""
     pts, P, N = score_curve(scored, label, score) if curve is None else curve
+    if drop_intermediate:
+        pts = _drop_collinear(pts)
     spark = scored.sparkSession
     origin = spark.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")
     body = pts.select(F.col(score).cast("double").alias("threshold"),

@@ -396,10 +396,14 @@ UNION ALL SELECT 'accuracy', NULL, NULL, round(CASE WHEN n > 0 THEN (tp + tn) /
 UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f0 + f1) / 2, 6), CAST(n AS BIGINT) FROM f
 UNION ALL SELECT 'weighted avg', round((p0 * s0 + p1 * s1) / n, 6), round((r0 * s0 + r1 * s1) / n, 6),
                  round((f0 * s0 + f1 * s1) / n, 6), CAST(n AS BIGINT) FROM f"""),
-    "e7_roc_curve": with_blocks([SCORES, ROC_BASE], """
+    "e7_roc_curve": with_blocks([SCORES, ROC_BASE, """cs2 AS (
+  SELECT score, tps, fps, row_number() OVER (ORDER BY score DESC) AS i, count(*) OVER () AS m,
+         lag(tps) OVER (ORDER BY score DESC) AS tps_p, lead(tps) OVER (ORDER BY score DESC) AS tps_n,
+         lag(fps) OVER (ORDER BY score DESC) AS fps_p, lead(fps) OVER (ORDER BY score DESC) AS fps_n FROM cs)"""], """
 SELECT CAST('inf' AS DOUBLE) AS threshold, CAST(0 AS DOUBLE) AS fpr, CAST(0 AS DOUBLE) AS tpr
 UNION ALL
-SELECT CAST(score AS DOUBLE), round(fps / N, 6), round(tps / P, 6) FROM cs, tt"""),
+SELECT CAST(score AS DOUBLE), round(fps / N, 6), round(tps / P, 6) FROM cs2, tt
+WHERE i = 1 OR i = m OR fps_n - 2 * fps + fps_p <> 0 OR tps_n - 2 * tps + tps_p <> 0"""),
     "e8_pr_curve": with_blocks([SCORES, ROC_BASE], """
 SELECT CAST(score AS DOUBLE) AS threshold, round(CASE WHEN tps + fps > 0 THEN tps / (tps + fps) ELSE 0 END, 6) AS precision,
        round(tps / P, 6) AS recall, round(P / (P + N), 6) AS baseline FROM cs, tt

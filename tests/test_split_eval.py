@@ -78,12 +78,17 @@ def test_auc_with_ties_matches_pairwise(spark):
 def test_roc_pr_points(spark):
     df, rows = _scored(spark)
     y = np.array([r[1] for r in rows]); s = np.array([r[2] for r in rows])
-    roc = sorted((r["threshold"], r["fpr"], r["tpr"]) for r in ev.roc_curve(df).collect())
+    roc = sorted((r["threshold"], r["fpr"], r["tpr"]) for r in ev.roc_curve(df, drop_intermediate=False).collect())
     P, N = y.sum(), (1 - y).sum()
     for t, fpr, tpr in roc[:-1]:
         assert tpr == pytest.approx(((s >= t) & (y == 1)).sum() / P, abs=1e-6)
         assert fpr == pytest.approx(((s >= t) & (y == 0)).sum() / N, abs=1e-6)
     assert roc[-1] == (float("inf"), 0.0, 0.0)
+    # default drops collinear intermediate points (reference library default)
+    fps = np.array([((s >= t) & (y == 0)).sum() for t in sorted(set(s), reverse=True)])
+    tps = np.array([((s >= t) & (y == 1)).sum() for t in sorted(set(s), reverse=True)])
+    keep = np.where(np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True])[0]
+    assert ev.roc_curve(df).count() == len(keep) + 1
     pr = ev.pr_curve(df).collect()
     assert any(r["threshold"] is None and r["precision"] == 1.0 and r["recall"] == 0.0 for r in pr)
     assert len(pr) == len(set(s)) + 1
