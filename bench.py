@@ -27,8 +27,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
+    memory = os.environ.get("BENCH_DRIVER_MEMORY", "16g")
     spark = get_session(f"local[{cpus}]", int(cpus), app_name="cairn-bench",
-                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                        extra={"spark.driver.memory": memory})
     from cairn.operators import evaluate as ev, model as mdl, split as sp
     from cairn.plans import pipeline, queries as q
     from cairn.sources import views
@@ -88,7 +89,8 @@ def main() -> None:
         spark.catalog.clearCache()
     print(json.dumps({"metric": "headline_queries_total_median", "value": round(sum(results.values()), 3),
                       "unit": "sec", "queries": results, "sf": os.path.basename(sf_dir.rstrip("/")),
-                      "master": f"local[{cpus}]", "runs": runs, "stat": "median after 1 warm-up"}))
+                      "master": f"local[{cpus}]", "cores": int(cpus), "driver_memory": memory,
+                      "shuffle_partitions": int(cpus), "runs": runs, "stat": "median after 1 warm-up"}))
 
 
 if __name__ == "__main__":

@@ -53,3 +53,20 @@ def test_min_class_check(spark):
     df = spark.createDataFrame([(i, int(i < 3)) for i in range(100)], "id long, y int")
     r = profile.min_class_check(df, "y", 0.2).first()
     assert (r["min_class_count"], r["required_min_count"], r["warn"]) == (3, 10, True)
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(-5, 5).map(float), st.floats(-1e6, 1e6, allow_nan=False)),
+                min_size=1, max_size=40),
+       st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.9, 1.0]))
+def test_exact_quantile_property(spark, vals, p):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, x double")
+    clean = [v for v in vals if v is not None]
+    got = profile.quantile_values(df, ["x"], [p])[("x", p)]
+    if not clean:
+        assert got is None
+    else:
+        assert got == pytest.approx(float(np.quantile(clean, p)), rel=1e-9, abs=1e-9)
