@@ -7,6 +7,7 @@ possible and applied as literals.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -17,6 +18,8 @@ from cairn.operators.select import drop_non_numeric
 from cairn.session import shared_dir
 from cairn.sources import views
 
+log = logging.getLogger(__name__)
+
 KEY, TARGET = "customer_id", "churned"
 # Outlier-capped columns and validity ranges.
 CAP_COLUMNS = ("monthly_spend", "age", "sessions_per_month")
@@ -126,37 +129,76 @@ def region_churn_profile(pre: DataFrame) -> DataFrame:
                     F.round(F.avg("age"), 6).alias("avg_age")))
 
 
+def _warn_if(flag_df: DataFrame, col: str, msg: str) -> None:
+    rows = flag_df.where(F.col(col)).collect()
+    for r in rows:
+        log.warning("%s: %s", msg, r.asDict())
+
+
 def run(spark, sf_dir: str, root: str, params: dict | None = None, folds: int = 3, version: str = "v1",
         as_of: str = views.AS_OF, test_size: float = 0.2, seed: int = 42) -> dict:
     """The whole pipeline over the registry at ``root``: register inputs ->
-    preprocess -> engineer -> split -> train -> evaluate, each output a
-    versioned view / saved model / logged metrics.  Returns the records."""
+    preprocess -> engineer -> split (with its data checks) -> train -> evaluate.
+    Each output is a versioned view, a saved model or logged metrics; each
+    step leaves a run record.  Returns the records and reports."""
     from cairn.operators import model as mdl, split as sp
+    from cairn.operators.evaluate import predictions
+    from cairn.operators.select import require_columns
     from cairn.sources import models as mstore, registry as reg
 
+    def record(step, prm, stats):
+        reg.write_run_record(reg.run_record(spark, step, prm, stats), root)
+
     reg.register_view(views.transactions(spark, sf_dir), root, "customer_transactions", [KEY], version)
     reg.register_view(views.demographics(spark, sf_dir), root, "customer_demographics", [KEY], version)
     rep = PreprocessReport()
     pre = preprocess(reg.read_view(spark, root, "customer_transactions", version),
                      reg.read_view(spark, root, "customer_demographics", version), as_of, rep)
+    _warn_if(rep.coverage, "warn", "low join coverage")
     reg.register_view(pre, root, "preprocessed_customer_features", [KEY], version)
-    eng = engineer(reg.read_view(spark, root, "preprocessed_customer_features", version))
+    pre = reg.read_view(spark, root, "preprocessed_customer_features", version)
+    record("preprocess", {"version": version, "as_of": as_of, "bounds": rep.bounds, "thresholds": rep.thresholds},
+           profile.summary(pre, TARGET))
+
+    eng = engineer(pre)
     reg.register_view(eng, root, "engineered_customer_features", [KEY], version)
-    split = sp.stratified_split(reg.read_view(spark, root, "engineered_customer_features", version),
-                                KEY, TARGET, test_size, seed)
+    eng = reg.read_view(spark, root, "engineered_customer_features", version)
+    record("engineer", {"version": version}, profile.summary(eng, TARGET))
+
+    require_columns(eng, [TARGET])
+    _warn_if(profile.min_class_check(eng, TARGET, test_size), "warn", "minority class small relative to test size")
+    split = sp.stratified_split(eng, KEY, TARGET, test_size, seed)
     tr, te = sp.train_test(split)
     reg.register_view(tr, root, "train_customer_features", [KEY], version)
     reg.register_view(te, root, "test_customer_features", [KEY], version)
+    both = (reg.read_view(spark, root, "train_customer_features", version).withColumn("split", F.lit(sp.TRAIN))
+            .unionByName(reg.read_view(spark, root, "test_customer_features", version)
+                         .withColumn("split", F.lit(sp.TEST))))
+    balance = sp.balance_report(both, TARGET)
+    drift = sp.drift_report(both, target=TARGET)
+    _warn_if(balance, "warn", "target rate differs between splits")
+    _warn_if(drift, "warn", "feature distribution differs between splits")
+    leakage = sp.leakage_check(both, KEY)          # raises on any shared key
+    summary = sp.split_summary(both)
+    bal = balance.first().asDict()
+    record("split", {"version": version, "test_size": test_size, "seed": seed, "stratify": TARGET},
+           {"rate_diff": bal["rate_diff"], "train_rate": bal["train_rate"], "test_rate": bal["test_rate"],
+            **{f"n_{r['split']}": r["n"] for r in summary.collect()}})
+
     train_df = reg.read_view(spark, root, "train_customer_features", version)
-    model, feats, train_rec, _ = mdl.train(train_df, TARGET, params or mdl.TEST_PARAMS, folds, KEY, seed=seed)
+    model, feats, train_rec, cv = mdl.train(train_df, TARGET, params or mdl.TEST_PARAMS, folds, KEY, seed=seed)
     mstore.save_model(model, root, "gbt_churn_model", version)
+    tm = train_rec.first()
+    record("train", {"version": version, "params": params or mdl.TEST_PARAMS, "folds": folds},
+           {**tm["training_metrics"], "training_time_seconds": tm["training_time_seconds"]})
+
     test_df = reg.read_view(spark, root, "test_customer_features", version)
     scored, eval_rec = mdl.evaluate(mstore.load_model(spark, root, "gbt_churn_model", version), test_df, feats,
                                     TARGET, KEY, version=version, seed=seed)
     metrics = reg.log_metrics(eval_rec.select(F.explode("performance_metrics").alias("metric", "value")),
                               root, "gbt_churn_model", version)
-    from cairn.operators.evaluate import predictions
     from cairn.sources.models import write_predictions
     write_predictions(predictions(scored, KEY, TARGET, "prediction", "probability_1"),
                       f"{root.rstrip('/')}/predictions/gbt_churn_model/{version}")
-    return {"training": train_rec, "evaluation": eval_rec, "metrics": metrics, "coverage": rep.coverage}
+    return {"training": train_rec, "evaluation": eval_rec, "metrics": metrics, "coverage": rep.coverage,
+            "cv": cv, "balance": balance, "drift": drift, "leakage": leakage, "split_summary": summary}

@@ -25,5 +25,8 @@ def test_pipeline_runs_and_registers_outputs(spark):
     assert {m["metric"] for m in out["metrics"].collect()} >= {"accuracy", "roc_auc", "f1_score"}
     assert spark.read.parquet(f"{root}/predictions/gbt_churn_model/v1").count() == n_te
     assert out["coverage"].first()["coverage"] == 1.0
+    assert out["leakage"].first()["n_overlap"] == 0
+    steps = {r["step"] for r in spark.read.json(f"{root}/_runs").collect()}
+    assert steps == {"preprocess", "engineer", "split", "train"}
     eng = reg.read_view(spark, root, "engineered_customer_features", "v1")
     assert not [c for c, t in eng.dtypes if t in ("string", "date")]
