@@ -42,14 +42,29 @@ def _key(row):
     return tuple((x is None, str(type(x)), x) if not isinstance(x, tuple) else (False, "t", str(x)) for x in row)
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp_ntz", "FLOAT": "float"}
+
+
+def _spark_type(duck_type: str) -> str:
+    if duck_type.endswith("[]"):
+        return "array<" + _spark_type(duck_type[:-2]) + ">"
+    return DUCK_TO_SPARK.get(duck_type, duck_type.lower())
+
+
 def compare(df, con, sql: str) -> tuple[bool, str]:
     s_cols = df.columns
+    s_types = dict(df.dtypes)
     s_rows = [tuple(r) for r in df.collect()]
     rel = con.sql(sql)
     o_cols = list(rel.columns)
+    o_types = {c: _spark_type(str(t)) for c, t in zip(rel.columns, rel.types)}
     o_rows = rel.fetchall()
     if sorted(s_cols) != sorted(o_cols):
         return False, f"columns differ: spark={sorted(s_cols)} oracle={sorted(o_cols)}"
+    tdiff = [(c, s_types[c], o_types[c]) for c in s_cols if s_types[c] != o_types[c]]
+    if tdiff:
+        return False, f"types differ (column, spark, oracle): {tdiff}"
     if len(s_rows) != len(o_rows):
         return False, f"row count differs: spark={len(s_rows)} oracle={len(o_rows)}"
     order = sorted(s_cols)
