@@ -65,13 +65,15 @@ def running_sum(df: DataFrame, order_by: list, weights: dict[str, object] | None
     group_by = list(group_by or [])
     weights = weights or {"_rank": None}
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     wcols = {k: (F.lit(1).cast("long") if v is None else (F.col(v) if isinstance(v, str) else v))
              for k, v in weights.items()}
     tmp = {k: f"__w_{i}" for i, k in enumerate(wcols)}
     keyed = df.select("*", *[c.alias(tmp[k]) for k, c in wcols.items()])
     keys = [F.col(g) for g in group_by] + [_sort_key(c) for c in order_by]
-    ranged = keyed.repartitionByRange(n, *keys).withColumn("__pid", F.spark_partition_id())
+    # without an explicit count AQE may coalesce the ranges; coalescing merges only
+    # neighbouring ranges, so partition-id order stays the key order
+    ranged = (keyed.repartitionByRange(num_partitions, *keys) if num_partitions else keyed.repartitionByRange(*keys)) \
+        .withColumn("__pid", F.spark_partition_id())
     if storage is None:
         shared_dir(spark)
         held = ranged.persist(StorageLevel.MEMORY_AND_DISK)   # computed once, then written

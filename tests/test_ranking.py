@@ -54,3 +54,16 @@ def test_running_sum_wide_offset_path(spark, monkeypatch):
     rs = running_sum(df, ["v", "id"], {"cum": "w"}, ["g"], 8)
     assert {r["id"]: r["cum"] for r in rs.df.collect()} == narrow
     assert sum(t[0] for t in rs.totals.values()) == sum(r[3] for r in rows)
+
+
+def test_running_sum_with_aqe_coalesced_ranges(spark):
+    """Default partitioning lets AQE coalesce ranges; the sums must not change."""
+    df, rows = _data(spark, 1500, seed=9)
+    expect = {r["id"]: r["cum"] for r in running_sum(df, ["v", "id"], {"cum": "w"}, ["g"], 4).df.collect()}
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        got = {r["id"]: r["cum"] for r in running_sum(df, ["v", "id"], {"cum": "w"}, ["g"]).df.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got == expect
