@@ -156,3 +156,19 @@ def kth_rows(df: DataFrame, order_by: list, ks: dict, group_by: list[str] | None
     cond = [rs.df["__k"] == targets["__want"]] + [rs.df[g].eqNullSafe(targets[g]) for g in group_by]
     rows = rs.df.join(F.broadcast(targets), cond, "inner").select(rs.df["*"]).collect()
     return {tuple(r[g] for g in group_by): r for r in rows}
+
+
+def kth_rows_multi(df: DataFrame, order_by: list, ks: dict, group_by: list[str] | None = None,
+                   num_partitions: int | None = None) -> dict:
+    """Several selections per group: ``ks`` maps a group tuple to a list of
+    1-based positions; returns {(group tuple, k): Row}."""
+    group_by = list(group_by or [])
+    want = [(g, int(k)) for g, kl in ks.items() for k in kl if k and k > 0]
+    if not want:
+        return {}
+    rs = global_rank(df, order_by, group_by, out="__k", num_partitions=num_partitions)
+    schema = ", ".join([f"`{g}` {dict(df.dtypes)[g]}" for g in group_by] + ["__want long"])
+    targets = df.sparkSession.createDataFrame([(*g, k) for g, k in want], schema)
+    cond = [rs.df["__k"] == targets["__want"]] + [rs.df[g].eqNullSafe(targets[g]) for g in group_by]
+    rows = rs.df.join(F.broadcast(targets), cond, "inner").select(rs.df["*"]).collect()
+    return {(tuple(r[g] for g in group_by), r["__k"]): r for r in rows}

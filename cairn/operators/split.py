@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from cairn.functions.columns import hash_order, numeric_columns, r6
 from cairn.operators.joins import key_overlap_report
-from cairn.operators.ranking import global_rank, kth_rows
+from cairn.operators.ranking import global_rank, kth_rows, kth_rows_multi
 from cairn.operators.select import NON_FEATURES
 
 log = logging.getLogger(__name__)
@@ -104,11 +104,38 @@ def train_test(df: DataFrame, split_col: str = "split") -> tuple[DataFrame, Data
 
 def assign_folds(df: DataFrame, key: str = "customer_id", target: str = "churned", k: int = 5,
                  seed: int = SEED, out: str = "fold") -> DataFrame:
-    """M3: stratified k folds - rank within class by seeded hash, fold = (rank - 1) mod k,
-    so each class's fold sizes differ by at most one."""
-    keyed = df.select(F.col(key), F.col(target), hash_order(seed, key).alias("__h"))
+    """M3: stratified k folds.  Within each class, rows in seeded-hash order
+    are cut into k contiguous blocks: fold = ceil(rank * k / n_class) - 1, so
+    each class's fold sizes differ by at most one.
+
+    Only the k - 1 cut rows per class are selected (distributed rank on the
+    narrow (class, hash, key) projection); the fold is then a projection on
+    the wide rows, which are never shuffled."""
+    counts = _class_counts(df, target)
+    cuts = {(c,): [math.floor(i * n / k) for i in range(1, k)] for c, n in counts.items()}
+    h = hash_order(seed, key)
+    keyed = df.select(F.col(key), F.col(target), h.alias("__h"))
+    kt = dict(df.dtypes)[key]
+    row_key = F.struct(h.alias("h"), F.col(key).alias("k"))
+    if sum(len(v) for v in cuts.values()) > 4 * LITERAL_CUTS:
+        return _folds_by_rank(df, keyed, counts, key, target, k, out)
+    sel = kth_rows_multi(keyed, [F.col("__h"), F.col(key)], cuts, [target])
+    fold = F.lit(0)
+    for c, positions in cuts.items():
+        above = [(row_key > F.struct(F.lit(sel[(c, p)]["__h"]).alias("h"),
+                                     F.lit(sel[(c, p)][key]).cast(kt).alias("k"))).cast("int")
+                 for p in positions if p > 0]
+        if above:
+            fold = F.when(F.col(target).eqNullSafe(F.lit(c[0])), sum(above[1:], above[0])).otherwise(fold)
+    return df.withColumn(out, fold.cast("int"))
+
+
+def _folds_by_rank(df, keyed, counts, key, target, k, out):
+    """Many-class path: per-row rank, class sizes from a small table (<= MAX_CLASSES rows)."""
     rs = global_rank(keyed, [F.col("__h"), F.col(key)], [target], out="__r")
-    folds = rs.df.select(key, F.pmod(F.col("__r") - 1, F.lit(k)).cast("int").alias(out))
+    sizes = df.sparkSession.createDataFrame(list(counts.items()), f"`{target}` {dict(df.dtypes)[target]}, __n long")
+    r = rs.df.join(F.broadcast(sizes), target)
+    folds = r.select(key, (F.ceil(F.col("__r") * k / F.col("__n")) - 1).cast("int").alias(out))
     return df.join(folds, key, "inner")
 
 

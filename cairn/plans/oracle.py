@@ -374,8 +374,8 @@ SELECT count(*) AS n_overlap, count(*) > 0 AS leakage FROM (
 SELECT split, count(*) AS n, round(count(*) / (SELECT count(*) FROM esplit), 6) AS share FROM esplit GROUP BY split"""),
     "m3_assign_folds": with_blocks(ENG_BLOCKS, """
 SELECT customer_id, churned,
-       CAST((row_number() OVER (PARTITION BY churned ORDER BY md5('42:' || CAST(customer_id AS VARCHAR)), customer_id) - 1)
-            % 5 AS INTEGER) AS fold FROM eng"""),
+       CAST(ceil(row_number() OVER (PARTITION BY churned ORDER BY md5('42:' || CAST(customer_id AS VARCHAR)), customer_id)
+                 * 5 / count(*) OVER (PARTITION BY churned)) - 1 AS INTEGER) AS fold FROM eng"""),
     "e1_confusion": with_blocks([SCORES], """
 SELECT count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn, count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
        count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn, count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp

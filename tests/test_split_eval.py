@@ -141,3 +141,11 @@ def test_empty_table_edges(spark):
     assert ev.roc_auc(sc).first()["roc_auc"] is None
     assert ev.roc_curve(sc).count() == 1 and ev.pr_curve(sc).count() == 1
     assert ev.confusion(sc).first()["tp"] == 0
+
+
+def test_fold_paths_agree(spark, monkeypatch):
+    df = _frame(spark, 301)
+    a = {r["customer_id"]: r["fold"] for r in sp.assign_folds(df, k=4).collect()}
+    monkeypatch.setattr(sp, "LITERAL_CUTS", 0)
+    b = {r["customer_id"]: r["fold"] for r in sp.assign_folds(df, k=4).collect()}
+    assert a == b and set(a.values()) == {0, 1, 2, 3}
