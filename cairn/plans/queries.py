@@ -9,10 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cairn.functions.columns import r6
-from cairn.operators import clean, evaluate as ev, features as feat, joins, profile, select as sel, split as sp
+from cairn.operators import clean, evaluate as ev, features as feat, joins, model as mdl, profile, select as sel
+from cairn.operators import split as sp
 from cairn.plans import pipeline
-from cairn.sources import views
-from cairn.sources.tables import load
+from cairn.session import shared_dir
+from cairn.sources import generate as gen, models as mstore, registry as reg, sql as sqlsrc, views
+from cairn.sources.tables import load, read_table, write_table
 
 KEY, TARGET = "customer_id", "churned"
 
@@ -354,11 +356,6 @@ def flagship(spark, sf):
 
 
 # --- model training and model-based evaluation (no SQL oracle) -----------------
-from cairn.functions.columns import r6 as _r6  # noqa: E402
-from cairn.operators import model as mdl  # noqa: E402
-from cairn.session import shared_dir  # noqa: E402
-from cairn.sources import generate as gen, models as mstore, registry as reg, sql as sqlsrc  # noqa: E402
-from cairn.sources.tables import read_table, write_table  # noqa: E402
 
 _TRAINED: dict = {}
 
