@@ -22,6 +22,7 @@ from cairn.operators import evaluate as ev
 from cairn.operators.ranking import running_sum
 from cairn.operators.select import NON_FEATURES
 from cairn.operators.split import assign_folds
+from cairn.operators.treeshap import tree_shap_attribution
 
 # Model settings of the pipeline, the library default and the tests.
 PIPELINE_PARAMS = dict(maxIter=100, maxDepth=6, stepSize=0.1, subsamplingRate=0.8,
@@ -175,7 +176,8 @@ def importance(model: PipelineModel, features: list[str], k: int | None = 10) ->
 
 def permutation_attribution(model: PipelineModel, df: DataFrame, features: list[str], key: str = "customer_id",
                             n: int = 100, seed: int = 42) -> DataFrame:
-    """E11 (re-aimed): mean |p - p_permuted| per feature on a seeded sample of n rows.
+    """Permutation attribution (a model-agnostic companion to E11's tree SHAP in
+    ``treeshap.py``): mean |p - p_permuted| per feature on a seeded sample of n rows.
 
     For each feature the sample is scored once more with that column taken
     from another sample row (pairing by two seeded hash orders, a join on
@@ -297,8 +299,8 @@ def evaluate(model: PipelineModel, test: DataFrame, features: list[str], target:
 
     def attribution():
         try:
-            return [tuple(r) for r in permutation_attribution(model, test, features, key,
-                                                              attribution_rows, seed).collect()], None
+            return [tuple(r) for r in tree_shap_attribution(model, test, features, key,
+                                                            attribution_rows, seed).collect()], None
         except Exception as e:  # attribution failure becomes part of the record
             return [], str(e)[:2000]
 

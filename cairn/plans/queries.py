@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cairn.functions.columns import r6
 from cairn.operators import clean, evaluate as ev, features as feat, joins, model as mdl, profile, select as sel
-from cairn.operators import split as sp
+from cairn.operators import split as sp, treeshap as tsh
 from cairn.plans import pipeline
 from cairn.session import shared_dir
 from cairn.sources import generate as gen, models as mstore, registry as reg, sql as sqlsrc, views
@@ -416,6 +416,18 @@ def e11_permutation_attribution(spark, sf):
     return mdl.permutation_attribution(t["model"], t["test"], t["features"], KEY, 100, 42)
 
 
+def e11_tree_shap_attribution(spark, sf):
+    """E11 as the reference computes it: mean |tree SHAP| (log-odds) on 100 sampled test rows."""
+    t = _trained(spark, sf)
+    return tsh.tree_shap_attribution(t["model"], t["test"], t["features"], KEY, 100, 42)
+
+
+def e11_tree_shap_values(spark, sf):
+    """Per-row tree SHAP values for every test row (exact, path-dependent)."""
+    t = _trained(spark, sf)
+    return tsh.shap_values(t["model"], t["test"], t["features"], KEY)
+
+
 def e14_evaluation_record(spark, sf):
     t = _trained(spark, sf)
     return mdl.evaluate(t["model"], t["test"], t["features"], TARGET, KEY)[1]
@@ -563,6 +575,7 @@ QUERIES = {
         "s7_find_view", "s8_list_views", "s9_run_record", "s11_log_metrics", "s12_predictions_sink", "s13_run_sql",
         "m1_assemble", "m2_gbt_fit", "m4_cross_validate", "m4_cv_summary", "m5_score", "m6_training_metrics",
         "m7_importance", "m8_training_record", "s10_model_roundtrip", "e11_permutation_attribution",
+        "e11_tree_shap_attribution", "e11_tree_shap_values",
         "e14_evaluation_record", "pipeline_end_to_end",
     ]},
 }

@@ -34,7 +34,9 @@ def test_train_score_importance_attribution(spark):
     att = mdl.permutation_attribution(model, df, feats, "customer_id", 50, 1).collect()
     assert {x["feature"] for x in att} == set(feats)
     _, erec = mdl.evaluate(model, df, feats, attribution_rows=20)
-    assert erec.first()["test_samples"] == 300
+    er = erec.first()
+    assert er["test_samples"] == 300
+    assert er["attribution_error"] is None and {a["feature"] for a in er["attribution"]} == set(feats)
 
 
 def test_registry_versions_and_model_roundtrip(spark):
