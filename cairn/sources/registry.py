@@ -45,15 +45,21 @@ def _append_registry(spark, root, row: tuple) -> None:
     spark.createDataFrame([row], REGISTRY_SCHEMA).coalesce(1).write.mode("append").parquet(_p(root, "_registry"))
 
 
-def check_keys(df: DataFrame, keys: list[str]) -> None:
-    """Entity keys must be non-NULL and unique (one aggregate pass + one probe)."""
+def check_keys(df: DataFrame, keys: list[str]) -> int:
+    """Entity keys must be non-NULL and unique.  One pass: rows per key value
+    (partially aggregated map-side, so a hot key collapses before the shuffle),
+    then one global aggregate.  Returns the row count."""
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
-    if df.where(any_null).limit(1).count():
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
+    r = per_key.agg(F.sum("c").alias("n"), F.max("c").alias("max_c"),
+                    F.count_if(any_null).alias("null_keys")).first()
+    if r["null_keys"]:
         raise ValueError(f"NULL in entity key {keys}")
-    if df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).count():
+    if (r["max_c"] or 0) > 1:
         raise ValueError(f"duplicate entity key {keys}")
+    return int(r["n"] or 0)
 
 
 def register_view(df: DataFrame, root: str, name: str, keys: list[str], version: str,
@@ -66,12 +72,12 @@ def register_view(df: DataFrame, root: str, name: str, keys: list[str], version:
     missing = [c for c in keys + ([timestamp_col] if timestamp_col else []) if c not in df.columns]
     if missing:
         raise ValueError(f"register_view: missing column(s) {missing}")
-    if validate:
-        check_keys(df, keys)
+    n = check_keys(df, keys) if validate else None
     path = _p(root, "views", name)
     (df.withColumn("version", F.lit(version)).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(path))
-    n = spark.read.parquet(path).where(F.col("version") == version).count()
+    if n is None:   # count the written partition (Parquet footers)
+        n = spark.read.parquet(path).where(F.col("version") == version).count()
     _append_registry(spark, root, ("view", name, version, entity, keys, timestamp_col, desc, n, path,
                                    dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)))
     return version

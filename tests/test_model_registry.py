@@ -50,8 +50,12 @@ def test_registry_versions_and_model_roundtrip(spark):
     assert reg.resolve_version(r, "feat", "current", defaults={"feat": "v9"}) == "v9"
     assert reg.read_view(spark, root, "feat", "latest").count() == 2
     assert reg.find_view(r, ["nope", "feat"]) == "feat"
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="duplicate"):
         reg.register_view(df.union(df), root, "dup", ["customer_id"], "v1")
+    with pytest.raises(ValueError, match="NULL"):
+        reg.register_view(spark.createDataFrame([(None, 1.0), (None, 2.0)], "customer_id long, x double"),
+                          root, "nul", ["customer_id"], "v1")
+    assert reg.check_keys(df, ["customer_id"]) == 2
     with pytest.raises(KeyError):
         reg.describe_view(r, "nope")
     model = mdl.fit_gbt(_train_frame(spark), ["a", "b"], "churned", SMALL)
