@@ -42,7 +42,8 @@ from cairn.session import shared_dir
 # Upper bound on model nodes collected to the driver; a 1000-tree depth-10
 # model has about 2M nodes.  Beyond it the model itself is the problem.
 MAX_MODEL_NODES = 4_000_000
-ROW_CHUNK = 128          # rows per numpy block inside a task (memory: rows x leaves x depth)
+# Working memory per numpy block inside a task: about 6 arrays of rows x leaves x d doubles.
+BLOCK_BYTES = 64 << 20
 LOGIT_SCALE = 2.0        # Spark's logistic loss is on 2F
 
 
@@ -143,6 +144,12 @@ def shap_block(x: np.ndarray, paths: dict, n_features: int) -> np.ndarray:
     return phi
 
 
+def rows_per_block(paths: dict, budget: int = BLOCK_BYTES) -> int:
+    """Rows per numpy block so the block's arrays stay within ``budget`` bytes."""
+    per_row = max((len(g["value"]) * d for d, g in paths.items()), default=1) * 8 * 6
+    return max(1, budget // per_row)
+
+
 def shap_values(model, df: DataFrame, features: list[str], key: str = "customer_id") -> DataFrame:
     """(key, base_value, shap array<double> in ``features`` order) for every row of ``df``."""
     spark = df.sparkSession
@@ -153,13 +160,15 @@ def shap_values(model, df: DataFrame, features: list[str], key: str = "customer_
     schema = T.StructType([T.StructField(key, key_type), T.StructField("base_value", T.DoubleType()),
                            T.StructField("shap", T.ArrayType(T.DoubleType()))])
 
+    step = rows_per_block(paths)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         p = bc.value
         for b in batches:
             x = b[features].to_numpy(dtype=np.float64)
-            for s in range(0, len(b), ROW_CHUNK):
-                phi = shap_block(x[s:s + ROW_CHUNK], p, nf)
-                yield pd.DataFrame({key: b[key].iloc[s:s + ROW_CHUNK].to_numpy(),
+            for s in range(0, len(b), step):
+                phi = shap_block(x[s:s + step], p, nf)
+                yield pd.DataFrame({key: b[key].iloc[s:s + step].to_numpy(),
                                     "base_value": base, "shap": list(phi)})
 
     rows = df.select(key, *[F.col(f).cast("double").alias(f) for f in features])

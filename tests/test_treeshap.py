@@ -97,3 +97,57 @@ def test_single_row_block_matches_batched(fitted):
     whole = ts.shap_block(x, paths, 4)
     for k in range(3):
         assert np.allclose(ts.shap_block(x[k:k + 1], paths, 4), whole[k:k + 1])
+
+
+def _random_paths(rnd: random.Random, n_features: int, n_leaves: int, max_d: int) -> dict:
+    groups: dict = {}
+    for _ in range(n_leaves):
+        d = rnd.randint(1, max_d)
+        feats = sorted(rnd.sample(range(n_features), d))
+        lo = [rnd.choice([-math.inf, rnd.random() * 0.5]) for _ in feats]
+        hi = [rnd.choice([math.inf, 0.5 + rnd.random() * 0.5]) for _ in feats]
+        z = [rnd.uniform(0.05, 1.0) for _ in feats]
+        groups.setdefault(d, []).append((rnd.uniform(-2, 2), feats, lo, hi, z))
+    return {d: dict(value=np.array([g[0] for g in gs]), feat=np.array([g[1] for g in gs], dtype=np.int64),
+                    lo=np.array([g[2] for g in gs]), hi=np.array([g[3] for g in gs]),
+                    z=np.array([g[4] for g in gs])) for d, gs in groups.items()}
+
+
+def _value(paths: dict, x, s: set) -> float:
+    total = 0.0
+    for g in paths.values():
+        for v, fs, lo, hi, z in zip(g["value"], g["feat"], g["lo"], g["hi"], g["z"]):
+            prod = 1.0
+            for f, a, b, zz in zip(fs, lo, hi, z):
+                prod *= float(a < x[f] <= b) if f in s else zz
+            total += v * prod
+    return total
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_leaf_path_formula_is_exact_shapley(seed):
+    """Paths with up to 6 distinct features (depth-6 trees): the closed form
+    equals Shapley values enumerated over every subset."""
+    rnd = random.Random(seed)
+    m = 7
+    paths = _random_paths(rnd, m, 12, 6)
+    x = np.array([[rnd.random() for _ in range(m)] for _ in range(3)])
+    got = ts.shap_block(x, paths, m)
+    for r in range(len(x)):
+        want = np.zeros(m)
+        for i in range(m):
+            others = [j for j in range(m) if j != i]
+            for k in range(m):
+                wk = math.factorial(k) * math.factorial(m - k - 1) / math.factorial(m)
+                for s in itertools.combinations(others, k):
+                    want[i] += wk * (_value(paths, x[r], set(s) | {i}) - _value(paths, x[r], set(s)))
+        assert np.allclose(got[r], want, atol=1e-10)
+        # efficiency: values add up to v(all) - v(empty)
+        assert got[r].sum() == pytest.approx(_value(paths, x[r], set(range(m))) - _value(paths, x[r], set()))
+
+
+def test_block_size_respects_budget():
+    paths = _random_paths(random.Random(1), 10, 500, 6)
+    n = ts.rows_per_block(paths, budget=1 << 20)
+    per_row = max(len(g["value"]) * d for d, g in paths.items()) * 8 * 6
+    assert n >= 1 and (n * per_row <= 1 << 20 or n == 1)
