@@ -275,6 +275,7 @@ EVAL_SCHEMA = T.StructType([
     T.StructField("attribution", T.ArrayType(T.StructType([
         T.StructField("feature", T.StringType()), T.StructField("attribution", T.DoubleType())]))),
     T.StructField("attribution_error", T.StringType()),
+    T.StructField("attribution_sample_size", T.IntegerType()),
     T.StructField("prediction_time_seconds", T.DoubleType()),
     T.StructField("feature_columns", T.ArrayType(T.StringType())),
 ])
@@ -310,5 +311,6 @@ def evaluate(model: PipelineModel, test: DataFrame, features: list[str], target:
         basic["roc_auc"] = auc.result()
         att, err = att_f.result()
     row = (name, version, int(n), len(features), {k: (None if v is None else float(v)) for k, v in basic.items()},
-           {k: int(v) for k, v in conf.items()}, rep, att, err, float(secs), list(features))
+           {k: int(v) for k, v in conf.items()}, rep, att, err, int(min(attribution_rows, n)), float(secs),
+           list(features))
     return scored, test.sparkSession.createDataFrame([row], EVAL_SCHEMA)

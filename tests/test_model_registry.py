@@ -37,6 +37,7 @@ def test_train_score_importance_attribution(spark):
     er = erec.first()
     assert er["test_samples"] == 300
     assert er["attribution_error"] is None and {a["feature"] for a in er["attribution"]} == set(feats)
+    assert er["attribution_sample_size"] == 20
 
 
 def test_registry_versions_and_model_roundtrip(spark):
