@@ -29,16 +29,22 @@ so log-odds = 2F, and the base value plus a row's SHAP values sum to it.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cairn.functions.columns import r6
 from cairn.session import shared_dir
 
+# The task-side kernel travels with the task (pickled by value), so Python
+# workers need only numpy and pandas, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Upper bound on model nodes collected to the driver; a 1000-tree depth-10
 # model has about 2M nodes.  Beyond it the model itself is the problem.
 MAX_MODEL_NODES = 4_000_000
