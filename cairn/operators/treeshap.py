@@ -20,7 +20,8 @@ the leaf's path, where ``z_j`` is the product of cover ratios of the splits on
 j and ``o_j`` says whether the row satisfies all of them.  The Shapley value of
 one leaf's product game has a closed form through the coefficients of
 ``prod_{j != i} (z_j + o_j t)`` (the path decomposition published for GPU tree
-SHAP, Mitchell et al. 2022), so each leaf costs O(d^2) per row with d <= depth.
+SHAP, Mitchell et al. 2022).  The full product is built once per leaf and each
+slot's factor divided out, so a leaf costs O(d^2) per row with d <= depth.
 
 Values are in log-odds: Spark's GBT margin F gives P(y=1) = 1 / (1 + exp(-2F)),
 so log-odds = 2F, and the base value plus a row's SHAP values sum to it.
@@ -48,7 +49,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Upper bound on model nodes collected to the driver; a 1000-tree depth-10
 # model has about 2M nodes.  Beyond it the model itself is the problem.
 MAX_MODEL_NODES = 4_000_000
-# Working memory per numpy block inside a task: about 6 arrays of rows x leaves x d doubles.
+# Working memory per numpy block inside a task: about 6 arrays of rows x leaves x (d + 1) doubles.
 BLOCK_BYTES = 64 << 20
 LOGIT_SCALE = 2.0        # Spark's logistic loss is on 2F
 
@@ -127,32 +128,44 @@ def _shapley_weights(d: int) -> np.ndarray:
 
 
 def shap_block(x: np.ndarray, paths: dict, n_features: int) -> np.ndarray:
-    """SHAP values (rows, features) for a block of rows ``x`` (rows, features)."""
+    """SHAP values (rows, features) for a block of rows ``x`` (rows, features).
+
+    Per leaf: the coefficients of P(t) = prod_j (z_j + o_j t) once, then for
+    each slot i the quotient P / (z_i + o_i t) by synthetic division (downward,
+    multiplying errors by z_i <= 1; a constant divisor when o_i = 0), so a
+    leaf costs O(d^2) per row."""
     phi = np.zeros((x.shape[0], n_features))
     for d, g in paths.items():
         xo = x[:, g["feat"]]                                         # (R, L, d)
-        o = ((xo > g["lo"]) & (xo <= g["hi"])).astype(np.float64)
-        z, w = g["z"], _shapley_weights(d)
+        o = np.ascontiguousarray(((xo > g["lo"]) & (xo <= g["hi"])).transpose(2, 0, 1), dtype=np.float64)
+        z, w, v = g["z"].T, _shapley_weights(d), g["value"]          # z: (d, L); o: (d, R, L)
+        p = np.zeros((d + 1,) + o.shape[1:])                         # coefficient planes, degree first
+        p[0] = 1.0
+        for j in range(d):                       # multiply by (z_j + o_j t); degree is j before
+            top = p[:j + 1] * o[j]
+            p[:j + 1] *= z[j]
+            p[1:j + 2] += top
+        pw = np.tensordot(w, p[:d], axes=1)      # sum_k w_k p_k, shared by every o_i = 0 quotient
+        onehot = np.zeros((len(v), n_features))
+        leaves = np.arange(len(v))
         for i in range(d):
-            # coefficients c_k of prod_{j != i} (z_j + o_j t): sum over |S| = k of prod_S o * prod_rest z
-            c = np.zeros(o.shape[:2] + (d,))
-            c[:, :, 0] = 1.0
-            for j in range(d):
-                if j == i:
-                    continue
-                shifted = c[:, :, :-1] * o[:, :, j:j + 1]
-                c *= z[:, j][None, :, None]
-                c[:, :, 1:] += shifted
-            contrib = g["value"] * (o[:, :, i] - z[:, i]) * (c @ w)   # (R, L)
-            onehot = np.zeros((len(g["value"]), n_features))
-            onehot[np.arange(len(g["value"])), g["feat"][:, i]] = 1.0
+            zi, oi = z[i], o[i]
+            q = p[d].copy()                      # o_i = 1: divide by (z_i + t), top coefficient down
+            s1 = w[d - 1] * q
+            for k in range(d - 1, 0, -1):
+                q = p[k] - zi * q
+                s1 += w[k - 1] * q
+            s0 = pw / np.where(zi > 0, zi, 1.0)  # o_i = 0: divide by the constant z_i
+            contrib = v * (oi - zi) * np.where(oi > 0, s1, s0)      # (R, L)
+            onehot[:] = 0.0
+            onehot[leaves, g["feat"][:, i]] = 1.0
             phi += contrib @ onehot
     return phi
 
 
 def rows_per_block(paths: dict, budget: int = BLOCK_BYTES) -> int:
     """Rows per numpy block so the block's arrays stay within ``budget`` bytes."""
-    per_row = max((len(g["value"]) * d for d, g in paths.items()), default=1) * 8 * 6
+    per_row = max((len(g["value"]) * (d + 1) for d, g in paths.items()), default=1) * 8 * 6
     return max(1, budget // per_row)
 
 

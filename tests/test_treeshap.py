@@ -149,5 +149,5 @@ def test_leaf_path_formula_is_exact_shapley(seed):
 def test_block_size_respects_budget():
     paths = _random_paths(random.Random(1), 10, 500, 6)
     n = ts.rows_per_block(paths, budget=1 << 20)
-    per_row = max(len(g["value"]) * d for d, g in paths.items()) * 8 * 6
+    per_row = max(len(g["value"]) * (d + 1) for d, g in paths.items()) * 8 * 6
     assert n >= 1 and (n * per_row <= 1 << 20 or n == 1)
