@@ -36,9 +36,11 @@ def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = load(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    # nation (25 rows) and region (5 rows) are fixed-size dimension tables
-    cnr = (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
-            .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey))
+    # nation (25 rows) and region (5 rows) are fixed-size dimensions: no hint, the
+    # planner broadcasts them from their file-size statistics under
+    # spark.sql.autoBroadcastJoinThreshold (a checked bound) and falls back otherwise
+    cnr = (c.join(n, c.c_nationkey == n.n_nationkey)
+            .join(r, F.col("n_regionkey") == r.r_regionkey))
     created = F.date_add(F.lit(CREATED_BASE).cast("date"),
                          ((F.col("c_custkey") * CREATED_STEP) % CREATED_SPAN).cast("int"))
     return cnr.select(F.col("c_custkey").alias("customer_id"),
