@@ -27,3 +27,26 @@ def test_entry_smoke(spark):
 
 def test_oracle_keys_are_queries():
     assert set(SQL) <= set(entry.queries())
+
+
+ROWS_ONLY = sorted(set(entry.queries()) - set(SQL))
+
+
+@pytest.mark.parametrize("name", ROWS_ONLY)
+def test_rows_only_query_runs(spark, name):
+    """Queries without an SQL oracle (model, SHAP, registry) run over the whole fixture."""
+    df = entry.queries()[name](spark, SF_SMALL)
+    assert df.count() >= 0 and df.columns
+
+
+def test_shap_values_add_up_to_scored_probability(spark):
+    from pyspark.sql import functions as F
+    q = entry.queries()
+    vals = q["e11_tree_shap_values"](spark, SF_SMALL)
+    scored = q["m5_score"](spark, SF_SMALL)
+    p = F.least(F.greatest(F.col("probability_1"), F.lit(1e-12)), F.lit(1 - 1e-12))
+    gap = vals.join(scored, "customer_id").select(
+        F.abs(F.col("base_value") + F.aggregate("shap", F.lit(0.0), lambda s, v: s + v)
+              - F.log(p / (1 - p))).alias("gap"))
+    assert gap.count() == scored.count() > 0
+    assert gap.agg(F.max("gap")).first()[0] < 1e-6
