@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cairn.llm.decontam import find_leaks
 from cairn.llm.linededup import dedup_lines
+from cairn.llm.lm import score_texts
 from cairn.llm.ngram_join import ngram_components
 from cairn.llm.packing import pack_documents
 from cairn.llm.rules import judge
+from cairn.llm.tokencount import count_tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,9 +34,17 @@ def op7_line_dedup(spark, sf_dir):
     return dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op8_token_counts(spark, sf_dir):
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_quality_rules(spark, sf_dir):
     return judge(table(spark, sf_dir, "documents")).drop("n_removed_lines")
 
 
+def op10_lm_scoring(spark, sf_dir):
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op4_benchmark_decontamination, op6_best_fit_packing,
-                                   op7_line_dedup, op9_quality_rules)}
+                                   op7_line_dedup, op8_token_counts, op9_quality_rules, op10_lm_scoring)}
