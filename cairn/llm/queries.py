@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cairn.llm.decontam import find_leaks
+from cairn.llm.htmltext import extract
 from cairn.llm.linededup import dedup_lines
 from cairn.llm.lm import score_texts
 from cairn.llm.ngram_join import ngram_components
@@ -22,6 +23,10 @@ def op1_ngram_jaccard_join(spark, sf_dir):
     return ngram_components(table(spark, sf_dir, "documents"))
 
 
+def op2_html_extraction(spark, sf_dir):
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op4_benchmark_decontamination(spark, sf_dir):
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -46,5 +51,5 @@ def op10_lm_scoring(spark, sf_dir):
     return score_texts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op4_benchmark_decontamination, op6_best_fit_packing,
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_html_extraction, op4_benchmark_decontamination, op6_best_fit_packing,
                                    op7_line_dedup, op8_token_counts, op9_quality_rules, op10_lm_scoring)}
