@@ -13,6 +13,7 @@ from cairn.llm.ngram_join import ngram_components
 from cairn.llm.packing import pack_documents
 from cairn.llm.rules import judge
 from cairn.llm.tokencount import count_tokens
+from cairn.llm.toxicity import score_toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,10 @@ def op2_html_extraction(spark, sf_dir):
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op3_toxicity(spark, sf_dir):
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_benchmark_decontamination(spark, sf_dir):
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -51,5 +56,5 @@ def op10_lm_scoring(spark, sf_dir):
     return score_texts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_html_extraction, op4_benchmark_decontamination, op6_best_fit_packing,
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_html_extraction, op3_toxicity, op4_benchmark_decontamination, op6_best_fit_packing,
                                    op7_line_dedup, op8_token_counts, op9_quality_rules, op10_lm_scoring)}
