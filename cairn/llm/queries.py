@@ -11,6 +11,7 @@ from cairn.llm.linededup import dedup_lines
 from cairn.llm.lm import score_texts
 from cairn.llm.ngram_join import ngram_components
 from cairn.llm.packing import pack_documents
+from cairn.llm.quality_model import score_quality
 from cairn.llm.rules import judge
 from cairn.llm.tokencount import count_tokens
 from cairn.llm.toxicity import score_toxicity
@@ -36,6 +37,10 @@ def op4_benchmark_decontamination(spark, sf_dir):
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_quality_classifier(spark, sf_dir):
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_best_fit_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -56,5 +61,5 @@ def op10_lm_scoring(spark, sf_dir):
     return score_texts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_html_extraction, op3_toxicity, op4_benchmark_decontamination, op6_best_fit_packing,
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_html_extraction, op3_toxicity, op4_benchmark_decontamination, op5_quality_classifier, op6_best_fit_packing,
                                    op7_line_dedup, op8_token_counts, op9_quality_rules, op10_lm_scoring)}
