@@ -7,7 +7,6 @@ as Spark jobs (DataFrame/SQL functions and ``pyspark.ml``).  Sub-packages:
 - ``operators`` profiling, joins, cleaning, features, splits, models, evaluation
 - ``functions`` column-expression helpers shared by the operators
 - ``plans``     step composition and the registered queries with their SQL oracles
-- ``streaming`` micro-batch application of the batch steps
 """
 
 from cairn.session import get_session, shared_dir

@@ -39,8 +39,8 @@ def clean_double(c) -> Column:
 
 
 def safe_div(num, den, default=0.0) -> Column:
-    """num / den when den > 0, else ``default`` (ANSI-safe, no division by zero)."""
-    num, den = _c(num).cast("double"), _c(den).cast("double")
+    """num / den when den > 0, else ``default`` (ANSI-safe, no division by zero); a NaN counts as missing."""
+    num, den = clean_double(num), clean_double(den)
     return F.when(den > 0, F.try_divide(num, den)).otherwise(F.lit(default).cast("double"))
 
 

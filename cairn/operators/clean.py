@@ -7,8 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from cairn.functions.columns import is_nan_or_inf, numeric_columns, r6, string_columns
-from cairn.operators.profile import mode_values, quantile_values
+from cairn.functions.columns import clean_double, is_nan_or_inf, numeric_columns, r6, string_columns
+from cairn.operators.profile import is_missing, mode_values, quantile_values
 
 KEY = "customer_id"
 
@@ -16,25 +16,25 @@ KEY = "customer_id"
 def _with_missing(df: DataFrame, cols: list[str]) -> list[str]:
     if not cols:
         return []
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"__m{i}") for i, c in enumerate(cols)]).first()
+    row = df.agg(*[F.count_if(is_missing(df, c)).alias(f"__m{i}") for i, c in enumerate(cols)]).first()
     return [c for i, c in enumerate(cols) if row[f"__m{i}"] > 0]
 
 
 def columns_with_missing(df: DataFrame, cols: list[str] | None = None) -> list[str]:
-    """Columns (default: all) holding at least one NULL - one aggregate pass."""
+    """Columns (default: all) holding at least one NULL or NaN - one aggregate pass."""
     return _with_missing(df, df.columns if cols is None else list(cols))
 
 
 def impute_median(df: DataFrame, cols: list[str] | None = None, exclude=(KEY,),
                   missing: list[str] | None = None) -> DataFrame:
-    """NULLs in numeric columns (default: all but the id; the target too)
+    """NULLs and NaNs in numeric columns (default: all but the id; the target too)
     become the column median.  Only columns with NULLs change; they become
     double, as a median may fall between two integers."""
     cols = numeric_columns(df, exclude) if cols is None else list(cols)
     todo = _with_missing(df, cols) if missing is None else [c for c in cols if c in set(missing)]
     med = quantile_values(df, todo, [0.5])
     fill = {c: med[(c, 0.5)] for c in todo if med[(c, 0.5)] is not None}
-    return df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(fill[c])).alias(c) if c in fill else F.col(c)
+    return df.select(*[F.coalesce(clean_double(c), F.lit(fill[c])).alias(c) if c in fill else F.col(c)
                        for c in df.columns])
 
 
@@ -62,8 +62,8 @@ def iqr_bounds(df: DataFrame, cols: list[str], k: float = 1.5) -> dict:
 
 
 def _clip(c: str, lo, hi):
-    col = F.col(c).cast("double")
-    # greatest/least skip NULL, so NULL is kept explicitly
+    col = clean_double(c)
+    # greatest/least skip NULL, so NULL (and NaN, which is missing too) is kept explicitly
     return F.when(col.isNull(), F.lit(None).cast("double")).otherwise(F.greatest(F.least(col, F.lit(hi)), F.lit(lo)))
 
 
@@ -83,7 +83,7 @@ def iqr_report(df: DataFrame, cols: list[str], k: float = 1.5, bounds: dict | No
     if not cols:
         return spark.createDataFrame([], "column string, q1 double, q3 double, iqr double, "
                                          "lower double, upper double, n_outliers long")
-    counts = df.agg(*[F.count_if((F.col(c) < b[c][2]) | (F.col(c) > b[c][3])).alias(f"__o{i}")
+    counts = df.agg(*[F.count_if((clean_double(c) < b[c][2]) | (clean_double(c) > b[c][3])).alias(f"__o{i}")
                       for i, c in enumerate(cols)])
     stats = spark.createDataFrame([(i, c, *b[c]) for i, c in enumerate(cols)],
                                   "i int, column string, q1 double, q3 double, lower double, upper double")
@@ -95,9 +95,9 @@ def iqr_report(df: DataFrame, cols: list[str], k: float = 1.5, bounds: dict | No
 
 
 def clamp(df: DataFrame, col: str, lo, hi) -> DataFrame:
-    """C4: values below lo become lo, above hi become hi (NULL stays NULL)."""
-    c = F.col(col)
-    return df.withColumn(col, F.when(c < lo, F.lit(lo)).when(c > hi, F.lit(hi)).otherwise(c))
+    """C4: values below lo become lo, above hi become hi (NULL and NaN stay as they are)."""
+    c, v = F.col(col), clean_double(col)
+    return df.withColumn(col, F.when(v < lo, F.lit(lo)).when(v > hi, F.lit(hi)).otherwise(c))
 
 
 def floor_at(df: DataFrame, col: str, lo=0) -> DataFrame:

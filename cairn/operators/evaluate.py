@@ -7,7 +7,7 @@ the distributed running sum - no global single-partition window.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cairn.functions.columns import hash_order, r6
 from cairn.operators.ranking import running_sum
@@ -16,6 +16,8 @@ from cairn.operators.ranking import running_sum
 HIST_BINS = 30
 SAMPLE_ROWS = 100
 SEED = 42
+MAX_CLASSES = 1000          # classes whose score ranges are held as literals
+CURVE_BLOCK = 100_000       # neighbouring curve points that one window group holds
 
 
 def _ratio(num, den):
@@ -75,14 +77,21 @@ def roc_auc(scored: DataFrame, label: str = "label", score: str = "score", curve
 
 def _drop_collinear(pts: DataFrame) -> DataFrame:
     """Keep the first and last points and every point where the curve bends
-    (second difference of fps or tps non-zero), using equi-joins on idx +/- 1."""
-    m = pts.agg(F.max("idx")).first()[0] or 0
-    prev = pts.select((F.col("idx") + 1).alias("idx"), F.col("tps").alias("tps_p"), F.col("fps").alias("fps_p"))
-    nxt = pts.select((F.col("idx") - 1).alias("idx"), F.col("tps").alias("tps_n"), F.col("fps").alias("fps_n"))
-    j = pts.join(prev, "idx", "left").join(nxt, "idx", "left")
-    bend = ((F.col("fps_n") - 2 * F.col("fps") + F.col("fps_p")) != 0) | \
-           ((F.col("tps_n") - 2 * F.col("tps") + F.col("tps_p")) != 0)
-    return j.where((F.col("idx") == 1) | (F.col("idx") == m) | F.coalesce(bend, F.lit(False))).select(*pts.columns)
+    (second difference of fps or tps non-zero).
+
+    Points are dealt to blocks of CURVE_BLOCK neighbours, the points at a
+    block's edges to the next block too, and lag and lead run inside a
+    block: one shuffle, and no window over the whole curve."""
+    own = F.floor(F.col("idx") / CURVE_BLOCK)
+    at = F.col("idx") % CURVE_BLOCK
+    blocks = F.when(at == 0, F.array(own, own - 1)).when(at == CURVE_BLOCK - 1, F.array(own, own + 1)).otherwise(F.array(own))
+    dealt = pts.withColumn("__own", own).withColumn("__block", F.explode(blocks))
+    w = Window.partitionBy("__block").orderBy("idx")
+    for c in ("tps", "fps"):
+        dealt = dealt.withColumn(f"__{c}", F.lead(c).over(w) - 2 * F.col(c) + F.lag(c).over(w))
+    ends = F.col("__tps").isNull()      # no neighbour on one side: the first or last point
+    bend = (F.col("__tps") != 0) | (F.col("__fps") != 0)
+    return dealt.where((F.col("__own") == F.col("__block")) & (ends | bend)).select(*pts.columns)
 
 
 def roc_curve(scored: DataFrame, label: str = "label", score: str = "score", curve=None,
@@ -120,14 +129,20 @@ def score_histogram(scored: DataFrame, label: str = "label", score: str = "score
     """Per class, ``bins`` equal-width bins over that class's own min..max
     (last bin closed; a constant class is centred as NumPy does), empty bins included."""
     s = F.col(score).cast("double")
-    rng = scored.groupBy(label).agg(F.min(s).alias("mn"), F.max(s).alias("mx"))
-    lo = F.when(F.col("mx") > F.col("mn"), F.col("mn")).otherwise(F.col("mn") - 0.5)
-    hi = F.when(F.col("mx") > F.col("mn"), F.col("mx")).otherwise(F.col("mx") + 0.5)
-    rng = rng.select(label, lo.alias("lo"), hi.alias("hi"))   # one row per class; AQE broadcasts it when small
-    j = scored.select(label, s.alias("s")).join(rng, label)
-    b = F.least(F.floor((F.col("s") - F.col("lo")) * (F.lit(float(bins)) / (F.col("hi") - F.col("lo")))),
-                F.lit(bins - 1)).cast("int")
-    counts = j.groupBy(label, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    found = scored.groupBy(label).agg(F.min(s).alias("mn"), F.max(s).alias("mx")).where(F.col(label).isNotNull())
+    rows = found.limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label}: more than {MAX_CLASSES} classes")
+    # the ranges are literals on the scored rows, which then only feed a partial aggregate
+    ranges = [(r[label], *((r["mn"], r["mx"]) if r["mx"] is not None and r["mx"] > r["mn"]
+                           else (None, None) if r["mn"] is None else (r["mn"] - 0.5, r["mx"] + 0.5))) for r in rows]
+    b = F.lit(None).cast("int")
+    for y, lo, hi in ranges:
+        if lo is not None:
+            b = F.when(F.col(label) == F.lit(y), F.least(F.floor((s - F.lit(lo)) * F.lit(float(bins) / (hi - lo))),
+                                                         F.lit(bins - 1)).cast("int")).otherwise(b)
+    counts = scored.groupBy(label, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    rng = scored.sparkSession.createDataFrame(ranges, f"`{label}` {dict(scored.dtypes)[label]}, lo double, hi double")
     grid = rng.select(label, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     w = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     return grid.join(counts, [label, "bin"], "left").select(

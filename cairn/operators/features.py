@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import DataFrame, functions as F
 
-from cairn.functions.columns import safe_div
+from cairn.functions.columns import clean_double, safe_div
 from cairn.operators.profile import quantile_values
 from cairn.operators.ranking import dense_rank_values
 
@@ -25,19 +25,19 @@ def flag_ge_quantile(df: DataFrame, col: str, q: float = 0.75, out: str = "is_hi
                      threshold: float | None = None) -> DataFrame:
     """1 when ``col >= P_q(col)`` (exact, interpolated quantile)."""
     t = quantile_values(df, [col], [q])[(col, q)] if threshold is None else threshold
-    return df.withColumn(out, _flag(F.col(col) >= F.lit(t)) if t is not None else F.lit(0))
+    return df.withColumn(out, _flag(clean_double(col) >= F.lit(t)) if t is not None else F.lit(0))
 
 
 def flag_gt(df: DataFrame, col: str, x=2, out: str = "is_high_support") -> DataFrame:
     """1 when ``col > x``."""
-    return df.withColumn(out, _flag(F.col(col) > F.lit(x)))
+    return df.withColumn(out, _flag(clean_double(col) > F.lit(x)))
 
 
 def flag_le_quantile(df: DataFrame, col: str, q: float = 0.25, out: str = "is_low_engagement",
                      threshold: float | None = None) -> DataFrame:
     """1 when ``col <= P_q(col)``."""
     t = quantile_values(df, [col], [q])[(col, q)] if threshold is None else threshold
-    return df.withColumn(out, _flag(F.col(col) <= F.lit(t)) if t is not None else F.lit(0))
+    return df.withColumn(out, _flag(clean_double(col) <= F.lit(t)) if t is not None else F.lit(0))
 
 
 def categories_of(df: DataFrame, col: str, max_categories: int = 1000) -> list:
@@ -107,8 +107,8 @@ def extremes_of(df: DataFrame, cols: list[str]) -> dict:
     """{column: (min, max)} for several columns in one aggregate pass."""
     if not cols:
         return {}
-    row = df.agg(*[F.min(F.col(c).cast("double")).alias(f"mn{i}") for i, c in enumerate(cols)],
-                 *[F.max(F.col(c).cast("double")).alias(f"mx{i}") for i, c in enumerate(cols)]).first()
+    row = df.agg(*[F.min(clean_double(c)).alias(f"mn{i}") for i, c in enumerate(cols)],
+                 *[F.max(clean_double(c)).alias(f"mx{i}") for i, c in enumerate(cols)]).first()
     return {c: (row[f"mn{i}"], row[f"mx{i}"]) for i, c in enumerate(cols)}
 
 
@@ -117,7 +117,7 @@ def scale_by_max(df: DataFrame, col: str, out: str = "support_risk_score", maxim
     m = extremes_of(df, [col])[col][1] if maximum is None else maximum
     if m is None or m <= 0:
         return df.withColumn(out, F.lit(0.0))
-    return df.withColumn(out, F.col(col) / F.lit(m))
+    return df.withColumn(out, clean_double(col) / F.lit(m))
 
 
 def minmax_mean(df: DataFrame, cols: list[str], out: str = "customer_value_tier",
@@ -127,7 +127,7 @@ def minmax_mean(df: DataFrame, cols: list[str], out: str = "customer_value_tier"
     parts = []
     for c in cols:
         mn, mx = ext[c]
-        parts.append((F.col(c) - F.lit(mn)) / F.lit(mx - mn) if mn is not None and mx > mn else F.lit(0.0))
+        parts.append((clean_double(c) - F.lit(mn)) / F.lit(mx - mn) if mn is not None and mx > mn else F.lit(0.0))
     return df.withColumn(out, sum(parts[1:], parts[0]) / F.lit(float(len(cols))))
 
 
@@ -139,4 +139,4 @@ def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     out = out or f"{col}_encoded"
     s = df.withColumn("__s", F.col(col).cast("string"))
     dic = dense_rank_values(s, "__s", out="__code")
-    return s.join(dic, "__s", "left").withColumn(out, F.col("__code").cast("int")).drop("__s", "__code")
+    return s.join(dic, "__s", "left").withColumn(out, F.col("__code").cast("long")).drop("__s", "__code")

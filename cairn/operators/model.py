@@ -7,6 +7,7 @@ evaluation operators, grouped by fold so k folds cost one metrics pass.
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from concurrent.futures import ThreadPoolExecutor
 
@@ -15,11 +16,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from cairn.functions.columns import hash_order, r6
+from cairn.functions.columns import hash_order, hash_uniform, r6
 from cairn.operators import evaluate as ev
-from cairn.operators.ranking import running_sum
+from cairn.operators.ranking import global_rank, running_sum
 from cairn.operators.select import NON_FEATURES
 from cairn.operators.split import assign_folds
 from cairn.operators.treeshap import tree_shap_attribution
@@ -31,18 +32,50 @@ DEFAULT_PARAMS = dict(PIPELINE_PARAMS, maxIter=200)
 TEST_PARAMS = dict(PIPELINE_PARAMS, maxIter=50, maxDepth=4)
 PIPELINE_FOLDS, TEST_FOLDS = 5, 3
 METRICS = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
-# Rows per training partition: tree induction is one histogram pass per level,
-# so partitions are sized to the data (tiny frames -> few tasks, 100 TB -> many).
-ROWS_PER_PARTITION = 200_000
-
-
-def training_partitions(n_rows: int) -> int:
-    return max(1, -(-int(n_rows) // ROWS_PER_PARTITION))
+# The names that gradient-boosting libraries of the scikit-learn kind use, and Spark's.
+PARAM_NAMES = {"max_depth": "maxDepth", "n_estimators": "maxIter", "learning_rate": "stepSize", "subsample": "subsamplingRate",
+               "colsample_bytree": "featureSubsetStrategy", "random_state": "seed", "max_bins": "maxBins",
+               "min_child_weight": "minInstancesPerNode"}
+IMPLIED = {"objective": "binary:logistic", "eval_metric": "logloss"}    # what the classifier optimises anyway
+EARLY_STOPPING = "early_stopping_rounds"
+VALIDATION_SHARE = 0.1      # rows held out of a fit that may stop early
+VALID = "__valid"
+
+
+def spark_params(params: dict | None = None) -> dict:
+    """Classifier arguments from Spark's or the common parameter names; an unknown name or another objective raises.
+
+    ``early_stopping_rounds`` (a positive number) switches early stopping on:
+    boosting ends as soon as the loss of held-out rows no longer improves,
+    however large the number, as Spark keeps no patience."""
+    out, known = {}, {p.name for p in GBTClassifier().params}
+    for name, value in (PIPELINE_PARAMS if params is None else params).items():
+        to = PARAM_NAMES.get(name, name)
+        if name == EARLY_STOPPING:
+            if value:
+                out["validationIndicatorCol"] = VALID
+        elif name in IMPLIED:
+            if value != IMPLIED[name]:
+                raise ValueError(f"{name}={value!r}: only {IMPLIED[name]!r} is supported")
+        elif to in known:
+            out[to] = str(value) if to == "featureSubsetStrategy" else value
+        else:
+            raise ValueError(f"unknown model parameter {name!r}")
+    return out
 
 
-def sized(df: DataFrame, n_rows: int) -> DataFrame:
-    """Repartition a training frame to ``training_partitions(n_rows)`` (round robin, even sizes)."""
-    return df.repartition(training_partitions(n_rows))
+def training_frame(df: DataFrame, key: str, cols: list[str], partitions: int | None = None, seed: int = 42,
+                   params: dict | None = None) -> DataFrame:
+    """Rows in an order that does not depend on how the input was partitioned: dealt to
+    ``partitions`` (default: the session's shuffle partitions) by a hash of the key and sorted in each.
+    Bagging draws per partition and position, so the same count gives the same model; tree induction
+    reads every partition once per level, so the count is chosen for the cluster's cores.
+    With early stopping, a seeded hash of the key marks the validation rows."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = df.select(*cols)
+    if "validationIndicatorCol" in spark_params(params):
+        out = out.withColumn(VALID, hash_uniform(seed, key, "valid") < VALIDATION_SHARE)
+    return out.repartition(n, F.col(key)).sortWithinPartitions(key, *[c for c in cols if c != key])
 
 
 def model_features(df: DataFrame, target: str = "churned", exclude=NON_FEATURES + ("split", "fold")) -> list[str]:
@@ -61,13 +94,13 @@ def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataF
 
 
 def gbt(target: str = "churned", params: dict | None = None) -> GBTClassifier:
-    p = dict(PIPELINE_PARAMS if params is None else params)
-    return GBTClassifier(labelCol=target, featuresCol="features", predictionCol="prediction", **p)
+    return GBTClassifier(labelCol=target, featuresCol="features", predictionCol="prediction", **spark_params(params))
 
 
 def fit_gbt(df: DataFrame, features: list[str], target: str = "churned", params: dict | None = None) -> PipelineModel:
-    """M2: assembler + gradient-boosted trees as one ``PipelineModel``."""
-    train = df.select(*features, F.col(target).cast("double").alias(target))
+    """M2: assembler + gradient-boosted trees as one ``PipelineModel`` (see ``training_frame`` for its rows)."""
+    valid = [VALID] if "validationIndicatorCol" in spark_params(params) else []
+    train = df.select(*features, F.col(target).cast("double").alias(target), *valid)
     return Pipeline(stages=[assembler(features), gbt(target, params)]).fit(train)
 
 
@@ -116,13 +149,6 @@ def training_metrics(scored: DataFrame, label: str = "churned") -> DataFrame:
     return metrics_by_group(scored, label)
 
 
-def _fold_frames(df: DataFrame, features: list[str], target: str, k: int, key: str, seed: int,
-                 n_rows: int | None) -> DataFrame:
-    folded = assign_folds(df.select(key, target, *features), key, target, k, seed)
-    n = folded.count() if n_rows is None else n_rows
-    return sized(folded, n).persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def _fit_fold(folded: DataFrame, i: int, features, target, params, key) -> DataFrame:
     m = fit_gbt(folded.where(F.col("fold") != i), features, target, params)
     return score(m, folded.where(F.col("fold") == i), [key, target, "fold"])
@@ -133,22 +159,34 @@ def _fold_metrics(parts: list[DataFrame], target: str) -> DataFrame:
     for p in parts[1:]:
         held_out = held_out.unionByName(p)
     held_out = held_out.persist(StorageLevel.MEMORY_AND_DISK)
-    out = metrics_by_group(held_out, target, group=["fold"]).persist()
-    out.count()
+    found = metrics_by_group(held_out, target, group=["fold"])
+    out = held_out.sparkSession.createDataFrame(found.collect(), found.schema)     # one row per fold
     held_out.unpersist()
     return out
 
 
+def _parallelism(spark: SparkSession, jobs: int, asked: int | None) -> int:
+    """Fits that run at once: as asked, else two cores a fit."""
+    return max(1, min(jobs, asked or spark.sparkContext.defaultParallelism // 2))
+
+
+def _folded(df, features, target, k, key, seed, partitions, params) -> DataFrame:
+    """The one persisted frame that all fits read, with a fold column where there are folds."""
+    base = df.select(key, target, *features)
+    if k:
+        base = assign_folds(base, key, target, k, seed)
+    return training_frame(base, key, base.columns, partitions, seed, params).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def cross_validate(df: DataFrame, features: list[str], target: str = "churned", params: dict | None = None,
                    k: int = PIPELINE_FOLDS, key: str = "customer_id", seed: int = 42,
-                   n_rows: int | None = None, parallelism: int | None = None) -> DataFrame:
+                   parallelism: int | None = None, partitions: int | None = None) -> DataFrame:
     """M4: stratified k-fold CV - k fits (one per fold, all metrics from it),
     then one grouped metrics pass over the union of held-out predictions.
-    Fold fits run as concurrent Spark jobs (``parallelism``, default k), as
-    ``CrossValidator(parallelism=...)`` does.
+    Fold fits run as concurrent Spark jobs, as ``CrossValidator(parallelism=...)`` does.
     Returns (fold, accuracy, precision, recall, f1_score, roc_auc)."""
-    folded = _fold_frames(df, features, target, k, key, seed, n_rows)
-    with ThreadPoolExecutor(max_workers=parallelism or k) as pool:
+    folded = _folded(df, features, target, k, key, seed, partitions, params)
+    with ThreadPoolExecutor(max_workers=_parallelism(df.sparkSession, k, parallelism)) as pool:
         parts = list(pool.map(lambda i: _fit_fold(folded, i, features, target, params, key), range(k)))
     out = _fold_metrics(parts, target)
     folded.unpersist()
@@ -175,31 +213,31 @@ def importance(model: PipelineModel, features: list[str], k: int | None = 10) ->
 
 
 def permutation_attribution(model: PipelineModel, df: DataFrame, features: list[str], key: str = "customer_id",
-                            n: int = 100, seed: int = 42) -> DataFrame:
+                            n: int | None = None, seed: int = 42) -> DataFrame:
     """Permutation attribution (a model-agnostic companion to E11's tree SHAP in
-    ``treeshap.py``): mean |p - p_permuted| per feature on a seeded sample of n rows.
-
-    For each feature the sample is scored once more with that column taken
-    from another sample row (pairing by two seeded hash orders, a join on
-    rank).  All permuted copies are unioned and scored in one transform."""
-    sample = ev.sample_rows(df.select(key, *features), key, n, seed)
-    w = Window.orderBy(hash_order(seed, key), F.col(key))   # bounded: at most n rows
-    base = sample.withColumn("__r", F.row_number().over(w)).persist(StorageLevel.MEMORY_AND_DISK)
-    copies = []
+    ``treeshap.py``): mean |p - p_permuted| per feature over all rows, or over a seeded sample of ``n``.
+
+    For each feature the rows are scored once more with that column taken
+    from another row (pairing by two seeded hash orders: distributed ranks
+    and a join).  All permuted copies are unioned and scored in one transform."""
+    rows = df.select(key, *features)
+    rows = rows if n is None else ev.sample_rows(rows, key, n, seed)
+    base = global_rank(rows, [hash_order(seed, key), F.col(key)], out="__r").df.persist(StorageLevel.MEMORY_AND_DISK)
+    permuted = None
     for f in features:
-        wf = Window.orderBy(hash_order(seed + 1, F.concat(F.lit(f + ":"), F.col(key).cast("string"))), F.col(key))
-        donor = base.select(F.row_number().over(wf).alias("__r"), F.col(f).alias("__v"))
-        perm = base.join(donor, "__r").select(F.lit(f).alias("__feature"), key,
-                                              *[F.col("__v").alias(c) if c == f else F.col(c) for c in features])
-        copies.append(perm)
-    permuted = copies[0]
-    for c in copies[1:]:
-        permuted = permuted.unionByName(c)
+        donors = global_rank(base.select(key, F.col(f).alias("__v")),
+                             [hash_order(seed + 1, F.concat(F.lit(f + ":"), F.col(key).cast("string"))), F.col(key)], out="__r").df
+        perm = base.join(donors.select("__r", "__v"), "__r").select(
+            F.lit(f).alias("__feature"), key, *[F.col("__v").alias(c) if c == f else F.col(c) for c in features])
+        permuted = perm if permuted is None else permuted.unionByName(perm)
     p0 = score(model, base.select(key, *features), [key]).select(key, F.col("probability_1").alias("p0"))
     pp = score(model, permuted, ["__feature", key]).select("__feature", key, F.col("probability_1").alias("pp"))
     att = pp.join(p0, key).groupBy(F.col("__feature").alias("feature")) \
-        .agg(r6(F.avg(F.abs(F.col("pp") - F.col("p0")))).alias("attribution"))
-    return att.orderBy(F.col("attribution").desc(), F.col("feature"))
+        .agg(r6(F.avg(F.abs(F.col("pp") - F.col("p0")))).alias("attribution")) \
+        .orderBy(F.col("attribution").desc(), F.col("feature"))
+    out = df.sparkSession.createDataFrame(att.collect(), "feature string, attribution double")     # one row per feature
+    base.unpersist()
+    return out
 
 
 RECORD_SCHEMA = T.StructType([
@@ -216,50 +254,55 @@ RECORD_SCHEMA = T.StructType([
     T.StructField("feature_columns", T.ArrayType(T.StringType())),
     T.StructField("top_features", T.ArrayType(T.StructType([
         T.StructField("feature", T.StringType()), T.StructField("importance", T.DoubleType())]))),
+    T.StructField("recorded_at", T.TimestampType()), T.StructField("data_source", T.StringType()),
+    T.StructField("mode", T.StringType()),
 ])
 
 
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 def training_record(spark, name: str, version: str, n_train: int, features: list[str], target: str,
                     seconds: float, params: dict, folds: int, cv: DataFrame | None, metrics: DataFrame,
-                    top: DataFrame) -> DataFrame:
+                    top: DataFrame, source: str | None = None, mode: str = "cluster") -> DataFrame:
     """M8: one-row nested record of the training run (all inputs already small)."""
     cv_rows = [] if cv is None else [(r["metric"], r["mean"], r["std"], list(r["scores"])) for r in cv.collect()]
     m = metrics.first().asDict()
     row = (name, version, "GBTClassifier", int(n_train), len(features), target, float(seconds),
            {k: str(v) for k, v in params.items()}, int(folds), cv_rows, {k: m[k] for k in METRICS},
-           list(features), [(r["feature"], r["importance"]) for r in top.collect()])
+           list(features), [(r["feature"], r["importance"]) for r in top.collect()], _now(), source, mode)
     return spark.createDataFrame([row], RECORD_SCHEMA)
 
 
 def train(df: DataFrame, target: str = "churned", params: dict | None = None, folds: int = PIPELINE_FOLDS,
           key: str = "customer_id", name: str = "gbt_churn_model", version: str = "v1", seed: int = 42,
-          parallelism: int | None = None):
+          parallelism: int | None = None, partitions: int | None = None, source: str | None = None,
+          mode: str = "cluster"):
     """Train step: CV, final fit, training metrics, importance, record.
-    Returns (model, features, record DataFrame, cv fold table)."""
-    features = model_features(df, target)
-    n = df.count()
-    train_df = sized(df.select(key, target, *features), n).persist(StorageLevel.MEMORY_AND_DISK)
+    Returns (model, features, record DataFrame, cv fold table); nothing stays persisted."""
+    features = model_features(df, target, exclude=(*NON_FEATURES, "split", "fold", key))
     k = folds if folds and folds > 1 else 0
-    folded = _fold_frames(train_df, features, target, k, key, seed, n) if k else None
+    folded = _folded(df, features, target, k, key, seed, partitions, params)
+    n = folded.count()
 
     def final_fit():
         t0 = time.time()
-        m = fit_gbt(train_df, features, target, params)
+        m = fit_gbt(folded, features, target, params)
         return m, time.time() - t0
 
     # the final fit and the k fold fits are independent: run them as concurrent jobs
-    with ThreadPoolExecutor(max_workers=(parallelism or k + 1)) as pool:
+    with ThreadPoolExecutor(max_workers=_parallelism(df.sparkSession, k + 1, parallelism)) as pool:
         final = pool.submit(final_fit)
         fold_parts = [pool.submit(_fit_fold, folded, i, features, target, params, key) for i in range(k)]
         model, secs = final.result()
         parts = [f.result() for f in fold_parts]
     cv = _fold_metrics(parts, target) if k else None
-    if folded is not None:
-        folded.unpersist()
-    metrics = training_metrics(score(model, train_df, [key, target]), target)
+    metrics = training_metrics(score(model, folded, [key, target]), target)
     rec = training_record(df.sparkSession, name, version, n, features, target, secs,
                           dict(PIPELINE_PARAMS if params is None else params), folds or 0,
-                          cv_summary(cv) if cv is not None else None, metrics, importance(model, features, 10))
+                          cv_summary(cv) if cv is not None else None, metrics, importance(model, features, 10), source, mode)
+    folded.unpersist()
     return model, features, rec, cv
 
 
@@ -278,16 +321,20 @@ EVAL_SCHEMA = T.StructType([
     T.StructField("attribution_sample_size", T.IntegerType()),
     T.StructField("prediction_time_seconds", T.DoubleType()),
     T.StructField("feature_columns", T.ArrayType(T.StringType())),
+    T.StructField("recorded_at", T.TimestampType()), T.StructField("data_source", T.StringType()),
+    T.StructField("mode", T.StringType()),
 ])
 
 
 def evaluate(model: PipelineModel, test: DataFrame, features: list[str], target: str = "churned",
              key: str = "customer_id", name: str = "gbt_churn_model", version: str = "v1",
-             attribution_rows: int = 100, seed: int = 42):
-    """Evaluate step: scores, E1-E13 and the E14 record.
-    Returns (scored DataFrame, record DataFrame)."""
+             attribution_rows: int = 100, seed: int = 42, generate_shap: bool = True, source: str | None = None,
+             mode: str = "cluster"):
+    """Evaluate step: scores, E1-E13 and the E14 record (without attribution when ``generate_shap`` is off).
+    Returns (scored DataFrame, record DataFrame); the scores are computed anew where they are read again."""
     t0 = time.time()
-    scored = score(model, test, [key, target]).persist(StorageLevel.MEMORY_AND_DISK)
+    result = score(model, test, [key, target])
+    scored = result.persist(StorageLevel.MEMORY_AND_DISK)
     n = scored.count()
     secs = time.time() - t0
     s = scored.select(F.col(target).alias("label"), "prediction", F.col("probability_1").alias("score"))
@@ -299,11 +346,13 @@ def evaluate(model: PipelineModel, test: DataFrame, features: list[str], target:
     rep = [tuple(r) for r in ev.class_report_from_confusion(c).collect()]
 
     def attribution():
+        if not generate_shap:
+            return [], None
         try:
             return [tuple(r) for r in tree_shap_attribution(model, test, features, key,
                                                             attribution_rows, seed).collect()], None
         except Exception as e:  # attribution failure becomes part of the record
-            return [], str(e)[:2000]
+            return [], str(e)
 
     with ThreadPoolExecutor(max_workers=2) as pool:   # independent jobs: AUC and attribution
         auc = pool.submit(lambda: ev.roc_auc(s).first()["roc_auc"])  # noqa: B023
@@ -311,6 +360,7 @@ def evaluate(model: PipelineModel, test: DataFrame, features: list[str], target:
         basic["roc_auc"] = auc.result()
         att, err = att_f.result()
     row = (name, version, int(n), len(features), {k: (None if v is None else float(v)) for k, v in basic.items()},
-           {k: int(v) for k, v in conf.items()}, rep, att, err, int(min(attribution_rows, n)), float(secs),
-           list(features))
-    return scored, test.sparkSession.createDataFrame([row], EVAL_SCHEMA)
+           {k: int(v) for k, v in conf.items()}, rep, att, err, int(min(attribution_rows, n)) if generate_shap else 0, float(secs),
+           list(features), _now(), source, mode)
+    scored.unpersist()
+    return result, test.sparkSession.createDataFrame([row], EVAL_SCHEMA)

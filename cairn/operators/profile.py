@@ -7,11 +7,12 @@ import math
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from cairn.functions.columns import kind_of, r6
+from cairn.functions.columns import clean_double, kind_of, r6
 from cairn.operators.ranking import running_sum
 
 
-def _is_missing(df: DataFrame, c: str):
+def is_missing(df: DataFrame, c: str):
+    """NULL, or NaN in a floating-point column."""
     col = F.col(c)
     if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
         return col.isNull() | F.isnan(col)
@@ -22,7 +23,7 @@ def null_summary(df: DataFrame, only_missing: bool = True) -> DataFrame:
     """A1: (column, null_count, null_share) in one pass; by default only columns with nulls."""
     cols = df.columns
     agg = df.agg(F.count(F.lit(1)).alias("__n"),
-                 *[F.count_if(_is_missing(df, c)).alias(f"__m{i}") for i, c in enumerate(cols)])
+                 *[F.count_if(is_missing(df, c)).alias(f"__m{i}") for i, c in enumerate(cols)])
     stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"__m{i}").alias("null_count"))
                                   for i, c in enumerate(cols)]))
     out = agg.select("__n", stacked.alias("s")).select("s.column", "s.null_count", "__n")
@@ -34,7 +35,7 @@ def null_summary(df: DataFrame, only_missing: bool = True) -> DataFrame:
 
 def total_nulls(df: DataFrame) -> DataFrame:
     """Total missing cells as a one-row frame (``total_nulls``)."""
-    return df.agg(sum(F.count_if(_is_missing(df, c)) for c in df.columns).alias("total_nulls")) \
+    return df.agg(sum(F.count_if(is_missing(df, c)) for c in df.columns).alias("total_nulls")) \
         if df.columns else df.sparkSession.range(1).select(F.lit(0).cast("long").alias("total_nulls"))
 
 
@@ -51,8 +52,8 @@ def value_counts(df: DataFrame, col: str, out: str = "n") -> DataFrame:
 
 
 def mean_rate(df: DataFrame, col: str, out: str = "rate") -> DataFrame:
-    """A4: mean of a 0/1 column."""
-    return df.agg(F.count(F.lit(1)).alias("n"), r6(F.avg(col)).alias(out))
+    """A4: mean of a 0/1 column over its values (NULL and NaN are none)."""
+    return df.agg(F.count(F.lit(1)).alias("n"), r6(F.avg(clean_double(col))).alias(out))
 
 
 def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -161,8 +162,8 @@ def modes(df: DataFrame, cols: list[str], default: str = "Unknown") -> DataFrame
 
 def extremes(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column, min_value, max_value) in one pass."""
-    agg = df.agg(*[F.struct(F.lit(c).alias("column"), F.min(F.col(c).cast("double")).alias("min_value"),
-                            F.max(F.col(c).cast("double")).alias("max_value")).alias(f"__e{i}")
+    agg = df.agg(*[F.struct(F.lit(c).alias("column"), F.min(clean_double(c)).alias("min_value"),
+                            F.max(clean_double(c)).alias("max_value")).alias(f"__e{i}")
                    for i, c in enumerate(cols)])
     return agg.select(F.explode(F.array(*[F.col(f"__e{i}") for i in range(len(cols))])).alias("s")) \
         .select("s.column", r6("s.min_value").alias("min_value"), r6("s.max_value").alias("max_value"))
@@ -192,7 +193,7 @@ def min_class_check(df: DataFrame, target: str, test_size: float = 0.2) -> DataF
 def summary(df: DataFrame, target: str | None = "churned") -> DataFrame:
     """A10: rows, columns, missing cells and target rate in one pass."""
     aggs = [F.count(F.lit(1)).alias("n_rows"),
-            (sum(F.count_if(_is_missing(df, c)) for c in df.columns)).alias("n_missing")]
+            (sum(F.count_if(is_missing(df, c)) for c in df.columns)).alias("n_missing")]
     if target and target in df.columns:
-        aggs.append(r6(F.avg(target)).alias("target_rate"))
+        aggs.append(r6(F.avg(clean_double(target))).alias("target_rate"))
     return df.agg(*aggs).withColumn("n_columns", F.lit(len(df.columns)))

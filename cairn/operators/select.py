@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cairn.functions.columns import kind_of
+from cairn.functions.columns import clean_double, kind_of
 
 # Columns that are never model features.
 NON_FEATURES = ("customer_id", "churned", "split_type", "split_timestamp")
@@ -28,8 +28,8 @@ def drop_non_numeric(df: DataFrame, kinds=("string", "date", "timestamp")) -> Da
 
 
 def count_outside(df: DataFrame, col: str, lo=None, hi=None, out: str = "n_outside") -> DataFrame:
-    """Rows with ``col < lo or col > hi`` (NULL never counts), one pass."""
-    c = F.col(col)
+    """Rows with ``col < lo or col > hi`` (NULL and NaN never count), one pass."""
+    c = clean_double(col)
     cond = F.lit(False)
     if lo is not None:
         cond = cond | (c < lo)

@@ -15,8 +15,7 @@ import math
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cairn.functions.columns import hash_order, numeric_columns, r6
-from cairn.operators.joins import key_overlap_report
-from cairn.operators.ranking import global_rank, kth_rows, kth_rows_multi
+from cairn.operators.ranking import kth_rows, kth_rows_multi
 from cairn.operators.select import NON_FEATURES
 
 log = logging.getLogger(__name__)
@@ -42,13 +41,19 @@ def class_quotas(counts: dict, n_test: int) -> dict:
     return quota
 
 
-def _class_counts(df: DataFrame, target: str) -> dict:
-    rows = df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{target}: more than {MAX_CLASSES} classes to stratify on")
+def _class_counts(df: DataFrame, target: str, max_classes: int = MAX_CLASSES) -> dict:
+    rows = df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).limit(max_classes + 1).collect()
+    if len(rows) > max_classes:
+        raise ValueError(f"{target}: more than {max_classes} classes to stratify on; raise max_classes")
     return {r[target]: r["n"] for r in rows}
 
 
+def _require_keys(df: DataFrame, key: str) -> None:
+    """Rows are chosen by their key's hash, so a NULL key has no place in the order."""
+    if not df.where(F.col(key).isNull()).isEmpty():
+        raise ValueError(f"NULL in split key {key}")
+
+
 LITERAL_CUTS = 64   # up to this many classes the cuts are literals; beyond, a broadcast join
 
 
@@ -78,16 +83,20 @@ def _split_by_quota(df: DataFrame, key: str, quotas: dict, seed: int, target: st
 def random_split(df: DataFrame, key: str = "customer_id", test_size: float = 0.2,
                  seed: int = SEED, out: str = "split") -> DataFrame:
     """ceil(n * test_size) rows go to test, chosen by seeded hash."""
+    _require_keys(df, key)
     n = df.count()
     return _split_by_quota(df, key, {(): math.ceil(n * test_size)}, seed, None, out)
 
 
 def stratified_split(df: DataFrame, key: str = "customer_id", target: str = "churned",
-                     test_size: float = 0.2, seed: int = SEED, out: str = "split") -> DataFrame:
+                     test_size: float = 0.2, seed: int = SEED, out: str = "split",
+                     max_classes: int = MAX_CLASSES) -> DataFrame:
     """T1 (+T3 fallback): class shares kept by largest remainder; a class with
     fewer than 2 rows (or too few rows for one seat per class) falls back to
-    a random split with a warning."""
-    counts = _class_counts(df, target)
+    a random split with a warning.  NULL is a class of its own; a NULL key raises.
+    Class counts and cuts are held by the driver, so ``max_classes`` bounds them."""
+    _require_keys(df, key)
+    counts = _class_counts(df, target, max_classes)
     n = sum(counts.values())
     n_test = math.ceil(n * test_size)
     if not counts or min(counts.values()) < 2 or n_test < len(counts) or n - n_test < len(counts):
@@ -103,23 +112,32 @@ def train_test(df: DataFrame, split_col: str = "split") -> tuple[DataFrame, Data
 
 
 def assign_folds(df: DataFrame, key: str = "customer_id", target: str = "churned", k: int = 5,
-                 seed: int = SEED, out: str = "fold") -> DataFrame:
+                 seed: int = SEED, out: str = "fold", max_classes: int = MAX_CLASSES) -> DataFrame:
     """M3: stratified k folds.  Within each class, rows in seeded-hash order
     are cut into k contiguous blocks: fold = ceil(rank * k / n_class) - 1, so
     each class's fold sizes differ by at most one.
 
     Only the k - 1 cut rows per class are selected (distributed rank on the
     narrow (class, hash, key) projection); the fold is then a projection on
-    the wide rows, which are never shuffled."""
-    counts = _class_counts(df, target)
+    the wide rows, which are never shuffled.  Up to LITERAL_CUTS cuts they
+    are literals, beyond that a broadcast table of one row per class
+    (``max_classes`` at most).  NULL is a class of its own; a NULL key raises."""
+    _require_keys(df, key)
+    counts = _class_counts(df, target, max_classes)
     cuts = {(c,): [math.floor(i * n / k) for i in range(1, k)] for c, n in counts.items()}
     h = hash_order(seed, key)
     keyed = df.select(F.col(key), F.col(target), h.alias("__h"))
     kt = dict(df.dtypes)[key]
     row_key = F.struct(h.alias("h"), F.col(key).alias("k"))
-    if sum(len(v) for v in cuts.values()) > 4 * LITERAL_CUTS:
-        return _folds_by_rank(df, keyed, counts, key, target, k, out)
     sel = kth_rows_multi(keyed, [F.col("__h"), F.col(key)], cuts, [target])
+    if sum(len(v) for v in cuts.values()) > 4 * LITERAL_CUTS:
+        tt = dict(df.dtypes)[target]
+        rows = [(c[0], [(sel[(c, p)]["__h"], sel[(c, p)][key]) for p in positions if p > 0])
+                for c, positions in cuts.items()]
+        table = df.sparkSession.createDataFrame(rows, f"`{target}` {tt}, __cuts array<struct<h: string, k: {kt}>>")
+        j = df.join(F.broadcast(table), df[target].eqNullSafe(table[target]), "left")
+        above = F.size(F.filter("__cuts", lambda x: row_key > x))
+        return j.select(*[df[c] for c in df.columns], above.cast("int").alias(out))
     fold = F.lit(0)
     for c, positions in cuts.items():
         above = [(row_key > F.struct(F.lit(sel[(c, p)]["__h"]).alias("h"),
@@ -130,15 +148,6 @@ def assign_folds(df: DataFrame, key: str = "customer_id", target: str = "churned
     return df.withColumn(out, fold.cast("int"))
 
 
-def _folds_by_rank(df, keyed, counts, key, target, k, out):
-    """Many-class path: per-row rank, class sizes from a small table (<= MAX_CLASSES rows)."""
-    rs = global_rank(keyed, [F.col("__h"), F.col(key)], [target], out="__r")
-    sizes = df.sparkSession.createDataFrame(list(counts.items()), f"`{target}` {dict(df.dtypes)[target]}, __n long")
-    r = rs.df.join(F.broadcast(sizes), target)
-    folds = r.select(key, (F.ceil(F.col("__r") * k / F.col("__n")) - 1).cast("int").alias(out))
-    return df.join(folds, key, "inner")
-
-
 def balance_report(df: DataFrame, target: str = "churned", split_col: str = "split",
                    warn: float = BALANCE_WARN) -> DataFrame:
     """T4: target rate per split, absolute difference, warn flag (one pass, no shuffle)."""
@@ -183,12 +192,18 @@ def drift_summary(report: DataFrame, ok: float = DRIFT_OK) -> DataFrame:
 
 def leakage_check(df: DataFrame, key: str = "customer_id", split_col: str = "split",
                   fail: bool = True) -> DataFrame:
-    """Keys present in both splits; raises when ``fail`` and any exist."""
-    tr, te = train_test(df, split_col)
-    rep = key_overlap_report(tr, te, key)
-    if fail and rep.first()["n_overlap"] > 0:
-        raise ValueError("data leakage detected: same keys in train and test")
-    return rep
+    """Keys present in both splits as a one-row report (n_overlap, leakage);
+    raises when ``fail`` and any exist.  One grouped pass: two flags per key."""
+    per_key = (df.where(F.col(key).isNotNull()).groupBy(key)
+               .agg(F.max((F.col(split_col) == TRAIN).cast("int")).alias("a"),
+                    F.max((F.col(split_col) == TEST).cast("int")).alias("b")))
+    rep = per_key.agg(F.count_if((F.col("a") == 1) & (F.col("b") == 1)).alias("n_overlap"))
+    if fail:
+        n = rep.first()["n_overlap"]
+        if n > 0:
+            raise ValueError("data leakage detected: same keys in train and test")
+        rep = df.sparkSession.createDataFrame([(n,)], "n_overlap long")
+    return rep.withColumn("leakage", F.col("n_overlap") > 0)
 
 
 def split_summary(df: DataFrame, split_col: str = "split") -> DataFrame:

@@ -325,7 +325,7 @@ FROM (SELECT customer_id, CAST(DATE '2001-08-01' - CAST(account_created_date AS
     "f10_support_risk_score": with_blocks(ENG_BLOCKS, "SELECT customer_id, round(support_risk_score, 6) AS support_risk_score FROM eng"),
     "f11_customer_value_tier": with_blocks(ENG_BLOCKS, "SELECT customer_id, round(customer_value_tier, 6) AS customer_value_tier FROM eng"),
     "f12_label_encode": with_blocks([TRANS], """
-SELECT customer_id, CAST(dense_rank() OVER (ORDER BY CAST(customer_id AS VARCHAR)) - 1 AS INTEGER) AS customer_id_encoded
+SELECT customer_id, CAST(dense_rank() OVER (ORDER BY CAST(customer_id AS VARCHAR)) - 1 AS BIGINT) AS customer_id_encoded
 FROM trans"""),
     "f13_date_parse_failures": with_blocks([DEMO], """
 SELECT count(*) FILTER (WHERE account_created_date IS NOT NULL AND try_cast(account_created_date AS DATE) IS NULL)
@@ -482,3 +482,90 @@ SELECT 'score_model' AS model, 'v1' AS version, metric, value FROM (
   UNPIVOT ({_BASIC}) ON accuracy, precision, recall, f1_score, specificity, false_positive_rate, false_negative_rate
   INTO NAME metric VALUE value)""",
 })
+
+
+# --- facts that any right model, registry or record has -----------------------
+_METRICS = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
+_N_FEATURES = len(FEATURE_COLS) - sum(c in ("customer_id", "churned") for c in FEATURE_COLS)
+
+
+def _rows(values: str, names: str) -> str:
+    return f"(VALUES {values}) t({names})"
+
+
+def _scored_rows(part: str) -> str:
+    return with_blocks(SPLIT_BLOCKS, f"""
+SELECT customer_id, churned, true AS probability_ok, true AS label_ok FROM esplit WHERE split = '{part}'""")
+
+
+_METRIC_ROWS = _rows(", ".join(f"('{m}')" for m in _METRICS), "metric")
+_FEATURE_ROWS = _rows(", ".join(f"('{c}')" for c in FEATURE_COLS if c not in ("customer_id", "churned")), "feature")
+_N_TEST = "(SELECT count(*) FROM esplit WHERE split = 'test')"
+_N_TRAIN = "(SELECT count(*) FROM esplit WHERE split = 'train')"
+_ASKED = _rows("('customer_transactions', 'None', 'v9'), ('customer_transactions', 'current', 'v9'), "
+               "('customer_transactions', 'latest', 'v10'), ('customer_demographics', 'latest', 'v2'), "
+               "('customer_demographics', 'v1', 'v1')", "name, requested, resolved")
+_COUNTS = """n AS (SELECT 'customer_transactions' AS name, count(*) AS n_rows FROM trans
+  UNION ALL SELECT 'customer_demographics', count(*) FROM demo)"""
+_A10 = SQL["a10_summary"]
+
+SQL.update({
+    "s3_versions_differ": with_blocks([DEMO], """
+SELECT customer_id, age, CAST(age AS VARCHAR) AS age_text, upper(region) AS extra FROM demo"""),
+    "s5_resolve_version": with_blocks([TRANS, DEMO, _COUNTS], f"""
+SELECT name, requested, resolved, n_rows FROM {_ASKED} JOIN n USING (name)"""),
+    "s6_latest_versions": with_blocks([TRANS, DEMO, _COUNTS], """
+SELECT 'view' AS kind, name, CASE WHEN name = 'customer_transactions' THEN 'v10' ELSE 'v2' END AS latest_version,
+       CAST(2 AS BIGINT) AS n_versions, n_rows FROM n"""),
+    "s7_find_view": with_blocks([TRANS], "SELECT *, 'customer_transactions' AS found FROM trans"),
+    "s8_list_views": with_blocks([TRANS, DEMO, _COUNTS], """
+SELECT 'view' AS kind, name, CASE WHEN name = 'customer_transactions' THEN 'v10' ELSE 'v2' END AS latest_version,
+       CAST(2 AS BIGINT) AS n_versions,
+       CASE WHEN name = 'customer_transactions' THEN 'latest transactions' ELSE '' END AS description, n_rows FROM n"""),
+    "s9_run_record": f"""
+SELECT 'preprocess' AS step, stat, value FROM (
+  UNPIVOT (SELECT CAST(n_rows AS DOUBLE) AS n_rows, CAST(n_missing AS DOUBLE) AS n_missing,
+                  CAST(target_rate AS DOUBLE) AS target_rate, CAST(n_columns AS DOUBLE) AS n_columns FROM ({_A10}))
+  ON COLUMNS(*) INTO NAME stat VALUE value)""",
+    "s10_model_roundtrip": with_blocks(SPLIT_BLOCKS, f"SELECT {_N_TEST} AS n_rows, CAST(0 AS BIGINT) AS n_different"),
+    "m2_gbt_fit": _scored_rows("train"),
+    "m5_score": _scored_rows("test"),
+    "m3_many_classes": """
+SELECT o_orderkey, cls, CAST(ceil(row_number() OVER (PARTITION BY cls ORDER BY md5('42:' || CAST(o_orderkey AS VARCHAR)), o_orderkey)
+                                  * 5 / count(*) OVER (PARTITION BY cls)) - 1 AS INTEGER) AS fold
+FROM (SELECT o_orderkey, nullif(o_custkey % 101, 0) AS cls FROM orders)""",
+    "m4_cross_validate": with_blocks(SPLIT_BLOCKS, """
+SELECT fold, count(*) AS n_held_out, true AS metrics_ok FROM (
+  SELECT CAST(ceil(row_number() OVER (PARTITION BY churned ORDER BY md5('42:' || CAST(customer_id AS VARCHAR)), customer_id)
+                   * 3 / count(*) OVER (PARTITION BY churned)) - 1 AS INTEGER) AS fold FROM esplit WHERE split = 'train')
+GROUP BY fold"""),
+    "m4_cv_summary": f"SELECT metric, CAST(3 AS INTEGER) AS n_folds, true AS mean_ok, true AS std_ok FROM {_METRIC_ROWS}",
+    "m6_training_metrics": f"SELECT metric, true AS same FROM {_METRIC_ROWS}",
+    "m7_importance": f"""
+SELECT CAST({_N_FEATURES} AS BIGINT) AS n_features, CAST(1 AS DOUBLE) AS total, CAST(0 AS BIGINT) AS n_negative, true AS sorted""",
+    "m8_training_record": with_blocks(SPLIT_BLOCKS, f"""
+SELECT 'gbt_churn_model' AS model_name, 'v1' AS model_version, {_N_TRAIN} AS training_samples,
+       CAST({_N_FEATURES} AS INTEGER) AS feature_count, 'churned' AS target_column, CAST(3 AS INTEGER) AS cv_folds,
+       CAST(5 AS INTEGER) AS n_cv_metrics, CAST(5 AS INTEGER) AS n_metrics, CAST({_N_FEATURES} AS INTEGER) AS n_feature_columns,
+       true AS timed"""),
+    "e11_permutation_attribution": f"SELECT feature, true AS in_range FROM {_FEATURE_ROWS}",
+    "e11_tree_shap_attribution": f"SELECT feature, true AS same FROM {_FEATURE_ROWS}",
+    "e11_tree_shap_values": with_blocks(SPLIT_BLOCKS, f"""
+SELECT customer_id, CAST({_N_FEATURES} AS INTEGER) AS n_values, true AS additive FROM esplit WHERE split = 'test'"""),
+    "e14_evaluation_record": with_blocks(SPLIT_BLOCKS, f"""
+SELECT metric, true AS same, {_N_TEST} AS test_samples, CAST({_N_FEATURES} AS BIGINT) AS feature_count,
+       least({_N_TEST}, 100) AS attribution_sample_size FROM {_METRIC_ROWS}"""),
+    "pipeline_end_to_end": with_blocks([*SPLIT_BLOCKS, _COUNTS], f"""
+SELECT name, 'v1' AS version, n_rows FROM n
+UNION ALL SELECT 'preprocessed_customer_features', 'v1', count(*) FROM prep
+UNION ALL SELECT 'engineered_customer_features', 'v1', count(*) FROM eng
+UNION ALL SELECT 'train_customer_features', 'v1', {_N_TRAIN}
+UNION ALL SELECT 'test_customer_features', 'v1', {_N_TEST}"""),
+    "c_nan_preprocess": """
+WITH e AS (SELECT user_id AS customer_id, CASE WHEN user_id % 7 <> 0 THEN round(sum(value), 6) END AS v FROM events GROUP BY user_id),
+q AS (SELECT quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS med, quantile_cont(v, 0.75) AS q3 FROM e)
+SELECT customer_id, round(coalesce(v, med), 6) AS spend,
+       round(CASE WHEN v IS NOT NULL THEN least(greatest(greatest(least(v, q3 + 1.5 * (q3 - q1)), q1 - 1.5 * (q3 - q1)), 0), 1000000) END, 6) AS raw,
+       CAST(coalesce(v >= q3, false) AS INTEGER) AS is_high,
+       round(CASE WHEN v > 0 THEN customer_id / v ELSE 0 END, 6) AS per_raw FROM e, q""",
+})

@@ -17,6 +17,7 @@ from cairn.operators import clean, features as feat, joins, profile
 from cairn.operators.select import drop_non_numeric
 from cairn.session import shared_dir
 from cairn.sources import views
+from cairn.sources.tables import normalise_nan
 
 log = logging.getLogger(__name__)
 
@@ -76,29 +77,31 @@ def cap_and_flag(df: DataFrame, report: PreprocessReport | None = None) -> DataF
 
 
 def preprocess(trans: DataFrame, demo: DataFrame, as_of: str = views.AS_OF,
-               report: PreprocessReport | None = None, cache: bool = True) -> DataFrame:
+               report: PreprocessReport | None = None, cache: bool = True, key: str = KEY,
+               max_categories: int = 1000) -> DataFrame:
     """J1 -> C1/C2 -> C3-C5 -> F1-F3 -> F4 -> F5-F8 (the order matters:
-    thresholds see capped data)."""
-    df = joins.join_inner(trans, demo, KEY)
+    thresholds see capped data).  NaN counts as missing throughout."""
+    trans, demo = normalise_nan(trans), normalise_nan(demo)
+    df = joins.join_inner(trans, demo, key)
     if cache:   # read by several stat passes: compute once, cut lineage, hold no executor memory
         shared_dir(df.sparkSession)
         held = df.persist(StorageLevel.MEMORY_AND_DISK)
         df = held.checkpoint(eager=True)
         held.unpersist()
     if report is not None:
-        report.coverage = joins.join_coverage(trans, df, KEY)
+        report.coverage = joins.join_coverage(trans, df, key)
     missing = clean.columns_with_missing(df)     # one pass serves C1 and C2
-    df = clean.impute_median(df, missing=missing)
-    df = clean.impute_mode(df, missing=missing)
+    df = clean.impute_median(df, exclude=(key,), missing=missing)
+    df = clean.impute_mode(df, exclude=(key,), missing=missing)
     df = cap_and_flag(df, report)
     if "region" in df.columns:
-        df = feat.one_hot(df, "region", "region")
+        df = feat.one_hot(df, "region", "region", max_categories=max_categories)
     if "account_created_date" in df.columns:
         df = feat.account_age(df, "account_created_date", as_of)
     return df
 
 
-def engineer(df: DataFrame) -> DataFrame:
+def engineer(df: DataFrame, key: str = KEY) -> DataFrame:
     """F9-F11, then C6 and P3: numeric features only, key and target kept."""
     if {"monthly_spend", "sessions_per_month"} <= set(df.columns):
         df = feat.safe_ratio(df, "monthly_spend", "sessions_per_month", "spend_per_session")
@@ -109,8 +112,9 @@ def engineer(df: DataFrame) -> DataFrame:
                                maximum=ext["support_tickets_last_month"][1])
     if len(mm_cols) == 2:
         df = feat.minmax_mean(df, mm_cols, "customer_value_tier", extremes=ext)
-    df = drop_non_numeric(df)
-    return clean.finite_or(df, exclude=(KEY,))
+    numeric = set(drop_non_numeric(df).columns) | {key}
+    df = df.select(*[c for c in df.columns if c in numeric])
+    return clean.finite_or(df, exclude=(key,))
 
 
 def preprocessed_view(spark, sf_dir: str, **kw) -> DataFrame:
@@ -135,70 +139,79 @@ def _warn_if(flag_df: DataFrame, col: str, msg: str) -> None:
         log.warning("%s: %s", msg, r.asDict())
 
 
-def run(spark, sf_dir: str, root: str, params: dict | None = None, folds: int = 3, version: str = "v1",
-        as_of: str = views.AS_OF, test_size: float = 0.2, seed: int = 42) -> dict:
+def run(spark, sf_dir: str | None, root: str, params: dict | None = None, folds: int | None = None, version: str = "v1",
+        as_of: str = views.AS_OF, test_size: float = 0.2, seed: int = 42, key: str = KEY, target: str = TARGET,
+        stratify: str | None = None, inputs: tuple[DataFrame, DataFrame] | None = None, generate_shap: bool = True,
+        max_classes: int = 10_000, max_categories: int = 1000, mode: str = "cluster") -> dict:
     """The whole pipeline over the registry at ``root``: register inputs ->
     preprocess -> engineer -> split (with its data checks) -> train -> evaluate.
     Each output is a versioned view, a saved model or logged metrics; each
-    step leaves a run record.  Returns the records and reports."""
+    step leaves a run record.  Returns the records and reports.
+
+    ``inputs`` are the (transactions, demographics) frames, such as those of
+    ``sources.generate``; without them the stand-in views of ``sf_dir`` are
+    read.  ``stratify`` is the split's column (default: the target).  The
+    defaults train PIPELINE_PARAMS with PIPELINE_FOLDS folds."""
     from cairn.operators import model as mdl, split as sp
     from cairn.operators.evaluate import predictions
     from cairn.operators.select import require_columns
     from cairn.sources import models as mstore, registry as reg
+    from cairn.sources.models import write_predictions
+
+    params = mdl.PIPELINE_PARAMS if params is None else params
+    folds = mdl.PIPELINE_FOLDS if folds is None else folds
+    stratify = stratify or target
 
     def record(step, prm, stats):
         reg.write_run_record(reg.run_record(spark, step, prm, stats), root)
 
-    reg.register_view(views.transactions(spark, sf_dir), root, "customer_transactions", [KEY], version)
-    reg.register_view(views.demographics(spark, sf_dir), root, "customer_demographics", [KEY], version)
+    def published(df, name):
+        reg.register_view(df, root, name, [key], version)
+        return reg.read_view(spark, root, name, version)
+
+    trans, demo = inputs or (views.transactions(spark, sf_dir), views.demographics(spark, sf_dir))
+    trans, demo = published(trans, "customer_transactions"), published(demo, "customer_demographics")
+    record("generate", {"version": version, "given": inputs is not None}, profile.summary(trans, target))
     rep = PreprocessReport()
-    pre = preprocess(reg.read_view(spark, root, "customer_transactions", version),
-                     reg.read_view(spark, root, "customer_demographics", version), as_of, rep)
+    pre = preprocess(trans, demo, as_of, rep, key=key, max_categories=max_categories)
     _warn_if(rep.coverage, "warn", "low join coverage")
-    reg.register_view(pre, root, "preprocessed_customer_features", [KEY], version)
-    pre = reg.read_view(spark, root, "preprocessed_customer_features", version)
+    pre = published(pre, "preprocessed_customer_features")
     record("preprocess", {"version": version, "as_of": as_of, "bounds": rep.bounds, "thresholds": rep.thresholds},
-           profile.summary(pre, TARGET))
+           profile.summary(pre, target))
 
-    eng = engineer(pre)
-    reg.register_view(eng, root, "engineered_customer_features", [KEY], version)
-    eng = reg.read_view(spark, root, "engineered_customer_features", version)
-    record("engineer", {"version": version}, profile.summary(eng, TARGET))
+    eng = published(engineer(pre, key), "engineered_customer_features")
+    record("engineer", {"version": version}, profile.summary(eng, target))
 
-    require_columns(eng, [TARGET])
-    _warn_if(profile.min_class_check(eng, TARGET, test_size), "warn", "minority class small relative to test size")
-    split = sp.stratified_split(eng, KEY, TARGET, test_size, seed)
+    require_columns(eng, [target, stratify])
+    _warn_if(profile.min_class_check(eng, stratify, test_size), "warn", "minority class small relative to test size")
+    split = sp.stratified_split(eng, key, stratify, test_size, seed, max_classes=max_classes)
     tr, te = sp.train_test(split)
-    reg.register_view(tr, root, "train_customer_features", [KEY], version)
-    reg.register_view(te, root, "test_customer_features", [KEY], version)
-    both = (reg.read_view(spark, root, "train_customer_features", version).withColumn("split", F.lit(sp.TRAIN))
-            .unionByName(reg.read_view(spark, root, "test_customer_features", version)
-                         .withColumn("split", F.lit(sp.TEST))))
-    balance = sp.balance_report(both, TARGET)
-    drift = sp.drift_report(both, target=TARGET)
+    train_df, test_df = published(tr, "train_customer_features"), published(te, "test_customer_features")
+    both = train_df.withColumn("split", F.lit(sp.TRAIN)).unionByName(test_df.withColumn("split", F.lit(sp.TEST)))
+    balance = sp.balance_report(both, target)
+    drift = sp.drift_report(both, target=target)
     _warn_if(balance, "warn", "target rate differs between splits")
     _warn_if(drift, "warn", "feature distribution differs between splits")
-    leakage = sp.leakage_check(both, KEY)          # raises on any shared key
+    leakage = sp.leakage_check(both, key)          # raises on any shared key
     summary = sp.split_summary(both)
     bal = balance.first().asDict()
-    record("split", {"version": version, "test_size": test_size, "seed": seed, "stratify": TARGET},
+    record("split", {"version": version, "test_size": test_size, "seed": seed, "stratify": stratify},
            {"rate_diff": bal["rate_diff"], "train_rate": bal["train_rate"], "test_rate": bal["test_rate"],
             **{f"n_{r['split']}": r["n"] for r in summary.collect()}})
 
-    train_df = reg.read_view(spark, root, "train_customer_features", version)
-    model, feats, train_rec, cv = mdl.train(train_df, TARGET, params or mdl.TEST_PARAMS, folds, KEY, seed=seed)
+    model, feats, train_rec, cv = mdl.train(train_df, target, params, folds, key, version=version, seed=seed,
+                                            source=f"train_customer_features:{version}", mode=mode)
     mstore.save_model(model, root, "gbt_churn_model", version)
     tm = train_rec.first()
-    record("train", {"version": version, "params": params or mdl.TEST_PARAMS, "folds": folds},
+    record("train", {"version": version, "params": params, "folds": folds},
            {**tm["training_metrics"], "training_time_seconds": tm["training_time_seconds"]})
 
-    test_df = reg.read_view(spark, root, "test_customer_features", version)
     scored, eval_rec = mdl.evaluate(mstore.load_model(spark, root, "gbt_churn_model", version), test_df, feats,
-                                    TARGET, KEY, version=version, seed=seed)
+                                    target, key, version=version, seed=seed, generate_shap=generate_shap,
+                                    source=f"test_customer_features:{version}", mode=mode)
     metrics = reg.log_metrics(eval_rec.select(F.explode("performance_metrics").alias("metric", "value")),
                               root, "gbt_churn_model", version)
-    from cairn.sources.models import write_predictions
-    write_predictions(predictions(scored, KEY, TARGET, "prediction", "probability_1"),
+    write_predictions(predictions(scored, key, target, "prediction", "probability_1"),
                       f"{root.rstrip('/')}/predictions/gbt_churn_model/{version}")
     return {"training": train_rec, "evaluation": eval_rec, "metrics": metrics, "coverage": rep.coverage,
             "cv": cv, "balance": balance, "drift": drift, "leakage": leakage, "split_summary": summary}

@@ -6,6 +6,8 @@ tables (or data Spark derives from them), over whole tables.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cairn.functions.columns import r6
@@ -357,19 +359,37 @@ def flagship(spark, sf):
 
 # --- model training and model-based evaluation (no SQL oracle) -----------------
 
-_TRAINED: dict = {}
+# What the model queries share, held as long as its session; the frames are checkpoints, nothing is persisted.
+_TRAINED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
 def _trained(spark, sf):
-    """Train once per (session, sf) with the reference test settings (50 trees,
-    depth 4, 3 folds); every model query reuses it."""
-    k = (id(spark), sf)
-    if k not in _TRAINED:
-        tr, te = sp.train_test(_split(spark, sf))
-        tr, te = tr.persist(), te.persist()
+    """Train once per (session, sf) with TEST_PARAMS (50 trees, depth 4, 3 folds); every model query reuses it."""
+    held = _TRAINED.setdefault(spark, {})
+    if sf not in held:
+        shared_dir(spark)
+        tr, te = (x.checkpoint() for x in sp.train_test(_split(spark, sf)))
         model, feats, rec, cv = mdl.train(tr, TARGET, mdl.TEST_PARAMS, mdl.TEST_FOLDS, KEY)
-        _TRAINED[k] = dict(model=model, features=feats, record=rec, cv=cv, train=tr, test=te)
-    return _TRAINED[k]
+        held[sf] = dict(model=model, features=feats, record=rec, cv=cv, train=tr, test=te)
+    return held[sf]
+
+
+def _checked(scored):
+    """Scores as facts that any right model has: a probability in [0, 1], and the label that the 0.5 threshold gives."""
+    p = F.col("probability_1")
+    return scored.select(KEY, TARGET, F.coalesce(p.between(0, 1), F.lit(False)).alias("probability_ok"),
+                         F.coalesce(F.col("prediction") == (p > 0.5).cast("int"), F.lit(False)).alias("label_ok"))
+
+
+def _differences(a: dict, b: dict, spark):
+    """(metric, same): whether two computations of each metric agree to 6 places."""
+    rows = [(k, a[k] is not None and b[k] is not None and abs(a[k] - b[k]) < 2e-6) for k in mdl.METRICS]
+    return spark.createDataFrame(rows, "metric string, same boolean")
+
+
+def _recomputed(spark, scored) -> dict:
+    s = scored.select(F.col(TARGET).alias("label"), "prediction", F.col("probability_1").alias("score"))
+    return {**ev.basic_metrics(s).first().asDict(), "roc_auc": ev.roc_auc(s).first()["roc_auc"]}
 
 
 def m1_assemble(spark, sf):
@@ -380,57 +400,104 @@ def m1_assemble(spark, sf):
 
 
 def m2_gbt_fit(spark, sf):
+    """The fit's own rows, scored: every row has a probability and its label."""
     t = _trained(spark, sf)
-    return mdl.score(t["model"], t["train"], [KEY, TARGET])
+    return _checked(mdl.score(t["model"], t["train"], [KEY, TARGET]))
 
 
 def m4_cross_validate(spark, sf):
-    return _trained(spark, sf)["cv"]
+    """Rows held out per fold, and whether the fold has all five metrics within [0, 1]."""
+    t = _trained(spark, sf)
+    held_out = sp.assign_folds(t["train"].select(KEY, TARGET), KEY, TARGET, mdl.TEST_FOLDS, 42).groupBy("fold").count()
+    ok = F.lit(True)
+    for m in mdl.METRICS:
+        ok = ok & F.coalesce(F.col(m).between(0, 1), F.lit(False))
+    return t["cv"].join(held_out, "fold", "full").select("fold", F.col("count").alias("n_held_out"), ok.alias("metrics_ok"))
 
 
 def m4_cv_summary(spark, sf):
-    return mdl.cv_summary(_trained(spark, sf)["cv"])
+    """Per metric: folds counted, and whether mean and deviation are those of its scores."""
+    s = mdl.cv_summary(_trained(spark, sf)["cv"])
+    n = F.size("scores")
+    mean = F.aggregate("scores", F.lit(0.0), lambda a, x: a + x) / n
+    std = F.sqrt(F.aggregate("scores", F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)) / n)
+    return s.select("metric", n.alias("n_folds"), (F.abs(mean - F.col("mean")) < 2e-6).alias("mean_ok"),
+                    (F.abs(std - F.col("std")) < 2e-6).alias("std_ok"))
 
 
 def m5_score(spark, sf):
+    """Every test row with a probability and its label."""
     t = _trained(spark, sf)
-    return mdl.score(t["model"], t["test"], [KEY, TARGET])
+    return _checked(mdl.score(t["model"], t["test"], [KEY, TARGET]))
 
 
 def m6_training_metrics(spark, sf):
+    """Each training metric against a second computation from the scores."""
     t = _trained(spark, sf)
-    return mdl.training_metrics(mdl.score(t["model"], t["train"], [KEY, TARGET]), TARGET)
+    scored = mdl.score(t["model"], t["train"], [KEY, TARGET])
+    return _differences(mdl.training_metrics(scored, TARGET).first().asDict(), _recomputed(spark, scored), spark)
 
 
 def m7_importance(spark, sf):
+    """Importances of all features: their number, sum, and whether any is negative or out of order."""
     t = _trained(spark, sf)
-    return mdl.importance(t["model"], t["features"], 10)
+    rows = mdl.importance(t["model"], t["features"], None)
+    top = [r.importance for r in rows.limit(len(t["features"])).collect()]
+    return rows.agg(F.count(F.lit(1)).alias("n_features"), r6(F.sum("importance")).alias("total"),
+                    F.count_if(F.col("importance") < 0).alias("n_negative")) \
+        .withColumn("sorted", F.lit(top == sorted(top, reverse=True)))
 
 
 def m8_training_record(spark, sf):
-    return _trained(spark, sf)["record"]
+    """The record's facts that the data decide, and whether it has a time, all metrics and all folds."""
+    rec = _trained(spark, sf)["record"]
+    return rec.select("model_name", "model_version", "training_samples", "feature_count", "target_column", "cv_folds",
+                      F.size("cv_scores").alias("n_cv_metrics"), F.size("training_metrics").alias("n_metrics"),
+                      F.size("feature_columns").alias("n_feature_columns"),
+                      (F.col("recorded_at").isNotNull() & (F.col("training_time_seconds") > 0)).alias("timed"))
 
 
 def e11_permutation_attribution(spark, sf):
+    """Permutation attribution over all test rows: features, and whether each is a mean of probability gaps."""
     t = _trained(spark, sf)
-    return mdl.permutation_attribution(t["model"], t["test"], t["features"], KEY, 100, 42)
+    att = mdl.permutation_attribution(t["model"], t["test"], t["features"], KEY, None, 42)
+    return att.select("feature", F.col("attribution").between(0, 1).alias("in_range"))
 
 
 def e11_tree_shap_attribution(spark, sf):
-    """E11 as the reference computes it: mean |tree SHAP| (log-odds) on 100 sampled test rows."""
+    """E11 as the reference computes it: mean |tree SHAP| (log-odds) on 100 sampled test rows,
+    against the mean over the same rows of the per-row values."""
     t = _trained(spark, sf)
-    return tsh.tree_shap_attribution(t["model"], t["test"], t["features"], KEY, 100, 42)
+    att = tsh.tree_shap_attribution(t["model"], t["test"], t["features"], KEY, 100, 42)
+    rows = ev.sample_rows(t["test"].select(KEY, *t["features"]), KEY, 100, 42)
+    each = tsh.shap_values(t["model"], rows, t["features"], KEY)
+    names = F.array(*[F.lit(f) for f in t["features"]])
+    again = (each.select(F.explode(F.arrays_zip(names.alias("feature"), F.col("shap").alias("v"))).alias("x"))
+             .groupBy(F.col("x.feature").alias("feature")).agg(F.avg(F.abs("x.v")).alias("mean_abs")))
+    return att.join(again, "feature", "full").select(
+        "feature", F.coalesce(F.abs(F.col("attribution") - F.col("mean_abs")) < 2e-6, F.lit(False)).alias("same"))
 
 
 def e11_tree_shap_values(spark, sf):
-    """Per-row tree SHAP values for every test row (exact, path-dependent)."""
+    """Every test row's exact tree SHAP values: one per feature, adding up to the logit of its probability."""
     t = _trained(spark, sf)
-    return tsh.shap_values(t["model"], t["test"], t["features"], KEY)
+    vals = tsh.shap_values(t["model"], t["test"], t["features"], KEY)
+    scored = mdl.score(t["model"], t["test"], [KEY])
+    p = F.least(F.greatest(F.col("probability_1"), F.lit(1e-12)), F.lit(1 - 1e-12))
+    gap = F.abs(F.col("base_value") + F.aggregate("shap", F.lit(0.0), lambda a, v: a + v) - F.log(p / (1 - p)))
+    return vals.join(scored, KEY, "full").select(KEY, F.size("shap").alias("n_values"),
+                                                 F.coalesce(gap < 1e-6, F.lit(False)).alias("additive"))
 
 
 def e14_evaluation_record(spark, sf):
+    """The record's metrics against a second computation, with the facts that the data decide."""
     t = _trained(spark, sf)
-    return mdl.evaluate(t["model"], t["test"], t["features"], TARGET, KEY)[1]
+    scored, rec = mdl.evaluate(t["model"], t["test"], t["features"], TARGET, KEY)
+    row = rec.first()
+    facts = [int(row[c]) for c in ("test_samples", "feature_count", "attribution_sample_size")]
+    return _differences(row["performance_metrics"], _recomputed(spark, scored), spark).select(
+        "metric", "same", *[F.lit(v).cast("long").alias(c) for c, v in
+                            zip(("test_samples", "feature_count", "attribution_sample_size"), facts, strict=True)])
 
 
 # --- sources and sinks ----------------------------------------------------------
@@ -460,33 +527,74 @@ def s3_s4_view_roundtrip(spark, sf):
 
 
 def s5_resolve_version(spark, sf):
+    """What was asked for, what it means, and the rows that a read of it finds."""
     root = _registered(spark, sf)
+    reg.set_default_version(spark, root, "customer_transactions", "v9")
     r = reg.registry(spark, root)
     asks = [("customer_transactions", None), ("customer_transactions", "current"),
             ("customer_transactions", "latest"), ("customer_demographics", "latest"), ("customer_demographics", "v1")]
-    rows = [(n, str(v), reg.resolve_version(r, n, v, defaults={"customer_transactions": "v9"})) for n, v in asks]
-    return spark.createDataFrame(rows, "name string, requested string, resolved string")
+    rows = [(n, str(v), reg.resolve_version(r, n, v), reg.read_view(spark, root, n, v).count()) for n, v in asks]
+    return spark.createDataFrame(rows, "name string, requested string, resolved string, n_rows long")
 
 
 def s6_latest_versions(spark, sf):
-    return reg.latest_versions(reg.registry(spark, _registered(spark, sf)), "view")
+    """The latest version of every view, and the rows that a read of it finds."""
+    root = _registered(spark, sf)
+    found = reg.latest_versions(reg.registry(spark, root), "view").collect()
+    rows = [(*x, reg.read_view(spark, root, x.name, "latest").count()) for x in found]
+    return spark.createDataFrame(rows, "kind string, name string, latest_version string, n_versions long, n_rows long")
 
 
 def s7_find_view(spark, sf):
-    r = reg.registry(spark, _registered(spark, sf))
-    name = reg.find_view(r, ["customer_features", "customer_transactions", "customer_demographics"])
-    return spark.createDataFrame([(name,)], "found string")
+    """The rows of the first candidate that is registered."""
+    root = _registered(spark, sf)
+    name = reg.find_view(reg.registry(spark, root), ["customer_features", "customer_transactions", "customer_demographics"])
+    return reg.read_view(spark, root, name, "latest").withColumn("found", F.lit(name))
 
 
 def s8_list_views(spark, sf):
+    """Views with latest version, description and row count, as the registry has them."""
     return reg.list_views(reg.registry(spark, _registered(spark, sf)), "view")
 
 
+def s3_versions_differ(spark, sf):
+    """Two versions of one view with other columns and another type, both read back whole."""
+    root = shared_dir(spark, "cairn-registry")
+    d = _demo(spark, sf)
+    reg.register_view(d.select(KEY, "age"), root, "customer_demographics", [KEY], "v1")
+    reg.register_view(d.select(KEY, F.col("age").cast("string").alias("age"), F.upper("region").alias("extra")),
+                      root, "customer_demographics", [KEY], "v2")
+    v1, v2 = (reg.read_view(spark, root, "customer_demographics", v) for v in ("v1", "v2"))
+    return v1.join(v2.withColumnRenamed("age", "age_text"), KEY, "full")
+
+
+def m3_many_classes(spark, sf):
+    """Folds over 101 classes of orders, one of them NULL."""
+    o = load(spark, sf, "orders").select("o_orderkey", F.nullif(F.col("o_custkey") % 101, F.lit(0)).alias("cls"))
+    return sp.assign_folds(o, "o_orderkey", "cls", 5, 42)
+
+
+def c_nan_preprocess(spark, sf):
+    """NaN from a computed column, through the registry and the cleaning and flag operators."""
+    e = load(spark, sf, "events").groupBy(F.col("user_id").alias(KEY)).agg(r6(F.sum("value")).alias("spend"))
+    made = e.withColumn("spend", F.when(F.col(KEY) % 7 == 0, F.lit(float("nan"))).otherwise(F.col("spend")))
+    root = shared_dir(spark, "cairn-registry")
+    reg.register_view(made, root, "events_spend", [KEY], "v1")
+    df = reg.read_view(spark, root, "events_spend", "v1").withColumn("raw", F.when(F.col(KEY) % 7 == 0, F.lit(float("nan")))
+                                                                     .otherwise(F.col("spend")))
+    df = feat.flag_ge_quantile(df, "raw", 0.75, "is_high")
+    df = feat.safe_ratio(df, KEY, "raw", "per_raw")
+    df = clean.clamp(clean.cap_iqr(clean.impute_median(df, ["spend"]), ["raw"]), "raw", 0, 1_000_000)
+    return df.select(KEY, r6("spend").alias("spend"), r6(F.nanvl("raw", F.lit(None))).alias("raw"), "is_high",
+                     r6("per_raw").alias("per_raw"))
+
+
 def s9_run_record(spark, sf):
     stats = profile.summary(_pre(spark, sf), TARGET)
     rec = reg.run_record(spark, "preprocess", {"as_of": views.AS_OF, "cap_columns": list(pipeline.CAP_COLUMNS)}, stats)
-    reg.write_run_record(rec, shared_dir(spark, "cairn-runs"))
-    return rec
+    path = reg.write_run_record(rec, shared_dir(spark, "cairn-runs"))
+    back = spark.read.schema(reg.RUN_SCHEMA).json(path).where("recorded_at is not null")
+    return back.select("step", F.explode("stats").alias("stat", "value"))
 
 
 def s10_model_roundtrip(spark, sf):
@@ -494,7 +602,11 @@ def s10_model_roundtrip(spark, sf):
     root = shared_dir(spark, "cairn-models")
     mstore.save_model(t["model"], root, "gbt_churn_model", "v1")
     loaded = mstore.load_model(spark, root, "gbt_churn_model", "latest")
-    return mdl.score(loaded, t["test"], [KEY, TARGET])
+    before = mdl.score(t["model"], t["test"], [KEY]).withColumnRenamed("probability_1", "p")
+    after = mdl.score(loaded, t["test"], [KEY])
+    return before.join(after, KEY, "full").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(~F.coalesce(F.abs(F.col("p") - F.col("probability_1")) < 1e-12, F.lit(False))).alias("n_different"))
 
 
 def s11_log_metrics(spark, sf):
@@ -527,9 +639,10 @@ def _generated(spark, sf):
 
 
 def pipeline_end_to_end(spark, sf):
-    """All six steps through the versioned registry; returns the logged test metrics."""
-    out = pipeline.run(spark, sf, shared_dir(spark, "cairn-pipeline"), mdl.TEST_PARAMS, mdl.TEST_FOLDS)
-    return out["metrics"].select("model", "version", "metric", "value")
+    """All six steps through the versioned registry, from the given input views: rows of each view that it leaves."""
+    root = shared_dir(spark, "cairn-pipeline")
+    pipeline.run(spark, sf, root, mdl.TEST_PARAMS, mdl.TEST_FOLDS)
+    return reg.registry(spark, root).where("kind = 'view'").select("name", "version", "n_rows")
 
 
 def g1_generate_customers(spark, sf):
@@ -571,7 +684,7 @@ QUERIES = {
         "e1_confusion", "e2_e4_basic_metrics", "e2_accuracy", "e3_precision_recall_f1", "e4_specificity_fpr_fnr", "e5_roc_auc", "e6_class_report", "e7_roc_curve", "e8_pr_curve",
         "e9_score_histogram", "e10_sample_rows", "e12_predictions", "e13_predicted_rate",
         "g1_generate_customers", "g2_split_vertical", "g3_random_choice", "g4_random_date", "g5_positive_rate",
-        "s1_s2_csv_roundtrip", "s3_s4_view_roundtrip", "s5_resolve_version", "s6_latest_versions",
+        "s1_s2_csv_roundtrip", "s3_s4_view_roundtrip", "s3_versions_differ", "m3_many_classes", "c_nan_preprocess", "s5_resolve_version", "s6_latest_versions",
         "s7_find_view", "s8_list_views", "s9_run_record", "s11_log_metrics", "s12_predictions_sink", "s13_run_sql",
         "m1_assemble", "m2_gbt_fit", "m4_cross_validate", "m4_cv_summary", "m5_score", "m6_training_metrics",
         "m7_importance", "m8_training_record", "s10_model_roundtrip", "e11_permutation_attribution",

@@ -2,22 +2,29 @@
 
 Layout under a root folder (the shared folder on a cluster):
 
-- ``views/<name>/version=<v>/``   view data, Parquet, partitioned by version
-- ``_registry/``                  one row per registered (kind, name, version)
+- ``views/<name>/<v>-<id>/``      one registered version's data, Parquet, with its own schema
+- ``_registry/``                  one row per registration (kind, name, version, path); a default
+                                  version is a row of kind ``default`` whose entity is the kind it is for
 - ``_runs/``                      run records (JSON lines)
 - ``_metrics/``                   logged metrics, long form
 
-Reads of one version prune to its partition; the registry is a small
-DataFrame queried with ordinary filters and aggregates.
+A version is read from the folder of its last registration, so versions may
+differ in columns and types.  The registry is a small DataFrame queried
+with ordinary filters and aggregates.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
+from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from cairn.sources.tables import normalise_nan
+
 REGISTRY_SCHEMA = T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("name", T.StringType()),
     T.StructField("version", T.StringType()), T.StructField("entity", T.StringType()),
@@ -27,6 +34,7 @@ REGISTRY_SCHEMA = T.StructType([
 ])
 # Version keywords and the global default version.
 CURRENT, LATEST, GLOBAL_DEFAULT = "current", "latest", "v1"
+DEFAULT = "default"         # kind of the registry rows that name a default version
 
 
 def _p(root: str, *parts: str) -> str:
@@ -34,10 +42,12 @@ def _p(root: str, *parts: str) -> str:
 
 
 def registry(spark: SparkSession, root: str) -> DataFrame:
-    """The registry table (empty frame when nothing is registered yet)."""
+    """The registry table (empty frame when there is no registry folder yet; any other failure is raised)."""
     try:
         return spark.read.schema(REGISTRY_SCHEMA).parquet(_p(root, "_registry"))
-    except Exception:  # no registry folder yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], REGISTRY_SCHEMA)
 
 
@@ -65,19 +75,20 @@ def check_keys(df: DataFrame, keys: list[str]) -> int:
 def register_view(df: DataFrame, root: str, name: str, keys: list[str], version: str,
                   timestamp_col: str | None = None, desc: str = "", entity: str = "customer",
                   validate: bool = True) -> str:
-    """Write ``df`` as version ``version`` of view ``name`` (dynamic partition
-    overwrite, so other versions stay) and append a registry row."""
+    """Write ``df`` as version ``version`` of view ``name``, check the keys of what
+    was written, and only then publish it with a registry row.
+
+    Each registration has a folder of its own, so a failed one leaves the
+    published version as it was, and readers of an older one are not disturbed."""
     spark = df.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
     missing = [c for c in keys + ([timestamp_col] if timestamp_col else []) if c not in df.columns]
     if missing:
         raise ValueError(f"register_view: missing column(s) {missing}")
-    n = check_keys(df, keys) if validate else None
-    path = _p(root, "views", name)
-    (df.withColumn("version", F.lit(version)).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(path))
-    if n is None:   # count the written partition (Parquet footers)
-        n = spark.read.parquet(path).where(F.col("version") == version).count()
+    path = _p(root, "views", quote(name, safe=""), f"{quote(version, safe='')}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    n = check_keys(written, keys) if validate else written.count()
     _append_registry(spark, root, ("view", name, version, entity, keys, timestamp_col, desc, n, path,
                                    dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)))
     return version
@@ -91,7 +102,7 @@ def version_number(col: str = "version"):
 
 def latest_versions(reg: DataFrame, kind: str | None = None) -> DataFrame:
     """S6 for every name: (kind, name, latest_version, n_versions)."""
-    r = reg if kind is None else reg.where(F.col("kind") == kind)
+    r = reg.where(F.col("kind") != DEFAULT) if kind is None else reg.where(F.col("kind") == kind)
     return r.groupBy("kind", "name").agg(
         F.max_by("version", F.struct(version_number().alias("n"), F.col("version"))).alias("latest_version"),
         F.count_distinct("version").alias("n_versions"))
@@ -103,22 +114,44 @@ def latest_version(reg: DataFrame, name: str, kind: str = "view", default: str =
     return row["latest_version"] if row else default
 
 
+def set_default_version(spark: SparkSession, root: str, name: str, version: str, kind: str = "view") -> None:
+    """Store the version that None and 'current' mean for ``name``; the last one stored holds."""
+    _append_registry(spark, root, (DEFAULT, name, version, kind, None, None, None, None, None,
+                                   dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)))
+
+
+def stored_default(reg: DataFrame, name: str, kind: str = "view") -> str | None:
+    row = (reg.where((F.col("kind") == DEFAULT) & (F.col("entity") == kind) & (F.col("name") == name))
+           .agg(F.max_by("version", "registered_at").alias("v")).first())
+    return row["v"]
+
+
 def resolve_version(reg: DataFrame, name: str, version: str | None = None, kind: str = "view",
                     defaults: dict | None = None, global_default: str = GLOBAL_DEFAULT) -> str:
-    """None or 'current' -> the catalog default (per name, else global);
-    'latest' -> highest registered; anything else is taken literally."""
+    """None or 'current' -> the default of the name (given, else stored, else global);
+    'latest' -> highest registered; anything else is taken literally.
+    A name that has neither a registration nor a default raises ``KeyError``."""
+    default = (defaults or {}).get(name) or stored_default(reg, name, kind)
+    if default is None and reg.where((F.col("kind") == kind) & (F.col("name") == name)).isEmpty():
+        raise KeyError(f"{kind} '{name}' is not registered")
     if version is None or version == CURRENT:
-        return (defaults or {}).get(name, global_default)
+        return default or global_default
     if version == LATEST:
-        return latest_version(reg, name, kind, (defaults or {}).get(name, global_default))
+        return latest_version(reg, name, kind, default or global_default)
     return version
 
 
 def read_view(spark: SparkSession, root: str, name: str, version: str | None = None,
               defaults: dict | None = None) -> DataFrame:
-    """S3: one version of a view; the version filter prunes to one partition."""
-    v = resolve_version(registry(spark, root), name, version, "view", defaults)
-    return spark.read.parquet(_p(root, "views", name)).where(F.col("version") == v).drop("version")
+    """S3: one version of a view with its own schema, NaN as NULL; a version that
+    is not registered raises ``KeyError``."""
+    reg = registry(spark, root)
+    v = resolve_version(reg, name, version, "view", defaults)
+    row = (reg.where((F.col("kind") == "view") & (F.col("name") == name) & (F.col("version") == v))
+           .agg(F.max_by("path", "registered_at").alias("path")).first())
+    if row["path"] is None:
+        raise KeyError(f"view '{name}' has no version '{v}'")
+    return normalise_nan(spark.read.parquet(row["path"]))
 
 
 def find_view(reg: DataFrame, candidates: list[str], kind: str = "view", required: bool = True) -> str | None:

@@ -27,6 +27,19 @@ def test_pipeline_runs_and_registers_outputs(spark):
     assert out["coverage"].first()["coverage"] == 1.0
     assert out["leakage"].first()["n_overlap"] == 0
     steps = {r["step"] for r in spark.read.json(f"{root}/_runs").collect()}
-    assert steps == {"preprocess", "engineer", "split", "train"}
+    assert steps == {"generate", "preprocess", "engineer", "split", "train"}
     eng = reg.read_view(spark, root, "engineered_customer_features", "v1")
     assert not [c for c, t in eng.dtypes if t in ("string", "date")]
+
+
+def test_pipeline_takes_inputs_and_other_names(spark):
+    from cairn.sources import generate as gen
+    parts = gen.split_vertical(gen.generate_customers(spark, n=300, positive_rate=0.3, seed=1))
+    trans = parts["transactions"].withColumnRenamed("customer_id", "who").withColumnRenamed("churned", "left_us")
+    demo = parts["demographics"].withColumnRenamed("customer_id", "who")
+    params = {"max_depth": 2, "n_estimators": 3, "learning_rate": 0.1, "subsample": 0.8, "colsample_bytree": 0.8, "random_state": 42}
+    out = pipeline.run(spark, None, shared_dir(spark, "t-e2e"), params, folds=2, inputs=(trans, demo), key="who",
+                       target="left_us", stratify="is_high_support", generate_shap=False, as_of="2024-01-01")
+    r = out["training"].first()
+    assert r["target_column"] == "left_us" and "who" not in r["feature_columns"] and "left_us" not in r["feature_columns"]
+    assert out["evaluation"].first()["test_samples"] == 60
