@@ -21,30 +21,35 @@ MAX_REPEATED = 50           # percent of words in repeated three-word windows
 MIN_KEPT = 70               # percent of the words that the kept lines must hold
 SHORT_LINE = 3              # words; a shorter line without closing punctuation is a menu entry or a label
 
-SYMBOLS = b"#*$%&|<>"
+SYMBOLS = "#*$%&|<>"
+BLANKS = " \t\n\r\x0b\x0c"
 CLOSING = (".", "!", "?", ":", ";", ",", "\"", "'", ")", "]", "…", "”", "’", "»", "。", "！", "？")
 MARKS = re.compile(r"[#*$%&|<>{}\[\]=~^_\\@+/]|!{2,}|\?{2,}")
-SEPARATORS = re.compile(r"\s[|»›•·>]\s")
+SEPARATORS = re.compile(r"[ \t][|»›•·>][ \t]")
 # Phrases of page furniture and notices, in lower case.
 BOILERPLATE = re.compile(
     r"all rights reserved|terms of (?:use|service)|privacy policy|cookie policy|we use cookies|accept (?:all )?cookies"
     r"|enable javascript|javascript is (?:disabled|required)|sign in to|log in to|subscribe to our|click here"
-    r"|^\W*licen[sc]ed under|^\W*copyright\b|^\W*©|lorem ipsum|read more\W*$|share (?:this|on) "
-)
+    r"|^\W*licen[sc]ed under|^\W*copyright\b|^\W*©|lorem ipsum|read more\W*$|share (?:this|on) ",
+    re.ASCII)
+
+
+def _n_words(text: str) -> int:
+    return len(text.encode().split())       # bytes part at the same blanks as words do
 
 
 def line_fault(line: str) -> str | None:
     """Why a line is removed (punctuation, navigation, boilerplate), or None; a line without words has no fault."""
-    words = line.split()
+    words = _n_words(line)
     if not words:
         return None
     if BOILERPLATE.search(line.lower()):
         return "boilerplate"
     if len(SEPARATORS.findall(line)) >= 3:
         return "navigation"
-    if len(words) < SHORT_LINE and not line.rstrip().endswith(CLOSING):
+    if words < SHORT_LINE and not line.rstrip(BLANKS).endswith(CLOSING):
         return "navigation"
-    if 2 * len(MARKS.findall(line)) >= len(words) and len(words) >= SHORT_LINE:
+    if 2 * len(MARKS.findall(line)) >= words >= SHORT_LINE:
         return "punctuation"
     return None
 
@@ -70,7 +75,7 @@ def _repeated_words(codes: np.ndarray, distinct: int) -> int:
 
 
 def _dup_lines(text: str) -> int:
-    lines = [x for x in text.split("\n") if x.strip(" \t\n\r\x0b\x0c")]
+    lines = [x for x in text.split("\n") if x.strip(BLANKS)]
     return len(lines) - len(set(lines))
 
 
@@ -92,8 +97,8 @@ def measured(texts: pa.Array) -> dict[str, list]:
             repeated = _repeated_words(local.astype(np.int64), len(codes))
             failed = n < MIN_WORDS or 100 * repeated > MAX_REPEATED * n
             clean, removed = clean_text(text)
-            kept = not failed and (not removed or 100 * len(clean.split()) >= MIN_KEPT * len(text.split()))
-            for c, v in zip(out, (n, int(total[b] - total[a]), sum(text.count(chr(s)) for s in SYMBOLS), _dup_lines(text),
+            kept = not failed and (not removed or 100 * _n_words(clean) >= MIN_KEPT * n)
+            for c, v in zip(out, (n, int(total[b] - total[a]), sum(text.count(s) for s in SYMBOLS), _dup_lines(text),
                                   repeated, failed, kept, removed, clean), strict=True):
                 out[c].append(v)
     return out
