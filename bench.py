@@ -6,7 +6,7 @@ Runs the pipeline's headline queries on ``$BENCH_SF_DIR`` (default
 
 Each query is fully materialised with the ``noop`` sink (every row computed,
 nothing collected).  One warm-up run, then the median of ``$BENCH_RUNS``
-timed runs (default 3).  Model training uses the reference's test settings
+timed runs (default 3).  Model training uses TEST_PARAMS
 (50 trees, depth 4, 3-fold CV + final fit).
 """
 

@@ -25,7 +25,8 @@ from cairn.operators.select import NON_FEATURES
 from cairn.operators.split import assign_folds
 from cairn.operators.treeshap import tree_shap_attribution
 
-# Model settings of the pipeline, the library default and the tests.
+# Model settings of the pipeline and of the library. TEST_PARAMS are the smaller trees and folds that the
+# registered queries and the bench train, with the pipeline's subsampling.
 PIPELINE_PARAMS = dict(maxIter=100, maxDepth=6, stepSize=0.1, subsamplingRate=0.8,
                        featureSubsetStrategy="0.8", seed=42)
 DEFAULT_PARAMS = dict(PIPELINE_PARAMS, maxIter=200)
