@@ -1,17 +1,24 @@
 """N-gram Jaccard join by vertical partitioning.
 
-The distinct word shingles of a document are its set.  A global order of
-all shingles - common ones last, else by hash - is cut into fragments.
+The distinct word shingles of a document are its set.  All shingles have a
+global order: first a part of the hash space, the counted range, by how
+many sets hold a shingle; then the rest by hash, common ones last.
 Candidate pairs share a shingle among the first of their order (prefix
-filter), and for each candidate the overlap is counted separately in every
-fragment and summed.  Similar documents are grouped into components.
-
-Work stays linear in the size of a group of near copies: documents with
-equal sets are one node; a first round compares every member of a posting
-list with one hub only, and a second round compares, within a list, only
-members that are still in different components.  No link between
-components can be missed, because each pair that could reach the
-threshold shares a posting list and is either counted or already joined.
+filter); the order is cut into fragments, and for each candidate the
+overlap is counted separately in every fragment and summed.  Similar
+documents are grouped into components.
+
+The counted range is wide enough to hold the prefix of nearly every set, so
+only that part of the corpus is shuffled to be counted; a set with fewer
+members there goes on with the rest.
+
+Documents with equal sets are one node, and a group of near copies is
+joined through hubs: rounds compare every member of a posting list with a
+few hubs of the list, then those outside the list's largest component with
+a member of it, and at last only the pairs of a list that are still in
+different components.  No link between components can be missed, because
+each pair that could reach the threshold shares a posting list and is
+either counted or already joined.
 """
 
 from __future__ import annotations
@@ -25,15 +32,16 @@ from pyspark.sql import DataFrame, Window, functions as F
 from cairn.llm.components import connected_components, kept
 from cairn.llm.words import hash_words, shingle_hashes, split_words
 
-FRAGMENTS = 16              # 8 ranges of the order for rare shingles, 8 for common ones
+FRAGMENTS = 4               # the counted range, and equal ranges of the rest of the order
+COUNTED = 5 / 3             # width of the counted range, as a multiple of the share of a set that is its prefix
 SLOTS = 1 << 22             # of the table of common shingles: 512 KB as bits, whatever the input
 COMMON_SHARE = 0.001        # of a task's documents; with COMMON_LEAST, what makes a shingle common
 COMMON_LEAST = 8
-SALT = 64                   # parts of a posting list of a common shingle in the first round
+SALT = 64                   # parts of a posting list of a common shingle while shingles are counted
 SIGNATURE = 8               # longs of the parity signature that bounds an overlap from above
 BROADCAST_ROWS = 1_000_000  # ids (8 bytes each) that a semi-join may broadcast; more are shuffled
 
-SETS = "doc_id long, n long, node long, " + ", ".join(f"s{i} long" for i in range(SIGNATURE)) + ", slots binary"
+SETS = "doc_id long, n long, counted long, node long, " + ", ".join(f"s{i} long" for i in range(SIGNATURE)) + ", slots binary"
 
 
 def _sets(texts: pa.Array, k: int):
@@ -61,16 +69,22 @@ def _slot(s: np.ndarray) -> np.ndarray:
     return (s >> np.uint64(20)).astype(np.int64) & (SLOTS - 1)
 
 
-def _describe(k: int):
+def _counted_limit(percent: int) -> int:
+    """Hashes below this are the counted range."""
+    return min((1 << 64) - 1, int((100 - percent) / 100 * COUNTED * 2 ** 64))
+
+
+def _describe(k: int, limit: int):
     """A row for each document, and one with the slots that are common among the task's documents."""
     def run(batches):
         seen, docs = set(), 0
         counts = np.zeros(SLOTS, np.int32)
         for batch in batches:
             ids = batch.column(0)
-            n, node, sig = [], [], []
+            n, counted, node, sig = [], [], [], []
             for _, s in _sets(batch.column(1), k):
                 n.append(len(s))
+                counted.append(int(np.searchsorted(s, np.uint64(limit))))
                 if not len(s):
                     node.append(None)
                     sig.append(np.zeros(SIGNATURE, np.int64))
@@ -84,35 +98,34 @@ def _describe(k: int):
                     counts[np.unique(_slot(s))] += 1
             sig = np.array(sig, np.int64).reshape(-1, SIGNATURE)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n, pa.int64()), pa.array(node, pa.int64()), *(pa.array(sig[:, i]) for i in range(SIGNATURE)),
+                [ids, pa.array(n, pa.int64()), pa.array(counted, pa.int64()), pa.array(node, pa.int64()), *(pa.array(sig[:, i]) for i in range(SIGNATURE)),
                  pa.nulls(len(ids), pa.binary())],
                 names=[c.split()[0] for c in SETS.split(", ")])
         slots = np.flatnonzero(counts >= max(COMMON_LEAST, math.ceil(docs * COMMON_SHARE))).astype("<u4")
         yield pa.RecordBatch.from_arrays(
-            [pa.array([None], pa.int64())] * (3 + SIGNATURE) + [pa.array([slots.tobytes()], pa.binary())],
+            [pa.array([None], pa.int64())] * (4 + SIGNATURE) + [pa.array([slots.tobytes()], pa.binary())],
             names=[c.split()[0] for c in SETS.split(", ")])
     return run
 
 
-def _order(s: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The set in the global order, and whether each member is common."""
-    hot = common[_slot(s)]
-    return np.concatenate([s[~hot], s[hot]]), np.sort(hot)
-
-
 def _least_overlap(n: int, percent: int) -> int:
     """Of a set of n with any set similar to it."""
     return -(-percent * n // 100)
 
 
-POSTINGS = "gram long, hot boolean, node long, n long, pos long"
+SIGNATURES = [f"s{i}" for i in range(SIGNATURE)]
+POSTINGS = "gram long, salt int, node long, late int"
 
 
-def _postings(k: int, percent: int, common):
-    """The first members of each set in the global order: two similar sets share one of them at least."""
+def _postings(k: int, percent: int, limit: int, common):
+    """The counted range of each set and, where that is shorter than the set's prefix, what comes next in the order.
+
+    late is the place in the order of the latter, -1 for the former, whose
+    place depends on the counts; salt parts the lists of common shingles.
+    """
     def run(batches):
-        table, seen = common.value, set()
-        flags = np.unpackbits(np.frombuffer(table, np.uint8), bitorder="little").astype(bool)
+        seen = set()
+        flags = np.unpackbits(np.frombuffer(common.value, np.uint8), bitorder="little").astype(bool)
         for batch in batches:
             out = []
             for _, s in _sets(batch.column(0), k):
@@ -123,38 +136,66 @@ def _postings(k: int, percent: int, common):
                     continue
                 if len(seen) < 1 << 20:
                     seen.add(node)
-                order, hot = _order(s, flags)
-                p = len(s) - _least_overlap(len(s), percent) + 1
-                out.append((order[:p], hot[:p], node, len(s)))
+                m = int(np.searchsorted(s, np.uint64(limit)))
+                late = np.full(m, -1, np.int32)
+                hot = flags[_slot(s)]
+                more = len(s) - _least_overlap(len(s), percent) + 1 - m
+                if more > 0:
+                    rest, rest_hot = s[m:], hot[m:]
+                    order = np.argsort(rest_hot, kind="stable")[:more]
+                    grams, hot = np.concatenate([s[:m], rest[order]]), np.concatenate([hot[:m], rest_hot[order]])
+                    late = np.concatenate([late, m + np.arange(more, dtype=np.int32)])
+                else:
+                    grams, hot = s[:m], hot[:m]
+                out.append((grams, np.where(hot, 1 + node % SALT, 0).astype(np.int32), node, late))
             if out:
                 sizes = np.array([len(x[0]) for x in out])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([x[0] for x in out]).view(np.int64)),
-                    pa.array(np.concatenate([x[1] for x in out])),
+                    pa.array(np.concatenate([x[0] for x in out]).view(np.int64)), pa.array(np.concatenate([x[1] for x in out])),
                     pa.array(np.repeat(np.array([x[2] for x in out], np.int64), sizes)),
-                    pa.array(np.repeat(np.array([x[3] for x in out], np.int64), sizes)),
-                    pa.array(np.concatenate([np.arange(x, dtype=np.int64) for x in sizes]))],
-                    names=["gram", "hot", "node", "n", "pos"])
+                    pa.array(np.concatenate([x[3] for x in out]))], names=["gram", "salt", "node", "late"])
     return run
 
 
+def _prefixes(postings: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(gram, salt, node, n, pos): the prefix of every set in the global order, without shingles that one set alone holds.
+
+    pos is the place in the whole order, those shingles included: they are
+    the first of a set, and where they fill its prefix the set has no
+    similar one.
+    """
+    one_list = Window.partitionBy("gram", "salt")
+    held = (postings.withColumn("first", F.min("node").over(one_list)).withColumn("last", F.max("node").over(one_list))
+            .withColumn("sets", F.when(F.col("salt") > 0, F.lit(1 << 40)).otherwise(F.count(F.lit(1)).over(one_list)))
+            .where((F.col("salt") > 0) | (F.col("first") != F.col("last")))
+            .select("gram", "salt", "node", "late", "sets").dropDuplicates(["gram", "salt", "node"]))
+    of_set = Window.partitionBy("node")
+    in_order = of_set.orderBy((F.col("late") >= 0).asc(), "sets", "gram")
+    ranked = (held.withColumn("rank", F.row_number().over(in_order))
+              .withColumn("shared", F.sum((F.col("late") < 0).cast("int")).over(of_set))
+              .join(nodes.select("node", "n", "counted"), "node"))
+    pos = F.when(F.col("late") < 0, F.col("counted") - F.col("shared") + F.col("rank") - 1).otherwise(F.col("late").cast("long"))
+    size = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    return ranked.withColumn("pos", pos).where(F.col("pos") < size).select("gram", "salt", "node", "n", "pos")
+
+
 SEGMENTS = "node long, fragment int, members binary"
 
 
-def _segments(k: int, common):
+def _segments(k: int, limit: int):
     """The set cut at the fragments of the global order."""
+    bounds = np.array([limit + (2 ** 64 - limit) * i // (FRAGMENTS - 1) for i in range(FRAGMENTS - 1)], np.uint64)
+
     def run(batches):
-        flags = np.unpackbits(np.frombuffer(common.value, np.uint8), bitorder="little").astype(bool)
-        half = FRAGMENTS // 2
         for batch in batches:
             node, fragment, members = [], [], []
             for _, s in _sets(batch.column(0), k):
-                hot = flags[_slot(s)]
-                part = (s // np.uint64(2 ** 64 // half)).astype(np.int64) + half * hot
-                for f in np.unique(part).tolist():
-                    node.append(_node(s))
-                    fragment.append(f)
-                    members.append(s[part == f].tobytes())
+                cuts = [0, *np.searchsorted(s, bounds).tolist(), len(s)]
+                for f, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+                    if b > a:
+                        node.append(_node(s))
+                        fragment.append(f)
+                        members.append(s[a:b].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(fragment, pa.int32()),
                                               pa.array(members, pa.binary())], names=["node", "fragment", "members"])
     return run
@@ -199,16 +240,16 @@ def semi_join_ids(docs: DataFrame, ids: DataFrame, id_col: str, how: str = "left
     return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, id_col, how)
 
 
-def _links(docs, nodes, pairs, k, percent, common) -> DataFrame:
+def _links(docs, nodes, pairs, k, percent) -> DataFrame:
     """Pairs (a, b) of nodes that reach the threshold, by partial overlaps per fragment, summed per pair."""
-    sig = nodes.drop("rep")
+    sig = nodes.drop("rep", "counted")
     pairs = kept(pairs.join(_side(sig, "a").withColumnRenamed("anode", "a"), "a")
                  .join(_side(sig, "b").withColumnRenamed("bnode", "b"), "b")
                  .where(_signatures_can_reach(percent)).select("a", "b", "an", "bn"))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     ids = nodes.join(wanted, "node", "left_semi").select(F.col("rep").alias("doc_id"))
     segments = (semi_join_ids(docs, ids, "doc_id").select("text")
-                .mapInArrow(_segments(k, common), SEGMENTS).dropDuplicates(["node", "fragment"]))
+                .mapInArrow(_segments(k, _counted_limit(percent)), SEGMENTS).dropDuplicates(["node", "fragment"]))
     both = (pairs.join(segments.select(F.col("node").alias("a"), "fragment", F.col("members").alias("sa")), "a")
             .join(segments.select(F.col("node").alias("b"), "fragment", F.col("members").alias("sb")), ["b", "fragment"])
             .select("a", "b", "sa", "sb"))
@@ -228,6 +269,25 @@ def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
                 .select("node", F.coalesce("label", "rep").alias("label")))
 
 
+def _open_lists(entries: DataFrame, nodes: DataFrame, label: DataFrame) -> DataFrame:
+    """Entries of the lists that hold more than one component, with the largest of each list as main."""
+    entries = entries.join(label, "node")
+    main = (entries.groupBy("gram", "label").agg(F.count(F.lit(1)).alias("size")).groupBy("gram")
+            .agg(F.max_by("label", "size").alias("main"), F.count(F.lit(1)).alias("labels"))
+            .where("labels > 1").select("gram", "main"))
+    return kept(entries.join(main, "gram").join(nodes.select("node", *SIGNATURES), "node"))
+
+
+def _candidates(outside: DataFrame, others: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of two components that share a list and pass the filters; of two outside the main one, each once."""
+    a = _side(outside, "a").withColumnRenamed("agram", "gram")
+    b = _side(others, "b").withColumnRenamed("bgram", "gram")
+    return (a.join(b, "gram")
+            .where((F.col("alabel") != F.col("blabel")) & ((F.col("blabel") == F.col("bmain")) | (F.col("anode") > F.col("bnode")))
+                   & _can_reach(percent) & _signatures_can_reach(percent))
+            .select(F.greatest("anode", "bnode").alias("a"), F.least("anode", "bnode").alias("b")).distinct())
+
+
 def ngram_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``.
@@ -245,7 +305,8 @@ def ngram_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    described = kept(docs.mapInArrow(_describe(k), SETS))
+    limit = _counted_limit(percent)
+    described = kept(docs.mapInArrow(_describe(k, limit), SETS))
     flags = np.zeros(SLOTS, bool)
     for row in described.where("slots is not null").select("slots").toLocalIterator():   # at most SLOTS set bits in all
         flags[np.frombuffer(row[0], "<u4")] = True
@@ -253,47 +314,39 @@ def ngram_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str
     described = described.where("slots is null").drop("slots")
 
     nodes = kept(described.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.min("n").alias("n"), *[F.min(f"s{i}").alias(f"s{i}") for i in range(SIGNATURE)])
-        .where("rep is not null"))
+        F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("counted").alias("counted"),
+        *[F.min(f"s{i}").alias(f"s{i}") for i in range(SIGNATURE)]).where("rep is not null"))
 
-    # Lists of one node are dropped; the salt keeps the lists of common shingles apart in the first round.
-    one_list = Window.partitionBy("gram", "salt")
+    prefixes = kept(_prefixes(docs.select("text").mapInArrow(_postings(k, percent, limit, common), POSTINGS), nodes, percent))
+
+    # First round: every member of a list with two hubs (grouped minima, so of lists of any length): the first of
+    # the list, and one by a hash that differs from list to list, so that a set meets several in its lists.
     entry = F.struct("pos", "n", "node")
-    postings = kept(
-        docs.select("text").mapInArrow(_postings(k, percent, common), POSTINGS)
-        .withColumn("salt", F.when(F.col("hot"), F.pmod("node", F.lit(SALT))).otherwise(F.lit(0)))
-        .withColumn("hub", F.min(entry).over(one_list)).withColumn("last", F.max("node").over(one_list))
-        .withColumn("first", F.min("node").over(one_list))
-        .where(F.col("hot") | (F.col("first") != F.col("last")))
-        .select("gram", "hot", "node", "n", "pos", "hub"))
-    same_hub = Window.partitionBy("gram")
-    hubs = (postings.where("hot").select("gram", "hub").distinct()
-            .withColumn("top", F.min("hub").over(same_hub))
-            .select(F.col("hub.node").alias("anode"), F.col("hub.n").alias("an"), F.col("hub.pos").alias("apos"),
-                    F.col("top.node").alias("bnode"), F.col("top.n").alias("bn"), F.col("top.pos").alias("bpos")))
-    stars = postings.select(F.col("node").alias("anode"), F.col("n").alias("an"), F.col("pos").alias("apos"),
-                            F.col("hub.node").alias("bnode"), F.col("hub.n").alias("bn"), F.col("hub.pos").alias("bpos"))
+    hub = prefixes.groupBy("gram").agg(F.array(F.min(entry), F.min_by(entry, F.xxhash64("node", "gram"))).alias("hubs"))
+    stars = prefixes.join(hub, "gram").withColumn("hub", F.explode("hubs")).select(
+        F.col("node").alias("anode"), F.col("n").alias("an"), F.col("pos").alias("apos"),
+        F.col("hub.node").alias("bnode"), F.col("hub.n").alias("bn"), F.col("hub.pos").alias("bpos"))
     pair = [F.greatest("anode", "bnode").alias("a"), F.least("anode", "bnode").alias("b")]
-    first = (stars.unionByName(hubs).where((F.col("anode") != F.col("bnode")) & _can_reach(percent))
-             .select(*pair).distinct())
-    links = _links(docs, nodes, first, k, percent, common)
+    first = kept(stars.where((F.col("anode") != F.col("bnode")) & _can_reach(percent))
+                 .select(*pair).distinct())
+    links = _links(docs, nodes, first, k, percent)
     label = _labelled(nodes, links)
 
-    # Second round: what is left between components, within the lists that hold more than one.
-    open_lists = postings.select("gram", "node", "n", "pos").join(label, "node")
-    by_label = open_lists.groupBy("gram", "label").agg(F.count(F.lit(1)).alias("size"))
-    main = (by_label.groupBy("gram").agg(F.max_by("label", "size").alias("main"), F.count(F.lit(1)).alias("labels"))
-            .where("labels > 1").select("gram", "main"))
-    open_lists = kept(open_lists.join(main, "gram").join(nodes.drop("n", "rep"), "node"))
-    rest = _side(open_lists.where(F.col("label") != F.col("main")), "a").withColumnRenamed("agram", "gram")
-    others = _side(open_lists, "b").withColumnRenamed("bgram", "gram")
-    second = (rest.join(others, "gram")
-              .where((F.col("alabel") != F.col("blabel"))
-                     & ((F.col("blabel") == F.col("bmain")) | (F.col("anode") > F.col("bnode")))
-                     & _can_reach(percent) & _signatures_can_reach(percent))
-              .select(*pair).distinct().join(first, ["a", "b"], "left_anti"))
-    more = _links(docs, nodes, second, k, percent, common)
-    label = _labelled(nodes, links.unionByName(more))
+    # Second round: who is outside the largest component of a list with a member of that, another in each list.
+    left = _open_lists(prefixes.select("gram", "node", "n", "pos"), nodes, label)
+    inside = left.where(F.col("label") == F.col("main")).groupBy("gram").agg(
+        F.min_by(F.struct("node", "n", "pos", "label", "main", *SIGNATURES), F.xxhash64("gram", "node", F.lit(2))).alias("m"))
+    second = _candidates(left.where(F.col("label") != F.col("main")), inside.select("gram", "m.*"), percent)
+    second = kept(second.join(first, ["a", "b"], "left_anti"))
+    more = _links(docs, nodes, second, k, percent)
+    links = kept(links.unionByName(more))
+    label = _labelled(nodes, links)
+
+    # Last: all pairs of a list that are still apart.
+    left = _open_lists(left.select("gram", "node", "n", "pos"), nodes, label)
+    third = _candidates(left.where(F.col("label") != F.col("main")), left, percent)
+    third = third.join(first.unionByName(second), ["a", "b"], "left_anti")
+    label = _labelled(nodes, links.unionByName(_links(docs, nodes, third, k, percent)))
     return (described.select("doc_id", F.col("n").alias("n_shingles"), "node").join(label, "node", "left")
             .select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id")))
 
