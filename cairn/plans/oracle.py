@@ -499,7 +499,7 @@ SELECT customer_id, churned, true AS probability_ok, true AS label_ok FROM espli
 
 
 _METRIC_ROWS = _rows(", ".join(f"('{m}')" for m in _METRICS), "metric")
-_FEATURE_ROWS = _rows(", ".join(f"('{c}')" for c in FEATURE_COLS if c not in ("customer_id", "churned")), "feature")
+_FEATURE_ROWS = _rows(", ".join(f"('{c}')" for c in (x.strip('"') for x in FEATURE_COLS) if c not in ("customer_id", "churned")), "feature")
 _N_TEST = "(SELECT count(*) FROM esplit WHERE split = 'test')"
 _N_TRAIN = "(SELECT count(*) FROM esplit WHERE split = 'train')"
 _ASKED = _rows("('customer_transactions', 'None', 'v9'), ('customer_transactions', 'current', 'v9'), "
