@@ -29,6 +29,7 @@ PROBES = 3
 PRIOR = 200.0               # pseudo-counts of the unigram model in a bigram probability
 TOP_WORDS = 200_000         # most frequent words whose exact counts are broadcast (16 bytes each)
 COUNTED_AT_ONCE = 4_000_000  # n-grams that a task sorts at once
+PART_BITS = 36              # a text's key is its partition and, in so many bits, its place there
 BUCKET_BYTES = 16 << 20     # text whose n-grams meet in one counting group
 
 END = np.uint64(0x5DEECE66D1CE4E5B)         # the token that closes a text
@@ -187,7 +188,7 @@ def _score(shared, shift: int):
         top, top_counts, table, least, total, distinct = shared.value
         table = np.frombuffer(table, np.uint8)
         floor = np.log10(total + distinct + 1)
-        row = TaskContext.get().partitionId() << 36
+        row = TaskContext.get().partitionId() << PART_BITS
         none = pa.nulls
         for batch in batches:
             keys, fields = [], {c: [] for c in ("n_tokens", "n_known", "known_log", "score")}
@@ -237,12 +238,15 @@ def _score(shared, shift: int):
     return run
 
 
+ANSWERED = "part int, keys binary, n binary, logs binary"
+
+
 def _answer(key: tuple[pa.Scalar, ...], asked: pa.Table, known: pa.Table) -> pa.Table:
-    """Per text: rare words that training knows, and the sum of their logarithms."""
+    """Per question, for its texts: rare words that training knows, and the sum of their logarithms."""
     empty = [np.empty(0, np.uint64)]
     grams = np.concatenate(empty + [np.frombuffer(x, np.uint64) for x in known.column("grams").to_pylist()])
     counts = np.concatenate([np.empty(0, np.int64)] + [np.frombuffer(x, np.int64) for x in known.column("counts").to_pylist()])
-    keys, n, logs = [], [], []
+    rows = []
     for g, k, t in zip(*(asked.column(c).to_pylist() for c in ("grams", "keys", "times")), strict=True):
         g, k, t = np.frombuffer(g, np.uint64), np.frombuffer(k, np.int64), np.frombuffer(t, "<u4")
         at = np.searchsorted(grams, g)
@@ -250,12 +254,20 @@ def _answer(key: tuple[pa.Scalar, ...], asked: pa.Table, known: pa.Table) -> pa.
         hit = grams[at] == g if len(grams) else np.zeros(len(g), bool)
         if hit.any():
             who, which = np.unique(k[hit], return_inverse=True)
-            keys.append(who)
-            n.append(np.bincount(which, t[hit]))
-            logs.append(np.bincount(which, t[hit] * np.log10(counts[at[hit]] + 1.0)))
-    return pa.table({"key": pa.array(np.concatenate([np.empty(0, np.int64), *keys])),
-                     "n": pa.array(np.concatenate([np.empty(0), *n]).astype(np.int64)),
-                     "logs": pa.array(np.concatenate([np.empty(0), *logs]))})
+            rows.append((int(who[0] >> PART_BITS), who.tobytes(), np.bincount(which, t[hit]).astype(np.int64).tobytes(),
+                         np.bincount(which, t[hit] * np.log10(counts[at[hit]] + 1.0)).tobytes()))
+    columns = list(zip(*rows, strict=True)) or [()] * 4
+    return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), *[pa.binary()] * 3), strict=True)],
+                    names=["part", "keys", "n", "logs"])
+
+
+def _gather(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """The answers to one partition's texts, a row per text."""
+    keys, n, logs = (np.concatenate([np.frombuffer(x, t) for x in table.column(c).to_pylist()])
+                     for c, t in (("keys", np.int64), ("n", np.int64), ("logs", np.float64)))
+    who, which = np.unique(keys, return_inverse=True)
+    return pa.table({"key": pa.array(who), "n": pa.array(np.bincount(which, n).astype(np.int64)),
+                     "logs": pa.array(np.bincount(which, logs))})
 
 
 def score_texts(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT, id_col: str = "doc_id",
@@ -305,8 +317,7 @@ def score_texts(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT, i
     scored = kept(docs.mapInArrow(_score(shared, shift), SCORED))
     rare = (scored.where("bucket is not null").select("bucket", "grams", "keys", "times").groupBy("bucket")
             .cogroup(totals.where("kind = 1").select("bucket", "grams", "counts").groupBy("bucket"))
-            .applyInArrow(_answer, "key long, n long, logs double")
-            .groupBy("key").agg(F.sum("n").alias("n"), F.sum("logs").alias("logs")))
+            .applyInArrow(_answer, ANSWERED).groupBy("part").applyInArrow(_gather, "key long, n long, logs double"))
     floor = float(np.log10(total + distinct + 1))
     return (scored.where("key is not null").join(rare, "key", "left")
             .select("doc_id", (F.col("fold") == held_out).alias("held_out"), "n_tokens",
