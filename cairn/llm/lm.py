@@ -193,7 +193,7 @@ def _score(shared, shift: int):
         for batch in batches:
             keys, fields = [], {c: [] for c in ("n_tokens", "n_known", "known_log", "score")}
             ask_grams, ask_keys, ask_times = [], [], []
-            for part in split_words(batch.column("text")):
+            for part in split_words(batch.column("text"), limit=2 << 20):
                 vocab = np.append(hash_words(part.vocab, 11), END)
                 at = np.searchsorted(top, vocab)
                 at[at == len(top)] = 0
@@ -202,26 +202,36 @@ def _score(shared, shift: int):
                 smooth = _count_of(_levels_in(table, shift, vocab, 1))
                 uni = np.log10(smooth + 1) - floor
                 log_exact = np.log10(exact + 1)
-                for r in range(part.stop - part.start):
-                    w = np.append(part.codes[part.offsets[r]:part.offsets[r + 1]], len(vocab) - 1)
-                    score = uni[w[0]]
-                    if len(w) > 1:
-                        pairs = _count_of(_levels_in(table, shift, _bigrams(vocab[w]), 2, least))
-                        before = np.maximum(smooth[w[:-1]], pairs)
-                        score += np.log10((pairs + PRIOR * 10.0 ** uni[w[1:]]) / (before + PRIOR)).sum()
-                    rare, times = np.unique(w[~is_top[w]], return_counts=True)
-                    ask_grams.append(vocab[rare])
-                    ask_keys.append(np.full(len(rare), row, np.int64))
-                    ask_times.append(times)
-                    for c, v in zip(fields, (len(w), int(is_top[w].sum()), float(log_exact[w].sum()), float(score)), strict=True):
-                        fields[c].append(v)
-                    keys.append(row)
-                    row += 1
-            n = len(keys)
+                # all texts of the chunk at once, each followed by its closing token
+                texts = part.stop - part.start
+                size = np.diff(part.offsets) + 1
+                ends = np.cumsum(size)
+                starts = ends - size
+                w = np.full(ends[-1], len(vocab) - 1, np.int64)
+                w[np.arange(len(part.codes)) + np.repeat(np.arange(texts), size - 1)] = part.codes
+                log_p = uni[w]
+                after = np.ones(len(w), bool)
+                after[starts] = False
+                after = np.flatnonzero(after)           # tokens with one before them in their text
+                pairs = _count_of(_levels_in(table, shift, mix(vocab[w[after - 1]] * _PAIR + vocab[w[after]]), 2, least))
+                before = np.maximum(smooth[w[after - 1]], pairs)
+                log_p[after] = np.log10((pairs + PRIOR * (10.0 ** uni)[w[after]]) / (before + PRIOR))
+                for c, v in (("n_tokens", size), ("n_known", np.add.reduceat(is_top[w].astype(np.int64), starts)),
+                             ("known_log", np.add.reduceat(log_exact[w], starts)), ("score", np.add.reduceat(log_p, starts))):
+                    fields[c].append(v)
+                doc = np.repeat(np.arange(texts), size)[~is_top[w]]
+                rare, times = np.unique(doc * len(vocab) + w[~is_top[w]], return_counts=True)
+                ask_grams.append(vocab[rare % len(vocab)])
+                ask_keys.append(row + rare // len(vocab))
+                ask_times.append(times)
+                keys.append(row + np.arange(texts))
+                row += texts
+            n = len(batch)
+            whole = {c: np.concatenate([np.empty(0), *v]) for c, v in fields.items()}
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), batch.column("doc_id"), batch.column("fold"),
-                 pa.array(fields["n_tokens"], pa.int64()), pa.array(fields["n_known"], pa.int64()),
-                 pa.array(fields["known_log"], pa.float64()), pa.array(fields["score"], pa.float64()),
+                [pa.array(np.concatenate([np.empty(0, np.int64), *keys])), batch.column("doc_id"), batch.column("fold"),
+                 pa.array(whole["n_tokens"].astype(np.int64)), pa.array(whole["n_known"].astype(np.int64)),
+                 pa.array(whole["known_log"]), pa.array(whole["score"]),
                  none(n, pa.int32()), *[none(n, pa.binary())] * 3], names=[c.split()[0] for c in SCORED.split(", ")])
             grams = np.concatenate([np.empty(0, np.uint64), *ask_grams])
             order = np.argsort(grams)
