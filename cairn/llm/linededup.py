@@ -38,14 +38,14 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id"
 
 
 def dedup_lines(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text",
-                size_col: str = "n_chars") -> DataFrame:
+                size_col: str = "n_chars", drop_emptied: bool = False) -> DataFrame:
     """``docs`` with repeated passages removed and all their columns; ``size_col``, where there is one, follows the text.
 
     A window is ``width`` consecutive lines that hold text, so blank lines
     neither part nor make windows.  The occurrence with the smallest
     (doc_id, position) stays; the lines of all others go.  A text that
     loses lines is joined anew from its other lines with text; one that is
-    repeated as a whole keeps its row with an empty text.  Rows that share an id and a place
+    repeated as a whole keeps its row with an empty text, or with ``drop_emptied`` goes.  Rows that share an id and a place
     are one occurrence, so a repeated row does not lose its text to
     itself.  Null texts and rows without id are left as they are; texts of
     fewer lines have no window.  An empty table gives none.
@@ -60,6 +60,8 @@ def dedup_lines(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", tex
     held = held.withColumn("__lines", F.when(changed, F.filter(F.split(F.col(text_col), "\n"), lambda x: _bare(x) != "")))
     held = held.withColumn("__text", F.when(
         changed, F.array_join(F.transform(stay, lambda i: F.element_at("__lines", i + 1)), "\n")).otherwise(F.col(text_col)))
+    if drop_emptied:
+        held = held.where(~changed | (F.col("__text") != ""))
     size = F.when(changed, F.length("__text")).otherwise(F.col(size_col)) if size_col in columns else None
     return held.select(*[
         F.col("__text").alias(c) if c == text_col

@@ -43,13 +43,13 @@ def test_rules_on_odd_rows(spark, docs_of, odd_rows):
     first = next(x for x in out if x.doc_id == 1)
     assert (first.n_words, first.word_chars, first.base_failed, first.kept, first.clean) == (0, 0, True, False, "")
     assert next(x for x in out if x.doc_id == 6).n_words == 1
-    assert next(x for x in out if x.doc_id == 9 and x.n_words != 6).n_words == 4
+    assert next(x for x in out if x.doc_id == 9 and x.n_words != 6).n_words == 3
     assert rules.judge(docs_of([])).collect() == []
     assert rules.keep_clean(docs_of([])).collect() == []
 
 
 def test_rejects_what_loses_too_much_and_cleans_the_rest(spark, docs_of):
-    good = [f"This is sentence number {i} of a text about nothing, and it ends as it should {i * i}." for i in range(8)]
+    good = [" ".join(f"w{i}x{j}" for j in range(14)) + "." for i in range(8)]
     menu = "Home | News | Sport | Weather | About | More | Things | To | Click"
     rows = [(1, "\n".join(good)), (2, "\n".join([*good, "Menu"])), (3, "\n".join(good[:4] + [menu] * 6))]
     df = docs_of(rows)
@@ -231,7 +231,8 @@ def test_pipeline_stages_as_brute_force(spark):
             m = rules.judge(documents(spark), with_text=True).where("kept").collect()
             assert kept == sorted((x.doc_id, x.clean) for x in m) and 0.6 * len(rows) < len(kept) < len(rows)
         elif name == "line_dedup":
-            assert kept == sorted(brute_dedup(rows))
+            was = dict(rows)
+            assert kept == sorted((i, t) for i, t in brute_dedup(rows) if t or not was[i]) and len(kept) < len(rows)
         elif name == "near_duplicates":
             assert [i for i, _ in kept] == sorted({c for _, c in brute(rows, 5, 80).values()})
         else:
