@@ -23,8 +23,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without later occurrences of repeated three-line passages."""
-    return dedup_lines(docs)
+    """Documents without later occurrences of repeated three-line passages; one that has nothing else goes."""
+    return dedup_lines(docs, drop_emptied=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
