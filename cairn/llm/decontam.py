@@ -14,6 +14,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from cairn.llm.words import small_batches
+
 ERROR_SHARE = 0.05          # edits allowed per character of an item
 LEAST_CHARS = 20            # items shorter than this, normalised, are too common to tell a leak
 GROUP_BYTES = 32 << 20      # item text that one pass broadcasts; more items are searched in further passes
@@ -140,7 +142,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_share: float = ERROR
 
         def run(batches, shared=shared):
             matcher = Matcher(shared.value, error_share)
-            for batch in batches:
+            for batch in small_batches(batches, 1):
                 rows = [(doc, *m) for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
                         for m in matcher.matches(normalised(text))]
                 columns = list(zip(*rows, strict=True)) or [()] * 5
@@ -162,7 +164,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, error_share: float = ERROR
 
         def run(batches, shared=shared):
             matcher = Matcher(shared.value, error_share)
-            for batch in batches:
+            for batch in small_batches(batches, at):
                 clean = [not matcher.matches(normalised(t)) for t in batch.column(at).to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 

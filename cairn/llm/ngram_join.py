@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cairn.llm.components import connected_components, kept
-from cairn.llm.words import hash_words, shingle_hashes, split_words
+from cairn.llm.words import hash_words, shingle_hashes, small_batches, split_words
 
 FRAGMENTS = 4               # the counted range, and equal ranges of the rest of the order
 COUNTED = 5 / 3             # width of the counted range, as a multiple of the share of a set that is its prefix
@@ -79,7 +79,7 @@ def _describe(k: int, limit: int):
     def run(batches):
         seen, docs = set(), 0
         counts = np.zeros(SLOTS, np.int32)
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             ids = batch.column(0)
             n, counted, node, sig = [], [], [], []
             for _, s in _sets(batch.column(1), k):
@@ -126,7 +126,7 @@ def _postings(k: int, percent: int, limit: int, common):
     def run(batches):
         seen = set()
         flags = np.unpackbits(np.frombuffer(common.value, np.uint8), bitorder="little").astype(bool)
-        for batch in batches:
+        for batch in small_batches(batches, 0):
             out = []
             for _, s in _sets(batch.column(0), k):
                 if not len(s):
@@ -187,7 +187,7 @@ def _segments(k: int, limit: int):
     bounds = np.array([limit + (2 ** 64 - limit) * i // (FRAGMENTS - 1) for i in range(FRAGMENTS - 1)], np.uint64)
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches, 0):
             node, fragment, members = [], [], []
             for _, s in _sets(batch.column(0), k):
                 cuts = [0, *np.searchsorted(s, bounds).tolist(), len(s)]

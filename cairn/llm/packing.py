@@ -17,12 +17,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from cairn.llm.components import kept
-from cairn.llm.words import text_chunks
+from cairn.llm.words import small_batches, text_chunks
 
 CAPACITY = 2048
 OPEN_BINS = 512
 PIECES_PER_PACKER = 50_000  # narrow rows that one task packs; a task leaves at most OPEN_BINS bins unfilled
-MEMO_WORDS = 1_000_000      # words whose ids a worker remembers; beyond, it starts anew
+MEMO_WORDS = 600_000      # words whose ids a worker remembers; beyond, it starts anew
 TAILS = ".,!?;:"            # closing marks that are tokens apart from a plain word before them
 
 
@@ -79,7 +79,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                  text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): every document's ids, then id 0, cut only where longer than ``capacity``."""
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             out: dict[str, list] = {c: [] for c in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
             for doc, ids in zip(batch.column(0).to_pylist(), _ids(batch.column(1), tokenizer_path), strict=True):
                 for piece, start in enumerate(range(0, len(ids), capacity)):

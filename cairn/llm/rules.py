@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from cairn.llm.words import split_words
+from cairn.llm.words import small_batches, split_words
 
 MIN_WORDS = 50              # fewer: rejected
 MAX_REPEATED = 50           # percent of words in repeated three-word windows
@@ -117,7 +117,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_
         types["clean"] = pa.string()
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             m = measured(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(m[c], t) for c, t in types.items())],
                                              names=["doc_id", *types])
@@ -137,7 +137,7 @@ def keep_clean(docs: DataFrame, text_col: str = "text", size_col: str = "n_chars
     size_at = docs.columns.index(size_col) if size_col in docs.columns else None
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches, at):
             m = measured(batch.column(at))
             arrays = list(batch.columns)
             arrays[at] = pa.array(m["clean"], pa.string())

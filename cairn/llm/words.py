@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-CHUNK_BYTES = 8 << 20       # text handled at once inside a task, whole documents
+CHUNK_BYTES = 4 << 20       # text handled at once inside a task, whole documents
 
 
 class Words(NamedTuple):
@@ -37,6 +37,13 @@ def text_chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int
         start = stop
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], column: int | str) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of about CHUNK_BYTES of text, so that what a task holds doesn't follow the batch size."""
+    for batch in batches:
+        for start, stop in text_chunks(batch.column(column)):
+            yield batch.slice(start, stop - start)
+
+
 def split_words(texts: pa.Array, lower: bool = True, limit: int = CHUNK_BYTES) -> Iterator[Words]:
     """Distinct words and word codes of every row, a bounded chunk of rows at a time; null is an empty text."""
     if isinstance(texts, pa.ChunkedArray):
