@@ -31,11 +31,15 @@ PER_CLASS = 4000            # labelled texts of each class that the network is f
 EPOCHS, BATCH, RATE, DECAY = 60, 64, 0.01, 1e-3
 CALIBRATION = 5             # every fifth text is kept from the fit, for the temperature
 
+CLOSING = ".,;:!?"
 SHAPES = [(re.compile(p), to) for p, to in ((r"[^\W\d_]*[A-Z][^\W\d_]*[A-Z][^\W\d_]*", "A"), (r"[^\W\d_]+", "a"), (r"\d+", "0"))]
 
 
 def shape_of(word: str) -> str:
     """Runs of letters (A where two or more are capitals), digits and equal signs as one character each."""
+    core = word.rstrip(CLOSING)
+    if core.isalpha() and (core.islower() or core[1:].islower()) and len(word) - len(core) < 2:
+        return "a" + word[len(core):]       # most words, without the patterns
     for p, to in SHAPES:
         word = p.sub(to, word)
     return re.sub(r"(.)\1+", r"\1", word)[:8]
@@ -44,11 +48,10 @@ def shape_of(word: str) -> str:
 def _vocabulary(words: list[str]) -> np.ndarray:
     """(rows of word and shape) of distinct words."""
     f, shapes = xxhash.xxh32_intdigest, {}
-    out = np.empty((len(words), 2), np.int64)
-    for i, w in enumerate(words):
-        s = shape_of(w)
-        out[i] = f("w " + w.lower()) % ROWS, shapes.setdefault(s, f("s " + s) % ROWS)
-    return out
+    kinds = [shape_of(w) for w in words]
+    for s in set(kinds):
+        shapes[s] = f("s " + s) % ROWS
+    return np.array([[f("w " + w.lower()) % ROWS for w in words], [shapes[s] for s in kinds]], np.int64).reshape(2, -1).T
 
 
 def index_vectors() -> np.ndarray:
@@ -88,7 +91,8 @@ def _contexts(batches):
             at = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
             sums = np.add.reduceat(around[order], at, axis=0)
             for k in range(2):
-                np.add.at(table, rows[codes[at], k], sums)
+                for d in range(DIM):
+                    table[:, d] += np.bincount(rows[codes[at], k], sums[:, d], ROWS)
     parts = [(i, table[i:i + SLICE].astype(np.float32).tobytes()) for i in range(0, ROWS, SLICE) if table[i:i + SLICE].any()]
     yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in parts], pa.int64()), pa.array([p[1] for p in parts], pa.binary())],
                                      names=["at", "part"])
