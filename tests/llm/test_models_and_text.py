@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from conftest import SF, documents
+from llm_data import SF, docs_of, documents, odd_rows  # noqa: F401
 from hypothesis import given, settings, strategies as st
 
 from cairn.llm import htmltext, lm, quality_model, tokencount, toxicity

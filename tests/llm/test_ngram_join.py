@@ -4,7 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from conftest import documents
+from llm_data import docs_of, documents, odd_rows  # noqa: F401
 from hypothesis import given, settings, strategies as st
 
 from cairn.llm import ngram_join as nj

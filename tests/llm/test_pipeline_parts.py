@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
-from conftest import documents
+from llm_data import docs_of, documents, odd_rows  # noqa: F401
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
