@@ -1,14 +1,16 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Unigrams and bigrams of the training documents are counted as Spark
-shuffles.  A count c is kept as its logarithm: the filter holds
-(n-gram, 1) ... (n-gram, q) for the quantised count q, so probing level
-after level until one is missing gives q back.  The filter is broadcast,
-and probabilities smoothed from what its probes return score every text.
-
-The add-one base score needs exact counts.  The most frequent words come
-from a bounded broadcast; the rare rest of every document is sent to the
-partition that holds the counts, and partial sums come back.
+Every chunk of texts sends its distinct unigrams and bigrams, with their
+counts in training texts, to the bucket of their hash.  There the counts of
+all chunks are summed and kept as their logarithm: the bucket's segment of
+the filter holds (n-gram, 1) ... (n-gram, q) for the quantised count q, so
+probing level after level until one is missing gives q back.  What the
+probes return goes back to the chunks, and probabilities smoothed from it
+score every text.  A segment is sized by its own entries, so the filter
+grows with the corpus and holds every n-gram, those seen once included.
+
+The add-one base score needs exact counts; the buckets send those of the
+words along.
 """
 
 from __future__ import annotations
@@ -23,80 +25,119 @@ from cairn.llm.folds import crc_fold
 from cairn.llm.words import hash_words, mix, split_words
 
 FOLDS, HELD_OUT = 7, 2
-FILTER_BITS = 1 << 28       # at most 32 MB are broadcast; beyond, rarer bigrams are left out of the filter
 BITS_PER_ENTRY = 10
 PROBES = 3
 PRIOR = 200.0               # pseudo-counts of the unigram model in a bigram probability
-TOP_WORDS = 200_000         # most frequent words whose exact counts are broadcast (16 bytes each)
-COUNTED_AT_ONCE = 4_000_000  # n-grams that a task sorts at once
-PART_BITS = 36              # a text's key is its partition and, in so many bits, its place there
+TOP_WORDS = 0               # words whose counts are broadcast: none, buckets answer for all (a test sets this name)
+COUNTED_AT_ONCE = 4_000_000  # n-grams of the texts that are handled as one chunk
+PART_BITS = 36              # a chunk's key is its partition and, in so many bits, its place there
 BUCKET_BYTES = 16 << 20     # text whose n-grams meet in one counting group
 
 END = np.uint64(0x5DEECE66D1CE4E5B)         # the token that closes a text
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _tokens(texts: pa.Array):
-    """(row, hashes of the words and the closing token) of every text."""
-    for part in split_words(texts):
-        hashes = hash_words(part.vocab, 11)[part.codes]
-        for r in range(part.stop - part.start):
-            yield part.start + r, np.append(hashes[part.offsets[r]:part.offsets[r + 1]], END)
-
-
-def _bigrams(tokens: np.ndarray) -> np.ndarray:
-    return mix(tokens[:-1] * _PAIR + tokens[1:])
+def _bigrams(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix(first * _PAIR + second)
 
 
 def _runs(sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])) if len(sorted_keys) else np.empty(0, np.int64)
 
 
-def _summed(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(grams)
-    grams, counts = grams[order], counts[order]
-    at = _runs(grams)
-    return grams[at], np.add.reduceat(counts, at) if len(at) else counts
-
-
-COUNTS = "bucket int, kind int, grams binary, counts binary"
-
-
-def _count(shift: int):
-    """Counts of the task's n-grams, a row per bucket of their hash: kind 1 unigrams, 2 bigrams."""
+def _batch(schema: dict[str, pa.DataType], rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.values(), strict=True)], names=list(schema))
+
+
+def _packed(values: np.ndarray, ascending: bool = False) -> bytes:
+    """Compressed byte planes with the length before them; ascending unsigned values as their differences."""
+    if ascending:
+        values = np.diff(values, prepend=values.dtype.type(0))
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _opened(data: bytes, dtype, ascending: bool = False) -> np.ndarray:
+    n, dtype = int.from_bytes(data[:8], "little"), np.dtype(dtype)
+    planes = np.frombuffer(pa.decompress(data[8:], n * dtype.itemsize, codec="zstd", asbytes=True), np.uint8)
+    values = np.ascontiguousarray(planes.reshape(dtype.itemsize, n).T).reshape(-1).view(dtype)
+    return np.cumsum(values, dtype=dtype) if ascending else values
+
+
+CHUNKS = "chunk long, doc_ids array<long>, folds array<long>, sizes array<long>, vocab binary, codes binary"
+_CHUNK = {"chunk": pa.int64(), "doc_ids": pa.list_(pa.int64()), "folds": pa.list_(pa.int64()), "sizes": pa.list_(pa.int64()),
+          "vocab": pa.binary(), "codes": pa.binary()}
+
+
+def _chunks(batches):
+    """Texts as word codes: a row for each chunk, with the sorted hashes of its words and every text's number of tokens."""
+    chunk = TaskContext.get().partitionId() << PART_BITS
+    ids, folds, sizes, words = [], [], [], []
+    tokens = 0
+
+    def flush():
+        vocab, codes = np.unique(np.concatenate(words), return_inverse=True)
+        row = (chunk, sum(ids, []), sum(folds, []), np.concatenate(sizes), _packed(vocab, True), _packed(codes.astype("<u4")))
+        for x in (ids, folds, sizes, words):
+            x.clear()
+        return _batch(_CHUNK, [row])
+
+    for batch in batches:
+        for part in split_words(batch.column("text")):
+            texts = part.stop - part.start
+            size = np.diff(part.offsets) + 1
+            w = np.full(size.sum(), END)            # every text is followed by its closing token
+            w[np.arange(len(part.codes)) + np.repeat(np.arange(texts), size - 1)] = hash_words(part.vocab, 11)[part.codes]
+            ids.append(batch.column("doc_id").slice(part.start, texts).to_pylist())
+            folds.append(batch.column("fold").slice(part.start, texts).to_pylist())
+            sizes.append(size)
+            words.append(w)
+            tokens += len(w)
+            if 2 * tokens >= COUNTED_AT_ONCE:
+                yield flush()
+                chunk += 1
+                tokens = 0
+    if tokens:
+        yield flush()
+
+
+def _unpacked(sizes, vocab: bytes, codes: bytes) -> tuple[np.ndarray, ...]:
+    """Tokens of each text, word hashes, word code of every token, the tokens that start a text, and those with one before them."""
+    sizes = np.asarray(sizes, np.int64)
+    vocab = _opened(vocab, np.uint64, True)
+    w = _opened(codes, "<u4").astype(np.int64)
+    starts = np.cumsum(sizes) - sizes
+    after = np.ones(len(w), bool)
+    after[starts] = False
+    return sizes, vocab, w, starts, np.flatnonzero(after)
+
+
+GRAMS = "chunk long, bucket int, kind int, grams binary, counts binary"
+_GRAM = {"chunk": pa.int64(), "bucket": pa.int32(), "kind": pa.int32(), "grams": pa.binary(), "counts": pa.binary()}
+
+
+def _grams(shift: int, held_out: int):
+    """Distinct n-grams of each chunk in the order of their hashes, with their counts in training texts, a row per bucket: kind 1 unigrams, 2 bigrams."""
     def run(batches):
-        held: dict[int, list[np.ndarray]] = {1: [], 2: []}
-        size = 0
-
-        def flush():
-            rows = []
-            for kind, arrays in held.items():
-                grams, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *arrays]), return_counts=True)
-                buckets = _segment(grams, shift).astype(np.int64)
-                cuts = [*_runs(buckets), len(grams)]
-                rows += [(int(buckets[a]), kind, grams[a:b].tobytes(), counts[a:b].astype("<u4").tobytes())
-                         for a, b in zip(cuts, cuts[1:], strict=False)]
-                arrays.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)],
-                names=["bucket", "kind", "grams", "counts"])
-
         for batch in batches:
-            for _, tokens in _tokens(batch.column(0)):
-                held[1].append(tokens)
-                held[2].append(_bigrams(tokens))
-                size += 2 * len(tokens)
-                if size >= COUNTED_AT_ONCE:
-                    yield flush()
-                    size = 0
-        if size:
-            yield flush()
+            for chunk, folds, sizes, vocab, codes in zip(*(batch.column(c).to_pylist() for c in ("chunk", "folds", "sizes", "vocab", "codes")),
+                                                         strict=True):
+                sizes, vocab, w, _, after = _unpacked(sizes, vocab, codes)
+                learns = np.repeat(np.asarray(folds) != held_out, sizes)
+                pairs, which = np.unique(_bigrams(vocab[w[after - 1]], vocab[w[after]]), return_inverse=True)
+                rows = []
+                for kind, grams, counts in ((1, vocab, np.bincount(w[learns], minlength=len(vocab))),
+                                            (2, pairs, np.bincount(which[learns[after]], minlength=len(pairs)))):
+                    counts = counts.astype("<u4")
+                    buckets = _segment(grams, shift).astype(np.int64)
+                    cuts = [*_runs(buckets), len(grams)]
+                    rows += [(chunk, int(buckets[a]), kind, _packed(grams[a:b], True), _packed(counts[a:b]))
+                             for a, b in zip(cuts, cuts[1:], strict=False)]
+                yield _batch(_GRAM, rows)
     return run
 
 
-TOTALS = "bucket int, kind int, grams binary, counts binary, tokens long, distinct long, levels array<long>"
-
-
 def _levels(counts: np.ndarray) -> np.ndarray:
     """Quantised counts: 1 for 1, 2 for 2 and 3, 3 for 4 to 7, ..."""
     return np.frexp(counts.astype(np.float64))[1].astype(np.int64)
@@ -107,20 +148,6 @@ def _count_of(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, 1.5 * 2.0 ** (level - 1) - 0.5, 0.0)
 
 
-def _total(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """One group's exact totals; bigrams seen once are dropped, as the filter never holds them."""
-    grams = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("grams").to_pylist()])
-    counts = np.concatenate([np.frombuffer(x, "<u4") for x in table.column("counts").to_pylist()]).astype(np.int64)
-    grams, counts = _summed(grams, counts)
-    tokens, distinct = int(counts.sum()), len(grams)
-    if key[1].as_py() == 2:
-        grams, counts = grams[counts > 1], counts[counts > 1]
-    levels = np.bincount(_levels(counts), minlength=64)[:64]
-    return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "kind": pa.array([key[1].as_py()], pa.int32()),
-                     "grams": pa.array([grams.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary()),
-                     "tokens": [tokens], "distinct": [distinct], "levels": [levels.tolist()]})
-
-
 def _segment(grams: np.ndarray, shift: int) -> np.ndarray:
     """Counting bucket of each n-gram: the top bits of its hash."""
     return grams >> np.uint64(shift) if shift < 64 else np.zeros(len(grams), np.uint64)
@@ -168,118 +195,63 @@ def _fill(width: int, least: int):
     return run
 
 
-def _frequent(least: int):
-    def run(batches):
-        for batch in batches:
-            for grams, counts in zip(batch.column("grams").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                grams, counts = np.frombuffer(grams, np.uint64), np.frombuffer(counts, np.int64)
-                some = counts >= least
-                yield pa.RecordBatch.from_arrays([pa.array([grams[some].tobytes()], pa.binary()),
-                                                  pa.array([counts[some].tobytes()], pa.binary())], names=["grams", "counts"])
-    return run
-
-
-SCORED = "key long, doc_id long, fold long, n_tokens long, n_known long, known_log double, score double, bucket int, grams binary, keys binary, times binary"
-
-
-def _score(shared, shift: int):
-    """A row for each text, with what the frequent words give; and packed rows that ask for the counts of the rare ones."""
-    def run(batches):
-        top, top_counts, table, least, total, distinct = shared.value
-        table = np.frombuffer(table, np.uint8)
-        floor = np.log10(total + distinct + 1)
-        row = TaskContext.get().partitionId() << PART_BITS
-        none = pa.nulls
-        for batch in batches:
-            keys, fields = [], {c: [] for c in ("n_tokens", "n_known", "known_log", "score")}
-            ask_grams, ask_keys, ask_times = [], [], []
-            for part in split_words(batch.column("text"), limit=2 << 20):
-                vocab = np.append(hash_words(part.vocab, 11), END)
-                at = np.searchsorted(top, vocab)
-                at[at == len(top)] = 0
-                is_top = top[at] == vocab if len(top) else np.zeros(len(vocab), bool)
-                exact = np.where(is_top, top_counts[at] if len(top) else 0, 0)
-                smooth = _count_of(_levels_in(table, shift, vocab, 1))
-                uni = np.log10(smooth + 1) - floor
-                log_exact = np.log10(exact + 1)
-                # all texts of the chunk at once, each followed by its closing token
-                texts = part.stop - part.start
-                size = np.diff(part.offsets) + 1
-                ends = np.cumsum(size)
-                starts = ends - size
-                w = np.full(ends[-1], len(vocab) - 1, np.int64)
-                w[np.arange(len(part.codes)) + np.repeat(np.arange(texts), size - 1)] = part.codes
-                log_p = uni[w]
-                after = np.ones(len(w), bool)
-                after[starts] = False
-                after = np.flatnonzero(after)           # tokens with one before them in their text
-                pairs = _count_of(_levels_in(table, shift, mix(vocab[w[after - 1]] * _PAIR + vocab[w[after]]), 2, least))
-                before = np.maximum(smooth[w[after - 1]], pairs)
-                log_p[after] = np.log10((pairs + PRIOR * (10.0 ** uni)[w[after]]) / (before + PRIOR))
-                for c, v in (("n_tokens", size), ("n_known", np.add.reduceat(is_top[w].astype(np.int64), starts)),
-                             ("known_log", np.add.reduceat(log_exact[w], starts)), ("score", np.add.reduceat(log_p, starts))):
-                    fields[c].append(v)
-                doc = np.repeat(np.arange(texts), size)[~is_top[w]]
-                rare, times = np.unique(doc * len(vocab) + w[~is_top[w]], return_counts=True)
-                ask_grams.append(vocab[rare % len(vocab)])
-                ask_keys.append(row + rare // len(vocab))
-                ask_times.append(times)
-                keys.append(row + np.arange(texts))
-                row += texts
-            n = len(batch)
-            whole = {c: np.concatenate([np.empty(0), *v]) for c, v in fields.items()}
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([np.empty(0, np.int64), *keys])), batch.column("doc_id"), batch.column("fold"),
-                 pa.array(whole["n_tokens"].astype(np.int64)), pa.array(whole["n_known"].astype(np.int64)),
-                 pa.array(whole["known_log"]), pa.array(whole["score"]),
-                 none(n, pa.int32()), *[none(n, pa.binary())] * 3], names=[c.split()[0] for c in SCORED.split(", ")])
-            grams = np.concatenate([np.empty(0, np.uint64), *ask_grams])
-            order = np.argsort(grams)
-            grams, doc = grams[order], np.concatenate([np.empty(0, np.int64), *ask_keys])[order]
-            times = np.concatenate([np.empty(0, np.int64), *ask_times])[order].astype("<u4")
-            buckets = _segment(grams, shift).astype(np.int64)
-            cuts = [*_runs(buckets), len(grams)]
-            some = [slice(a, b) for a, b in zip(cuts, cuts[1:], strict=False)]
-            m = len(some)
-            yield pa.RecordBatch.from_arrays(
-                [*[none(m, pa.int64())] * 5, *[none(m, pa.float64())] * 2, pa.array([int(buckets[s.start]) for s in some], pa.int32()),
-                 *(pa.array([x[s].tobytes() for s in some], pa.binary()) for x in (grams, doc, times))],
-                names=[c.split()[0] for c in SCORED.split(", ")])
+ANSWERED = "chunk long, bucket int, kind int, levels binary, counts binary, tokens long, distinct long"
+_ANSWER = {"chunk": pa.int64(), "bucket": pa.int32(), "kind": pa.int32(), "levels": pa.binary(), "counts": pa.binary(),
+           "tokens": pa.int64(), "distinct": pa.int64()}
+
+
+def _answer(key: tuple[pa.Scalar, ...], asked: pa.Table) -> pa.Table:
+    """What the bucket's segment of the filter gives for each chunk's n-grams, with exact counts of words; one row has the bucket's sums."""
+    bucket, kind = (k.as_py() for k in key)
+    parts = [_opened(x, np.uint64, True) for x in asked.column("grams").to_pylist()]
+    counts = np.concatenate([_opened(x, "<u4") for x in asked.column("counts").to_pylist()])
+    grams, which = np.unique(np.concatenate(parts), return_inverse=True)
+    counts = np.bincount(which, counts).astype(np.int64)
+    entries = int(_levels(counts).sum())
+    width = 1 << max(3, (entries * BITS_PER_ENTRY - 1).bit_length())
+    whole = _batch({c: _GRAM[c] for c in ("bucket", "kind", "grams", "counts")}, [(0, kind, grams.tobytes(), counts.tobytes())])
+    segment = np.frombuffer(next(_fill(width, 1)([whole])).column("part")[0].as_py(), np.uint8)
+    levels = _levels_in(segment, 64, grams, kind).astype(np.uint8)
+    rows, a = [], 0
+    for chunk, part in zip(asked.column("chunk").to_pylist(), parts, strict=True):
+        mine = which[a:a + len(part)]
+        rows.append((chunk, bucket, kind, _packed(levels[mine]), _packed(counts[mine]) if kind == 1 else None,
+                     int(counts.sum()) if a == 0 else 0, int((counts > 0).sum()) if a == 0 else 0))
+        a += len(part)
+    return pa.Table.from_batches([_batch(_ANSWER, rows)])
+
+
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def _score(total: int, distinct: int, held_out: int):
+    """Every text of a chunk, from the answers to its n-grams."""
+    floor = np.log10(total + distinct + 1)
+
+    def run(key, chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        ids, folds, sizes, vocab, codes = (chunk.column(c)[0].as_py() for c in ("doc_ids", "folds", "sizes", "vocab", "codes"))
+        sizes, vocab, w, starts, after = _unpacked(sizes, vocab, codes)
+        found = sorted(zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "levels", "counts")), strict=True), key=lambda x: x[:2])
+
+        def joined(kind, column, dtype):    # buckets are ranges of the hash, so in their order the answers follow the sorted n-grams
+            return np.concatenate([np.empty(0, dtype), *(_opened(x[column], dtype) for x in found if x[0] == kind)])
+
+        exact = joined(1, 3, np.int64)
+        smooth = _count_of(joined(1, 2, np.uint8).astype(np.int64))
+        uni = np.log10(smooth + 1) - floor
+        _, which = np.unique(_bigrams(vocab[w[after - 1]], vocab[w[after]]), return_inverse=True)
+        pairs = _count_of(joined(2, 2, np.uint8).astype(np.int64))[which]
+        log_p = uni[w]
+        before = np.maximum(smooth[w[after - 1]], pairs)
+        log_p[after] = np.log10((pairs + PRIOR * (10.0 ** uni)[w[after]]) / (before + PRIOR))
+        known_log = np.add.reduceat(np.log10(exact + 1)[w], starts)
+        return pa.table({"doc_id": pa.array(ids, pa.int64()), "held_out": pa.array(np.asarray(folds) == held_out), "n_tokens": sizes,
+                         "n_known": np.add.reduceat((exact > 0)[w].astype(np.int64), starts),
+                         "train_tokens": np.full(len(sizes), total, np.int64),
+                         "base_score": known_log - sizes * floor, "score": np.add.reduceat(log_p, starts)})
     return run
 
 
-ANSWERED = "part int, keys binary, n binary, logs binary"
-
-
-def _answer(key: tuple[pa.Scalar, ...], asked: pa.Table, known: pa.Table) -> pa.Table:
-    """Per question, for its texts: rare words that training knows, and the sum of their logarithms."""
-    empty = [np.empty(0, np.uint64)]
-    grams = np.concatenate(empty + [np.frombuffer(x, np.uint64) for x in known.column("grams").to_pylist()])
-    counts = np.concatenate([np.empty(0, np.int64)] + [np.frombuffer(x, np.int64) for x in known.column("counts").to_pylist()])
-    rows = []
-    for g, k, t in zip(*(asked.column(c).to_pylist() for c in ("grams", "keys", "times")), strict=True):
-        g, k, t = np.frombuffer(g, np.uint64), np.frombuffer(k, np.int64), np.frombuffer(t, "<u4")
-        at = np.searchsorted(grams, g)
-        at[at == len(grams)] = 0
-        hit = grams[at] == g if len(grams) else np.zeros(len(g), bool)
-        if hit.any():
-            who, which = np.unique(k[hit], return_inverse=True)
-            rows.append((int(who[0] >> PART_BITS), who.tobytes(), np.bincount(which, t[hit]).astype(np.int64).tobytes(),
-                         np.bincount(which, t[hit] * np.log10(counts[at[hit]] + 1.0)).tobytes()))
-    columns = list(zip(*rows, strict=True)) or [()] * 4
-    return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), *[pa.binary()] * 3), strict=True)],
-                    names=["part", "keys", "n", "logs"])
-
-
-def _gather(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """The answers to one partition's texts, a row per text."""
-    keys, n, logs = (np.concatenate([np.frombuffer(x, t) for x in table.column(c).to_pylist()])
-                     for c, t in (("keys", np.int64), ("n", np.int64), ("logs", np.float64)))
-    who, which = np.unique(keys, return_inverse=True)
-    return pa.table({"key": pa.array(who), "n": pa.array(np.bincount(which, n).astype(np.int64)),
-                     "logs": pa.array(np.bincount(which, logs))})
-
-
 def score_texts(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``.
@@ -292,45 +264,11 @@ def score_texts(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT, i
     Repeated rows are counted and scored each.  Without training rows
     nothing is known.  Other columns are ignored; an empty table gives none.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), crc_fold(id_col, folds).alias("fold"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    power = max(0, (size // BUCKET_BYTES).bit_length())
-    shift = 64 - power
-    totals = kept(docs.where(F.col("fold") != held_out).select("text").mapInArrow(_count(shift), COUNTS)
-                  .groupBy("bucket", "kind").applyInArrow(_total, TOTALS))
-    level = F.posexplode("levels").alias("level", "size")
-    levels = {(r.kind, r.level): r.n for r in totals.select("kind", level).groupBy("kind", "level").agg(F.sum("size").alias("n")).collect()}
-    total, distinct = (x or 0 for x in totals.where("kind = 1").agg(F.sum("tokens"), F.sum("distinct")).first())
-
-    def entries(least):
-        uni = sum(lv * n for (kind, lv), n in levels.items() if kind == 1)
-        return uni + sum((lv - least + 1) * n for (kind, lv), n in levels.items() if kind == 2 and lv >= least)
-
-    least = 2
-    while entries(least) * BITS_PER_ENTRY > FILTER_BITS and least < 63:
-        least += 1
-    bits = 1 << max(power + 3, 13, min(FILTER_BITS.bit_length() - 1, (entries(least) * BITS_PER_ENTRY - 1).bit_length()))
-    table = np.zeros(bits // 8, np.uint8)
-    segments = totals.select("bucket", "kind", "grams", "counts").mapInArrow(_fill(bits >> power, least), "at long, part binary")
-    for r in segments.toLocalIterator():    # two of each, so twice FILTER_BITS at most
-        part = np.frombuffer(r.part, np.uint8)
-        table[r.at:r.at + len(part)] |= part
-
-    top_level = next(lv for lv in range(1, 66) if sum(n for (kind, x), n in levels.items() if kind == 1 and x >= lv) <= TOP_WORDS)
-    found = [(np.frombuffer(r.grams, np.uint64), np.frombuffer(r.counts, np.int64)) for r in
-             totals.where("kind = 1").mapInArrow(_frequent(1 << (top_level - 1)), "grams binary, counts binary").toLocalIterator()]
-    top, top_counts = _summed(np.concatenate([np.empty(0, np.uint64), *(x[0] for x in found)]),
-                              np.concatenate([np.empty(0, np.int64), *(x[1] for x in found)]))
-    shared = spark.sparkContext.broadcast((top, top_counts, table.tobytes(), least, total, distinct))
-
-    scored = kept(docs.mapInArrow(_score(shared, shift), SCORED))
-    rare = (scored.where("bucket is not null").select("bucket", "grams", "keys", "times").groupBy("bucket")
-            .cogroup(totals.where("kind = 1").select("bucket", "grams", "counts").groupBy("bucket"))
-            .applyInArrow(_answer, ANSWERED).groupBy("part").applyInArrow(_gather, "key long, n long, logs double"))
-    floor = float(np.log10(total + distinct + 1))
-    return (scored.where("key is not null").join(rare, "key", "left")
-            .select("doc_id", (F.col("fold") == held_out).alias("held_out"), "n_tokens",
-                    (F.col("n_known") + F.coalesce("n", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-                    (F.col("known_log") + F.coalesce("logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(floor)).alias("base_score"),
-                    "score"))
+    shift = 64 - max(0, (size // BUCKET_BYTES).bit_length())
+    chunks = kept(docs.mapInArrow(_chunks, CHUNKS))
+    answers = kept(chunks.mapInArrow(_grams(shift, held_out), GRAMS).groupBy("bucket", "kind").applyInArrow(_answer, ANSWERED))
+    total, distinct = (x or 0 for x in answers.where("kind = 1").agg(F.sum("tokens"), F.sum("distinct")).first())
+    return (chunks.groupBy("chunk").cogroup(answers.select("chunk", "bucket", "kind", "levels", "counts").groupBy("chunk"))
+            .applyInArrow(_score(total, distinct, held_out), SCORED))

@@ -86,6 +86,32 @@ def test_rare_words_through_several_buckets(spark, monkeypatch):
     assert all(r.score < 0 for r in held)
 
 
+def test_filter_holds_bigrams_seen_once(spark, docs_of, monkeypatch):
+    """Scores as from quantised counts of all n-grams, but for the filter's few false positives."""
+    monkeypatch.setattr(lm, "BUCKET_BYTES", 1 << 10)
+    r = random.Random(5)
+    rows = [(i, " ".join(r.choice("abcdefghijklmnopqrstuvwxyz") + r.choice("abcdef") for _ in range(8))) for i in range(400)]
+    texts = {i: [*t.split(), None] for i, t in rows}
+    learned = [w for i, w in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    uni, bi = Counter(w for t in learned for w in t), Counter(p for t in learned for p in zip(t, t[1:]))
+    assert sum(c == 1 for c in bi.values()) > len(bi) / 4
+    floor = uni.total() + len(uni) + 1
+
+    def middle(count):
+        return 1.5 * 2.0 ** (count.bit_length() - 1) - 0.5 if count else 0.0
+
+    def score(t):
+        p = [(middle(uni[w]) + 1) / floor for w in t]
+        out = math.log10(p[0])
+        for a, b, q in zip(t, t[1:], p[1:]):
+            n = middle(bi[a, b])
+            out += math.log10((n + lm.PRIOR * q) / (max(middle(uni[a]), n) + lm.PRIOR))
+        return out
+
+    got = {x.doc_id: x.score for x in lm.score_texts(docs_of(rows)).collect()}
+    assert sum(abs(got[i] - score(t)) < 1e-9 for i, t in texts.items()) > 0.7 * len(texts)
+
+
 def test_filter_gives_quantised_counts_back():
     r = np.random.default_rng(1)
     grams, counts = np.unique(r.integers(0, 2**63, 4000).astype(np.uint64)), None
