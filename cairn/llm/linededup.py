@@ -16,21 +16,22 @@ def _bare(line):
     return F.btrim(line, F.lit(" \t\r"))
 
 
-def _windows(docs: DataFrame, width: int) -> DataFrame:
+def _windows(docs: DataFrame, width: int, whole_short: bool) -> DataFrame:
     """(doc_id, at, h): at counts the lines with text before the window; lines compare without the blanks at their ends."""
     lines = F.filter(F.transform(F.split("text", "\n"), _bare), lambda x: x != "")
-    starts = F.sequence(F.lit(0), F.size("lines") - width)
+    starts = F.sequence(F.lit(0), F.greatest(F.size("lines") - width, F.lit(0)))
     hashed = F.transform(starts, lambda i: F.struct(i.alias("at"), F.md5(F.concat_ws("\n", F.slice("lines", i + 1, width)))
                                                     .alias("h")))
-    return (docs.select("doc_id", lines.alias("lines")).where(F.size("lines") >= width)
+    return (docs.select("doc_id", lines.alias("lines")).where(F.size("lines") >= (1 if whole_short else width))
             .select("doc_id", F.explode(hashed).alias("w"))
             .select("doc_id", "w.at", F.unhex("w.h").alias("h")))
 
 
-def repeated_windows(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_windows(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text",
+                     whole_short: bool = False) -> DataFrame:
     """(doc_id, at) of every window that occurred before, at a smaller (doc_id, at)."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(F.col("doc_id").isNotNull())
-    found = _windows(docs, width)
+    found = _windows(docs, width, whole_short)
     place = F.struct("doc_id", "at")
     first = (found.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last"))
              .where(F.col("first") != F.col("last")).select("h", "first"))
@@ -38,7 +39,7 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id"
 
 
 def dedup_lines(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text",
-                size_col: str = "n_chars", drop_emptied: bool = False) -> DataFrame:
+                size_col: str = "n_chars", drop_emptied: bool = False, whole_short: bool = False) -> DataFrame:
     """``docs`` with repeated passages removed and all their columns; ``size_col``, where there is one, follows the text.
 
     A window is ``width`` consecutive lines that hold text, so blank lines
@@ -48,10 +49,11 @@ def dedup_lines(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", tex
     repeated as a whole keeps its row with an empty text, or with ``drop_emptied`` goes.  Rows that share an id and a place
     are one occurrence, so a repeated row does not lose its text to
     itself.  Null texts and rows without id are left as they are; texts of
-    fewer lines have no window.  An empty table gives none.
+    fewer lines have no window, or with ``whole_short`` one of all their lines,
+    so that later copies of them go too.  An empty table gives none.
     """
     columns = docs.columns
-    gone = (repeated_windows(docs, width, id_col, text_col).groupBy("doc_id")
+    gone = (repeated_windows(docs, width, id_col, text_col, whole_short).groupBy("doc_id")
             .agg(F.collect_set("at").alias("__gone")).withColumnRenamed("doc_id", "__gone_id"))
     held = docs.join(gone, F.col(id_col) == F.col("__gone_id"), "left")
     covered = F.flatten(F.transform("__gone", lambda at: F.sequence(at, at + (width - 1))))

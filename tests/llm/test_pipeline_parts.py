@@ -99,6 +99,12 @@ def test_line_dedup_on_odd_rows(spark, docs_of, odd_rows):
     assert linededup.dedup_lines(docs_of([])).collect() == []
 
 
+def test_line_dedup_of_short_texts(spark, docs_of):
+    rows = [(1, "a passage"), (2, " a passage\r"), (3, "one\n\ntwo"), (4, "one\ntwo"), (5, "one"), (6, "one\ntwo\nthree"), (7, ""), (8, None)]
+    got = {x.doc_id: x.text for x in linededup.dedup_lines(docs_of(rows), whole_short=True).collect()}
+    assert got == dict(rows) | {2: "", 4: ""}
+
+
 # --- decontamination ---------------------------------------------------------------
 def distance(p, t):
     """Least edit distance of p to a substring of t, the plain table."""
