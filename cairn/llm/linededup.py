@@ -17,25 +17,25 @@ def _bare(line):
 
 
 def _windows(docs: DataFrame, width: int, whole_short: bool) -> DataFrame:
-    """(doc_id, at, h): at counts the lines with text before the window; lines compare without the blanks at their ends."""
+    """(doc_id, text_hash, at, h): at counts the lines with text before the window; lines compare without the blanks at their ends."""
     lines = F.filter(F.transform(F.split("text", "\n"), _bare), lambda x: x != "")
     starts = F.sequence(F.lit(0), F.greatest(F.size("lines") - width, F.lit(0)))
     hashed = F.transform(starts, lambda i: F.struct(i.alias("at"), F.md5(F.concat_ws("\n", F.slice("lines", i + 1, width)))
                                                     .alias("h")))
-    return (docs.select("doc_id", lines.alias("lines")).where(F.size("lines") >= (1 if whole_short else width))
-            .select("doc_id", F.explode(hashed).alias("w"))
-            .select("doc_id", "w.at", F.unhex("w.h").alias("h")))
+    return (docs.select("doc_id", F.xxhash64("text").alias("text_hash"), lines.alias("lines")).where(F.size("lines") >= (1 if whole_short else width))
+            .select("doc_id", "text_hash", F.explode(hashed).alias("w"))
+            .select("doc_id", "text_hash", "w.at", F.unhex("w.h").alias("h")))
 
 
 def repeated_windows(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text",
                      whole_short: bool = False) -> DataFrame:
-    """(doc_id, at) of every window that occurred before, at a smaller (doc_id, at)."""
+    """(doc_id, text_hash, at) of every window that occurred before, at a smaller (doc_id, at, text_hash)."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(F.col("doc_id").isNotNull())
     found = _windows(docs, width, whole_short)
-    place = F.struct("doc_id", "at")
+    place = F.struct("doc_id", "at", "text_hash")
     first = (found.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last"))
              .where(F.col("first") != F.col("last")).select("h", "first"))
-    return found.join(first, "h").where(place != F.col("first")).select("doc_id", "at").distinct()
+    return found.join(first, "h").where(place != F.col("first")).select("doc_id", "text_hash", "at").distinct()
 
 
 def dedup_lines(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text",
@@ -46,18 +46,18 @@ def dedup_lines(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", tex
     neither part nor make windows.  The occurrence with the smallest
     (doc_id, position) stays; the lines of all others go.  A text that
     loses lines is joined anew from its other lines with text; one that is
-    repeated as a whole keeps its row with an empty text, or with ``drop_emptied`` goes.  Rows that share an id and a place
-    are one occurrence, so a repeated row does not lose its text to
-    itself.  Null texts and rows without id are left as they are; texts of
+    repeated as a whole keeps its row with an empty text, or with ``drop_emptied`` goes.  Repeated rows
+    are one occurrence, so a row does not lose its text to itself; rows
+    that share an id but not the text are texts of their own.  Null texts and rows without id are left as they are; texts of
     fewer lines have no window, or with ``whole_short`` one of all their lines,
     so that later copies of them go too.  An empty table gives none.
     """
     columns = docs.columns
-    gone = (repeated_windows(docs, width, id_col, text_col, whole_short).groupBy("doc_id")
-            .agg(F.collect_set("at").alias("__gone")).withColumnRenamed("doc_id", "__gone_id"))
-    held = docs.join(gone, F.col(id_col) == F.col("__gone_id"), "left")
+    gone = (repeated_windows(docs, width, id_col, text_col, whole_short).groupBy("doc_id", "text_hash")
+            .agg(F.collect_set("at").alias("__gone")).withColumnsRenamed({"doc_id": "__gone_id", "text_hash": "__gone_text"}))
+    held = docs.join(gone, (F.col(id_col) == F.col("__gone_id")) & (F.xxhash64(text_col) == F.col("__gone_text")), "left")
     covered = F.flatten(F.transform("__gone", lambda at: F.sequence(at, at + (width - 1))))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), covered)
+    stay = F.array_except(F.transform("__lines", lambda _, i: i), covered)
     changed = F.col("__gone").isNotNull()
     held = held.withColumn("__lines", F.when(changed, F.filter(F.split(F.col(text_col), "\n"), lambda x: _bare(x) != "")))
     held = held.withColumn("__text", F.when(

@@ -105,6 +105,12 @@ def test_line_dedup_of_short_texts(spark, docs_of):
     assert got == dict(rows) | {2: "", 4: ""}
 
 
+def test_line_dedup_of_rows_that_share_an_id(spark, docs_of):
+    again, clean = "a\nb\nc", "d\ne\nf\ng"
+    got = sorted((x.doc_id, x.text) for x in linededup.dedup_lines(docs_of([(1, again), (2, again), (2, clean), (2, ""), (3, "x\n" + again)])).collect())
+    assert got == [(1, again), (2, ""), (2, ""), (2, clean), (3, "x")]
+
+
 # --- decontamination ---------------------------------------------------------------
 def distance(p, t):
     """Least edit distance of p to a substring of t, the plain table."""
