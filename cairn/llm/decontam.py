@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from cairn.llm.words import small_batches
 
 ERROR_SHARE = 0.05          # edits allowed per character of an item
-LEAST_CHARS = 20            # items shorter than this, normalised, are too common to tell a leak
+LEAST_CHARS = 20            # items shorter than this, normalised, are searched without edits and as whole words
 GROUP_BYTES = 32 << 20      # item text that one pass broadcasts; more items are searched in further passes
 
 
@@ -60,11 +60,16 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def whole_words(text: str, start: int, end: int) -> bool:
+    """Neither end of the stretch parts two letters or digits."""
+    return not any(0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum() for at in (start, end))
+
+
 class Matcher:
-    """Finds items with at most their error budget in normalised texts."""
+    """Finds items with at most their error budget in normalised texts; short ones have none and match whole words."""
 
     def __init__(self, items: list[tuple[int, str]], error_share: float = ERROR_SHARE):
-        self.items = [(i, t, int(len(t) * error_share)) for i, t in items]
+        self.items = [(i, t, int(len(t) * error_share) if len(t) >= LEAST_CHARS else 0) for i, t in items]
         where: dict[str, list[tuple[int, int]]] = {}
         for k, (_, t, errors) in enumerate(self.items):
             for offset, piece in pieces(t, errors):
@@ -83,6 +88,8 @@ class Matcher:
             for k, offset in places:
                 _, item, errors = self.items[k]
                 start = last + 1 - size - offset
+                if len(item) < LEAST_CHARS and not whole_words(text, start, last + 1):
+                    continue
                 hits.setdefault(k, []).append((max(0, start - errors), min(len(text), start + len(item) + errors)))
         out = {}
         for k, found in hits.items():
@@ -119,7 +126,7 @@ def _item_groups(benchmark: DataFrame, item_col: str, text_col: str):
     for g in range(groups):
         some = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(groups)) == g) if groups > 1 else items
         found = sorted({(r.i if r.i is not None else -1, normalised(r.t)) for r in some.collect()})
-        yield [x for x in found if len(x[1]) >= LEAST_CHARS]
+        yield [x for x in found if x[1]]
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, error_share: float = ERROR_SHARE, id_col: str = "doc_id",
@@ -128,8 +135,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_share: float = ERROR
 
     Texts are compared in lower case with single spaces; start and end are
     places in such a text, of the occurrence with the fewest edits (of
-    equal ones the first).  Items of fewer than LEAST_CHARS characters and
-    null items are left out; an item without id counts as item -1.  Null
+    equal ones the first).  Items of fewer than LEAST_CHARS characters are
+    found only as whole words without edits; null and empty items are left out; an item without id counts as item -1.  Null
     and empty texts hold nothing; repeated rows and rows without id are
     searched each.  Either table may be empty.
     """

@@ -162,6 +162,14 @@ def test_leaks_on_odd_rows(spark, docs_of, odd_rows):
     assert decontam.find_leaks(df, bench.limit(0)).collect() == [] and decontam.drop_leaks(df, bench.limit(0)).count() == len(rows)
 
 
+def test_short_items_as_whole_words(spark, docs_of):
+    bench = spark.createDataFrame([(1, "Red Fox"), (2, "why?"), (3, " "), (4, "")], "item_id long, text string")
+    rows = [(1, "A red  fox."), (2, "bred fox red foxes"), (3, "red fax"), (4, "Why? red foxes, red fox"), (5, "")]
+    got = {(x.doc_id, x.item_id, x.distance, x.start, x.end) for x in decontam.find_leaks(docs_of(rows), bench, error_share=0.3).collect()}
+    assert got == {(1, 1, 0, 2, 9), (4, 1, 0, 16, 23), (4, 2, 0, 0, 4)}
+    assert sorted(x.doc_id for x in decontam.drop_leaks(docs_of(rows), bench).collect()) == [2, 3, 5]
+
+
 def test_items_in_several_passes(spark, docs_of, monkeypatch):
     monkeypatch.setattr(decontam, "GROUP_BYTES", 100)
     items = [(i, f"item {i} is about something that no other item is about {i * 7919}") for i in range(8)]
