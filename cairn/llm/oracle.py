@@ -60,4 +60,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(filled) - len(list_disti
        NOT (n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MAX_REPEATED} * n_words)
          AND 100 * coalesce(words_kept, 0) >= {rules.MIN_KEPT} * n_words AS kept FROM f"""
 
-SQL: dict[str, str] = {"op1_ngram_jaccard_join": OP1, "op7_line_dedup": OP7, "op9_quality_rules": OP9}
+OP12 = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM e a JOIN e b ON a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same AND other <> anchor_id
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) QUALIFY row_number() OVER w <= 10"""
+
+SQL: dict[str, str] = {"op1_ngram_jaccard_join": OP1, "op7_line_dedup": OP7, "op9_quality_rules": OP9,
+                       "op12_hard_negative_mining": OP12}

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cairn.llm.align import align_tokenizers
 from cairn.llm.decontam import find_leaks
+from cairn.llm.hardneg import hard_negatives
 from cairn.llm.htmltext import extract
 from cairn.llm.linededup import dedup_lines
 from cairn.llm.lm import score_texts
@@ -61,5 +63,16 @@ def op10_lm_scoring(spark, sf_dir):
     return score_texts(table(spark, sf_dir, "documents"))
 
 
+def op11_cross_tokenizer_alignment(spark, sf_dir):
+    return align_tokenizers(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                            public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+
+
+def op12_hard_negative_mining(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_html_extraction, op3_toxicity, op4_benchmark_decontamination, op5_quality_classifier, op6_best_fit_packing,
-                                   op7_line_dedup, op8_token_counts, op9_quality_rules, op10_lm_scoring)}
+                                   op7_line_dedup, op8_token_counts, op9_quality_rules, op10_lm_scoring,
+                                   op11_cross_tokenizer_alignment, op12_hard_negative_mining)}
