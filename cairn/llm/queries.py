@@ -13,6 +13,7 @@ from cairn.llm.linededup import dedup_lines
 from cairn.llm.lm import score_texts
 from cairn.llm.ngram_join import ngram_components
 from cairn.llm.packing import pack_documents
+from cairn.llm.pii import find_pii
 from cairn.llm.quality_model import score_quality
 from cairn.llm.rules import judge
 from cairn.llm.tokencount import count_tokens
@@ -73,6 +74,10 @@ def op12_hard_negative_mining(spark, sf_dir):
     return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("id") % 100 == 0)
 
 
+def op13_pii(spark, sf_dir):
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_html_extraction, op3_toxicity, op4_benchmark_decontamination, op5_quality_classifier, op6_best_fit_packing,
                                    op7_line_dedup, op8_token_counts, op9_quality_rules, op10_lm_scoring,
-                                   op11_cross_tokenizer_alignment, op12_hard_negative_mining)}
+                                   op11_cross_tokenizer_alignment, op12_hard_negative_mining, op13_pii)}
