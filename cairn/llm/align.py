@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from cairn.llm.components import kept, shared_folder
-from cairn.llm.words import small_batches
+from cairn.llm.words import byte_letters, small_batches
 
 LONG_RUN = re.compile(r"\S{2000}|\s{2000}")     # such texts go to the tokenizer whose merging isn't quadratic
 
@@ -75,7 +75,7 @@ class ByteLevel:
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
-        alphabet = _byte_alphabet()
+        alphabet = byte_letters()
         vocab = self.whole.get_vocab(with_added_tokens=False)
         added = {t.content for t in self.whole.get_added_tokens_decoder().values()}
         self.bytes = [b""] * (max(self.whole.get_vocab().values()) + 1)
@@ -88,7 +88,7 @@ class ByteLevel:
             self.fast = tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> list[int]:
-        if self.fast is None or LONG_RUN.search(text):
+        if self.fast is None or len(text) > 2000 and LONG_RUN.search(text):
             return self.whole.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 
@@ -107,13 +107,6 @@ class Pieces:
         return self.model.encode(text, num_threads=1)
 
 
-def _byte_alphabet() -> dict[str, int]:
-    """The character of each byte in byte-level vocabularies: printable Latin-1 as itself, the others from U+0100 on."""
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
-
-
 class Aligner:
     """Groups and linked id pairs of texts."""
 
@@ -131,13 +124,14 @@ class Aligner:
         if not text:
             return None
         whole = f" {text}".encode()
-        out = []
-        for side, t in ((self.a, f" {text}"), (self.b, text)):
-            ids = side.ids(t)
-            if b"".join(map(side.bytes.__getitem__, ids)) != whole:
-                return None
-            out.append(np.array(ids, np.int64))
-        return out[0], out[1]
+        a, b = self.a.ids(f" {text}"), self.b.ids(text)
+        if b"".join(map(self.b.bytes.__getitem__, b)) != whole:
+            return None
+        a = np.array(a, np.int64)
+        # Byte-level tokens are cut from the text, so only a character without a token can be missing.
+        if self.size[0][a].sum() != len(whole):
+            return None
+        return a, np.array(b, np.int64)
 
     def groups(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ends = [np.cumsum(size[ids]).tolist() for size, ids in zip(self.size, (a, b), strict=True)]

@@ -89,3 +89,10 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     for i in range(width):
         h = mix(h * np.uint64(0x9E3779B97F4A7C15) + words[i:n - width + 1 + i])
     return h
+
+
+def byte_letters() -> dict[str, int]:
+    """The character of each byte in byte-level vocabularies: printable Latin-1 as itself, the others from U+0100 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
