@@ -7,69 +7,99 @@ piece; when none does and the bins are all open, the fullest closes.
 
 from __future__ import annotations
 
-import sys
-import types
+import functools
+import json
+import re
+import unicodedata
 import zlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from cairn.llm.components import kept
-from cairn.llm.words import small_batches, text_chunks
+from cairn.llm.words import byte_letters, small_batches
 
 CAPACITY = 2048
 OPEN_BINS = 512
 PIECES_PER_PACKER = 50_000  # narrow rows that one task packs; a task leaves at most OPEN_BINS bins unfilled
-MEMO_WORDS = 600_000      # words whose ids a worker remembers; beyond, it starts anew
-TAILS = ".,!?;:"            # closing marks that are tokens apart from a plain word before them
+MARK = "\x80"              # ends a word for the rank tables; two bytes
+LATIN = 0x250               # code points before this, but for MARK and these, have one lower case, normal form and class in all libraries
+PLAIN = re.compile(rf"[\x1c-\x1f{MARK}\x85\u0130{chr(LATIN)}-\U0010ffff]")
+# Fixed value: how word vocabularies of this kind split texts.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-def _encoder(path: str):
-    """Ids of white-space separated strings, as little-endian unsigned 32-bit bytes, remembered by the worker."""
-    state = sys.modules.setdefault("_cairn_token_memo", types.ModuleType("_cairn_token_memo"))
-    if getattr(state, "path", None) != path:
+def _latin_split() -> re.Pattern:
+    """SPLIT for Latin texts, with classes spelt out and letters, the commonest, first; no two alternatives share a start but the last."""
+    of = {k: "".join(re.escape(chr(c)) for c in range(LATIN) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
+    return re.compile(rf"[{of['L']}]+|'s|'t|'re|'ve|'m|'ll|'d|[{of['N']}]|[^\s{of['L']}{of['N']}]+")
+
+
+class WordEncoder:
+    """Token ids of texts, equal to those of the tokenizer at ``path``.
+
+    A vocabulary of lower-cased words with a closing suffix is turned into
+    byte ranks, the suffix being a mark that merges before all else, and Latin texts
+    are encoded by the faster rank merging.  All else, and any other kind of
+    tokenizer, is encoded as it is.  Nothing is remembered between texts.
+    """
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
-        state.path, state.tokenizer, state.memo = path, Tokenizer.from_file(path), {}
-    tokenizer, memo = state.tokenizer, state.memo
-
-    def encode(strings: list[str]) -> list[bytes]:
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        parts = []
-        for s in strings:
-            # Letters and other signs are never in one token, so a plain word's closing marks may be looked up apart.
-            core = s.rstrip(TAILS)
-            parts.append((core, s[len(core):]) if core.isalpha() and core.lower().isalpha() else (s, ""))
-        new = list({x for p in parts for x in p if x and x not in memo})
-        for i in range(0, len(new), 4096):
-            some = new[i:i + 4096]
-            for x, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                memo[x] = np.array(e.ids, "<u4").tobytes()
-        return [(memo[core] if core else b"") + (memo[tail] if tail else b"") for core, tail in parts]
-
-    return encode
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.split = self._pattern(spec)
+        if not self.split:
+            return
+        import tiktoken
+        letter = byte_letters()
+        suffix = spec["model"]["end_of_word_suffix"]
+        self.special = special = {t["content"] for t in spec["added_tokens"]}
+
+        def as_bytes(piece: str) -> bytes:
+            core = piece.removesuffix(suffix)
+            return bytes(letter[c] for c in core) + (MARK.encode() if core != piece else b"")
+
+        single = [bytes([b]) for b in range(256)]
+        mark = MARK.encode()
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+        order = single + [mark[:k] for k in range(2, len(mark) + 1)] + [x + mark for x in single] + [as_bytes(x + y) for x, y in pairs]
+        ids = {as_bytes(p): i for p, i in spec["model"]["vocab"].items() if p not in special}
+        self.ids = np.array([ids.get(x, 0) for x in order], "<u4")
+        self.ranks = tiktoken.Encoding("words", pat_str=f"[^{MARK}]+{MARK}", mergeable_ranks={x: r for r, x in enumerate(order)},
+                                       special_tokens={})
+
+    @staticmethod
+    def _pattern(spec: dict):
+        """The splitting pattern, if the file is of the kind that ranks can express."""
+        normal = [(x["type"], x.get("pattern"), x.get("content")) for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        if (normal != [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)]
+                or [x["type"] for x in steps] != ["Split", "ByteLevel"] or steps[0]["behavior"] != "Removed" or not steps[0]["invert"]
+                or steps[1]["add_prefix_space"] or steps[1]["use_regex"] or not spec["model"].get("end_of_word_suffix")):
+            return None
+        return _latin_split() if steps[0]["pattern"] == {"Regex": SPLIT} else None
+
+    def __call__(self, text: str) -> np.ndarray:
+        if not self.split or PLAIN.search(text) or any(s in text for s in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        words = self.split.findall(text.lower())
+        return self.ids[self.ranks.encode_ordinary(MARK.join(words) + MARK)] if words else np.empty(0, "<u4")
+
+
+@functools.lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """The worker's encoder; its size is the vocabulary's."""
+    return WordEncoder(path)
 
 
 def _ids(texts: pa.Array, path: str):
     """Token ids of every text and its closing id 0, as uint32 arrays."""
-    encode = _encoder(path)
-    for start, stop in text_chunks(texts):
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts.slice(start, stop - start), ""))
-        coded = lists.flatten().dictionary_encode()
-        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        ids = [np.frombuffer(x, "<u4") for x in encode(coded.dictionary.to_pylist())]
-        sizes = np.array([len(x) for x in ids], np.int64)
-        begin = np.cumsum(sizes) - sizes
-        table = np.concatenate([*ids, np.empty(0, "<u4")]).astype("<u4")
-        ends = lists.offsets.to_numpy().astype(np.int64)
-        ends = ends - ends[0]
-        for r in range(stop - start):
-            w = which[ends[r]:ends[r + 1]]
-            n = sizes[w]
-            at = np.arange(n.sum()) + np.repeat(begin[w] - (np.cumsum(n) - n), n)
-            yield np.append(table[at], np.uint32(0)).astype("<u4")
+    encode = word_encoder(path)
+    for text in texts:
+        yield np.append(encode(text.as_py() or ""), np.uint32(0)).astype("<u4")
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"

@@ -260,3 +260,25 @@ def test_pipeline_stages_as_brute_force(spark):
             assert leaks and {i for i, _ in kept} == {i for i, _ in rows} - leaks
         rows = kept
     check_packed(rows, corpus_pipeline.STAGES[-1][1](spark, docs, "/root/testdata/sf0.01").collect(), 2048)
+
+
+def test_ids_equal_the_plain_tokenizer():
+    """Rank merging against the library: Latin words by the million letters, and texts that go to the library itself."""
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from cairn.llm.packing import MARK, WordEncoder
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain, fast = Tokenizer.from_file(path), WordEncoder(path)
+    assert fast.split
+    r = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyzABCéüñçßŁőÿæ'.,-!?0123456789 \t\n\xa0"
+    texts = ["".join(r.choice(letters) for _ in range(2000)) for _ in range(200)]
+    texts += ["It's the dogs' 12 o'clock, they'LL've!", "İı ſ ΑΣ ά é中文\U0001f600", "a\x1cb\x85c\x1fd", f"x{MARK}y", "<|endoftext|>", " ", "\xa0\xad", "don’t"]
+    for t in texts:
+        assert fast(t).tolist() == plain.encode(t, add_special_tokens=False).ids, t[:60]
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    assert not WordEncoder(other).split
+    assert WordEncoder(other)("Some text").tolist() == Tokenizer.from_file(other).encode("Some text", add_special_tokens=False).ids
