@@ -14,7 +14,7 @@ members there goes on with the rest.
 
 Documents with equal sets are one node, and a group of near copies is
 joined through hubs: rounds compare every member of a posting list with a
-few hubs of the list, then those outside the list's largest component with
+hub of the list, then those outside the list's largest component with
 a member of it, and at last only the pairs of a list that are still in
 different components.  No link between components can be missed, because
 each pair that could reach the threshold shares a posting list and is
@@ -319,11 +319,11 @@ def ngram_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str
 
     prefixes = kept(_prefixes(docs.select("text").mapInArrow(_postings(k, percent, limit, common), POSTINGS), nodes, percent))
 
-    # First round: every member of a list with two hubs (grouped minima, so of lists of any length): the first of
-    # the list, and one by a hash that differs from list to list, so that a set meets several in its lists.
+    # First round: every member of a list with a hub (a grouped minimum, so of lists of any length) by a hash of the
+    # node alone: near copies share most of their lists and meet the same hub in them, so pairs go with members.
     entry = F.struct("pos", "n", "node")
-    hub = prefixes.groupBy("gram").agg(F.array(F.min(entry), F.min_by(entry, F.xxhash64("node", "gram"))).alias("hubs"))
-    stars = prefixes.join(hub, "gram").withColumn("hub", F.explode("hubs")).select(
+    hub = prefixes.groupBy("gram").agg(F.min_by(entry, F.xxhash64("node")).alias("hub"))
+    stars = prefixes.join(hub, "gram").select(
         F.col("node").alias("anode"), F.col("n").alias("an"), F.col("pos").alias("apos"),
         F.col("hub.node").alias("bnode"), F.col("hub.n").alias("bn"), F.col("hub.pos").alias("bpos"))
     pair = [F.greatest("anode", "bnode").alias("a"), F.least("anode", "bnode").alias("b")]
