@@ -1,13 +1,17 @@
 """Assembly, gradient-boosted trees, cross-validation,
 importance, attribution and the one-row training / evaluation records.
 
-Training is ``pyspark.ml`` (distributed tree induction); metrics reuse the
-evaluation operators, grouped by fold so k folds cost one metrics pass.
+Parameters in the common names train the second-order booster of ``boost.py``
+(all folds and the final fit grow together); Spark's names train its
+``GBTClassifier``.  Either is a stage of a ``PipelineModel``.  Metrics reuse
+the evaluation operators, grouped by fold so k folds cost one metrics pass.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import itertools
+import json
 import time
 from concurrent.futures import ThreadPoolExecutor
 
@@ -19,7 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cairn.functions.columns import hash_order, hash_uniform, r6
-from cairn.operators import evaluate as ev
+from cairn.operators import boost, evaluate as ev
 from cairn.operators.ranking import global_rank, running_sum
 from cairn.operators.select import NON_FEATURES
 from cairn.operators.split import assign_folds
@@ -27,13 +31,14 @@ from cairn.operators.treeshap import tree_shap_attribution
 
 # Model settings of the pipeline and of the library. TEST_PARAMS are the smaller trees and folds that the
 # registered queries and the bench train, with the pipeline's subsampling.
-PIPELINE_PARAMS = dict(maxIter=100, maxDepth=6, stepSize=0.1, subsamplingRate=0.8,
-                       featureSubsetStrategy="0.8", seed=42)
-DEFAULT_PARAMS = dict(PIPELINE_PARAMS, maxIter=200)
-TEST_PARAMS = dict(PIPELINE_PARAMS, maxIter=50, maxDepth=4)
+PIPELINE_PARAMS = {"objective": "binary:logistic", "eval_metric": "auc", "max_depth": 6, "learning_rate": 0.1, "n_estimators": 100,
+                   "subsample": 0.8, "colsample_bytree": 0.8, "random_state": 42}
+DEFAULT_PARAMS = {**PIPELINE_PARAMS, "eval_metric": "logloss", "n_estimators": 200}
+TEST_PARAMS = {**PIPELINE_PARAMS, "n_estimators": 50, "max_depth": 4}
+SPARK_PARAMS = dict(maxIter=100, maxDepth=6, stepSize=0.1, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42)
 PIPELINE_FOLDS, TEST_FOLDS = 5, 3
 METRICS = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
-# The names that gradient-boosting libraries of the scikit-learn kind use, and Spark's.
+# The common names that Spark's GBT has an equal for.
 PARAM_NAMES = {"max_depth": "maxDepth", "n_estimators": "maxIter", "learning_rate": "stepSize", "subsample": "subsamplingRate",
                "colsample_bytree": "featureSubsetStrategy", "random_state": "seed", "max_bins": "maxBins",
                "min_child_weight": "minInstancesPerNode"}
@@ -44,13 +49,13 @@ VALID = "__valid"
 
 
 def spark_params(params: dict | None = None) -> dict:
-    """Classifier arguments from Spark's or the common parameter names; an unknown name or another objective raises.
+    """Arguments of Spark's GBT from its own or the common parameter names; an unknown name or another objective raises.
 
     ``early_stopping_rounds`` (a positive number) switches early stopping on:
     boosting ends as soon as the loss of held-out rows no longer improves,
     however large the number, as Spark keeps no patience."""
     out, known = {}, {p.name for p in GBTClassifier().params}
-    for name, value in (PIPELINE_PARAMS if params is None else params).items():
+    for name, value in (SPARK_PARAMS if params is None else params).items():
         to = PARAM_NAMES.get(name, name)
         if name == EARLY_STOPPING:
             if value:
@@ -79,15 +84,20 @@ def training_frame(df: DataFrame, key: str, cols: list[str], partitions: int | N
     return out.repartition(n, F.col(key)).sortWithinPartitions(key, *[c for c in cols if c != key])
 
 
+def second_order(params: dict | None) -> bool:
+    """Whether parameters ask for the second-order booster: none of Spark's own names among them."""
+    return not set(params or {}) & {p.name for p in GBTClassifier().params}
+
+
 def model_features(df: DataFrame, target: str = "churned", exclude=NON_FEATURES + ("split", "fold")) -> list[str]:
     """P1 for training: every column except key, target and bookkeeping columns."""
     ex = set(exclude) | {target}
     return [c for c in df.columns if c not in ex]
 
 
-def assembler(features: list[str], out: str = "features") -> VectorAssembler:
-    """M1: dense feature vector; an invalid (NULL/NaN) value is an error (C6 runs first)."""
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error")
+def assembler(features: list[str], out: str = "features", missing: str = "error") -> VectorAssembler:
+    """M1: dense feature vector; an invalid (NULL/NaN) value is an error (C6 runs first), or NaN with ``missing="keep"``."""
+    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid=missing)
 
 
 def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataFrame:
@@ -105,6 +115,13 @@ def fit_gbt(df: DataFrame, features: list[str], target: str = "churned", params:
     return Pipeline(stages=[assembler(features), gbt(target, params)]).fit(train)
 
 
+def fit_boosted(df: DataFrame, features: list[str], target: str, key: str, fits: list[boost.Fit], rung=None) -> list[PipelineModel]:
+    """M2: the second-order booster for every fit at once over one binned frame, as ``PipelineModel``s in their order."""
+    cuts = boost.quantile_cuts(df, features, max(f.params.max_bins for f in fits))
+    grown = boost.fit_many(df, features, target, key, fits, cuts, fits[0].params.random_state, rung)
+    return [PipelineModel(stages=[assembler(features, missing="keep"), boost.model_of(f, cuts)]) for f in grown]
+
+
 def score(model: PipelineModel, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """M5: class at the 0.5 threshold (``prediction`` int) and positive-class
     probability (``probability_1``); input columns are kept."""
@@ -155,6 +172,27 @@ def _fit_fold(folded: DataFrame, i: int, features, target, params, key) -> DataF
     return score(m, folded.where(F.col("fold") == i), [key, target, "fold"])
 
 
+def _fit_all(folded: DataFrame, features, target, params, key, k: int, final: bool, parallelism: int | None):
+    """(final model or None, its seconds, held-out scores per fold)."""
+    t0 = time.time()
+    if second_order(params):
+        p = boost.BoostParams.of(params)
+        models = fit_boosted(folded, features, target, key, [boost.Fit(p, i) for i in range(k)] + [boost.Fit(p)] * final)
+        parts = [score(models[i], folded.where(F.col("fold") == i), [key, target, "fold"]) for i in range(k)]
+        return models[k] if final else None, time.time() - t0, parts
+
+    def final_fit():
+        m = fit_gbt(folded, features, target, params)
+        return m, time.time() - t0
+
+    # the final fit and the k fold fits are independent: run them as concurrent jobs
+    with ThreadPoolExecutor(max_workers=_parallelism(folded.sparkSession, k + final, parallelism)) as pool:
+        last = pool.submit(final_fit) if final else None
+        fold_parts = [pool.submit(_fit_fold, folded, i, features, target, params, key) for i in range(k)]
+        model, secs = last.result() if last else (None, 0.0)
+        return model, secs, [f.result() for f in fold_parts]
+
+
 def _fold_metrics(parts: list[DataFrame], target: str) -> DataFrame:
     held_out = parts[0]
     for p in parts[1:]:
@@ -167,7 +205,7 @@ def _fold_metrics(parts: list[DataFrame], target: str) -> DataFrame:
 
 
 def _parallelism(spark: SparkSession, jobs: int, asked: int | None) -> int:
-    """Fits that run at once: as asked, else two cores a fit."""
+    """GBT fits that run at once: as asked, else two cores a fit."""
     return max(1, min(jobs, asked or spark.sparkContext.defaultParallelism // 2))
 
 
@@ -176,6 +214,8 @@ def _folded(df, features, target, k, key, seed, partitions, params) -> DataFrame
     base = df.select(key, target, *features)
     if k:
         base = assign_folds(base, key, target, k, seed)
+    if second_order(params):        # the same model for any layout
+        return base.persist(StorageLevel.MEMORY_AND_DISK)
     return training_frame(base, key, base.columns, partitions, seed, params).persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -184,16 +224,59 @@ def cross_validate(df: DataFrame, features: list[str], target: str = "churned",
                    parallelism: int | None = None, partitions: int | None = None) -> DataFrame:
     """M4: stratified k-fold CV - k fits (one per fold, all metrics from it),
     then one grouped metrics pass over the union of held-out predictions.
-    Fold fits run as concurrent Spark jobs, as ``CrossValidator(parallelism=...)`` does.
+    The fits grow together, or with Spark's GBT run as concurrent jobs.
     Returns (fold, accuracy, precision, recall, f1_score, roc_auc)."""
+    params = PIPELINE_PARAMS if params is None else params
     folded = _folded(df, features, target, k, key, seed, partitions, params)
-    with ThreadPoolExecutor(max_workers=_parallelism(df.sparkSession, k, parallelism)) as pool:
-        parts = list(pool.map(lambda i: _fit_fold(folded, i, features, target, params, key), range(k)))
+    _, _, parts = _fit_all(folded, features, target, params, key, k, False, parallelism)
     out = _fold_metrics(parts, target)
     folded.unpersist()
     return out
 
 
+def grid_search(df: DataFrame, features: list[str], grid: dict[str, list], params: dict | None = None, target: str = "churned",
+                k: int = PIPELINE_FOLDS, key: str = "customer_id", seed: int = 42, rungs: list[int] | None = None, keep: float = 0.5) -> DataFrame:
+    """M4 with a parameter grid: every combination of ``grid`` over ``params``, k folds each, all grown together.
+
+    ``rungs`` are numbers of rounds after which only the share ``keep`` of the combinations goes on (at least one), those with the
+    best mean of ``eval_metric`` over the folds (ties: the earlier combination); the others keep what they have grown.  Returns a row per
+    combination and fold: cell, params (JSON of the grid's names), fold, rounds, dropped_at (the rung, or NULL), and the five metrics.
+    A combination that no rung drops has the metrics of ``cross_validate`` with its parameters and ``max_bins``."""
+    params = dict(PIPELINE_PARAMS if params is None else params)
+    if "max_bins" in grid or "early_stopping_rounds" in grid:
+        raise ValueError("max_bins and early_stopping_rounds are the same for all combinations")
+    cells = [dict(zip(grid, values, strict=True)) for values in itertools.product(*grid.values())]
+    specs = [boost.BoostParams.of({**params, **c}) for c in cells]
+    fits = [boost.Fit(p, i, watch="fold") for p in specs for i in range(k)]
+    better = -1 if boost.HIGHER_IS_BETTER[specs[0].eval_metric] else 1
+    dropped: dict[int, int] = {}
+
+    def rung(step: int, _):
+        if step not in (rungs or []):
+            return
+        going = [c for c in range(len(cells)) if c not in dropped]
+        means = {c: [f.history[-1][1] for f in fits[c * k:(c + 1) * k]] for c in going}
+        known = {c: sum(m) / k for c, m in means.items() if None not in m}
+        order = sorted(going, key=lambda c: (c not in known, better * known.get(c, 0.0), c))
+        for c in order[max(1, int(len(going) * keep)):]:
+            dropped[c] = step
+            for f in fits[c * k:(c + 1) * k]:
+                f.done = True
+
+    folded = assign_folds(df.select(key, target, *features), key, target, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    models = fit_boosted(folded, features, target, key, fits, rung)
+    scored = None
+    for n, model in enumerate(models):
+        c, i = divmod(n, k)
+        part = score(model, folded.where(F.col("fold") == i), [target]).select(F.lit(c).alias("cell"), F.lit(i).alias("fold"), target, "prediction", "probability_1")
+        scored = part if scored is None else scored.unionByName(part)
+    found = {(r["cell"], r["fold"]): r for r in metrics_by_group(scored, target, group=["cell", "fold"]).collect()}     # a row per fit
+    folded.unpersist()
+    rows = [(c, json.dumps(cells[c], sort_keys=True), i, len(fits[c * k + i].trees), dropped.get(c), *[found[c, i][m] if (c, i) in found else None for m in METRICS])
+            for c in range(len(cells)) for i in range(k)]
+    return df.sparkSession.createDataFrame(rows, "cell int, params string, fold int, rounds int, dropped_at int, " + ", ".join(f"{m} double" for m in METRICS))
+
+
 def cv_summary(folds: DataFrame) -> DataFrame:
     """M4 summary: (metric, mean, std (population), scores ordered by fold)."""
     long = folds.select("fold", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("v"))
@@ -205,7 +288,7 @@ def cv_summary(folds: DataFrame) -> DataFrame:
 
 def importance(model: PipelineModel, features: list[str], k: int | None = 10) -> DataFrame:
     """M7: (feature, importance) sorted descending (ties by name), top k.
-    Spark's importances are normalised to sum to 1."""
+    Shares that sum to 1: mean gain of a feature's splits, or with Spark's GBT its own measure."""
     imp = model.stages[-1].featureImportances.toArray().tolist()
     spark = SparkSession.getActiveSession()
     df = spark.createDataFrame([(f, float(v)) for f, v in zip(features, imp)], "feature string, importance double")
@@ -266,11 +349,11 @@ def _now() -> dt.datetime:
 
 def training_record(spark, name: str, version: str, n_train: int, features: list[str], target: str,
                     seconds: float, params: dict, folds: int, cv: DataFrame | None, metrics: DataFrame,
-                    top: DataFrame, source: str | None = None, mode: str = "cluster") -> DataFrame:
+                    top: DataFrame, source: str | None = None, mode: str = "cluster", kind: str = "BoostedTreesModel") -> DataFrame:
     """M8: one-row nested record of the training run (all inputs already small)."""
     cv_rows = [] if cv is None else [(r["metric"], r["mean"], r["std"], list(r["scores"])) for r in cv.collect()]
     m = metrics.first().asDict()
-    row = (name, version, "GBTClassifier", int(n_train), len(features), target, float(seconds),
+    row = (name, version, kind, int(n_train), len(features), target, float(seconds),
            {k: str(v) for k, v in params.items()}, int(folds), cv_rows, {k: m[k] for k in METRICS},
            list(features), [(r["feature"], r["importance"]) for r in top.collect()], _now(), source, mode)
     return spark.createDataFrame([row], RECORD_SCHEMA)
@@ -284,25 +367,15 @@ def train(df: DataFrame, target: str = "churned", params: dict | None = None, fo
     Returns (model, features, record DataFrame, cv fold table); nothing stays persisted."""
     features = model_features(df, target, exclude=(*NON_FEATURES, "split", "fold", key))
     k = folds if folds and folds > 1 else 0
+    params = PIPELINE_PARAMS if params is None else params
     folded = _folded(df, features, target, k, key, seed, partitions, params)
     n = folded.count()
-
-    def final_fit():
-        t0 = time.time()
-        m = fit_gbt(folded, features, target, params)
-        return m, time.time() - t0
-
-    # the final fit and the k fold fits are independent: run them as concurrent jobs
-    with ThreadPoolExecutor(max_workers=_parallelism(df.sparkSession, k + 1, parallelism)) as pool:
-        final = pool.submit(final_fit)
-        fold_parts = [pool.submit(_fit_fold, folded, i, features, target, params, key) for i in range(k)]
-        model, secs = final.result()
-        parts = [f.result() for f in fold_parts]
+    model, secs, parts = _fit_all(folded, features, target, params, key, k, True, parallelism)
     cv = _fold_metrics(parts, target) if k else None
     metrics = training_metrics(score(model, folded, [key, target]), target)
     rec = training_record(df.sparkSession, name, version, n, features, target, secs,
-                          dict(PIPELINE_PARAMS if params is None else params), folds or 0,
-                          cv_summary(cv) if cv is not None else None, metrics, importance(model, features, 10), source, mode)
+                          dict(params), folds or 0, cv_summary(cv) if cv is not None else None, metrics,
+                          importance(model, features, 10), source, mode, type(model.stages[-1]).__name__)
     folded.unpersist()
     return model, features, rec, cv
 

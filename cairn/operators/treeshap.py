@@ -23,6 +23,9 @@ one leaf's product game has a closed form through the coefficients of
 SHAP, Mitchell et al. 2022).  The full product is built once per leaf and each
 slot's factor divided out, so a leaf costs O(d^2) per row with d <= depth.
 
+The second-order booster's trees (``boost.py``) go the same way with their own
+margins, hessian covers and directions for missing values.
+
 Values are in log-odds: Spark's GBT margin F gives P(y=1) = 1 / (1 + exp(-2F)),
 so log-odds = 2F, and the base value plus a row's SHAP values sum to it.
 """
@@ -40,6 +43,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cairn.functions.columns import r6
+from cairn.operators.boost import BoostedTreesModel
 from cairn.session import shared_dir
 
 # The task-side kernel travels with the task (pickled by value), so Python
@@ -80,11 +84,37 @@ def _node_table(stage, spark: SparkSession | None = None) -> pd.DataFrame:
     return rows
 
 
+def _booster_leaves(stage) -> Iterator[tuple[float, dict]]:
+    """(value, slots) of every leaf of the second-order booster, whose nodes are on the driver; covers are hessian sums."""
+    for _, t in stage.nodes.groupby("tree"):
+        by_id = {int(r.node): r for r in t.itertuples(index=False)}
+        stack = [(0, {})]
+        while stack:
+            nid, slots = stack.pop()
+            n = by_id[nid]
+            if n.feature < 0:
+                yield float(n.value), slots
+                continue
+            for child, go_left in ((2 * nid + 1, True), (2 * nid + 2, False)):
+                ratio = float(by_id[child].cover) / float(n.cover) if n.cover > 0 else 0.0
+                lo, hi, z, blank = slots.get(int(n.feature), (-math.inf, math.inf, 1.0, True))
+                bounds = (lo, min(hi, n.cut)) if go_left else (max(lo, n.cut), hi)
+                stack.append((child, {**slots, int(n.feature): (*bounds, z * ratio, blank and bool(n.missing_left) == go_left)}))
+
+
 def leaf_paths(model, spark: SparkSession | None = None) -> tuple[dict, float]:
     """Root-to-leaf paths grouped by the number d of distinct features on them.
 
-    Returns ({d: dict(value (L,), feat (L,d), lo (L,d), hi (L,d), z (L,d))},
-    base value).  A row satisfies slot j when lo < x[feat] <= hi."""
+    Returns ({d: dict(value (L,), feat (L,d), lo (L,d), hi (L,d), z (L,d), blank (L,d))},
+    base value).  A row satisfies slot j when lo < x[feat] <= hi, or where x[feat] is missing and blank holds."""
+    last = model.stages[-1] if isinstance(model, PipelineModel) else model
+    if isinstance(last, BoostedTreesModel):
+        groups, base = {}, last.base
+        for v, slots in _booster_leaves(last):
+            base += v * math.prod(s[2] for s in slots.values())
+            if slots:
+                groups.setdefault(len(slots), []).append((v, slots))
+        return _grouped(groups), base
     stage = _gbt_stage(model)
     weights = list(stage.treeWeights)
     nodes = _node_table(stage, spark)
@@ -107,10 +137,14 @@ def leaf_paths(model, spark: SparkSession | None = None) -> tuple[dict, float]:
             f, thr = int(n.feature), float(n.threshold)
             for child, go_left in ((int(n.leftChild), True), (int(n.rightChild), False)):
                 ratio = float(by_id[child].rawCount) / cover if cover > 0 else 0.0
-                lo, hi, z = slots.get(f, (-math.inf, math.inf, 1.0))
+                lo, hi, z, _ = slots.get(f, (-math.inf, math.inf, 1.0, False))
                 s = dict(slots)
-                s[f] = (lo, min(hi, thr), z * ratio) if go_left else (max(lo, thr), hi, z * ratio)
+                s[f] = (lo, min(hi, thr), z * ratio, False) if go_left else (max(lo, thr), hi, z * ratio, False)
                 stack.append((child, s))
+    return _grouped(groups), base
+
+
+def _grouped(groups: dict[int, list]) -> dict:
     out = {}
     for d, leaves in groups.items():
         feats = [sorted(s) for _, s in leaves]
@@ -118,8 +152,9 @@ def leaf_paths(model, spark: SparkSession | None = None) -> tuple[dict, float]:
                       feat=np.array(feats, dtype=np.int64),
                       lo=np.array([[s[f][0] for f in fs] for (_, s), fs in zip(leaves, feats)]),
                       hi=np.array([[s[f][1] for f in fs] for (_, s), fs in zip(leaves, feats)]),
-                      z=np.array([[s[f][2] for f in fs] for (_, s), fs in zip(leaves, feats)]))
-    return out, base
+                      z=np.array([[s[f][2] for f in fs] for (_, s), fs in zip(leaves, feats)]),
+                      blank=np.array([[s[f][3] for f in fs] for (_, s), fs in zip(leaves, feats)]))
+    return out
 
 
 def _shapley_weights(d: int) -> np.ndarray:
@@ -137,7 +172,8 @@ def shap_block(x: np.ndarray, paths: dict, n_features: int) -> np.ndarray:
     phi = np.zeros((x.shape[0], n_features))
     for d, g in paths.items():
         xo = x[:, g["feat"]]                                         # (R, L, d)
-        o = np.ascontiguousarray(((xo > g["lo"]) & (xo <= g["hi"])).transpose(2, 0, 1), dtype=np.float64)
+        o = np.where(np.isnan(xo), g.get("blank", False), (xo > g["lo"]) & (xo <= g["hi"]))
+        o = np.ascontiguousarray(o.transpose(2, 0, 1), dtype=np.float64)
         z, w, v = g["z"].T, _shapley_weights(d), g["value"]          # z: (d, L); o: (d, R, L)
         p = np.zeros((d + 1,) + o.shape[1:])                         # coefficient planes, degree first
         p[0] = 1.0

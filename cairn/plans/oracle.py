@@ -7,6 +7,8 @@ Values are rounded to 6 places wherever the Spark side rounds.
 
 from __future__ import annotations
 
+from cairn.plans import boost_sql
+
 # --- stand-in views --------------------------------------------------------
 TRANS = """trans AS (
   SELECT o_custkey AS customer_id,
@@ -569,3 +571,46 @@ SELECT customer_id, round(coalesce(v, med), 6) AS spend,
        CAST(coalesce(v >= q3, false) AS INTEGER) AS is_high,
        round(CASE WHEN v > 0 THEN customer_id / v ELSE 0 END, 6) AS per_raw FROM e, q""",
 })
+
+
+# --- second-order boosting with trees of depth one ----------------------------
+_STUMP_FEATURES = [c for c in FEATURE_COLS if c not in ("customer_id", "churned")]
+_STUMP_ROUNDS, _STUMP_BINS, _STUMP_RATE = 4, 16, 0.5
+
+
+def _stumps(models: list[tuple], *more: str) -> list[str]:
+    return [*SPLIT_BLOCKS, *boost_sql.chain(_STUMP_FEATURES, models, _STUMP_ROUNDS, _STUMP_BINS), *more]
+
+
+_ONE = [(0, -1, _STUMP_RATE, 1.0)]
+_FOLDS = [(i, i, _STUMP_RATE, 1.0) for i in range(3)]
+# The grid's combinations in order, three folds each: learning rate, then lambda.
+_CELLS = [(lr, lam) for lr in (0.5, 0.1) for lam in (1.0, 20.0)]
+_GRID = [(3 * c + i, i, lr, lam) for c, (lr, lam) in enumerate(_CELLS) for i in range(3)]
+_CELL_PARAMS = "CASE m // 3 " + " ".join(
+    f"""WHEN {c} THEN '{{"learning_rate": {lr}, "reg_lambda": {lam}}}'""" for c, (lr, lam) in enumerate(_CELLS)) + " END"
+_FIVE = "accuracy, precision, recall, f1_score, roc_auc"
+
+SQL.update({
+    "m2_boosted_stumps": with_blocks(_stumps(_ONE), """
+SELECT CAST(round AS INTEGER) AS round, feature, round(cut, 6) AS cut, round(gain, 6) AS gain, round(vl, 6) AS left_value, round(vr, 6) AS right_value,
+       round(hl, 6) AS left_cover, round(hr, 6) AS right_cover FROM best"""),
+    "m4_boosted_folds": with_blocks(_stumps(_FOLDS, *boost_sql.metrics("fold = left_out", "m")), f"""
+SELECT CAST(m AS INTEGER) AS fold, {_FIVE} FROM found"""),
+    "m4_grid_search": with_blocks(_stumps(_GRID, *boost_sql.metrics("fold = left_out", "m")), f"""
+SELECT CAST(m // 3 AS INTEGER) AS cell, {_CELL_PARAMS} AS params, CAST(m % 3 AS INTEGER) AS fold, CAST({_STUMP_ROUNDS} AS INTEGER) AS rounds,
+       CAST(NULL AS INTEGER) AS dropped_at, {_FIVE} FROM found"""),
+    "m5_boosted_scores": with_blocks(_stumps(_ONE), """
+SELECT customer_id, y AS churned, CAST(prob > 0.5 AS INTEGER) AS prediction, round(prob, 6) AS probability_1 FROM scores WHERE split = 'test'"""),
+    "m6_boosted_metrics": with_blocks(_stumps(_ONE, *boost_sql.metrics("split = 'train'", "m")), f"SELECT {_FIVE} FROM found"),
+    "m7_boosted_importance": with_blocks(_stumps(_ONE), """
+SELECT feature, round(coalesce(share, 0), 6) AS importance FROM feature_names LEFT JOIN (
+  SELECT feature, avg(gain) / sum(avg(gain)) OVER () AS share FROM best GROUP BY feature) USING (feature)"""),
+    "e11_boosted_shap": with_blocks(_stumps(_ONE), """
+SELECT e.customer_id, n.feature, round(coalesce(sum(CASE WHEN lb.b <= s.b THEN vl ELSE vr END - (hl * vl + hr * vr) / (hl + hr)), 0), 6) AS shap
+FROM everyone e JOIN feature_names n ON split = 'test' LEFT JOIN best s ON s.f = n.f LEFT JOIN lb ON lb.customer_id = e.customer_id AND lb.f = n.f
+GROUP BY e.customer_id, n.feature"""),
+    "e14_boosted_metrics": with_blocks(_stumps(_ONE, *boost_sql.metrics("split = 'test'", "m")), """
+SELECT metric, value FROM (UNPIVOT found ON accuracy, precision, recall, f1_score, roc_auc, specificity, false_positive_rate, false_negative_rate,
+  tn, fp, fn, tp INTO NAME metric VALUE value)"""),
+})

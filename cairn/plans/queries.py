@@ -11,7 +11,7 @@ import weakref
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cairn.functions.columns import r6
-from cairn.operators import clean, evaluate as ev, features as feat, joins, model as mdl, profile, select as sel
+from cairn.operators import boost, clean, evaluate as ev, features as feat, joins, model as mdl, profile, select as sel
 from cairn.operators import split as sp, treeshap as tsh
 from cairn.plans import pipeline
 from cairn.session import shared_dir
@@ -363,12 +363,23 @@ def flagship(spark, sf):
 _TRAINED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
+_SPLITS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def _trained_split(spark, sf):
+    """The split's train and test rows as checkpoints, once per (session, sf)."""
+    held = _SPLITS.setdefault(spark, {})
+    if sf not in held:
+        shared_dir(spark)
+        held[sf] = tuple(x.checkpoint() for x in sp.train_test(_split(spark, sf)))
+    return held[sf]
+
+
 def _trained(spark, sf):
     """Train once per (session, sf) with TEST_PARAMS (50 trees, depth 4, 3 folds); every model query reuses it."""
     held = _TRAINED.setdefault(spark, {})
     if sf not in held:
-        shared_dir(spark)
-        tr, te = (x.checkpoint() for x in sp.train_test(_split(spark, sf)))
+        tr, te = _trained_split(spark, sf)
         model, feats, rec, cv = mdl.train(tr, TARGET, mdl.TEST_PARAMS, mdl.TEST_FOLDS, KEY)
         held[sf] = dict(model=model, features=feats, record=rec, cv=cv, train=tr, test=te)
     return held[sf]
@@ -500,6 +511,82 @@ def e14_evaluation_record(spark, sf):
                             zip(("test_samples", "feature_count", "attribution_sample_size"), facts, strict=True)])
 
 
+# --- second-order boosting with trees of depth one, which SQL can state -----------
+# Fixed values, as in the SQL.
+STUMPS = {"n_estimators": 4, "max_depth": 1, "learning_rate": 0.5, "max_bins": 16, "random_state": 42}
+STUMP_GRID = {"learning_rate": [0.5, 0.1], "reg_lambda": [1.0, 20.0]}
+_STUMP_MODELS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def _stumps(spark, sf):
+    """(model, features, train, test) of the stumps on the train rows, once per (session, sf)."""
+    held = _STUMP_MODELS.setdefault(spark, {})
+    if sf not in held:
+        tr, te = _trained_split(spark, sf)
+        feats = mdl.model_features(tr, TARGET, exclude=(*sel.NON_FEATURES, KEY))
+        model, = mdl.fit_boosted(tr, feats, TARGET, KEY, [boost.Fit(boost.BoostParams.of(STUMPS))])
+        held[sf] = model, feats, tr, te
+    return held[sf]
+
+
+def m2_boosted_stumps(spark, sf):
+    """M2: every tree's split, gain, leaf values and covers."""
+    model, feats, _, _ = _stumps(spark, sf)
+    nodes = spark.createDataFrame(model.stages[-1].nodes)
+    root, left, right = (nodes.where(F.col("node") == n).alias(a) for n, a in ((0, "p"), (1, "l"), (2, "r")))
+    names = F.array(*[F.lit(f) for f in feats])
+    return (root.join(left, "tree").join(right, "tree")
+            .select((F.col("tree") + 1).alias("round"), F.element_at(names, F.col("p.feature") + 1).alias("feature"), r6("p.cut").alias("cut"),
+                    r6("p.gain").alias("gain"), r6("l.value").alias("left_value"), r6("r.value").alias("right_value"),
+                    r6("l.cover").alias("left_cover"), r6("r.cover").alias("right_cover")))
+
+
+def m4_boosted_folds(spark, sf):
+    """M4: the five metrics on every fold's held-out rows."""
+    _, feats, tr, _ = _stumps(spark, sf)
+    return mdl.cross_validate(tr, feats, TARGET, STUMPS, mdl.TEST_FOLDS, KEY)
+
+
+def m4_grid_search(spark, sf):
+    """M4: every combination of the grid on every fold."""
+    _, feats, tr, _ = _stumps(spark, sf)
+    return mdl.grid_search(tr, feats, STUMP_GRID, STUMPS, TARGET, mdl.TEST_FOLDS, KEY)
+
+
+def m5_boosted_scores(spark, sf):
+    """M5: probability and label of every test row."""
+    model, _, _, te = _stumps(spark, sf)
+    return mdl.score(model, te, [KEY, TARGET]).select(KEY, TARGET, "prediction", r6("probability_1").alias("probability_1"))
+
+
+def m6_boosted_metrics(spark, sf):
+    """M6: the training metrics."""
+    model, _, tr, _ = _stumps(spark, sf)
+    return mdl.training_metrics(mdl.score(model, tr, [KEY, TARGET]), TARGET)
+
+
+def m7_boosted_importance(spark, sf):
+    """M7: every feature's share of the mean gains."""
+    model, feats, _, _ = _stumps(spark, sf)
+    return mdl.importance(model, feats, None).select("feature", r6("importance").alias("importance"))
+
+
+def e11_boosted_shap(spark, sf):
+    """Tree SHAP value of every feature of every test row."""
+    model, feats, _, te = _stumps(spark, sf)
+    names = F.array(*[F.lit(f) for f in feats])
+    return (tsh.shap_values(model, te, feats, KEY).select(KEY, F.posexplode("shap").alias("i", "v"))
+            .select(KEY, F.element_at(names, F.col("i") + 1).alias("feature"), (r6("v") + 0.0).alias("shap")))
+
+
+def e14_boosted_metrics(spark, sf):
+    """Metrics and confusion counts of the evaluation record on the test rows."""
+    model, feats, _, te = _stumps(spark, sf)
+    _, rec = mdl.evaluate(model, te, feats, TARGET, KEY, generate_shap=False)
+    both = F.map_concat("performance_metrics", F.transform_values("confusion_matrix", lambda _, v: v.cast("double")))
+    return rec.select(F.explode(both).alias("metric", "value"))
+
+
 # --- sources and sinks ----------------------------------------------------------
 TRANS_SCHEMA = ("customer_id bigint, monthly_spend double, sessions_per_month double, "
                 "support_tickets_last_month bigint, churned int")
@@ -690,5 +777,7 @@ QUERIES = {
         "m7_importance", "m8_training_record", "s10_model_roundtrip", "e11_permutation_attribution",
         "e11_tree_shap_attribution", "e11_tree_shap_values",
         "e14_evaluation_record", "pipeline_end_to_end",
+        "m2_boosted_stumps", "m4_boosted_folds", "m4_grid_search", "m5_boosted_scores", "m6_boosted_metrics", "m7_boosted_importance",
+        "e11_boosted_shap", "e14_boosted_metrics",
     ]},
 }
