@@ -16,7 +16,7 @@ from cairn.operators.ranking import running_sum
 HIST_BINS = 30
 SAMPLE_ROWS = 100
 SEED = 42
-MAX_CLASSES = 1000          # classes whose score ranges are held as literals
+MAX_CLASSES = 1000          # default bound of the classes whose score ranges are held as literals
 CURVE_BLOCK = 100_000       # neighbouring curve points that one window group holds
 
 
@@ -125,14 +125,15 @@ def pr_curve(scored: DataFrame, label: str = "label", score: str = "score", curv
 
 
 def score_histogram(scored: DataFrame, label: str = "label", score: str = "score",
-                    bins: int = HIST_BINS) -> DataFrame:
+                    bins: int = HIST_BINS, max_classes: int = MAX_CLASSES) -> DataFrame:
     """Per class, ``bins`` equal-width bins over that class's own min..max
-    (last bin closed; a constant class is centred as NumPy does), empty bins included."""
+    (last bin closed; a constant class is centred as NumPy does), empty bins included.
+    The driver holds a row per class, so more than ``max_classes`` raise."""
     s = F.col(score).cast("double")
     found = scored.groupBy(label).agg(F.min(s).alias("mn"), F.max(s).alias("mx")).where(F.col(label).isNotNull())
-    rows = found.limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label}: more than {MAX_CLASSES} classes")
+    rows = found.limit(max_classes + 1).collect()
+    if len(rows) > max_classes:
+        raise ValueError(f"{label}: more than {max_classes} classes; raise max_classes")
     # the ranges are literals on the scored rows, which then only feed a partial aggregate
     ranges = [(r[label], *((r["mn"], r["mx"]) if r["mx"] is not None and r["mx"] > r["mn"]
                            else (None, None) if r["mn"] is None else (r["mn"] - 0.5, r["mx"] + 0.5))) for r in rows]

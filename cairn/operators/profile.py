@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cairn.functions.columns import clean_double, kind_of, r6
 from cairn.operators.ranking import running_sum
@@ -192,8 +192,12 @@ def min_class_check(df: DataFrame, target: str, test_size: float = 0.2) -> DataF
 
 def summary(df: DataFrame, target: str | None = "churned") -> DataFrame:
     """A10: rows, columns, missing cells and target rate in one pass."""
-    aggs = [F.count(F.lit(1)).alias("n_rows"),
-            (sum(F.count_if(is_missing(df, c)) for c in df.columns)).alias("n_missing")]
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), *summary_aggregates(df, target)).withColumn("n_columns", F.lit(len(df.columns)))
+
+
+def summary_aggregates(df: DataFrame, target: str | None = "churned") -> list[Column]:
+    """A10's aggregates besides the row count, which a write job can observe."""
+    aggs = [(sum(F.count_if(is_missing(df, c)) for c in df.columns)).alias("n_missing")]
     if target and target in df.columns:
         aggs.append(r6(F.avg(clean_double(target))).alias("target_rate"))
-    return df.agg(*aggs).withColumn("n_columns", F.lit(len(df.columns)))
+    return aggs

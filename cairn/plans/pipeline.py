@@ -166,21 +166,25 @@ def run(spark, sf_dir: str | None, root: str, params: dict | None = None, folds:
         reg.write_run_record(reg.run_record(spark, step, prm, stats), root)
 
     def published(df, name):
-        reg.register_view(df, root, name, [key], version)
+        """The view as it was written; its figures (A10) come from the write job."""
+        reg.register_view(df, root, name, [key], version, observe=profile.summary_aggregates(df, target))
         return reg.read_view(spark, root, name, version)
 
+    def figures(name, df):
+        return reg.view_stats(spark, root, name, version) | {"n_columns": len(df.columns)}
+
     trans, demo = inputs or (views.transactions(spark, sf_dir), views.demographics(spark, sf_dir))
     trans, demo = published(trans, "customer_transactions"), published(demo, "customer_demographics")
-    record("generate", {"version": version, "given": inputs is not None}, profile.summary(trans, target))
+    record("generate", {"version": version, "given": inputs is not None}, figures("customer_transactions", trans))
     rep = PreprocessReport()
     pre = preprocess(trans, demo, as_of, rep, key=key, max_categories=max_categories)
     _warn_if(rep.coverage, "warn", "low join coverage")
     pre = published(pre, "preprocessed_customer_features")
     record("preprocess", {"version": version, "as_of": as_of, "bounds": rep.bounds, "thresholds": rep.thresholds},
-           profile.summary(pre, target))
+           figures("preprocessed_customer_features", pre))
 
     eng = published(engineer(pre, key), "engineered_customer_features")
-    record("engineer", {"version": version}, profile.summary(eng, target))
+    record("engineer", {"version": version}, figures("engineered_customer_features", eng))
 
     require_columns(eng, [target, stratify])
     _warn_if(profile.min_class_check(eng, stratify, test_size), "warn", "minority class small relative to test size")
@@ -205,10 +209,16 @@ def run(spark, sf_dir: str | None, root: str, params: dict | None = None, folds:
     tm = train_rec.first()
     record("train", {"version": version, "params": params, "folds": folds},
            {**tm["training_metrics"], "training_time_seconds": tm["training_time_seconds"]})
+    reg.write_record(train_rec, root, "training")
 
     scored, eval_rec = mdl.evaluate(mstore.load_model(spark, root, "gbt_churn_model", version), test_df, feats,
                                     target, key, version=version, seed=seed, generate_shap=generate_shap,
                                     source=f"test_customer_features:{version}", mode=mode)
+    em = eval_rec.first()
+    record("evaluate", {"version": version, "generate_shap": generate_shap},
+           {**{k: v for k, v in em["performance_metrics"].items() if v is not None}, **em["confusion_matrix"],
+            "test_samples": em["test_samples"], "prediction_time_seconds": em["prediction_time_seconds"]})
+    reg.write_record(eval_rec, root, "evaluation")
     metrics = reg.log_metrics(eval_rec.select(F.explode("performance_metrics").alias("metric", "value")),
                               root, "gbt_churn_model", version)
     write_predictions(predictions(scored, key, target, "prediction", "probability_1"),

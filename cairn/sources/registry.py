@@ -5,23 +5,29 @@ Layout under a root folder (the shared folder on a cluster):
 - ``views/<name>/<v>-<id>/``      one registered version's data, Parquet, with its own schema
 - ``_registry/``                  one row per registration (kind, name, version, path); a default
                                   version is a row of kind ``default`` whose entity is the kind it is for
+- ``_claims/``                    an empty file per registration number
 - ``_runs/``                      run records (JSON lines)
+- ``_records/<kind>/``            training and evaluation records, as they are
 - ``_metrics/``                   logged metrics, long form
 
 A version is read from the folder of its last registration, so versions may
-differ in columns and types.  The registry is a small DataFrame queried
-with ordinary filters and aggregates.
+differ in columns and types.  The last is the one with the highest number,
+which a registration claims by creating a file that must not exist yet; clocks
+decide nothing.  The registry is a small DataFrame queried with ordinary
+filters and aggregates.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 import uuid
 from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from cairn.sources.tables import normalise_nan
 
@@ -31,28 +37,98 @@ REGISTRY_SCHEMA = T.StructType([
     T.StructField("join_keys", T.ArrayType(T.StringType())), T.StructField("timestamp_col", T.StringType()),
     T.StructField("description", T.StringType()), T.StructField("n_rows", T.LongType()),
     T.StructField("path", T.StringType()), T.StructField("registered_at", T.TimestampType()),
+    T.StructField("seq", T.LongType()), T.StructField("buckets", T.IntegerType()),
+    T.StructField("stats", T.MapType(T.StringType(), T.DoubleType())),
 ])
 # Version keywords and the global default version.
 CURRENT, LATEST, GLOBAL_DEFAULT = "current", "latest", "v1"
 DEFAULT = "default"         # kind of the registry rows that name a default version
 
 
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 def _p(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts])
 
 
 def registry(spark: SparkSession, root: str) -> DataFrame:
-    """The registry table (empty frame when there is no registry folder yet; any other failure is raised)."""
+    """The registry table (empty frame when there is no registry folder yet; any other failure is raised).
+
+    A row counts once, also while a compaction has it in two files."""
     try:
-        return spark.read.schema(REGISTRY_SCHEMA).parquet(_p(root, "_registry"))
+        rows = spark.read.schema(REGISTRY_SCHEMA).option("recursiveFileLookup", "true").parquet(_p(root, "_registry"))
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], REGISTRY_SCHEMA)
+    return rows.dropDuplicates(["seq", "kind", "name", "version", "registered_at"])
+
 
+def _last(col: str | Column) -> Column:
+    """The value of the last registration."""
+    return F.max_by(col, F.struct(F.coalesce(F.col("seq"), F.lit(0)), F.col("registered_at")))
 
-def _append_registry(spark, root, row: tuple) -> None:
-    spark.createDataFrame([row], REGISTRY_SCHEMA).coalesce(1).write.mode("append").parquet(_p(root, "_registry"))
+
+def _folder(spark: SparkSession, path: str):
+    """(file system, folder) of a path, for the few metadata files that the driver handles itself."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _create_new(fs, path) -> bool:
+    """Create an empty file; False if there is one.  Exclusive on HDFS and on local and mounted folders."""
+    if fs.getUri().getScheme() == "file":       # Hadoop's local file system looks first and creates then
+        try:
+            os.close(os.open(path.toUri().getPath(), os.O_CREAT | os.O_EXCL))
+            return True
+        except FileExistsError:
+            return False
+    try:
+        fs.create(path, False).close()
+        return True
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName() or fs.exists(path):
+            return False
+        raise
+
+
+def claim_number(spark: SparkSession, root: str) -> int:
+    """The next registration number, which nobody else gets: one more than the highest claimed, tried until a claim succeeds."""
+    fs, folder = _folder(spark, _p(root, "_claims"))
+    fs.mkdirs(folder)
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    n = max((int(x) for x in names if x.isdigit()), default=0)
+    while True:
+        n += 1
+        if _create_new(fs, spark._jvm.org.apache.hadoop.fs.Path(folder, str(n))):
+            return n
+
+
+def _append_registry(spark, root, row: tuple, buckets: int | None = None, stats: dict | None = None) -> int:
+    seq = claim_number(spark, root)
+    whole = (*row, _now(), seq, buckets, stats)
+    # a folder of its own: writers that share one would clear each other's unfinished files
+    spark.createDataFrame([whole], REGISTRY_SCHEMA).coalesce(1).write.parquet(_p(root, "_registry", str(seq)))
+    return seq
+
+
+def compact_registry(spark: SparkSession, root: str) -> int:
+    """Write the registry's rows into one file and delete the folders that held them; returns how many went.
+
+    Readers in between see rows twice and count them once; folders that registrations add meanwhile stay.  A reader that
+    listed a folder before it went fails and may read again."""
+    fs, folder = _folder(spark, _p(root, "_registry"))
+    old = [s.getPath() for s in fs.listStatus(folder) if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))] if fs.exists(folder) else []
+    if len(old) < 2:
+        return 0
+    rows = spark.read.schema(REGISTRY_SCHEMA).parquet(*[p.toString() for p in old])
+    rows.dropDuplicates(["seq", "kind", "name", "version", "registered_at"]).coalesce(1).write.parquet(
+        _p(root, "_registry", f"compact-{uuid.uuid4().hex[:12]}"))
+    for p in old:
+        fs.delete(p, True)
+    return len(old)
 
 
 def check_keys(df: DataFrame, keys: list[str]) -> int:
@@ -74,26 +150,48 @@ def check_keys(df: DataFrame, keys: list[str]) -> int:
 
 def register_view(df: DataFrame, root: str, name: str, keys: list[str], version: str,
                   timestamp_col: str | None = None, desc: str = "", entity: str = "customer",
-                  validate: bool = True) -> str:
+                  validate: bool = True, observe: list[Column] | None = None, buckets: int | None = None) -> str:
     """Write ``df`` as version ``version`` of view ``name``, check the keys of what
     was written, and only then publish it with a registry row.
 
     Each registration has a folder of its own, so a failed one leaves the
-    published version as it was, and readers of an older one are not disturbed."""
+    published version as it was, and readers of an older one are not disturbed.
+
+    ``observe`` are named aggregates that the write job itself measures (``view_stats`` has them afterwards).  With
+    ``buckets`` the rows lie in as many buckets, sorted by the keys, so that joins of views with the same
+    count on those keys need no shuffle."""
     spark = df.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
     missing = [c for c in keys + ([timestamp_col] if timestamp_col else []) if c not in df.columns]
     if missing:
         raise ValueError(f"register_view: missing column(s) {missing}")
     path = _p(root, "views", quote(name, safe=""), f"{quote(version, safe='')}-{uuid.uuid4().hex[:12]}")
-    df.write.parquet(path)
-    written = spark.read.schema(df.schema).parquet(path)
-    n = check_keys(written, keys) if validate else written.count()
-    _append_registry(spark, root, ("view", name, version, entity, keys, timestamp_col, desc, n, path,
-                                   dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)))
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *[c for c in observe or []])
+    if buckets:
+        table = _table_name(path)
+        counted.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+        spark.sql(f"DROP TABLE {table}")        # the files stay; readers name them again
+    else:
+        counted.write.parquet(path)
+    figures = seen.get
+    if validate:
+        check_keys(spark.read.schema(df.schema).parquet(path), keys)
+    stats = {k: float(v) for k, v in figures.items() if isinstance(v, (int, float)) and not isinstance(v, bool)}
+    _append_registry(spark, root, ("view", name, version, entity, keys, timestamp_col, desc, int(figures["n_rows"]), path), buckets, stats)
     return version
 
 
+def _table_name(path: str) -> str:
+    return "cairn_view_" + path.rsplit("-", 1)[1]
+
+
+def view_stats(spark: SparkSession, root: str, name: str, version: str) -> dict:
+    """The figures that were measured while a version was written."""
+    rows = registry(spark, root).where((F.col("kind") == "view") & (F.col("name") == name) & (F.col("version") == version))
+    return rows.agg(_last("stats").alias("s")).first()["s"] or {}
+
+
 def version_number(col: str = "version"):
     """Numeric part of 'v<digits>' (unparsable -> 0), for numeric ordering (v10 > v9)."""
     num = F.regexp_extract(F.col(col), r"^v(\d+)$", 1)
@@ -116,13 +214,12 @@ def latest_version(reg: DataFrame, name: str, kind: str = "view", default: str =
 
 def set_default_version(spark: SparkSession, root: str, name: str, version: str, kind: str = "view") -> None:
     """Store the version that None and 'current' mean for ``name``; the last one stored holds."""
-    _append_registry(spark, root, (DEFAULT, name, version, kind, None, None, None, None, None,
-                                   dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)))
+    _append_registry(spark, root, (DEFAULT, name, version, kind, None, None, None, None, None))
 
 
 def stored_default(reg: DataFrame, name: str, kind: str = "view") -> str | None:
     row = (reg.where((F.col("kind") == DEFAULT) & (F.col("entity") == kind) & (F.col("name") == name))
-           .agg(F.max_by("version", "registered_at").alias("v")).first())
+           .agg(_last("version").alias("v")).first())
     return row["v"]
 
 
@@ -148,10 +245,17 @@ def read_view(spark: SparkSession, root: str, name: str, version: str | None = N
     reg = registry(spark, root)
     v = resolve_version(reg, name, version, "view", defaults)
     row = (reg.where((F.col("kind") == "view") & (F.col("name") == name) & (F.col("version") == v))
-           .agg(F.max_by("path", "registered_at").alias("path")).first())
-    if row["path"] is None:
+           .agg(_last(F.struct("path", "buckets", "join_keys")).alias("r")).first()["r"])
+    if row is None:
         raise KeyError(f"view '{name}' has no version '{v}'")
-    return normalise_nan(spark.read.parquet(row["path"]))
+    if not row["buckets"]:
+        return normalise_nan(spark.read.parquet(row["path"]))
+    # The catalogue tells the planner of the buckets; the table is only a name for the files.
+    table, keys = _table_name(row["path"]), ", ".join(f"`{k}`" for k in row["join_keys"])
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(row["path"]).schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+              f"INTO {row['buckets']} BUCKETS LOCATION '{row['path']}'")
+    return normalise_nan(spark.table(table))
 
 
 def find_view(reg: DataFrame, candidates: list[str], kind: str = "view", required: bool = True) -> str | None:
@@ -170,8 +274,7 @@ def list_views(reg: DataFrame, kind: str | None = "view") -> DataFrame:
     """(kind, name, latest_version, n_versions, description, n_rows of the latest)."""
     lat = latest_versions(reg, kind)
     last = reg.join(lat.select("kind", "name", F.col("latest_version").alias("version")), ["kind", "name", "version"])
-    info = last.groupBy("kind", "name").agg(F.max_by("description", "registered_at").alias("description"),
-                                            F.max_by("n_rows", "registered_at").alias("n_rows"))
+    info = last.groupBy("kind", "name").agg(_last("description").alias("description"), _last("n_rows").alias("n_rows"))
     return lat.join(info, ["kind", "name"], "left")
 
 
@@ -196,7 +299,7 @@ def run_record(spark: SparkSession, step: str, params: dict, stats: DataFrame |
     if isinstance(stats, DataFrame):
         r = stats.first().asDict()
         stats = {k: float(v) for k, v in r.items() if isinstance(v, (int, float)) and not isinstance(v, bool)}
-    row = (step, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+    row = (step, _now(),
            {k: json.dumps(v, default=str) for k, v in params.items()}, {k: float(v) for k, v in stats.items()})
     return spark.createDataFrame([row], RUN_SCHEMA)
 
@@ -207,6 +310,17 @@ def write_run_record(rec: DataFrame, root: str) -> str:
     return path
 
 
+def write_record(rec: DataFrame, root: str, kind: str) -> str:
+    """Append a training or evaluation record."""
+    path = _p(root, "_records", kind)
+    rec.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def read_records(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    return spark.read.parquet(_p(root, "_records", kind))
+
+
 def log_metrics(metrics: DataFrame, root: str, model: str, version: str) -> DataFrame:
     """Append metrics (a one-row wide frame, or long (metric, value)) as
     (model, version, metric, value, logged_at) rows; returns the appended rows."""

@@ -27,7 +27,13 @@ def test_pipeline_runs_and_registers_outputs(spark):
     assert out["coverage"].first()["coverage"] == 1.0
     assert out["leakage"].first()["n_overlap"] == 0
     steps = {r["step"] for r in spark.read.json(f"{root}/_runs").collect()}
-    assert steps == {"generate", "preprocess", "engineer", "split", "train"}
+    assert steps == {"generate", "preprocess", "engineer", "split", "train", "evaluate"}
+    trained, judged = (reg.read_records(spark, root, k).collect() for k in ("training", "evaluation"))
+    assert len(trained) == len(judged) == 1
+    assert trained[0].asDict(True) == out["training"].first().asDict(True) and judged[0].asDict(True) == out["evaluation"].first().asDict(True)
+    made = next(r for r in spark.read.json(f"{root}/_runs").collect() if r["step"] == "generate")["stats"]
+    assert made["n_rows"] == r.where(F.col("name") == "customer_transactions").first()["n_rows"] and made["n_columns"] == 5
+    assert 0 < made["target_rate"] < 1
     eng = reg.read_view(spark, root, "engineered_customer_features", "v1")
     assert not [c for c, t in eng.dtypes if t in ("string", "date")]
 
