@@ -60,3 +60,48 @@ def key_overlap_report(a: DataFrame, b: DataFrame, key: str = "customer_id") ->
     """J3/T6 as a one-row report: (n_overlap, leakage)."""
     ov = key_overlap(a, b, key, fail=False)
     return ov.agg(F.count(F.lit(1)).alias("n_overlap")).withColumn("leakage", F.col("n_overlap") > 0)
+
+
+# How many frequent keys a side's sketch reports, and how many it tracks while it is merged; both bound what the driver holds.
+HOT_KEYS, TRACKED_KEYS = 64, 4096
+
+
+def hot_keys(df: DataFrame, keys: list[str], most: int | None = None) -> dict[int, int]:
+    """{key hash: rows} of the keys with more than ``most`` rows (default: a shuffle partition's fair share), from one
+    mergeable frequent-items sketch.  The estimates are at most 1 / TRACKED_KEYS of the rows too high."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = df.select(F.xxhash64(*keys).alias("h")).agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {HOT_KEYS}, {TRACKED_KEYS})").alias("top")).first()
+    limit = max(1, r["n"] // partitions) if most is None else most
+    return {x["item"]: x["count"] for x in r["top"] or [] if x["count"] > limit}
+
+
+def join_skewed(a: DataFrame, b: DataFrame, on: str | list[str] = "customer_id", suffixes: tuple[str, str] = ("_trans", "_demo"),
+                null_safe: bool = False, rows_per_part: int | None = None, seed: int = 42) -> DataFrame:
+    """J1 where a key, on either side or both, may hold a large share of the rows; the same rows as ``join_inner``.
+
+    Sketches of both sides find the hot keys.  A hot key's rows are dealt to parts of about ``rows_per_part`` rows (default: a
+    shuffle partition's fair share of the side) and copied to every part of the other side, so each pair meets in exactly
+    one cell and no task gets the whole key.  All other rows are shuffled once, as in a plain join."""
+    keys = [on] if isinstance(on, str) else list(on)
+    partitions = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def parts(df: DataFrame) -> dict[int, int]:
+        most = rows_per_part or max(1, df.count() // partitions)
+        return {h: -(-n // most) for h, n in hot_keys(df, keys, most).items()}
+
+    of_a, of_b = parts(a), parts(b)
+    if not of_a and not of_b:
+        return join_inner(a, b, on, suffixes, null_safe)
+
+    def dealt(df: DataFrame, mine: dict, other: dict, names: tuple[str, str], salt: int) -> DataFrame:
+        def count(of: dict):
+            if not of:
+                return F.lit(1)
+            return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for p in of.items() for x in p]), F.xxhash64(*keys)), F.lit(1))
+        own, copies = names
+        return (df.withColumn(own, F.floor(F.rand(seed + salt) * count(mine)).cast("int"))
+                .withColumn(copies, F.explode(F.sequence(F.lit(0), count(other).cast("int") - 1))))
+
+    cells = ("__cell_a", "__cell_b")
+    joined = join_inner(dealt(a, of_a, of_b, cells, 0), dealt(b, of_b, of_a, cells[::-1], 1), [*keys, *cells], suffixes, null_safe)
+    return joined.drop(*cells)

@@ -41,6 +41,80 @@ def class_quotas(counts: dict, n_test: int) -> dict:
     return quota
 
 
+def controlled_quotas(counts: dict[tuple, int], n_test: int) -> dict[tuple, int]:
+    """Seats per stratum (first value, rest) so that every stratum, every first value, every rest and the whole get their
+    proportional share rounded down or up, and the whole exactly ``n_test``.
+
+    Of all such roundings the one whose rounded-up strata have the largest remainders in sum; of equal sums the one that rounds
+    up the earlier strata in the order of their values.  A cheapest flow from first values through strata to rests finds it."""
+    n = sum(counts.values())
+    order = sorted(counts, key=lambda c: [(v is None, v) for v in c])
+    quota = {c: counts[c] * n_test // n for c in order}
+    rest = {c: counts[c] * n_test % n for c in order}
+    m = len(order)
+
+    def margin(side: int) -> dict:
+        """{value: (least, most)} of the seats still to give."""
+        total: dict = {}
+        for c in order:
+            v = c[0] if side == 0 else c[1:]
+            k, floors = total.get(v, (0, 0))
+            total[v] = k + counts[c], floors + quota[c]
+        return {v: (k * n_test // n - f, -(-k * n_test // n) - f) for v, (k, f) in total.items()}
+
+    edges: list[list] = []          # to, capacity, cost; the reverse edge follows
+    at: dict = {}
+
+    def node(name) -> int:
+        return at.setdefault(name, len(at))
+
+    def edge(x: int, y: int, capacity: int, cost: int) -> None:
+        edges.append([x, y, capacity, cost])
+        edges.append([y, x, 0, -cost])
+
+    source, sink = node("source"), node("sink")
+    must = -(n + 1) * (m + 1) << (m + 1)        # more than all strata are worth
+    for side, sign in ((0, 1), (1, -1)):
+        for v, (least, most) in margin(side).items():
+            x, y = (source, node((0, v))) if side == 0 else (node((1, v)), sink)
+            edge(x, y, least, must)
+            edge(x, y, most - least, 0)
+    first = len(edges)
+    cells = [c for c in order if rest[c]]
+    for c in cells:
+        edge(node((0, c[0])), node((1, c[1:])), 1, -((rest[c] << m) + (1 << (m - 1 - order.index(c)))))
+    for _ in range(n_test - sum(quota.values())):
+        far, via = {source: 0}, {}
+        changed = True
+        while changed:
+            changed = False
+            for i, (x, y, capacity, cost) in enumerate(edges):
+                if capacity and x in far and (y not in far or far[x] + cost < far[y]):
+                    far[y], via[y], changed = far[x] + cost, i, True
+        y = sink
+        while y != source:
+            i = via[y]
+            edges[i][2] -= 1
+            edges[i ^ 1][2] += 1
+            y = edges[i][0]
+    for k, c in enumerate(cells):
+        quota[c] += 1 - edges[first + 2 * k][2]
+    return quota
+
+
+def merge_rare(counts: dict[tuple, int], least: int = 2) -> dict[tuple, tuple]:
+    """{rare stratum: stratum it joins}: one with fewer than ``least`` rows joins the largest other with the same first value (ties:
+    the first in order), or the largest of all where there is none."""
+    order = sorted(counts, key=lambda c: [(v is None, v) for v in c])
+    common = [c for c in order if counts[c] >= least]
+    out = {}
+    for c in order:
+        if counts[c] < least and common:
+            near = [x for x in common if x[0] == c[0]] or common
+            out[c] = max(near, key=lambda x: (counts[x], -order.index(x)))
+    return out
+
+
 def _class_counts(df: DataFrame, target: str, max_classes: int = MAX_CLASSES) -> dict:
     rows = df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).limit(max_classes + 1).collect()
     if len(rows) > max_classes:
@@ -106,6 +180,38 @@ def stratified_split(df: DataFrame, key: str = "customer_id", target: str = "chu
     return _split_by_quota(df, key, {(c,): q for c, q in quotas.items()}, seed, target, out)
 
 
+def stratified_split_by(df: DataFrame, key: str = "customer_id", targets: list[str] | str = "churned", test_size: float = 0.2, seed: int = SEED,
+                        out: str = "split", max_classes: int = MAX_CLASSES) -> DataFrame:
+    """T1 on one or several columns.  The strata are the value combinations; ``controlled_quotas`` keeps the shares jointly, of the
+    first column, and of the combinations of the others, each within one row.  Rare strata are merged (``merge_rare``).
+
+    One column, a single row of some class or too few seats do as ``stratified_split`` does.  NULL is a value of its own; a
+    NULL key raises.  The driver holds a count and a cut per stratum, at most ``max_classes``."""
+    targets = [targets] if isinstance(targets, str) else list(targets)
+    if len(targets) == 1:
+        return stratified_split(df, key, targets[0], test_size, seed, out, max_classes)
+    _require_keys(df, key)
+    rows = df.groupBy(*targets).agg(F.count(F.lit(1)).alias("n")).limit(max_classes + 1).collect()
+    if len(rows) > max_classes:
+        raise ValueError(f"{targets}: more than {max_classes} strata; raise max_classes")
+    counts = {tuple(r[t] for t in targets): r["n"] for r in rows}
+    n, merged = sum(counts.values()), merge_rare(counts)
+    n_test = math.ceil(n * test_size)
+    for c, to in merged.items():
+        counts[to] += counts.pop(c)
+    if len(counts) < 2 or min(counts.values()) < 2 or n_test < len(counts) or n - n_test < len(counts):
+        log.warning("stratification impossible for %s; falling back to a random split", targets)
+        return random_split(df, key, test_size, seed, out)
+    name = {c: i for i, c in enumerate(sorted(counts, key=lambda c: [(v is None, v) for v in c]))}
+    types = dict(df.dtypes)
+    table = df.sparkSession.createDataFrame([(*c, name[merged.get(c, c)]) for c in [*counts, *merged]],
+                                            ", ".join([*(f"__t{i} {types[t]}" for i, t in enumerate(targets)), "__stratum int"]))
+    same = [df[t].eqNullSafe(table[f"__t{i}"]) for i, t in enumerate(targets)]
+    labelled = df.join(F.broadcast(table), same).select(*[df[c] for c in df.columns], "__stratum")      # a row per stratum, counted above
+    quotas = controlled_quotas(counts, n_test)
+    return _split_by_quota(labelled, key, {(name[c],): q for c, q in quotas.items()}, seed, "__stratum", out).drop("__stratum")
+
+
 def train_test(df: DataFrame, split_col: str = "split") -> tuple[DataFrame, DataFrame]:
     return (df.where(F.col(split_col) == TRAIN).drop(split_col),
             df.where(F.col(split_col) == TEST).drop(split_col))

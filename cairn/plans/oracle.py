@@ -614,3 +614,48 @@ GROUP BY e.customer_id, n.feature"""),
 SELECT metric, value FROM (UNPIVOT found ON accuracy, precision, recall, f1_score, roc_auc, specificity, false_positive_rate, false_negative_rate,
   tn, fp, fn, tp INTO NAME metric VALUE value)"""),
 })
+
+# --- joins, splits, CSV and generated labels -----------------------------------
+_LINE = """CAST(customer_id AS VARCHAR) || ',' || CASE WHEN customer_id % 7 = 0 THEN 'n/a' ELSE CAST(CAST(round(monthly_spend * 100) AS BIGINT) AS VARCHAR) END
+  || ',' || CAST(CAST(round(sessions_per_month * 80) AS BIGINT) AS VARCHAR) || ',' || CAST(support_tickets_last_month AS VARCHAR)
+  || CASE WHEN customer_id % 11 = 0 THEN '' WHEN customer_id % 13 = 0 THEN ',' || CAST(churned AS VARCHAR) || ',x' ELSE ',' || CAST(churned AS VARCHAR) END"""
+_DRAW = f"(({_u('churned')} * 4294967296.0 + 0.5) / 4294967296.0)"
+
+SQL.update({
+    "j1_hot_key_join": """
+WITH li AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_suppkey END AS k, l_quantity FROM lineitem),
+o AS (SELECT s_suppkey AS k, s_nationkey AS n FROM supplier UNION ALL SELECT 0, r_regionkey FROM region)
+SELECT k, n, count(*) AS n_rows, round(sum(l_quantity), 6) AS quantity FROM li JOIN o USING (k) GROUP BY k, n""",
+    "t1_split_two_columns": with_blocks(PRE_BLOCKS, """,
+st AS (SELECT churned, region, count(*) AS n, row_number() OVER (ORDER BY churned, region) - 1 AS pos FROM prep GROUP BY churned, region),
+tt AS (SELECT CAST(sum(n) AS BIGINT) AS n_all, CAST(ceil(CAST(sum(n) AS DOUBLE) * CAST(0.2 AS DOUBLE)) AS BIGINT) AS n_test, count(*) AS m FROM st),
+se AS (SELECT st.*, n_all, n_test, m, n * n_test // n_all AS fl, n * n_test % n_all AS r FROM st, tt),
+ch AS (SELECT b, churned, region, pos, n, n_all, n_test, m, r, fl, fl + ((b >> pos) & 1) AS seats, (b >> pos) & 1 AS up
+  FROM se, range(CAST(1 << (SELECT m FROM tt) AS BIGINT)) t(b)),
+ok AS (SELECT b FROM ch GROUP BY b HAVING sum(seats) = any_value(n_test) AND count(*) FILTER (WHERE up = 1 AND r = 0) = 0
+  EXCEPT SELECT b FROM (SELECT b, sum(seats) AS s, sum(n) * any_value(n_test) AS x, any_value(n_all) AS y FROM ch GROUP BY b, churned
+    UNION ALL SELECT b, sum(seats), sum(n) * any_value(n_test), any_value(n_all) FROM ch GROUP BY b, region) WHERE s < x // y OR s > (x + y - 1) // y),
+best AS (SELECT b FROM ch SEMI JOIN ok USING (b) GROUP BY b ORDER BY sum(up * ((CAST(r AS HUGEINT) << CAST(m AS INTEGER)) + (1 << (m - 1 - pos)))) DESC LIMIT 1),
+q2 AS (SELECT churned, region, seats FROM ch SEMI JOIN best USING (b))
+SELECT p.customer_id, p.churned, p.region, CASE WHEN row_number() OVER (PARTITION BY p.churned, p.region
+  ORDER BY md5('42:' || CAST(customer_id AS VARCHAR)), customer_id) <= seats THEN 'test' ELSE 'train' END AS split
+FROM prep p JOIN q2 ON p.churned = q2.churned AND p.region = q2.region""").replace("\n,\nst AS", ",\nst AS"),
+    "s1_csv_good_rows": with_blocks([TRANS], """
+SELECT customer_id, CAST(round(monthly_spend * 100) AS DOUBLE) AS monthly_spend, CAST(round(sessions_per_month * 80) AS DOUBLE) AS sessions_per_month,
+       support_tickets_last_month, churned FROM trans WHERE customer_id % 7 > 0 AND customer_id % 11 > 0 AND customer_id % 13 > 0"""),
+    "s1_csv_bad_rows": with_blocks([TRANS], f"""
+SELECT {_LINE} AS line, CASE WHEN customer_id % 11 = 0 THEN '4 fields, not 5' WHEN customer_id % 13 = 0 THEN '6 fields, not 5'
+  ELSE 'monthly_spend: n/a is no double' END AS reason FROM trans WHERE customer_id % 7 = 0 OR customer_id % 11 = 0 OR customer_id % 13 = 0"""),
+    "s1_csv_inferred": with_blocks([DEMO], "SELECT customer_id, age, region, CAST(account_created_date AS DATE) AS account_created_date FROM demo"),
+    "g1_labelled_customers": f"""
+WITH v AS (SELECT c_custkey AS customer_id, round(least(10 - 90 * ln(1 - {_u('monthly_spend')}), 500.0), 2) AS monthly_spend,
+  CAST(least(floor(-12 * ln(1 - {_u('sessions_per_month')})) + 1, 60) AS INTEGER) AS sessions_per_month,
+  CAST(least(floor(-1.5 * ln(1 - {_u('support_tickets_last_month')})), 5) AS INTEGER) AS support_tickets_last_month,
+  CAST(floor({_u('age')} * 63) + 18 AS INTEGER) AS age, ln({_DRAW} / (1 - {_DRAW})) AS noise,
+  (['North', 'South', 'East', 'West', 'Central'])[CAST(least(floor({_u('region')} * 5), 4) AS INTEGER) + 1] AS region,
+  strftime(DATE '2020-01-01' + CAST(floor({_u('account_created_date')} * (DATE '2024-01-01' - DATE '2020-01-01')) AS INTEGER), '%Y-%m-%d') AS account_created_date
+  FROM customer),
+s AS (SELECT *, round(-2.0 * monthly_spend / 500 - 4.0 * sessions_per_month / 60 + 5.0 * support_tickets_last_month / 5 - 1.0 * age / 81 + noise, 9) AS score FROM v)
+SELECT customer_id, monthly_spend, sessions_per_month, support_tickets_last_month, age, CAST(row_number() OVER (ORDER BY score DESC, customer_id)
+  <= ceil(count(*) OVER () * CAST(0.12 AS DOUBLE)) AS INTEGER) AS churned, region, account_created_date FROM s""",
+})

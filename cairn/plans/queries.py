@@ -16,7 +16,7 @@ from cairn.operators import split as sp, treeshap as tsh
 from cairn.plans import pipeline
 from cairn.session import shared_dir
 from cairn.sources import generate as gen, models as mstore, registry as reg, sql as sqlsrc, views
-from cairn.sources.tables import load, read_table, write_table
+from cairn.sources.tables import load, read_csv_checked, read_table, write_table
 
 KEY, TARGET = "customer_id", "churned"
 
@@ -58,6 +58,14 @@ def j1_customer_join(spark, sf):
     return _joined(spark, sf)
 
 
+def j1_hot_key_join(spark, sf):
+    """J1 between line items and suppliers where a third of the line items has one key, which several rows of the other side have."""
+    li = load(spark, sf, "lineitem").select(F.when(F.col("l_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_suppkey")).alias("k"), "l_quantity")
+    other = load(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_nationkey").alias("n")).unionByName(
+        load(spark, sf, "region").select(F.lit(0).cast("long").alias("k"), F.col("r_regionkey").alias("n")))
+    return joins.join_skewed(li, other, "k").groupBy("k", "n").agg(F.count(F.lit(1)).alias("n_rows"), r6(F.sum("l_quantity")).alias("quantity"))
+
+
 def j2_join_coverage(spark, sf):
     t = _trans(spark, sf)
     return joins.join_coverage(t, joins.join_inner(t, _demo(spark, sf), KEY), KEY)
@@ -261,6 +269,11 @@ def t1_stratified_split(spark, sf):
     return _split(spark, sf).select(KEY, TARGET, "split")
 
 
+def t1_split_two_columns(spark, sf):
+    """T1 on (churned, region)."""
+    return sp.stratified_split_by(_pre(spark, sf).select(KEY, TARGET, "region"), KEY, [TARGET, "region"], 0.2, 42)
+
+
 def t2_random_split(spark, sf):
     return sp.random_split(_eng(spark, sf), KEY, 0.2, 42).select(KEY, "split")
 
@@ -598,6 +611,37 @@ def s1_s2_csv_roundtrip(spark, sf):
     return read_table(spark, path, "csv", schema=TRANS_SCHEMA)
 
 
+TRANS_FIELDS = [f.split(" ")[0] for f in TRANS_SCHEMA.split(", ")]
+
+
+def _csv_with_faults(spark, sf):
+    """(good, bad) of the transactions as lines without a header, some with a word for a number, a field too few or one too many."""
+    path = shared_dir(spark, "cairn-lines")
+    text = {c: F.col(c).cast("string") for c in TRANS_FIELDS}
+    text["monthly_spend"] = F.when(F.col(KEY) % 7 == 0, F.lit("n/a")).otherwise(F.round(F.col("monthly_spend") * 100).cast("long").cast("string"))
+    text["sessions_per_month"] = F.round(F.col("sessions_per_month") * 80).cast("long").cast("string")
+    text[TARGET] = F.when(F.col(KEY) % 11 == 0, F.lit(None)).when(F.col(KEY) % 13 == 0, F.concat(text[TARGET], F.lit(",x"))).otherwise(text[TARGET])
+    _trans(spark, sf).select(F.concat_ws(",", *text.values()).alias("value")).write.text(path)
+    return read_csv_checked(spark, path, TRANS_SCHEMA, header=False)
+
+
+def s1_csv_good_rows(spark, sf):
+    """Rows whose lines have the right fields and types."""
+    return _csv_with_faults(spark, sf)[0]
+
+
+def s1_csv_bad_rows(spark, sf):
+    """The other lines, each with its first fault."""
+    return _csv_with_faults(spark, sf)[1].select("line", "reason")
+
+
+def s1_csv_inferred(spark, sf):
+    """Types from the values of all files, each with its own header."""
+    path = shared_dir(spark, "cairn-csv")
+    write_table(_demo(spark, sf).repartition(3), path, "csv")
+    return read_csv_checked(spark, path)[0]
+
+
 def _registered(spark, sf):
     root = shared_dir(spark, "cairn-registry")
     d = _demo(spark, sf)
@@ -720,6 +764,11 @@ WHERE o.o_totalprice > :min_price GROUP BY c.c_mktsegment"""
 
 
 # --- data generation --------------------------------------------------------------
+def g1_labelled_customers(spark, sf):
+    """G1 with a label that follows from the features, at an exact rate."""
+    return gen.generate_labelled(spark, keys=load(spark, sf, "customer").select("c_custkey"))
+
+
 def _generated(spark, sf):
     return gen.generate_customers(spark, positive_rate=0.12, seed=42,
                                   keys=load(spark, sf, "customer").select("c_custkey"))
@@ -777,6 +826,7 @@ QUERIES = {
         "m7_importance", "m8_training_record", "s10_model_roundtrip", "e11_permutation_attribution",
         "e11_tree_shap_attribution", "e11_tree_shap_values",
         "e14_evaluation_record", "pipeline_end_to_end",
+        "j1_hot_key_join", "t1_split_two_columns", "s1_csv_good_rows", "s1_csv_bad_rows", "s1_csv_inferred", "g1_labelled_customers",
         "m2_boosted_stumps", "m4_boosted_folds", "m4_grid_search", "m5_boosted_scores", "m6_boosted_metrics", "m7_boosted_importance",
         "e11_boosted_shap", "e14_boosted_metrics",
     ]},
