@@ -1,22 +1,28 @@
 """Main text of web pages by two passes of block rules.
 
-A page is cut into blocks at its block-level tags.  The first pass decides
-blocks by where they stand, their links, length and stop-word density; the
-second gives short or doubtful blocks the label of the nearest decided
-neighbours.
+A page is cut into blocks at its block-level tags, in one pass over its
+characters.  The first pass classifies blocks by stop-word density, length
+and link density, wherever they stand; parts that are never the article are
+left out, and within an article a block that its density doesn't settle is
+not condemned for it.  The second gives short or doubtful blocks the label
+of the nearest decided neighbours.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 LONG = 70                   # characters from which a block is decided by its words
-STOP_HIGH, STOP_LOW = 0.30, 0.12    # share of stop words of running text, and of no text at all
+VERY_LONG = 200             # from here on fewer stop words do
+STOP_HIGH, STOP_LOW = 0.15, 0.05    # share of stop words of running text, and of no text at all
 LINKS = 0.4                 # share of characters in links above which a block is a menu
 LINKS_IN_ARTICLE = 0.7
 
@@ -35,7 +41,9 @@ ao com da dos em mas na nos não os uma
 dat een en het ik je maar met niet op van voor wat zijn
 """.split())
 
-SKIPPED = r"script|style|noscript|template|svg|math|iframe|object|canvas|audio|video|textarea|select|button"
+RAW = frozenset("script style".split())         # run to the end of the page if nothing closes them
+UNNESTED = frozenset("button select textarea iframe noscript".split())
+SKIPPED = RAW | UNNESTED | frozenset("template svg math object canvas audio video".split())
 CLOSED_OFF = frozenset("nav footer aside form head dialog menu".split())
 ARTICLE = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -49,13 +57,9 @@ MARKED = re.compile(
     r"|nav|navbar|navigation|menu|breadcrumbs?|share|sharing|social|related|recommended|newsletter|subscribe|subscription|signup|login"
     r"|form|search|popup|modal|overlay|copyright|legal|disclaimer|pagination|pager|toolbar|skip|hidden|complementary|contentinfo"
     r"|banner|topbar|tags|byline|author-box)(?:$|[\s_-])")
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<skip>{SKIPPED})\b[^>]*(?:/>|>.*?(?:</(?P=skip)\s*>|\Z))"
-    r"|<[!?][^>]*>"
-    r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]{0,4000}\"|'[^']{0,4000}')*+)>"
-    r"|<(?P<end2>/?)(?P<name2>[a-z][a-z0-9:-]*)(?P<attrs2>[^<>]*)>",
-    re.IGNORECASE | re.DOTALL)
+NAME = re.compile(r"/?([a-zA-Z][a-zA-Z0-9:-]*)")
+SIGNS = re.compile(r"""=\s*["']|["'>]""")
+OPENED_OR_CLOSED = {name: re.compile(rf"<(/?){name}\b", re.IGNORECASE) for name in SKIPPED}
 MARK_ATTRS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 HIDDEN = re.compile(r"""\bhidden(?=$|[\s=/])|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
 
@@ -70,6 +74,80 @@ class Block:
     label: str = ""         # good, bad or "" while undecided
 
 
+def _tag_ends(page: str) -> tuple[list[int], list[int]]:
+    """(places, ends): a tag that begins after places[k - 1] and not after places[k] ends after the sign at ends[k] (-1: nowhere).
+
+    That is the first > outside quoted values.  A quote opens a value only after an equals sign and only if the same quote
+    follows; worked out from the last sign to the first, so any page takes one pass."""
+    found = list(SIGNS.finditer(page))
+    places = [m.end() - 1 for m in found]
+    ends = [-1] * (len(found) + 1)
+    later = {'"': -1, "'": -1}
+    for k in range(len(found) - 1, -1, -1):
+        sign = page[places[k]]
+        if sign == ">":
+            ends[k] = places[k]
+        else:
+            opens = found[k].end() - found[k].start() > 1 and later[sign] >= 0
+            ends[k] = ends[later[sign] + 1] if opens else ends[k + 1]
+            later[sign] = k
+    return places, ends
+
+
+def _tags(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, closing, attributes) of the page's tags; comments, declarations and skipped elements have no name."""
+    places, ends = _tag_ends(page)
+    unclosed: set[str] = set()
+    last = page.rfind(">")
+    at = page.find("<")
+    while 0 <= at < last or page.startswith("<!--", at) and at >= 0:
+        start = at
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = len(page) if end < 0 else end + 3
+            yield start, at, "", False, ""
+        elif page.startswith(("<!", "<?"), start):
+            at = page.find(">", start) + 1
+            yield start, at, "", False, ""
+        elif m := NAME.match(page, start + 1):
+            end = ends[bisect_left(places, m.end())]
+            if end < 0:         # only within quoted values: the next > if no tag begins before it
+                end, other = page.find(">", m.end()), page.find("<", m.end())
+                if 0 <= other < end:
+                    at = other
+                    continue
+            at = end + 1
+            name, closing, attrs = m[1].lower(), page[start + 1] == "/", page[m.end():end]
+            if name in SKIPPED and not closing and not attrs.endswith("/") and name not in unclosed:
+                close = _closing(page, name, at)
+                if close is None:
+                    unclosed.add(name)
+                elif close >= 0:
+                    at = close
+            yield start, at, "" if name in SKIPPED else name, closing, attrs
+        else:
+            at += 1
+        at = page.find("<", at)
+
+
+def _closing(page: str, name: str, at: int) -> int | None:
+    """Where a skipped element that begins before ``at`` ends.
+
+    -1 if another begins before it, and None if none like it ends any more: it is then read as if its tag weren't there."""
+    depth = 1
+    for m in OPENED_OR_CLOSED[name].finditer(page, at):
+        if m[1]:
+            depth -= 1
+        elif name in UNNESTED:
+            return -1
+        elif name not in RAW:
+            depth += 1
+        if not depth:
+            end = page.find(">", m.end())
+            return len(page) if end < 0 else end + 1
+    return len(page) if name in RAW else None
+
+
 def _marked(attrs: str) -> bool:
     if not attrs:
         return False
@@ -82,6 +160,7 @@ def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order, with decoded characters and single spaces."""
     out: list[Block] = []
     stack: list[tuple[str, bool, int]] = []     # open containers: name, outside, article
+    opened: Counter[str] = Counter()            # how many of each are open
     parts: list[tuple[str, bool]] = []
     links = breaks = articles = 0
     heading = ""
@@ -93,22 +172,19 @@ def blocks_of(page: str) -> list[Block]:
         if text:
             in_links = sum(len("".join(html.unescape(t).split())) for t, linked in parts if linked)
             _, outside, article = stack[-1] if stack else ("", False, 0)
-            in_header = any(name == "header" for name, _, _ in stack)
-            out.append(Block(text, in_links, bool(heading), outside or apart or (in_header and (not article or not heading)), article))
+            out.append(Block(text, in_links, bool(heading), outside or apart or (opened["header"] > 0 and (not article or not heading)), article))
         parts.clear()
         breaks = 0
 
     at = 0
-    for m in TOKEN.finditer(page):
-        if m.start() > at:
-            parts.append((page[at:m.start()], links > 0))
-            if not page[at:m.start()].isspace():
+    for start, after, name, end, attrs in _tags(page):
+        if start > at:
+            parts.append((page[at:start], links > 0))
+            if not page[at:start].isspace():
                 breaks = 0
-        at = m.end()
-        name = (m["name"] or m["name2"] or "").lower()
+        at = after
         if not name:
             continue
-        end, attrs = m["end"] or m["end2"], m["attrs"] or m["attrs2"] or ""
         if name == "a":
             links = 0 if end else 1
         elif name == "br":
@@ -121,13 +197,15 @@ def blocks_of(page: str) -> list[Block]:
             links = 0
             heading = name if name in HEADINGS and not end else ""
             apart = False
-            if name == "body":
+            if name == "body" and opened["head"]:
                 stack[:] = [x for x in stack if x[0] != "head"]
+                opened["head"] = 0
             if name in CONTAINERS:
                 if end:
-                    for i in range(len(stack) - 1, -1, -1):
-                        if stack[i][0] == name:
-                            del stack[i:]
+                    while opened[name]:
+                        last = stack.pop()[0]
+                        opened[last] -= 1
+                        if last == name:
                             break
                 elif not attrs.endswith("/"):
                     _, outside, article = stack[-1] if stack else ("", False, 0)
@@ -135,6 +213,7 @@ def blocks_of(page: str) -> list[Block]:
                         articles += 1
                         article = articles
                     stack.append((name, outside or name in CLOSED_OFF or (name not in ("body", "html") and _marked(attrs)), article))
+                    opened[name] += 1
             else:
                 apart = not end and _marked(attrs)
     if at < len(page):
@@ -149,18 +228,25 @@ def _stop_share(text: str) -> float:
 
 
 def decide(blocks: list[Block]) -> None:
-    """First pass: labels of the blocks that their own figures decide."""
+    """First pass: labels of the blocks that their own figures decide.
+
+    Where no block of a page is running text, in a language without known stop words say, their lack condemns none."""
+    thin = []
     for b in blocks:
         linked = b.link_chars / max(1, len(b.text))
         if b.outside or b.text.startswith(("©", "Copyright ")) or linked > (LINKS_IN_ARTICLE if b.article else LINKS):
             b.label = "bad"
         elif b.heading or len(b.text) < LONG:
             b.label = ""
-        elif b.article:
-            b.label = "good"
         else:
             share = _stop_share(b.text)
-            b.label = "good" if share >= STOP_HIGH else "bad" if share < STOP_LOW else ""
+            good = share >= STOP_HIGH or (len(b.text) >= VERY_LONG and share >= STOP_LOW)
+            b.label = "good" if good else "bad" if share < STOP_LOW and not b.article else ""
+            if b.label == "bad":
+                thin.append(b)
+    if not any(b.label == "good" for b in blocks):
+        for b in thin:
+            b.label = ""
     if any(b.label == "good" and b.article for b in blocks):
         for b in blocks:
             if not b.article:
@@ -173,18 +259,18 @@ def inherit(blocks: list[Block]) -> None:
     Inside an article only its own blocks count as neighbours, and without
     any that is decided the block is good.
     """
-    decided = [i for i, b in enumerate(blocks) if b.label]
+    decided = any(b.label and not b.outside for b in blocks)
     before, after = [-1] * len(blocks), [-1] * len(blocks)
     last: dict[int, int] = {}
     for i, b in enumerate(blocks):
         before[i] = last.get(b.article, -1)
-        if b.label and not (b.article and b.outside):
+        if b.label and not b.outside:
             last[b.article] = i
     last.clear()
     for i in range(len(blocks) - 1, -1, -1):
         b = blocks[i]
         after[i] = last.get(b.article, -1)
-        if b.label and not (b.article and b.outside):
+        if b.label and not b.outside:
             last[b.article] = i
     labels = [b.label for b in blocks]
     for i, b in enumerate(blocks):
