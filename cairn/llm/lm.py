@@ -4,10 +4,15 @@ Every chunk of texts sends its distinct unigrams and bigrams, with their
 counts in training texts, to the bucket of their hash.  There the counts of
 all chunks are summed and kept as their logarithm: the bucket's segment of
 the filter holds (n-gram, 1) ... (n-gram, q) for the quantised count q, so
-probing level after level until one is missing gives q back.  What the
-probes return goes back to the chunks, and probabilities smoothed from it
-score every text.  A segment is sized by its own entries, so the filter
-grows with the corpus and holds every n-gram, those seen once included.
+probing level after level until one is missing gives q back.  A segment is
+sized by its own entries, so the filter grows with the corpus and holds
+every n-gram, those seen once included.
+
+The filter is broadcast to the workers, which probe it for every text's
+n-grams and score from smoothed probabilities.  Its size is worked out
+before it is built, from an exact count in one SLICE-th of the hash space; beyond
+``broadcast_bytes`` each bucket probes its segment for the chunks' n-grams
+and sends the levels back instead.  The segments are the same, and so are the scores.
 
 The add-one base score needs exact counts; the buckets send those of the
 words along.
@@ -28,7 +33,8 @@ FOLDS, HELD_OUT = 7, 2
 BITS_PER_ENTRY = 10
 PROBES = 3
 PRIOR = 200.0               # pseudo-counts of the unigram model in a bigram probability
-TOP_WORDS = 0               # words whose counts are broadcast: none, buckets answer for all (a test sets this name)
+BROADCAST_BYTES = 32 << 20  # of the filter; a larger one is probed where it is built
+SLICE = 64                  # the filter's entries are counted beforehand in one of so many parts of the hash space
 COUNTED_AT_ONCE = 4_000_000  # n-grams of the texts that are handled as one chunk
 PART_BITS = 36              # a chunk's key is its partition and, in so many bits, its place there
 BUCKET_BYTES = 16 << 20     # text whose n-grams meet in one counting group
@@ -195,37 +201,71 @@ def _fill(width: int, least: int):
     return run
 
 
-ANSWERED = "chunk long, bucket int, kind int, levels binary, counts binary, tokens long, distinct long"
+ANSWERED = "chunk long, bucket int, kind int, levels binary, counts binary, segment binary, tokens long, distinct long"
 _ANSWER = {"chunk": pa.int64(), "bucket": pa.int32(), "kind": pa.int32(), "levels": pa.binary(), "counts": pa.binary(),
-           "tokens": pa.int64(), "distinct": pa.int64()}
-
-
-def _answer(key: tuple[pa.Scalar, ...], asked: pa.Table) -> pa.Table:
-    """What the bucket's segment of the filter gives for each chunk's n-grams, with exact counts of words; one row has the bucket's sums."""
-    bucket, kind = (k.as_py() for k in key)
-    parts = [_opened(x, np.uint64, True) for x in asked.column("grams").to_pylist()]
-    counts = np.concatenate([_opened(x, "<u4") for x in asked.column("counts").to_pylist()])
-    grams, which = np.unique(np.concatenate(parts), return_inverse=True)
-    counts = np.bincount(which, counts).astype(np.int64)
-    entries = int(_levels(counts).sum())
-    width = 1 << max(3, (entries * BITS_PER_ENTRY - 1).bit_length())
-    whole = _batch({c: _GRAM[c] for c in ("bucket", "kind", "grams", "counts")}, [(0, kind, grams.tobytes(), counts.tobytes())])
-    segment = np.frombuffer(next(_fill(width, 1)([whole])).column("part")[0].as_py(), np.uint8)
-    levels = _levels_in(segment, 64, grams, kind).astype(np.uint8)
-    rows, a = [], 0
-    for chunk, part in zip(asked.column("chunk").to_pylist(), parts, strict=True):
-        mine = which[a:a + len(part)]
-        rows.append((chunk, bucket, kind, _packed(levels[mine]), _packed(counts[mine]) if kind == 1 else None,
-                     int(counts.sum()) if a == 0 else 0, int((counts > 0).sum()) if a == 0 else 0))
-        a += len(part)
-    return pa.Table.from_batches([_batch(_ANSWER, rows)])
+           "segment": pa.binary(), "tokens": pa.int64(), "distinct": pa.int64()}
+SEGMENT = -1                # the chunk of a row that holds a segment and the bucket's sums
+
+
+def _answer(probe: bool):
+    """A bucket's segment of the filter, with the bucket's sums, and for each chunk the exact counts of its words and, if ``probe``,
+    what the segment gives for its n-grams; otherwise the segment itself goes out."""
+    def run(key: tuple[pa.Scalar, ...], asked: pa.Table) -> pa.Table:
+        bucket, kind = (k.as_py() for k in key)
+        parts = [_opened(x, np.uint64, True) for x in asked.column("grams").to_pylist()]
+        counts = np.concatenate([_opened(x, "<u4") for x in asked.column("counts").to_pylist()])
+        grams, which = np.unique(np.concatenate(parts), return_inverse=True)
+        counts = np.bincount(which, counts).astype(np.int64)
+        entries = int(_levels(counts).sum())
+        width = 1 << max(3, (entries * BITS_PER_ENTRY - 1).bit_length())
+        whole = _batch({c: _GRAM[c] for c in ("bucket", "kind", "grams", "counts")}, [(0, kind, grams.tobytes(), counts.tobytes())])
+        segment = next(_fill(width, 1)([whole])).column("part")[0].as_py()
+        rows = [(SEGMENT, bucket, kind, None, None, None if probe else segment, int(counts.sum()), int((counts > 0).sum()))]
+        levels = _levels_in(np.frombuffer(segment, np.uint8), 64, grams, kind).astype(np.uint8) if probe else None
+        a = 0
+        for chunk, part in zip(asked.column("chunk").to_pylist(), parts, strict=True):
+            mine = which[a:a + len(part)]
+            a += len(part)
+            if probe or kind == 1:
+                rows.append((chunk, bucket, kind, _packed(levels[mine]) if probe else None, _packed(counts[mine]) if kind == 1 else None, None, 0, 0))
+        return pa.Table.from_batches([_batch(_ANSWER, rows)])
+    return run
+
+
+def _probed(filters: dict, shift: int, grams: np.ndarray, kind: int) -> np.ndarray:
+    """Levels of sorted n-grams from the broadcast segments."""
+    buckets = _segment(grams, shift).astype(np.int64)
+    cuts = [*_runs(buckets), len(grams)]
+    return np.concatenate([np.empty(0, np.int64), *(_levels_in(filters[kind, int(buckets[a])], 64, grams[a:b], kind)
+                                                    for a, b in zip(cuts, cuts[1:], strict=False))])
+
+
+def _sliced(held_out: int):
+    """N-grams of one part of the hash space, with their counts in each chunk's training texts."""
+    def run(batches):
+        for batch in batches:
+            for folds, sizes, vocab, codes in zip(*(batch.column(c).to_pylist() for c in ("folds", "sizes", "vocab", "codes")), strict=True):
+                sizes, vocab, w, _, after = _unpacked(sizes, vocab, codes)
+                learns = np.repeat(np.asarray(folds) != held_out, sizes)
+                found = []
+                for kind, grams in ((1, vocab[w[learns]]), (2, _bigrams(vocab[w[after - 1]], vocab[w[after]])[learns[after]])):
+                    some, n = np.unique(grams[mix(grams) < np.uint64((1 << 64) // SLICE)], return_counts=True)
+                    found.append((np.full(len(some), kind, np.int32), some.view(np.int64), n))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=["kind", "gram", "n"])
+    return run
+
+
+def filter_bytes(chunks: DataFrame, held_out: int) -> int:
+    """About the size of the filter, before its segments are rounded up to powers of two."""
+    counts = chunks.mapInArrow(_sliced(held_out), "kind int, gram long, n long").groupBy("kind", "gram").agg(F.sum("n").alias("n"))
+    return SLICE * (counts.agg(F.sum(F.length(F.bin("n")))).first()[0] or 0) * BITS_PER_ENTRY // 8
 
 
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _score(total: int, distinct: int, held_out: int):
-    """Every text of a chunk, from the answers to its n-grams."""
+def _score(total: int, distinct: int, held_out: int, shift: int, sent=None):
+    """Every text of a chunk: levels by probing the broadcast filter ``sent``, or from the answers to its n-grams."""
     floor = np.log10(total + distinct + 1)
 
     def run(key, chunk: pa.Table, answers: pa.Table) -> pa.Table:
@@ -236,11 +276,14 @@ def _score(total: int, distinct: int, held_out: int):
         def joined(kind, column, dtype):    # buckets are ranges of the hash, so in their order the answers follow the sorted n-grams
             return np.concatenate([np.empty(0, dtype), *(_opened(x[column], dtype) for x in found if x[0] == kind)])
 
+        def levels(kind, grams):
+            return _probed(sent.value, shift, grams, kind) if sent else joined(kind, 2, np.uint8).astype(np.int64)
+
         exact = joined(1, 3, np.int64)
-        smooth = _count_of(joined(1, 2, np.uint8).astype(np.int64))
+        smooth = _count_of(levels(1, vocab))
         uni = np.log10(smooth + 1) - floor
-        _, which = np.unique(_bigrams(vocab[w[after - 1]], vocab[w[after]]), return_inverse=True)
-        pairs = _count_of(joined(2, 2, np.uint8).astype(np.int64))[which]
+        grams, which = np.unique(_bigrams(vocab[w[after - 1]], vocab[w[after]]), return_inverse=True)
+        pairs = _count_of(levels(2, grams))[which]
         log_p = uni[w]
         before = np.maximum(smooth[w[after - 1]], pairs)
         log_p[after] = np.log10((pairs + PRIOR * (10.0 ** uni)[w[after]]) / (before + PRIOR))
@@ -253,7 +296,7 @@ def _score(total: int, distinct: int, held_out: int):
 
 
 def score_texts(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
+                text_col: str = "text", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``.
 
     Learns from the rows whose crc32 of the id as text, modulo ``folds``, is
@@ -268,7 +311,15 @@ def score_texts(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT, i
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shift = 64 - max(0, (size // BUCKET_BYTES).bit_length())
     chunks = kept(docs.mapInArrow(_chunks, CHUNKS))
-    answers = kept(chunks.mapInArrow(_grams(shift, held_out), GRAMS).groupBy("bucket", "kind").applyInArrow(_answer, ANSWERED))
-    total, distinct = (x or 0 for x in answers.where("kind = 1").agg(F.sum("tokens"), F.sum("distinct")).first())
-    return (chunks.groupBy("chunk").cogroup(answers.select("chunk", "bucket", "kind", "levels", "counts").groupBy("chunk"))
-            .applyInArrow(_score(total, distinct, held_out), SCORED))
+    packets = chunks.mapInArrow(_grams(shift, held_out), GRAMS).groupBy("bucket", "kind")
+    sent = None
+    if filter_bytes(chunks, held_out) <= broadcast_bytes:
+        answers = kept(packets.applyInArrow(_answer(False), ANSWERED))
+        parts = answers.where("segment is not null").select("kind", "bucket", "segment")
+        if (parts.agg(F.sum(F.octet_length("segment"))).first()[0] or 0) <= 2 * broadcast_bytes:    # the rounding at most doubles it
+            sent = docs.sparkSession.sparkContext.broadcast({(r["kind"], r["bucket"]): np.frombuffer(r["segment"], np.uint8) for r in parts.collect()})
+    if sent is None:
+        answers = kept(packets.applyInArrow(_answer(True), ANSWERED))
+    total, distinct = (x or 0 for x in answers.where(f"kind = 1 and chunk = {SEGMENT}").agg(F.sum("tokens"), F.sum("distinct")).first())
+    replies = answers.where(f"chunk != {SEGMENT}").select("chunk", "bucket", "kind", "levels", "counts")
+    return (chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(_score(total, distinct, held_out, shift, sent), SCORED))

@@ -76,7 +76,6 @@ def test_base_scores_as_brute_force(spark, docs_of, odd_rows):
 
 
 def test_rare_words_through_several_buckets(spark, monkeypatch):
-    monkeypatch.setattr(lm, "TOP_WORDS", 50)
     monkeypatch.setattr(lm, "BUCKET_BYTES", 1 << 18)
     monkeypatch.setattr(lm, "COUNTED_AT_ONCE", 20_000)
     out = lm.score_texts(documents(spark))
@@ -112,6 +111,40 @@ def test_filter_holds_bigrams_seen_once(spark, docs_of, monkeypatch):
     assert sum(abs(got[i] - score(t)) < 1e-9 for i, t in texts.items()) > 0.7 * len(texts)
 
 
+def test_broadcast_and_shuffled_filters_score_alike(spark, monkeypatch):
+    monkeypatch.setattr(lm, "BUCKET_BYTES", 1 << 16)
+    monkeypatch.setattr(lm, "COUNTED_AT_ONCE", 40_000)
+    docs = documents(spark, "/root/testdata/sf0.001")
+    sent, found = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, v: sent.append(v) or found(v))
+    rows = [sorted(map(tuple, lm.score_texts(docs, broadcast_bytes=n).collect())) for n in (1 << 30, 0)]
+    assert rows[0] == rows[1]
+    filters, = [v for v in sent if isinstance(v, dict)]        # of the first only
+    assert len(filters) > 4 and all(len(x) & (len(x) - 1) == 0 for x in filters.values())
+
+
+def test_the_broadcast_filter_gives_the_scores(spark, monkeypatch):
+    """Emptied on its way to the workers, the filter knows nothing: bigrams no longer lift the scores."""
+    docs = documents(spark, "/root/testdata/sf0.001")
+    right = {r.doc_id: r.score for r in lm.score_texts(docs).collect()}
+    found = spark.sparkContext.broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, v: found({k: x * 0 for k, x in v.items()}))
+    blank = {r.doc_id: r.score for r in lm.score_texts(docs).collect()}
+    assert all(blank[i] < right[i] for i in right if right[i] < -10)
+
+
+def test_size_of_the_filter_is_foretold(spark):
+    docs = documents(spark).selectExpr("doc_id", "text", "0 as fold")
+    chunks = docs.mapInArrow(lm._chunks, lm.CHUNKS).cache()
+    entries = sum(lm._levels(np.array(list(Counter(g).values()))).sum() for g in _grams_of([r.text for r in docs.collect()]))
+    assert 0.8 < lm.filter_bytes(chunks, 2) / (entries * lm.BITS_PER_ENTRY / 8) < 1.25
+
+
+def _grams_of(texts):
+    words = [[*WORD.findall((t or "").translate(LOWER)), None] for t in texts]
+    return [w for ws in words for w in ws], [p for ws in words for p in zip(ws, ws[1:])]
+
+
 def test_filter_gives_quantised_counts_back():
     r = np.random.default_rng(1)
     grams, counts = np.unique(r.integers(0, 2**63, 4000).astype(np.uint64)), None
