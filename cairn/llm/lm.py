@@ -35,7 +35,7 @@ PROBES = 3
 PRIOR = 200.0               # pseudo-counts of the unigram model in a bigram probability
 BROADCAST_BYTES = 32 << 20  # of the filter; a larger one is probed where it is built
 SLICE = 64                  # the filter's entries are counted beforehand in one of so many parts of the hash space
-COUNTED_AT_ONCE = 4_000_000  # n-grams of the texts that are handled as one chunk
+COUNTED_AT_ONCE = 3_200_000  # n-grams of the texts that are handled as one chunk
 PART_BITS = 36              # a chunk's key is its partition and, in so many bits, its place there
 BUCKET_BYTES = 16 << 20     # text whose n-grams meet in one counting group
 
