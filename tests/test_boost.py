@@ -15,7 +15,7 @@ from cairn.session import shared_dir
 FEATS = ["a", "b", "c"]
 
 
-def frame(spark, n=500, seed=3, parts=4):
+def frame(spark, n=500, seed=3, parts=2):
     """Label from a and from whether b is missing; c is noise with few values."""
     r = random.Random(seed)
     rows = []
@@ -130,14 +130,14 @@ def test_patience(spark, metric):
     df = frame(spark, 1500, 5).cache()
     rounds = {}
     for patience in (1, 5, 0):
-        fit, _ = fitted(spark, df, n_estimators=60, max_depth=3, learning_rate=0.5, early_stopping_rounds=patience, eval_metric=metric)
+        fit, _ = fitted(spark, df, n_estimators=40, max_depth=2, learning_rate=0.8, early_stopping_rounds=patience, eval_metric=metric)
         rounds[patience] = len(fit.history)
         if patience:
             better = max if boost.HIGHER_IS_BETTER[metric] else min
             seen = [m for _, m in fit.history]
             assert seen[fit.best - 1] == better(seen) and len(fit.trees) == fit.best
-            assert len(seen) == 60 or len(seen) - fit.best == patience
-    assert rounds[1] < rounds[5] < rounds[0] == 60
+            assert len(seen) == 40 or len(seen) - fit.best == patience
+    assert rounds[1] < rounds[5] < rounds[0] == 40
     df.unpersist()
 
 
