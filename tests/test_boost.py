@@ -256,3 +256,21 @@ def test_shap_with_missing_values_is_exact(spark):
             want = sum(math.factorial(len(s)) * math.factorial(2 - len(s)) / 6 * (value(row, {*s, i}) - value(row, set(s)))
                        for n in range(3) for s in itertools.combinations(others, n))
             assert math.isclose(phi[i], want, rel_tol=1e-5, abs_tol=1e-6)
+
+
+def test_stumps_query_without_arrow_conversion(spark):
+    """Without Arrow the types of a pandas frame are inferred wider, and an array takes no bigint position."""
+    from cairn.plans import queries
+    from conftest import SF_SMALL
+    name = "spark.sql.execution.arrow.pyspark.enabled"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "false")
+        plain = queries.QUERIES["m2_boosted_stumps"](spark, SF_SMALL)
+        assert plain.schema["feature"].dataType.simpleString() == "string"
+        rows = sorted(map(tuple, plain.collect()))
+        spark.conf.set(name, "true")
+        again = queries.QUERIES["m2_boosted_stumps"](spark, SF_SMALL)
+        assert again.schema == plain.schema and sorted(map(tuple, again.collect())) == rows
+    finally:
+        spark.conf.set(name, before)
