@@ -274,3 +274,53 @@ def test_stumps_query_without_arrow_conversion(spark):
         assert again.schema == plain.schema and sorted(map(tuple, again.collect())) == rows
     finally:
         spark.conf.set(name, before)
+
+
+def test_the_driver_gets_cuts_and_no_sums(spark, monkeypatch):
+    """What a level sends to the driver depends neither on the bins nor on the partitions."""
+    df = frame(spark, 3000).repartition(12).cache()
+    sent = []
+    real = boost._answers
+
+    def watched(state, asked, scored, missing):
+        noted, found = real(state, asked, scored, missing)
+        sent.append((state.getNumPartitions(), [x.shape for x in found], [len(x) for x in noted]))
+        return noted, found
+    monkeypatch.setattr(boost, "_answers", watched)
+    monkeypatch.setattr(boost, "ROWS_PER_PARTITION", 1000)
+    fitted(spark, df, n_estimators=2, max_depth=3, max_bins=256, eval_metric="auc")
+    assert [shapes for _, shapes, _ in sent] == [[(3, 1, 7)], [(3, 2, 7)], [(3, 4, 7)]] * 2 + [[]]
+    assert all(n == 3 for _, _, noted in sent for n in noted) and sum(len(noted) for _, _, noted in sent) == 2
+    assert max(n for n, _, _ in sent) <= max(spark.sparkContext.defaultParallelism, 3), "partitions go with the rows"
+    df.unpersist()
+
+
+def test_best_cuts_against_all_cuts():
+    r = np.random.default_rng(4)
+    for n_cuts, lam, least in ((1, 0.0, 0.0), (5, 1.0, 1.0), (7, 2.0, 3.0), (7, 1.0, 100.0)):
+        sums = np.stack([r.integers(-3, 4, (4, 8)), r.integers(0, 3, (4, 8))]) * boost.GRID
+        got = boost._best_cuts(sums, n_cuts, lam, least)
+        for n, (g, h) in enumerate(zip(*(sums / boost.GRID))):
+            want = -math.inf
+            for cut, miss in itertools.product(range(n_cuts), (0, 1)):
+                gl, hl = (x[:cut + 1].sum() + miss * x[-1] for x in (g, h))
+                gr, hr = g.sum() - gl, h.sum() - hl
+                if hl >= least and hr >= least and hl > 0 and hr > 0:
+                    gain = gl ** 2 / (hl + lam) + gr ** 2 / (hr + lam) - g.sum() ** 2 / (h.sum() + lam)
+                    if gain > want:
+                        want, at = gain, (cut, miss, gl, hl)
+            assert got[n, 0] == pytest.approx(want) and tuple(got[n, 5:]) == (g.sum(), h.sum())
+            if want > -math.inf:
+                assert tuple(got[n, 1:5]) == pytest.approx(at)
+
+
+def test_margins_by_fold_are_the_models_own(spark):
+    df = frame(spark, 200).withColumn("fold", F.col("customer_id").cast("int") % 2)
+    cuts = boost.quantile_cuts(df, FEATS, 32)
+    fits = [boost.Fit(boost.BoostParams.of({"n_estimators": 2, "max_depth": 2, "learning_rate": lr, "max_bins": 32}), i) for lr in (0.1, 0.5) for i in (0, 1)]
+    models = [boost.model_of(f, cuts) for f in boost.fit_many(df, FEATS, "churned", "customer_id", fits, cuts)]
+    for row in boost.margins_by_fold(df, FEATS, models, 2).collect():
+        x = np.array([[np.nan if row[f] is None else row[f] for f in FEATS]], float)
+        for c, m in enumerate(row["margins"]):
+            own = models[2 * c + row["fold"]]
+            assert m == boost.margins_of(x, boost._compact(own.nodes), own.base)[0]
