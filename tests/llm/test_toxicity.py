@@ -1,6 +1,7 @@
 """The convolutional classifier: gradients, thresholds, what its wider filters add, and the bound of its sample."""
 
 import itertools
+import zlib
 
 import numpy as np
 import pytest
@@ -113,3 +114,39 @@ def test_sample_is_bounded_by_words(spark, docs_of):
         words = sum(len(d) for d, k in zip(docs, y, strict=True) if k == label)
         assert 500 < words <= 1000
     assert max(len(d) for d in docs) <= 1000 // 64
+
+
+def test_all_labelled_texts_are_learnt_from(spark, docs_of, monkeypatch):
+    """However many and long they are: every text reaches a step in every pass, or the thresholds."""
+    n = 7000
+    rows = [(i, ("good fine " if i % 2 else "vile bad ") + f"n{i}") for i in range(n)] + [(n, "vile " * 70_000)]
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i, _ in rows], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "TEXTS_PER_PART", 1000)
+    counts = []
+    real = toxicity._blocks
+
+    def watched(texts, parts):
+        blocks = real(texts, parts)
+        counts.append((parts, blocks.map(lambda b: (len(b[3]), int(b[2][-1]))).collect()))
+        return blocks
+    monkeypatch.setattr(toxicity, "_blocks", watched)
+    model, limits = toxicity.fit_toxicity(docs_of(rows), labels)
+    mine = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % FOLDS != HELD_OUT]
+    parts, found = counts[0]
+    assert parts == -(-len(mine) // 1000)
+    assert sum(k for k, _ in found) == len(mine) and sum(w for _, w in found) == sum(len(t.split()) for _, t in mine)
+    z = scored(model, [rows_of("good fine n1".split()), rows_of("vile bad n2".split())])
+    assert z[0] < limits[0] <= z[1]
+
+
+def test_averages_go_by_what_was_touched():
+    old = np.arange(12, dtype=np.float32).reshape(1, 3, 4)
+    a, b = old + 1, old + 4
+    got = toxicity._averaged([(1, np.array([0., 1, 0]), b), (0, np.array([1., 1, 0]), a)], old)
+    assert got[0, 0].tolist() == a[0, 0].tolist() and got[0, 1].tolist() == (old[0, 1] + 2.5).tolist() and got[0, 2].tolist() == old[0, 2].tolist()
+
+
+def test_counted_thresholds_are_those_of_the_texts():
+    r = np.random.default_rng(5)
+    z, y, tongue, n = np.round(r.normal(0, 1, 40), 1), r.integers(0, 2, 40), r.integers(0, 2, 40), r.integers(1, 5, 40)
+    assert toxicity._thresholds(z, y, tongue, n).tolist() == toxicity._thresholds(*(np.repeat(x, n) for x in (z, y, tongue))).tolist()
