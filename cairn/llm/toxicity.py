@@ -27,7 +27,7 @@ ROWS, DIM, FILTERS, WIDTHS = 1 << 18, 16, 16, (1, 2, 3)
 PREFIXES = (3, 4, 5)
 PER_CLASS = 3000            # texts of each class in a sample, where one is asked for
 SAMPLE_WORDS = 4_000_000    # words of each class in such a sample; one text has at most a 64th of them
-TEXTS_PER_PART, PARTS = 16384, 64   # labelled texts that learn one after the other between two averages, and the most such parts
+TEXTS_PER_PART, PARTS = 1 << 16, 64  # labelled texts that learn one after the other between two averages, and the most such parts
 PASSES = 2                  # of the epochs between two averages
 BROADCAST_LABELS = 2_000_000    # ids with their labels that are broadcast to the scan of the texts; more are joined by a shuffle
 SHARDS = 16                 # tasks that average the embeddings
