@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cairn.llm.components import connected_components, kept
+from cairn.llm.components import connected_components, kept, kept_sized, sized
 from cairn.llm.words import hash_words, shingle_hashes, small_batches, split_words
 
 FRAGMENTS = 4               # the counted range, and equal ranges of the rest of the order
@@ -39,6 +39,7 @@ COMMON_SHARE = 0.001        # of a task's documents; with COMMON_LEAST, what mak
 COMMON_LEAST = 8
 SALT = 64                   # parts of a posting list of a common shingle while shingles are counted
 SIGNATURE = 8               # longs of the parity signature that bounds an overlap from above
+SKETCH = 32                 # lists of a set by which the last round knows a pair that it has met before
 BROADCAST_ROWS = 1_000_000  # ids (8 bytes each) that a semi-join may broadcast; more are shuffled
 
 SETS = "doc_id long, n long, counted long, node long, " + ", ".join(f"s{i} long" for i in range(SIGNATURE)) + ", slots binary"
@@ -158,11 +159,12 @@ def _postings(k: int, percent: int, limit: int, common):
 
 
 def _prefixes(postings: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """(gram, salt, node, n, pos): the prefix of every set in the global order, without shingles that one set alone holds.
+    """(gram, salt, node, n, pos, shared, alone): the prefix of every set in the global order, without shingles that one set alone holds.
 
     pos is the place in the whole order, those shingles included: they are
     the first of a set, and where they fill its prefix the set has no
-    similar one.
+    similar one.  alone counts those of the counted range, shared the others
+    of that range.
     """
     one_list = Window.partitionBy("gram", "salt")
     held = (postings.withColumn("first", F.min("node").over(one_list)).withColumn("last", F.max("node").over(one_list))
@@ -176,7 +178,8 @@ def _prefixes(postings: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
               .join(nodes.select("node", "n", "counted"), "node"))
     pos = F.when(F.col("late") < 0, F.col("counted") - F.col("shared") + F.col("rank") - 1).otherwise(F.col("late").cast("long"))
     size = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    return ranked.withColumn("pos", pos).where(F.col("pos") < size).select("gram", "salt", "node", "n", "pos")
+    return ranked.withColumn("pos", pos).where(F.col("pos") < size).select(
+        "gram", "salt", "node", "n", "pos", "shared", (F.col("counted") - F.col("shared")).alias("alone"))
 
 
 SEGMENTS = "node long, fragment int, members binary"
@@ -240,14 +243,14 @@ def semi_join_ids(docs: DataFrame, ids: DataFrame, id_col: str, how: str = "left
     return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, id_col, how)
 
 
-def _links(docs, nodes, pairs, k, percent) -> DataFrame:
-    """Pairs (a, b) of nodes that reach the threshold, by partial overlaps per fragment, summed per pair."""
+def _links(docs, nodes, pairs, n_pairs, k, percent) -> DataFrame:
+    """Of ``n_pairs`` pairs (a, b) of nodes those that reach the threshold, by partial overlaps per fragment, summed per pair."""
     sig = nodes.drop("rep", "counted")
-    pairs = kept(pairs.join(_side(sig, "a").withColumnRenamed("anode", "a"), "a")
-                 .join(_side(sig, "b").withColumnRenamed("bnode", "b"), "b")
-                 .where(_signatures_can_reach(percent)).select("a", "b", "an", "bn"))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    ids = nodes.join(wanted, "node", "left_semi").select(F.col("rep").alias("doc_id"))
+    pairs, n_pairs = kept_sized(sized(pairs.join(_side(sig, "a").withColumnRenamed("anode", "a"), "a"), n_pairs)
+                                .join(_side(sig, "b").withColumnRenamed("bnode", "b"), "b")
+                                .where(_signatures_can_reach(percent)).select("a", "b", "an", "bn"))
+    wanted = sized(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), 2 * n_pairs)
+    ids = sized(nodes.join(wanted, "node", "left_semi").select(F.col("rep").alias("doc_id")), 2 * n_pairs)
     segments = (semi_join_ids(docs, ids, "doc_id").select("text")
                 .mapInArrow(_segments(k, _counted_limit(percent)), SEGMENTS).dropDuplicates(["node", "fragment"]))
     both = (pairs.join(segments.select(F.col("node").alias("a"), "fragment", F.col("members").alias("sa")), "a")
@@ -255,8 +258,8 @@ def _links(docs, nodes, pairs, k, percent) -> DataFrame:
             .select("a", "b", "sa", "sb"))
     total = both.mapInArrow(_partial_overlaps, "a long, b long, shared long").groupBy("a", "b").agg(
         F.sum("shared").alias("shared"))
-    return kept(total.join(pairs, ["a", "b"]).where(_reaches(F.col("shared"), F.col("an"), F.col("bn"), percent))
-                .select("a", "b"))
+    return kept_sized(sized(total, n_pairs).join(pairs, ["a", "b"])
+                      .where(_reaches(F.col("shared"), F.col("an"), F.col("bn"), percent)).select("a", "b"))[0]
 
 
 def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -265,8 +268,8 @@ def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
     ends = (links.join(rep.select(F.col("node").alias("a"), F.col("rep").alias("x")), "a")
             .join(rep.select(F.col("node").alias("b"), F.col("rep").alias("y")), "b"))
     found = connected_components(ends, "x", "y")
-    return kept(rep.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-                .select("node", F.coalesce("label", "rep").alias("label")))
+    return kept_sized(rep.join(found.withColumnRenamed("node", "rep"), "rep", "left")
+                      .select("node", F.coalesce("label", "rep").alias("label")))[0]
 
 
 def _open_lists(entries: DataFrame, nodes: DataFrame, label: DataFrame) -> DataFrame:
@@ -275,16 +278,35 @@ def _open_lists(entries: DataFrame, nodes: DataFrame, label: DataFrame) -> DataF
     main = (entries.groupBy("gram", "label").agg(F.count(F.lit(1)).alias("size")).groupBy("gram")
             .agg(F.max_by("label", "size").alias("main"), F.count(F.lit(1)).alias("labels"))
             .where("labels > 1").select("gram", "main"))
-    return kept(entries.join(main, "gram").join(nodes.select("node", *SIGNATURES), "node"))
+    return kept_sized(entries.join(main, "gram").join(nodes.select("node", *SIGNATURES), "node"))[0]
+
+
+def _with_earlier(entries: DataFrame) -> DataFrame:
+    """Entries with the lists of their set's sketch that come before their own in the global order.
+
+    The sketch is a set's SKETCH lists of the smallest hash, so similar sets
+    have most of it in common.  A list in both sketches and before this one
+    for one set is so for both.
+    """
+    sketch = entries.groupBy("node").agg(
+        F.slice(F.array_sort(F.collect_list(F.struct(F.xxhash64("gram").alias("h"), "pos", "gram"))), 1, SKETCH).alias("sketch"))
+    return (entries.join(sketch, "node")
+            .withColumn("earlier", F.transform(F.filter("sketch", lambda x: x["pos"] < F.col("pos")), lambda x: x["gram"])).drop("sketch"))
 
 
 def _candidates(outside: DataFrame, others: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of two components that share a list and pass the filters; of two outside the main one, each once."""
+    """Pairs (a, b) of two components that share a list and pass the filters; of two outside the main one, each once.
+
+    With ``earlier``, a pair counts where none of the lists in both sketches
+    comes before: always in the first list that both sets are in, whose
+    positions are those of the filter, and in few others.
+    """
     a = _side(outside, "a").withColumnRenamed("agram", "gram")
     b = _side(others, "b").withColumnRenamed("bgram", "gram")
+    new = ~F.arrays_overlap("aearlier", "bearlier") if "earlier" in outside.columns else F.lit(True)
     return (a.join(b, "gram")
             .where((F.col("alabel") != F.col("blabel")) & ((F.col("blabel") == F.col("bmain")) | (F.col("anode") > F.col("bnode")))
-                   & _can_reach(percent) & _signatures_can_reach(percent))
+                   & _can_reach(percent) & _signatures_can_reach(percent) & new)
             .select(F.greatest("anode", "bnode").alias("a"), F.least("anode", "bnode").alias("b")).distinct())
 
 
@@ -313,23 +335,24 @@ def ngram_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str
     common = spark.sparkContext.broadcast(np.packbits(flags, bitorder="little").tobytes())
     described = described.where("slots is null").drop("slots")
 
-    nodes = kept(described.where("node is not null").groupBy("node").agg(
+    nodes, _ = kept_sized(described.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("counted").alias("counted"),
         *[F.min(f"s{i}").alias(f"s{i}") for i in range(SIGNATURE)]).where("rep is not null"))
 
-    prefixes = kept(_prefixes(docs.select("text").mapInArrow(_postings(k, percent, limit, common), POSTINGS), nodes, percent))
+    prefixes, _ = kept_sized(_prefixes(docs.select("text").mapInArrow(_postings(k, percent, limit, common), POSTINGS), nodes, percent))
 
-    # First round: every member of a list with a hub (a grouped minimum, so of lists of any length) by a hash of the
-    # node alone: near copies share most of their lists and meet the same hub in them, so pairs go with members.
+    # First round: every member of a list with a hub (a grouped minimum, so of lists of any length): the set with the
+    # fewest shingles of its own and the most others, which of near copies is the least changed.  What decides is the
+    # node's alone: near copies share most of their lists and meet the same hub in them, so pairs go with members.
     entry = F.struct("pos", "n", "node")
-    hub = prefixes.groupBy("gram").agg(F.min_by(entry, F.xxhash64("node")).alias("hub"))
+    hub = prefixes.groupBy("gram").agg(F.min_by(entry, F.struct("alone", -F.col("shared"), F.xxhash64("node"))).alias("hub"))
     stars = prefixes.join(hub, "gram").select(
         F.col("node").alias("anode"), F.col("n").alias("an"), F.col("pos").alias("apos"),
         F.col("hub.node").alias("bnode"), F.col("hub.n").alias("bn"), F.col("hub.pos").alias("bpos"))
     pair = [F.greatest("anode", "bnode").alias("a"), F.least("anode", "bnode").alias("b")]
-    first = kept(stars.where((F.col("anode") != F.col("bnode")) & _can_reach(percent))
-                 .select(*pair).distinct())
-    links = _links(docs, nodes, first, k, percent)
+    first, n_pairs = kept_sized(stars.where((F.col("anode") != F.col("bnode")) & _can_reach(percent))
+                                .select(*pair).distinct())
+    links = _links(docs, nodes, first, n_pairs, k, percent)
     label = _labelled(nodes, links)
 
     # Second round: who is outside the largest component of a list with a member of that, another in each list.
@@ -337,16 +360,16 @@ def ngram_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str
     inside = left.where(F.col("label") == F.col("main")).groupBy("gram").agg(
         F.min_by(F.struct("node", "n", "pos", "label", "main", *SIGNATURES), F.xxhash64("gram", "node", F.lit(2))).alias("m"))
     second = _candidates(left.where(F.col("label") != F.col("main")), inside.select("gram", "m.*"), percent)
-    second = kept(second.join(first, ["a", "b"], "left_anti"))
-    more = _links(docs, nodes, second, k, percent)
-    links = kept(links.unionByName(more))
+    second, n_pairs = kept_sized(second.join(first, ["a", "b"], "left_anti"))
+    links = links.unionByName(_links(docs, nodes, second, n_pairs, k, percent))
     label = _labelled(nodes, links)
 
     # Last: all pairs of a list that are still apart.
     left = _open_lists(left.select("gram", "node", "n", "pos"), nodes, label)
+    left = _with_earlier(left)
     third = _candidates(left.where(F.col("label") != F.col("main")), left, percent)
-    third = third.join(first.unionByName(second), ["a", "b"], "left_anti")
-    label = _labelled(nodes, links.unionByName(_links(docs, nodes, third, k, percent)))
+    third, n_pairs = kept_sized(third.join(first.unionByName(second), ["a", "b"], "left_anti"))
+    label = _labelled(nodes, links.unionByName(_links(docs, nodes, third, n_pairs, k, percent)))
     return (described.select("doc_id", F.col("n").alias("n_shingles"), "node").join(label, "node", "left")
             .select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id")))
 

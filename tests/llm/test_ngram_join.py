@@ -7,7 +7,7 @@ import pytest
 from llm_data import docs_of, documents, odd_rows  # noqa: F401
 from hypothesis import given, settings, strategies as st
 
-from cairn.llm import ngram_join as nj
+from cairn.llm import components, ngram_join as nj
 from cairn.llm.components import connected_components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -93,6 +93,43 @@ def test_odd_rows(spark, docs_of, odd_rows):
     assert sorted(by[9]) == sorted([(1, 9), (3, 9)])
 
 
+def test_a_last_round_does_not_count_what_the_least_changed_copy_joins(spark, docs_of, monkeypatch):
+    """Any two of these copies are apart; each is similar to the text that they were made from."""
+    base = [f"w{i}" for i in range(300)]
+    rows = [(0, " ".join(base))] + [(c, " ".join(f"x{i}" if i > 4 and (i - 5) % 70 == 4 * c else w for i, w in enumerate(base))) for c in range(1, 18)]
+    counted, links = [], nj._links
+
+    def spy(docs, nodes, pairs, *more):
+        counted.append(pairs.count())
+        return links(docs, nodes, pairs, *more)
+
+    monkeypatch.setattr(nj, "_links", spy)
+    assert got(nj.ngram_components(docs_of(rows))) == brute(rows)
+    assert counted[1:] == [0, 0]
+
+
+def test_a_pair_counts_in_its_first_list_alone(spark, monkeypatch):
+    """Lists in their order hold both sets, one of them, the other; sketches of every size know some of the first kind."""
+    lists = {1: [(g * 7919 % 101, p) for p, g in enumerate(range(40)) if g % 3 != 1], 2: [(g * 7919 % 101, p) for p, g in enumerate(range(40)) if g % 3 != 2]}
+    both = [g for g, _ in lists[1] if g in dict(lists[2])]
+    df = spark.createDataFrame([(n, g, p) for n, x in lists.items() for g, p in x], "node long, gram long, pos long")
+    for size, most in ((1, 14), (5, 14), (32, 1)):
+        monkeypatch.setattr(nj, "SKETCH", size)
+        earlier = {(r.node, r.gram): set(r.earlier) for r in nj._with_earlier(df).collect()}
+        new = [g for g in both if not earlier[1, g] & earlier[2, g]]
+        assert both[0] in new and len(new) <= most
+
+
+def test_small_tables_take_few_partitions(spark):
+    df, rows = components.kept_sized(spark.range(1000, numPartitions=40))
+    assert rows == 1000 and df.rdd.getNumPartitions() == 1 and df.count() == 1000
+    many = components.sized(spark.range(100_001, numPartitions=40), 100_001)
+    assert many.rdd.getNumPartitions() == 5
+    chain = spark.range(300).repartition(40).selectExpr("id a", "id + 1 b")
+    found = connected_components(chain)
+    assert found.rdd.getNumPartitions() <= 2 and found.where("label = 0").count() == 301
+
+
 def test_empty_table(spark, docs_of):
     assert nj.ngram_components(docs_of([])).collect() == []
 
