@@ -243,14 +243,14 @@ def semi_join_ids(docs: DataFrame, ids: DataFrame, id_col: str, how: str = "left
     return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, id_col, how)
 
 
-def _links(docs, nodes, pairs, n_pairs, k, percent) -> DataFrame:
-    """Of ``n_pairs`` pairs (a, b) of nodes those that reach the threshold, by partial overlaps per fragment, summed per pair."""
+def _links(docs, nodes, pairs, k, percent) -> DataFrame:
+    """Of the pairs (a, b) of nodes those that reach the threshold, by partial overlaps per fragment, summed per pair."""
     sig = nodes.drop("rep", "counted")
-    pairs, n_pairs = kept_sized(sized(pairs.join(_side(sig, "a").withColumnRenamed("anode", "a"), "a"), n_pairs)
+    pairs, n_pairs = kept_sized(pairs.join(_side(sig, "a").withColumnRenamed("anode", "a"), "a")
                                 .join(_side(sig, "b").withColumnRenamed("bnode", "b"), "b")
                                 .where(_signatures_can_reach(percent)).select("a", "b", "an", "bn"))
     wanted = sized(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), 2 * n_pairs)
-    ids = sized(nodes.join(wanted, "node", "left_semi").select(F.col("rep").alias("doc_id")), 2 * n_pairs)
+    ids = nodes.join(wanted, "node", "left_semi").select(F.col("rep").alias("doc_id"))
     segments = (semi_join_ids(docs, ids, "doc_id").select("text")
                 .mapInArrow(_segments(k, _counted_limit(percent)), SEGMENTS).dropDuplicates(["node", "fragment"]))
     both = (pairs.join(segments.select(F.col("node").alias("a"), "fragment", F.col("members").alias("sa")), "a")
@@ -350,9 +350,9 @@ def ngram_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str
         F.col("node").alias("anode"), F.col("n").alias("an"), F.col("pos").alias("apos"),
         F.col("hub.node").alias("bnode"), F.col("hub.n").alias("bn"), F.col("hub.pos").alias("bpos"))
     pair = [F.greatest("anode", "bnode").alias("a"), F.least("anode", "bnode").alias("b")]
-    first, n_pairs = kept_sized(stars.where((F.col("anode") != F.col("bnode")) & _can_reach(percent))
-                                .select(*pair).distinct())
-    links = _links(docs, nodes, first, n_pairs, k, percent)
+    first, _ = kept_sized(stars.where((F.col("anode") != F.col("bnode")) & _can_reach(percent))
+                          .select(*pair).distinct())
+    links = _links(docs, nodes, first, k, percent)
     label = _labelled(nodes, links)
 
     # Second round: who is outside the largest component of a list with a member of that, another in each list.
@@ -360,16 +360,16 @@ def ngram_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str
     inside = left.where(F.col("label") == F.col("main")).groupBy("gram").agg(
         F.min_by(F.struct("node", "n", "pos", "label", "main", *SIGNATURES), F.xxhash64("gram", "node", F.lit(2))).alias("m"))
     second = _candidates(left.where(F.col("label") != F.col("main")), inside.select("gram", "m.*"), percent)
-    second, n_pairs = kept_sized(second.join(first, ["a", "b"], "left_anti"))
-    links = links.unionByName(_links(docs, nodes, second, n_pairs, k, percent))
+    second, _ = kept_sized(second.join(first, ["a", "b"], "left_anti"))
+    links = links.unionByName(_links(docs, nodes, second, k, percent))
     label = _labelled(nodes, links)
 
     # Last: all pairs of a list that are still apart.
     left = _open_lists(left.select("gram", "node", "n", "pos"), nodes, label)
     left = _with_earlier(left)
     third = _candidates(left.where(F.col("label") != F.col("main")), left, percent)
-    third, n_pairs = kept_sized(third.join(first.unionByName(second), ["a", "b"], "left_anti"))
-    label = _labelled(nodes, links.unionByName(_links(docs, nodes, third, n_pairs, k, percent)))
+    third, _ = kept_sized(third.join(first.unionByName(second), ["a", "b"], "left_anti"))
+    label = _labelled(nodes, links.unionByName(_links(docs, nodes, third, k, percent)))
     return (described.select("doc_id", F.col("n").alias("n_shingles"), "node").join(label, "node", "left")
             .select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id")))
 
