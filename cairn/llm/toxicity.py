@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -50,26 +51,53 @@ LANGUAGES = {
 }
 
 
+MARKS = ".,;:!?\"'()[]{}«»“”„…-*_"
+
+
 def word_features(word: str) -> list[int]:
     """Embedding rows of a word and its prefixes, without case and the marks around it."""
-    core = word.lower().strip(".,;:!?\"'()[]{}«»“”„…-*_")
-    f = xxhash.xxh32_intdigest
-    whole = f("w " + core) % ROWS
-    return [whole, *(f(f"p{k} " + core[:k]) % ROWS if len(core) > k else whole for k in PREFIXES)]
+    return vocab_features(pa.array([word], pa.string()))[0].tolist()
+
+
+def _hashed(strings: pa.Array, kind: str) -> np.ndarray:
+    """Embedding row of each string, hashed once per distinct one."""
+    coded = strings.dictionary_encode()
+    f, kind = xxhash.xxh32_intdigest, kind.encode()
+    rows = np.array([f(kind + x) for x in coded.dictionary.cast(pa.binary()).to_pylist()], np.int64) % ROWS
+    return rows[coded.indices.to_numpy()]
+
+
+def vocab_features(vocab: pa.Array) -> np.ndarray:
+    """``word_features`` of every word, a row each."""
+    if not len(vocab):
+        return np.empty((0, 1 + len(PREFIXES)), np.int64)
+    plain = pc.string_is_ascii(vocab)
+    low = pc.ascii_lower(vocab)
+    if not pc.all(plain).as_py():
+        others = pc.invert(plain)
+        low = pc.replace_with_mask(low, others, pa.array([w.lower() for w in vocab.filter(others).to_pylist()], vocab.type))
+    core = pc.utf8_trim(low, characters=MARKS)
+    size = pc.utf8_length(core).to_numpy()
+    out = np.repeat(_hashed(core, "w ")[:, None], 1 + len(PREFIXES), axis=1)
+    for at, k in enumerate(PREFIXES, 1):
+        longer = np.flatnonzero(size > k)
+        out[longer, at] = _hashed(pc.utf8_slice_codeunits(core.take(pa.array(longer)), 0, k), f"p{k} ")
+    return out
 
 
 class Featurised:
     """Rows of every word and language of every text of a batch."""
 
     def __init__(self):
-        self.index = {w: i + 1 for i, ws in enumerate(LANGUAGES.values()) for w in ws.split()}
+        index = {w: i + 1 for i, ws in enumerate(LANGUAGES.values()) for w in ws.split()}
+        self.known, self.tongue = pa.array(index, pa.string()), np.array([*index.values(), 0], np.int64)     # 0 for all others
 
     def parts(self, texts: pa.Array):
         """(part, rows per distinct word, language per text)."""
         for part in split_words(texts):
-            words = part.vocab.to_pylist()
-            rows = np.array([word_features(w) for w in words], np.int64).reshape(len(words), 1 + len(PREFIXES))
-            tongue = np.array([self.index.get(w.strip(".,;:"), 0) for w in words], np.int64)[part.codes] if words else part.codes
+            rows = vocab_features(part.vocab)
+            found = pc.index_in(pc.utf8_trim(part.vocab, characters=".,;:"), self.known.cast(part.vocab.type))
+            tongue = self.tongue[pc.fill_null(found, len(self.known)).to_numpy(zero_copy_only=False)][part.codes]
             n = part.stop - part.start
             doc = np.repeat(np.arange(n), np.diff(part.offsets))
             votes = np.bincount(doc * (len(LANGUAGES) + 1) + tongue, minlength=n * (len(LANGUAGES) + 1)).reshape(n, -1)
@@ -194,7 +222,9 @@ class TextCNN:
         padded[np.arange(len(codes)) + tail * np.repeat(np.arange(n), size)] = codes
         pooled = []
         for kernel, b in zip(self.conv, self.bias, strict=True):
-            reply = sum((vocab @ k)[padded[j:len(padded) - tail + j]] for j, k in enumerate(kernel))
+            reply = (vocab @ kernel[0]).take(padded[:len(padded) - tail], axis=0)
+            for j, k in enumerate(kernel[1:], 1):
+                reply += (vocab @ k).take(padded[j:len(padded) - tail + j], axis=0)
             # reduceat over (text, its padding): the odd slices are dropped
             edges = np.stack([starts, starts + np.maximum(size, 1)], axis=1).ravel()
             pooled.append(np.maximum.reduceat(reply, edges[edges < len(reply)], axis=0)[::2] + b if n else np.empty((0, len(b))))

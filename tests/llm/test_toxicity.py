@@ -4,6 +4,7 @@ import itertools
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_data import docs_of  # noqa: F401
 
@@ -150,3 +151,26 @@ def test_counted_thresholds_are_those_of_the_texts():
     r = np.random.default_rng(5)
     z, y, tongue, n = np.round(r.normal(0, 1, 40), 1), r.integers(0, 2, 40), r.integers(0, 2, 40), r.integers(1, 5, 40)
     assert toxicity._thresholds(z, y, tongue, n).tolist() == toxicity._thresholds(*(np.repeat(x, n) for x in (z, y, tongue))).tolist()
+
+
+def test_features_are_hashed_once_per_distinct_string(monkeypatch):
+    """The rows are those of each word by itself, but words that share prefixes share their hashes."""
+    calls, real = [], toxicity.xxhash.xxh32_intdigest
+
+    class Counted:
+        @staticmethod
+        def xxh32_intdigest(x):
+            calls.append(x)
+            return real(x)
+
+    def plain(word):
+        core = word.lower().strip(".,;:!?\"'()[]{}«»“”„…-*_")
+        whole = real("w " + core) % toxicity.ROWS
+        return [whole, *(real(f"p{k} " + core[:k]) % toxicity.ROWS if len(core) > k else whole for k in toxicity.PREFIXES)]
+    monkeypatch.setattr(toxicity, "xxhash", Counted)
+    odd = ["İstanbul", "ΣΑΣ", "STRASSE", "straße,", "“Élan»", "...", "-*_", "\U0001f600abcdefg", "né", "abc", "abcd", "für:"]
+    texts = [" ".join([*odd, "the", "OF"]), None, "", " ".join(f"common{k}." for k in range(2000))]
+    (part, rows, tongue), = toxicity.Featurised().parts(pa.array(texts, pa.string()))
+    assert rows.tolist() == [plain(w) for w in part.vocab.to_pylist()]
+    assert len(calls) < 1.1 * len(part.vocab)
+    assert tongue.tolist() == [1, 0, 0, 0]
