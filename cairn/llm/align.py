@@ -2,8 +2,8 @@
 
 Both token sequences become arrays of byte ends.  While tokens correspond
 one to one, the arrays are equal along a diagonal (a fixed shift between the
-indices), so exponential probing compares ever longer stretches and jumps
-them.  Where they part, the irregular group is resolved locally, token by
+indices), so after a few single steps exponential probing compares ever
+longer stretches and jumps them.  Where they part, the irregular group is resolved locally, token by
 token, up to the next common end, which gives the new shift.
 
 A task aligns chunks of texts and sends, of each chunk, only its distinct
@@ -23,32 +23,42 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from cairn.llm.components import kept, shared_folder
-from cairn.llm.words import byte_letters, small_batches
+from cairn.llm.words import byte_letters, small_batches, text_chunks
 
+STEPS = 16                                      # tokens of a diagonal compared one by one before stretches are
+TOGETHER = 1 << 18                              # bytes of short texts aligned at once
 LONG_RUN = re.compile(r"\S{2000}|\s{2000}")     # such texts go to the tokenizer whose merging isn't quadratic
 
 
-def align(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-    """Ends (exclusive token indices in ``a`` and in ``b``) of the groups between common byte ends; the last ends are equal."""
-    ga: list[int] = []
-    gb: list[int] = []
+def stretches(a: list[int], b: list[int]) -> list[int]:
+    """Three numbers for each stretch of groups, in order: its first index in ``a`` and its ends (exclusive) in ``a`` and ``b``.
+
+    A stretch is a run of corresponding tokens, each a group, or what is skipped up to a common end and the token before it."""
+    out: list[int] = []
     i = j = 0
     n = len(a)
     while i < n:
         if a[i] == b[j]:
             first, width = i, 1
-            while i < n and a[i:i + width] == b[j:j + width]:       # probe along the diagonal, twice as far each time
-                step = min(width, n - i)
-                i += step
-                j += step
-                width *= 2
+            i += 1
+            j += 1
+            near = min(first + STEPS, n)
+            while i < near and a[i] == b[j]:                        # most runs are short
+                i += 1
+                j += 1
+            if i == near:
+                width = STEPS
+                while i < n and a[i:i + width] == b[j:j + width]:   # probe along the diagonal, twice as far each time
+                    step = min(width, n - i)
+                    i += step
+                    j += step
+                    width *= 2
             while width > 1 and i < n:                              # the stretch that failed, by halves
                 width //= 2
                 if i + width <= n and a[i:i + width] == b[j:j + width]:
                     i += width
                     j += width
-            ga.extend(range(first + 1, i + 1))
-            gb.extend(range(first + 1 + j - i, j + 1))
+            out += first, i, j
         else:
             x, y = a[i], b[j]
             while x != y:
@@ -60,9 +70,23 @@ def align(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
                     y = b[j]
             i += 1
             j += 1
-            ga.append(i)
-            gb.append(j)
-    return ga, gb
+            out += i - 1, i, j
+    return out
+
+
+def group_ends(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Ends (exclusive token indices in ``a`` and in ``b``) of the groups between common byte ends; the last ends are equal."""
+    found = stretches(a, b)
+    first, end_a, end_b = np.fromiter(found, np.int64, len(found)).reshape(-1, 3).T
+    size = end_a - first
+    ga = np.arange(1, size.sum() + 1) + np.repeat(end_a - np.cumsum(size), size)
+    return ga, ga + np.repeat(end_b - end_a, size)
+
+
+def align(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+    """``group_ends`` as lists."""
+    ga, gb = group_ends(a, b)
+    return ga.tolist(), gb.tolist()
 
 
 class ByteLevel:
@@ -103,8 +127,8 @@ class Pieces:
         self.bytes = [bytes([int(p[3:-1], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode()
                       for i, p in ((i, self.model.id_to_piece(i)) for i in range(n))]
 
-    def ids(self, text: str) -> list[int]:
-        return self.model.encode(text, num_threads=1)
+    def ids(self, text: str) -> np.ndarray:
+        return self.model.encode_as_numpy(text)
 
 
 class Aligner:
@@ -114,9 +138,10 @@ class Aligner:
         self.a, self.b = ByteLevel(path_a, pattern_a), Pieces(path_b)
         self.size = [np.array([len(x) for x in side.bytes], np.int64) for side in (self.a, self.b)]
         names = [[str(i) for i in range(len(side.bytes))] for side in (self.a, self.b)]
-        # A token as text with the sign after it: inside a group, then at its end.
-        self.signs = np.array([f"{x}{sign}".encode() for side, ends in zip(names, (",|", ",;"), strict=True)
-                               for sign in ends for x in side], object)
+        # A token as text with the sign after it, inside a group, then at its end; zeros fill it up to a common width.
+        signs = [f"{x}{sign}".encode() for side, ends in zip(names, (",|", ",;"), strict=True) for sign in ends for x in side]
+        width = -(-max(map(len, signs)) // 8)
+        self.signs = np.array(signs, f"S{8 * width}").view(np.uint64).reshape(-1, width)
         self.begin = 2 * len(names[0])
 
     def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
@@ -125,28 +150,53 @@ class Aligner:
             return None
         whole = f" {text}".encode()
         a, b = self.a.ids(f" {text}"), self.b.ids(text)
-        if b"".join(map(self.b.bytes.__getitem__, b)) != whole:
+        if b"".join(map(self.b.bytes.__getitem__, b.tolist())) != whole:
             return None
-        a = np.array(a, np.int64)
+        a = np.fromiter(a, np.int64, len(a))
         # Byte-level tokens are cut from the text, so only a character without a token can be missing.
         if self.size[0][a].sum() != len(whole):
             return None
-        return a, np.array(b, np.int64)
+        return a, b.astype(np.int64)
 
     def groups(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        ends = [np.cumsum(size[ids]).tolist() for size, ids in zip(self.size, (a, b), strict=True)]
-        ga, gb = align(*ends)
-        return np.array(ga, np.int64), np.array(gb, np.int64)
+        return group_ends(*(np.cumsum(size[ids]).tolist() for size, ids in zip(self.size, (a, b), strict=True)))
 
-    def text_of(self, a: np.ndarray, b: np.ndarray, ga: np.ndarray, gb: np.ndarray) -> bytes:
-        """``a1,a2|b1;a3|b2,b3`` with decimal ids."""
+    def coded(self, a: np.ndarray, b: np.ndarray, ga: np.ndarray, gb: np.ndarray) -> np.ndarray:
+        """Every token's place among the signs, those of B after those of A in each group."""
         where = np.empty(len(a) + len(b), np.int64)
-        of_a, of_b = (np.repeat(np.arange(len(g)), np.diff(g, prepend=0)) for g in (ga, gb))
         last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
         last_a[ga - 1], last_b[gb - 1] = 1, 1
-        where[np.arange(len(a)) + (gb - np.diff(gb, prepend=0))[of_a]] = a + last_a * len(self.size[0])
+        of_a, of_b = (np.cumsum(last) - last for last in (last_a, last_b))
+        where[np.arange(len(a)) + np.concatenate([[0], gb])[of_a]] = a + last_a * len(self.size[0])
         where[np.arange(len(b)) + ga[of_b]] = self.begin + b + last_b * len(self.size[1])
-        return b"".join(self.signs[where].tolist())[:-1]
+        return where
+
+    def text_of(self, where: np.ndarray) -> bytes:
+        """``a1,a2|b1;a3|b2,b3`` with decimal ids."""
+        return self.signs.take(where, axis=0).tobytes().translate(None, b"\0")[:-1]
+
+    def rows(self, texts: list[str | None]) -> tuple[list[tuple], np.ndarray]:
+        """n_a, n_b, n_groups and groups_sha256 of each text, and the links of all as pairs, aligned as one long text:
+        its parts end together on both sides, so no group is in two of them."""
+        found = [self.tokens(text) for text in texts]
+        full = [x for x in found if x is not None]
+        if not full:
+            return [(0, 0, 0, "")] * len(texts), np.empty(0, np.int64)
+        a, b = (np.concatenate(side) for side in zip(*full, strict=True))
+        ga, gb = self.groups(a, b)
+        where = self.coded(a, b, ga, gb)
+        out, at_a, at, done = [], 0, 0, 0
+        for x in found:
+            if x is None:
+                out.append((0, 0, 0, ""))
+                continue
+            n_a, n_b = map(len, x)
+            at_a += n_a
+            groups = int(np.searchsorted(ga, at_a, side="right"))
+            text = self.text_of(where[at:at + n_a + n_b])
+            out.append((n_a, n_b, groups - done, hashlib.sha256(text).hexdigest()))
+            at, done = at + n_a + n_b, groups
+        return out, a[ga - 1] * len(self.size[1]) + b[gb - 1]
 
 
 CHUNK = ("chunk long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, groups_sha256 array<string>, "
@@ -162,20 +212,13 @@ def aligned_chunks(docs: DataFrame, path_a: str, path_b: str, pattern_a: str | N
         number = 0
         for batch in small_batches(batches, 1):
             aligner = aligner or Aligner(path_a, path_b, pattern_a)
-            width = len(aligner.size[1])
-            rows: dict[str, list] = {c: [] for c in ("doc_id", "n_a", "n_b", "n_groups", "groups_sha256")}
+            rows: dict[str, list] = {"doc_id": batch.column(0).to_pylist(), "n_a": [], "n_b": [], "n_groups": [], "groups_sha256": []}
             links = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = aligner.tokens(text.as_py())
-                if found is None:
-                    values = (doc, 0, 0, 0, "")
-                else:
-                    a, b = found
-                    ga, gb = aligner.groups(a, b)
-                    links.append(a[ga - 1] * width + b[gb - 1])
-                    values = (doc, len(a), len(b), len(ga), hashlib.sha256(aligner.text_of(a, b, ga, gb)).hexdigest())
-                for c, v in zip(rows.values(), values, strict=True):
-                    c.append(v)
+            for start, stop in text_chunks(batch.column(1), TOGETHER):
+                found, pairs = aligner.rows(batch.column(1).slice(start, stop - start).to_pylist())
+                links.append(pairs)
+                for c, values in zip(("n_a", "n_b", "n_groups", "groups_sha256"), zip(*found, strict=True), strict=True):
+                    rows[c] += values
             pairs, codes, counts = np.unique(np.concatenate([*links, np.empty(0, np.int64)]), return_inverse=True, return_counts=True)
             order = np.argsort(-counts, kind="stable")
             rank = np.empty(len(order), "<u4")

@@ -109,3 +109,31 @@ def test_run_without_blanks_takes_the_other_library():
 def test_fast_ids_equal_the_plain_tokenizer(text):
     x = al.ByteLevel(A, P.PATTERN)
     assert x.ids(text) == al.ByteLevel(A).ids(text) and b"".join(x.bytes[i] for i in x.ids(text)).decode() == text
+
+
+def test_short_runs_are_compared_without_stretches():
+    class Probed(list):
+        slices = 0
+
+        def __getitem__(self, k):
+            Probed.slices += isinstance(k, slice)
+            return super().__getitem__(k)
+
+    b = list(range(1, 10_001))
+    a = Probed(x for x in b if x % 8)                                # a run of seven, then two tokens against one
+    ga, gb = al.align(a, b[:-1])
+    assert [a[i - 1] for i in ga] == list(a) and [b[j - 1] for j in gb] == list(a)
+    assert Probed.slices < 10
+
+
+def test_texts_aligned_together_are_those_aligned_alone(monkeypatch):
+    x = al.Aligner(A, B, P.PATTERN)
+    texts = ["plain words, 12 345.", None, "a▁b", "", " x  y ", "tabs\t and  blanks \n\n", "éß中文 \U0001f600", "plain words", "unterscheidbar " * 40]
+    calls, real = [], al.group_ends
+    monkeypatch.setattr(al, "group_ends", lambda a, b: calls.append(len(a)) or real(a, b))
+    rows, links = x.rows(texts)
+    assert len(calls) == 1 and calls[0] == sum(r[0] for r in rows)
+    alone = [x.rows([t]) for t in texts]
+    assert rows == [r for one, _ in alone for r in one] and links.tolist() == [k for _, some in alone for k in some.tolist()]
+    assert len(links) == sum(r[2] for r in rows) and [i for i, r in enumerate(rows) if r == (0, 0, 0, "")] == [1, 2, 3]
+    assert x.rows([None, ""])[1].tolist() == []
